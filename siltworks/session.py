@@ -19,6 +19,7 @@ def build_session(app_name: str = "siltworks", master: str | None = None, **conf
         builder = builder.master(master)
     settings = {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
