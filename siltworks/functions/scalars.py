@@ -1,4 +1,4 @@
-"""Text, number and cyclic column functions, all built from native expressions."""
+"""Text, number and cyclic expressions over a named column, all native."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
+from siltworks.functions import sql
+
 # The characters stripped from both ends of a text (Unicode white space).
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -14,59 +16,52 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# A decimal number or an infinity. Java also parses '1.0d', '1f', 'NaN' and hexadecimal
-# floats; those are text here.
-NUMBER_PATTERN = r"^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))$"
+# A decimal number or an infinity, in spaces. Java also parses '1.0d', '1f', 'NaN' and
+# hexadecimal floats; those are text here.
+NUMBER_PATTERN = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 
 
-def strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITESPACE))
+def strip_sql(column: str) -> str:
+    return f"btrim({sql.name(column)}, {sql.text(WHITESPACE)})"
 
 
-def null_if_token(text: Column, tokens: Sequence[str]) -> Column:
+def null_if_token(column: str, tokens: Sequence[str]) -> Column:
     """Null where the whole text equals one of ``tokens``; anything else is kept as it is."""
-    return F.when(~text.isin(*tokens), text)
+    c = sql.name(column)
+    return F.expr(f"CASE WHEN {c} NOT IN ({sql.texts(tokens)}) THEN {c} END")
 
 
-def to_number(text: Column) -> Column:
-    """The text as a double, null where it is not a number. Never returns NaN."""
-    bare = strip(text)
-    return F.when(bare.rlike(NUMBER_PATTERN), bare.try_cast("double"))
+def to_number(column: str) -> Column:
+    """The text as a double, null where it is not a number. Never NaN."""
+    c = sql.name(column)
+    return F.expr(f"CASE WHEN {c} RLIKE {sql.text(NUMBER_PATTERN)} THEN try_cast({c} AS DOUBLE) END")
 
 
-def without_nan(number: Column) -> Column:
-    return F.when(~F.isnan(number), number)
+def without_nan_sql(column: str) -> str:
+    return f"nullif({sql.name(column)}, double('NaN'))"
 
 
-def canonical_text(text: Column, missing: str) -> Column:
+def canonical_text(column: str, missing: str) -> Column:
     """Stripped lower-case text; null becomes the ``missing`` level."""
-    return F.coalesce(F.lower(strip(text)), F.lit(missing))
+    return F.expr(f"coalesce(lower({strip_sql(column)}), {sql.text(missing)})")
 
 
-def yes_no(text: Column, yes: Sequence[str], no: Sequence[str]) -> Column:
+def yes_no(column: str, yes: Sequence[str], no: Sequence[str]) -> Column:
     """1.0 for a yes token, 0.0 for a no token, null for anything else."""
-    bare = F.lower(strip(text))
-    return F.when(bare.isin(*yes), F.lit(1.0)).when(bare.isin(*no), F.lit(0.0))
-
-
-def indicator(condition: Column) -> Column:
-    """1 where the condition holds, 0 where it does not or is unknown."""
-    return F.coalesce(condition.cast("int"), F.lit(0))
+    pairs = [f"{sql.text(t)}, 1.0D" for t in yes] + [f"{sql.text(t)}, 0.0D" for t in no]
+    return F.expr(f"try_element_at(map({', '.join(pairs)}), lower({strip_sql(column)}))")
 
 
-def position(text: Column, levels: Sequence[str], start: int) -> Column:
-    """Index of the text in ``levels``, counted from ``start``; null if it is not there."""
-    chain = None
-    for index, level in enumerate(levels, start):
-        hit = text == F.lit(level)
-        chain = F.when(hit, F.lit(float(index))) if chain is None else chain.when(hit, F.lit(float(index)))
-    return F.lit(None).cast("double") if chain is None else chain
+def place_sql(text: str, levels: Sequence[str], start: int) -> str:
+    """Index of a text in ``levels``, counted from ``start``; null if it is not there."""
+    pairs = [f"{sql.text(level)}, {sql.number(i)}" for i, level in enumerate(levels, start)]
+    return f"try_element_at(map({', '.join(pairs)}), {text})"
 
 
-def cyclic(number: Column, period: int) -> tuple[Column, Column]:
+def cyclic(value: str, period: int) -> tuple[Column, Column]:
     """The sine and cosine of a value on a circle of ``period`` steps."""
-    angle = number * F.lit(2 * math.pi) / F.lit(float(period))
-    return F.sin(angle), F.cos(angle)
+    angle = f"({value}) * {sql.number(2 * math.pi)} / {sql.number(period)}"
+    return F.expr(f"sin({angle})"), F.expr(f"cos({angle})")
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:

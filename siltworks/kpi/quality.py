@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from siltworks.config import PrepConfig, Thresholds
+from siltworks.functions import sql
 from siltworks.functions.lights import light, penalty, score_light
 from siltworks.functions.scalars import percent
 from siltworks.operators.features import feature_names
@@ -23,8 +24,8 @@ def _data_columns(df: DataFrame, cfg: PrepConfig, by: Sequence[str]) -> list[str
 
 
 def _null_cells(columns: Sequence[str]) -> Column:
-    n_rows = F.count(F.lit(1))
-    return sum((n_rows - F.count(F.col(f"`{c}`")) for c in columns), F.lit(0).cast("bigint"))
+    counted = " + ".join(["0L", *[f"count({sql.name(c)})" for c in columns]])
+    return F.expr(f"count(1) * {len(columns)} - ({counted})")
 
 
 def raw_facts(raw: DataFrame, cfg: PrepConfig, by: Sequence[str] = ()) -> DataFrame:
@@ -142,13 +143,12 @@ def missing_pct(raw: DataFrame, clean: DataFrame, features: DataFrame, cfg: Prep
 
 def _marked(clean: DataFrame, named_flags: dict[str, str], by: Sequence[str]) -> DataFrame:
     """Rows (group, name, marked rows, all rows) for the flags that are present."""
-    n_rows = F.count(F.lit(1))
     rows = [
-        F.struct(F.lit(name).alias("column_name"), F.sum(flag).alias("n"), n_rows.alias("n_rows"))
+        f"named_struct('column_name', {sql.text(name)}, 'n', sum({sql.name(flag)}), 'n_rows', count(1))"
         for name, flag in named_flags.items()
         if flag in clean.columns
     ]
-    return clean.groupBy(*by).agg(F.array(*rows).alias("marked")).select(*by, F.inline("marked"))
+    return clean.groupBy(*by).agg(F.expr(f"array({', '.join(rows)})").alias("marked")).select(*by, F.inline("marked"))
 
 
 def outlier_pct(clean: DataFrame, cfg: PrepConfig, limits: Thresholds, by: Sequence[str] = ()) -> DataFrame:

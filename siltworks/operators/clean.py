@@ -12,7 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from siltworks.config import PrepConfig
-from siltworks.functions.scalars import canonical_text, indicator, strip, without_nan, yes_no
+from siltworks.functions import sql
+from siltworks.functions.scalars import canonical_text, strip_sql, without_nan_sql, yes_no
 from siltworks.operators.quantiles import NumericSummary, approximate_quantiles, summarize
 
 
@@ -30,12 +31,12 @@ class Fence:
 
 def normalize_categories(df: DataFrame, columns: Sequence[str], missing: str) -> DataFrame:
     present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: canonical_text(F.col(c), missing) for c in present})
+    return df.withColumns({c: canonical_text(c, missing) for c in present})
 
 
 def map_binary(df: DataFrame, columns: Sequence[str], yes: Sequence[str], no: Sequence[str]) -> DataFrame:
     present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: yes_no(F.col(c), yes, no) for c in present})
+    return df.withColumns({c: yes_no(c, yes, no) for c in present})
 
 
 def unmappable_census(df: DataFrame, cfg: PrepConfig, show: int = 5) -> DataFrame:
@@ -45,30 +46,28 @@ def unmappable_census(df: DataFrame, cfg: PrepConfig, show: int = 5) -> DataFram
     is one row per task; only ``show`` tokens per column are ever put in a list.
     """
     columns = [c for c in cfg.binary if c in df.columns]
-    entries = []
-    for c in columns:
-        value = F.col(c)
-        mapped = yes_no(value, cfg.yes_tokens, cfg.no_tokens)
-        entries.append(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                mapped.alias("mapped"),
-                F.when(value.isNotNull() & mapped.isNull(), F.lower(strip(value))).alias("token"),
-            )
+    entries = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            yes_no(c, cfg.yes_tokens, cfg.no_tokens).alias("mapped"),
+            F.expr(f"lower({strip_sql(c)})").alias("token"),
         )
+        for c in columns
+    ]
     tokens = (
         df.select(F.inline(F.array(*entries)))
         .groupBy("column_name", "mapped", "token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    unmapped = F.col("token").isNotNull() & F.col("mapped").isNull()
     counts = tokens.groupBy("column_name").agg(
-        F.coalesce(F.sum(F.when(F.col("mapped") == 1.0, F.col("n"))), F.lit(0)).alias("n_one"),
-        F.coalesce(F.sum(F.when(F.col("mapped") == 0.0, F.col("n"))), F.lit(0)).alias("n_zero"),
-        F.coalesce(F.sum(F.when(F.col("token").isNotNull(), F.col("n"))), F.lit(0)).alias("n_unmappable"),
+        F.expr("coalesce(sum(n) FILTER (WHERE mapped = 1), 0L)").alias("n_one"),
+        F.expr("coalesce(sum(n) FILTER (WHERE mapped = 0), 0L)").alias("n_zero"),
+        F.coalesce(F.sum(F.when(unmapped, F.col("n"))), F.lit(0)).alias("n_unmappable"),
     )
     by_token = W.partitionBy("column_name").orderBy("token")
     shown = (
-        tokens.filter(F.col("token").isNotNull())
+        tokens.filter(unmapped)
         .select("column_name", "token", F.row_number().over(by_token).alias("place"))
         .filter(F.col("place") <= show)
         .groupBy("column_name")
@@ -78,21 +77,20 @@ def unmappable_census(df: DataFrame, cfg: PrepConfig, show: int = 5) -> DataFram
 
 
 def negative_flag(column: str) -> Column:
-    return indicator(F.col(column) < 0)
+    return F.expr(f"coalesce(CAST({sql.name(column)} < 0 AS INT), 0)")
 
 
 def sentinel_flag(column: str, sentinel: float) -> Column:
-    return indicator(F.col(column) == F.lit(float(sentinel)))
+    return F.expr(f"coalesce(CAST({sql.name(column)} = {sql.number(sentinel)} AS INT), 0)")
 
 
-def fence_columns(df: DataFrame, cfg: PrepConfig) -> dict[str, Column]:
+def fence_columns(df: DataFrame, cfg: PrepConfig) -> dict[str, str]:
     """The values that the fences are fitted on: special values are left out."""
     chosen = {}
     for c in cfg.outlier_flags:
         if c in df.columns:
-            value = without_nan(F.col(c))
-            special = cfg.outlier_excluded.get(c, ())
-            chosen[c] = F.when(~value.isin(*special), value) if special else value
+            value, special = without_nan_sql(c), cfg.outlier_excluded.get(c, ())
+            chosen[c] = f"CASE WHEN {value} NOT IN ({sql.numbers(special)}) THEN {value} END" if special else value
     return chosen
 
 
@@ -104,13 +102,17 @@ def fence(summary: NumericSummary, width: float) -> Fence:
     return Fence(summary.n, q1, median, q3, q1 - width * spread, q3 + width * spread)
 
 
-def fit_fences(df: DataFrame, cfg: PrepConfig, accuracy: int | None = None) -> dict[str, Fence]:
+def fit_fences(
+    df: DataFrame, cfg: PrepConfig, accuracy: int | None = None, one_task_values: int | None = None
+) -> dict[str, Fence]:
     """Outlier limits of all flagged columns; exact unless an ``accuracy`` is given."""
     columns = fence_columns(df, cfg)
-    if accuracy is None:
-        summary = summarize(df, columns)
-    else:
+    if accuracy is not None:
         summary = approximate_quantiles(df, columns, accuracy=accuracy)
+    elif one_task_values is not None:
+        summary = summarize(df, columns, one_task_values=one_task_values)
+    else:
+        summary = summarize(df, columns)
     return {c: fence(s, cfg.fence_width) for c, s in summary.items()}
 
 
@@ -118,11 +120,11 @@ def outlier_flag(column: str, limits: Fence, excluded: Sequence[float] = ()) ->
     """1 beyond the limits; 0 for missing and excluded values, or if nothing could be fitted."""
     if limits.lower is None or limits.upper is None:
         return F.lit(0)
-    value = F.col(column)
-    beyond = (value < F.lit(limits.lower)) | (value > F.lit(limits.upper))
+    c = sql.name(column)
+    beyond = f"({c} < {sql.number(limits.lower)} OR {c} > {sql.number(limits.upper)})"
     if excluded:
-        beyond = beyond & ~value.isin(*excluded)
-    return indicator(beyond)
+        beyond += f" AND {c} NOT IN ({sql.numbers(excluded)})"
+    return F.expr(f"coalesce(CAST({beyond} AS INT), 0)")
 
 
 def add_flags(df: DataFrame, cfg: PrepConfig, fences: Mapping[str, Fence]) -> DataFrame:

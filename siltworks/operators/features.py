@@ -14,7 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from siltworks.config import PrepConfig
-from siltworks.functions.scalars import canonical_text, cyclic, position, strip, without_nan
+from siltworks.functions import sql
+from siltworks.functions.scalars import canonical_text, cyclic, place_sql, strip_sql, without_nan_sql
 from siltworks.operators.clean import Fence, fence, fence_columns
 from siltworks.operators.quantiles import NumericSummary, summarize
 
@@ -75,7 +76,7 @@ def fit_levels(
     if not present:
         return {}
     pairs = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), canonical_text(F.col(c), missing).alias("level")) for c in present]
+        *[F.struct(F.lit(c).alias("column_name"), canonical_text(c, missing).alias("level")) for c in present]
     )
     bound = len(present) * max_levels
     rows = df.select(F.inline(pairs)).distinct().limit(bound + 1).collect()
@@ -89,8 +90,8 @@ def fit_levels(
 
 
 def fit_scales(df: DataFrame, cfg: PrepConfig) -> tuple[dict[str, Scale], dict[str, Scale]]:
-    robust = {c: without_nan(F.col(c)) for c in cfg.robust if c in df.columns}
-    standard = {c: without_nan(F.col(c)) for c in cfg.standard if c in df.columns}
+    robust = {c: without_nan_sql(c) for c in cfg.robust if c in df.columns}
+    standard = {c: without_nan_sql(c) for c in cfg.standard if c in df.columns}
     summary = summarize(df, robust, standard)
     return {c: robust_scale(summary[c]) for c in robust}, {c: standard_scale(summary[c]) for c in standard}
 
@@ -103,8 +104,8 @@ def fit(df: DataFrame, cfg: PrepConfig, levels: Mapping[str, Sequence[str]] | No
     quantile_columns = {f"fence:{c}": v for c, v in fence_columns(df, cfg).items()}
     for c in cfg.robust:
         if c in df.columns and not (c in cfg.outlier_flags and c not in cfg.outlier_excluded):
-            quantile_columns[f"robust:{c}"] = without_nan(F.col(c))
-    moments = {f"standard:{c}": without_nan(F.col(c)) for c in cfg.standard if c in df.columns}
+            quantile_columns[f"robust:{c}"] = without_nan_sql(c)
+    moments = {f"standard:{c}": without_nan_sql(c) for c in cfg.standard if c in df.columns}
     summary = summarize(df, quantile_columns, moments)
     return Fitted(
         fences={c: fence(summary[f"fence:{c}"], cfg.fence_width) for c in cfg.outlier_flags if c in df.columns},
@@ -165,11 +166,8 @@ def target(df: DataFrame, cfg: PrepConfig) -> Column:
     """The target as an int. A missing column fails now, a missing value when it is read."""
     if cfg.target not in df.columns:
         raise ValueError(f"target column {cfg.target!r} not found")
-    value = F.col(cfg.target)
-    return F.coalesce(
-        without_nan(value).cast("int"),
-        F.raise_error(F.lit(f"target column '{cfg.target}' holds a missing value")).cast("int"),
-    )
+    message = sql.text(f"target column '{cfg.target}' holds a missing value")
+    return F.expr(f"coalesce(CAST({without_nan_sql(cfg.target)} AS INT), CAST(raise_error({message}) AS INT))")
 
 
 def drop_missing_target(df: DataFrame, cfg: PrepConfig) -> DataFrame:
@@ -180,41 +178,41 @@ def drop_missing_target(df: DataFrame, cfg: PrepConfig) -> DataFrame:
 def scaled(column: str, by: Scale) -> Column:
     if by.center is None or by.scale is None:
         return F.lit(None).cast("double")
-    return (F.col(column) - F.lit(by.center)) / F.lit(by.scale)
+    return F.expr(f"({sql.name(column)} - {sql.number(by.center)}) / {sql.number(by.scale)}")
 
 
 def one_hot(column: str, levels: Sequence[str], missing: str) -> dict[str, Column]:
-    """One 0/1 column per known level; an unknown level is 0 in all of them."""
-    text = canonical_text(F.col(column), missing)
-    return {f"{column}_{level}": (text == F.lit(level)).cast("double") for level in levels}
+    """One 0/1 column per known level of a cleaned column; an unknown level is 0 in all of them."""
+    text = f"coalesce({sql.name(column)}, {sql.text(missing)})"
+    return {f"{column}_{level}": F.expr(f"CAST({text} = {sql.text(level)} AS DOUBLE)") for level in levels}
 
 
 def ordinal(column: str, levels: Sequence[str]) -> Column:
     """Place of the level in the declared order; -1 for any other value."""
-    return F.coalesce(position(F.col(column), levels, start=0), F.lit(-1.0))
+    return F.expr(f"coalesce({place_sql(sql.name(column), levels, start=0)}, -1D)")
 
 
 def cyclic_number(column: str, period: int) -> dict[str, Column]:
-    sine, cosine = cyclic(F.col(column), period)
+    sine, cosine = cyclic(sql.name(column), period)
     return {f"{column}_sin": sine, f"{column}_cos": cosine}
 
 
 def cyclic_name(column: str, names: Sequence[str]) -> dict[str, Column]:
     """The place of a name in its cycle; an unknown name is missing."""
-    sine, cosine = cyclic(position(F.lower(strip(F.col(column))), names, start=1), len(names))
+    sine, cosine = cyclic(place_sql(f"lower({strip_sql(column)})", names, start=1), len(names))
     return {f"{column}_sin": sine, f"{column}_cos": cosine}
 
 
 def passthrough(df: DataFrame, cfg: PrepConfig) -> dict[str, Column]:
     """Flags, cyclic pairs and yes/no columns, in this order, as doubles."""
-    columns: dict[str, Column] = {f: F.col(f).cast("double") for f in cfg.flags if f in df.columns}
+    columns: dict[str, Column] = {f: F.expr(f"CAST({sql.name(f)} AS DOUBLE)") for f in cfg.flags if f in df.columns}
     for c, period in cfg.cyclic_numbers.items():
         if c in df.columns:
             columns.update(cyclic_number(c, period))
     for c, names in cfg.cyclic_names.items():
         if c in df.columns:
             columns.update(cyclic_name(c, names))
-    columns.update({b: F.col(b).cast("double") for b in cfg.binary_features if b in df.columns})
+    columns.update({b: F.expr(f"CAST({sql.name(b)} AS DOUBLE)") for b in cfg.binary_features if b in df.columns})
     return columns
 
 

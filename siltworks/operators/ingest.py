@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from siltworks.config import PrepConfig
+from siltworks.functions import sql
 from siltworks.functions.scalars import null_if_token, percent, to_number
 
 
@@ -26,20 +27,20 @@ def header_map(names: Sequence[str]) -> dict[str, str]:
 def normalize_header(df: DataFrame) -> DataFrame:
     """Strip and lower-case every column name."""
     renamed = header_map(df.columns)
-    return df.toDF(*[renamed.get(name, name) for name in df.columns])
+    return df.withColumnsRenamed(renamed) if renamed else df
 
 
 def apply_null_tokens(df: DataFrame, tokens: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Turn the listed tokens into nulls in every text column (or in ``columns``)."""
     if columns is None:
         columns = [name for name, kind in df.dtypes if kind == "string"]
-    return df.withColumns({c: null_if_token(F.col(f"`{c}`"), tokens) for c in columns})
+    return df.withColumns({c: null_if_token(c, tokens) for c in columns})
 
 
 def cast_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Cast the columns that are present to double; what is not a number becomes null."""
     present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: to_number(F.col(c)) for c in present})
+    return df.withColumns({c: to_number(c) for c in present})
 
 
 def ingest(df: DataFrame, cfg: PrepConfig) -> DataFrame:
@@ -54,33 +55,27 @@ def schema_check(df: DataFrame, cfg: PrepConfig) -> DataFrame:
 
     A missing column is a finding, not a failure; one scan counts all columns.
     """
-    kinds = [("numeric", cfg.numeric), ("categorical", cfg.categorical), ("binary", cfg.binary)]
-    rows = []
-    for kind, columns in kinds:
-        for c in columns:
-            present = c in df.columns
-            rows.append(
-                F.struct(
-                    F.lit(c).alias("column_name"),
-                    F.lit(kind).alias("logical_type"),
-                    F.lit(present).alias("present"),
-                    (F.count(c) if present else F.lit(0).cast("bigint")).alias("n_values"),
-                )
-            )
-    return df.agg(F.array(*rows).alias("found")).select(F.inline("found"))
+    kinds = {"numeric": cfg.numeric, "categorical": cfg.categorical, "binary": cfg.binary}
+    rows = [
+        f"named_struct('column_name', {sql.text(c)}, 'logical_type', '{kind}', 'present', {str(c in df.columns).lower()}, "
+        f"'n_values', {f'count({sql.name(c)})' if c in df.columns else '0L'})"
+        for kind, columns in kinds.items()
+        for c in columns
+    ]
+    return df.agg(F.expr(f"array({', '.join(rows)})").alias("found")).select(F.inline("found"))
 
 
 def null_census(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Null cells per column and, as column ``*``, of the whole table. One scan."""
-    n_rows = F.count(F.lit(1))
-    nulls = {c: n_rows - F.count(c) for c in columns}
-    total = sum(nulls.values(), F.lit(0).cast("bigint"))
-    rows = [F.struct(F.lit(c).alias("column_name"), n.alias("n_null"), n_rows.alias("n_cells")) for c, n in nulls.items()]
-    rows.append(
-        F.struct(F.lit("*").alias("column_name"), total.alias("n_null"), (n_rows * len(columns)).alias("n_cells"))
-    )
+    rows = [
+        f"named_struct('column_name', {sql.text(c)}, 'n_null', count(1) - count({sql.name(c)}), 'n_cells', count(1))"
+        for c in columns
+    ]
+    counted = " + ".join(["0L", *[f"count({sql.name(c)})" for c in columns]])
+    cells = f"count(1) * {len(columns)}"
+    rows.append(f"named_struct('column_name', '*', 'n_null', {cells} - ({counted}), 'n_cells', {cells})")
     return (
-        df.agg(F.array(*rows).alias("census"))
+        df.agg(F.expr(f"array({', '.join(rows)})").alias("census"))
         .select(F.inline("census"))
         .withColumn("null_pct", percent(F.col("n_null"), F.col("n_cells"), 4))
     )

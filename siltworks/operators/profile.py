@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from siltworks.functions import sql
+
 
 def numeric_columns(df: DataFrame) -> set[str]:
     return {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
@@ -18,23 +20,16 @@ def profile_entries(df: DataFrame, columns: Sequence[str]) -> Column:
     ends is exact, while a computed variance of a constant may be a tiny number.
     """
     numeric = numeric_columns(df)
-    n_rows = F.count(F.lit(1))
     entries = []
-    for name in columns:
-        c = F.col(f"`{name}`")
-        is_numeric = name in numeric
-        constant = (F.count(c) > 1) & (F.min(c) == F.max(c)) if is_numeric else F.lit(False)
+    for column in columns:
+        c, is_numeric = sql.name(column), column in numeric
+        constant = f"coalesce(count({c}) > 1 AND min({c}) = max({c}), false)" if is_numeric else "false"
         entries.append(
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.lit(is_numeric).alias("is_numeric"),
-                F.count(c).alias("n_values"),
-                (n_rows - F.count(c)).alias("n_null"),
-                F.coalesce(constant, F.lit(False)).alias("is_constant"),
-                (F.var_samp(c) if is_numeric else F.lit(None).cast("double")).alias("variance"),
-            )
+            f"named_struct('column_name', {sql.text(column)}, 'is_numeric', {str(is_numeric).lower()}, "
+            f"'n_values', count({c}), 'n_null', count(1) - count({c}), 'is_constant', {constant}, "
+            f"'variance', {f'var_samp({c})' if is_numeric else 'CAST(NULL AS DOUBLE)'})"
         )
-    return F.array(*entries)
+    return F.expr(f"array({', '.join(entries)})")
 
 
 def column_profile(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

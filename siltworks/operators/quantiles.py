@@ -1,11 +1,12 @@
 """Exact quantiles of many columns over any number of rows.
 
-The built-in ``percentile`` keeps every distinct value of a column in one task. Here
-each pass over the table counts, per column, how many values fall into each of a fixed
-number of equal-width buckets, and the next pass looks only into the bucket that holds
-the wanted rank. A pass shuffles at most ``ranges x buckets`` rows per task, whatever the
-size of the table and however often one value repeats, and the result is the same
-linear interpolation between two order statistics that ``percentile`` gives.
+The built-in ``percentile`` keeps every distinct value of a column in one task, so it is
+used only after a count has shown that this is little. Beyond that, each pass over the
+table counts, per column, how many values fall into each of a fixed number of equal-width
+buckets, and the next pass looks only into the buckets that hold a wanted rank. A pass
+shuffles at most ``ranges x buckets`` rows per task, whatever the size of the table and
+however often one value repeats. Both ways give the same linear interpolation between two
+order statistics.
 """
 
 from __future__ import annotations
@@ -14,10 +15,15 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
+
+from siltworks.functions import sql
 
 BUCKETS = 4096
 
+# columns with at most this many values are given to one task
+ONE_TASK_VALUES = 1_000_000
+
 
 @dataclass(frozen=True)
 class NumericSummary:
@@ -42,62 +48,44 @@ class _Range:
 
 def summarize(
     df: DataFrame,
-    quantile_columns: Mapping[str, Column],
-    moment_columns: Mapping[str, Column] | None = None,
+    quantile_columns: Mapping[str, str],
+    moment_columns: Mapping[str, str] | None = None,
     probabilities: Sequence[float] = (0.25, 0.5, 0.75),
     buckets: int = BUCKETS,
+    one_task_values: int = ONE_TASK_VALUES,
 ) -> dict[str, NumericSummary]:
     """Count, mean and population deviation of some columns and exact quantiles of others.
 
-    The first pass also finds the range of every column; later passes read only the
-    columns whose ranks are still open.
+    Columns are SQL expressions of type double. The first pass also finds the size and
+    range of every column; later passes read only the columns that are still open.
     """
     moment_columns = dict(moment_columns or {})
-    values = {name: _finite(c) for name, c in quantile_columns.items()}
-    aggregates: list[Column] = []
-    for i, (name, c) in enumerate(quantile_columns.items()):
+    aggregates: list[str] = []
+    for i, c in enumerate(quantile_columns.values()):
+        finite = f"FILTER (WHERE abs({c}) < double('inf'))"
         aggregates += [
-            F.count(c).alias(f"q{i}_n"),
-            F.count_if(c == float("-inf")).alias(f"q{i}_minus"),
-            F.count(values[name]).alias(f"q{i}_finite"),
-            F.min(values[name]).alias(f"q{i}_low"),
-            F.max(values[name]).alias(f"q{i}_high"),
+            f"count({c}) AS q{i}_n",
+            f"count_if({c} = double('-inf')) AS q{i}_minus",
+            f"count({c}) {finite} AS q{i}_finite",
+            f"min({c}) {finite} AS q{i}_low",
+            f"max({c}) {finite} AS q{i}_high",
         ]
     for i, c in enumerate(moment_columns.values()):
-        aggregates += [
-            F.count(c).alias(f"m{i}_n"),
-            F.avg(c).alias(f"m{i}_mean"),
-            F.stddev_pop(c).alias(f"m{i}_std"),
-        ]
+        aggregates += [f"count({c}) AS m{i}_n", f"avg({c}) AS m{i}_mean", f"stddev_pop({c}) AS m{i}_std"]
     if not aggregates:
         return {}
-    first = df.agg(*aggregates).first()
-
-    counts: dict[str, int] = {}
-    known: dict[str, dict[int, float]] = {}
-    open_ranges: dict[str, list[_Range]] = {}
-    for i, name in enumerate(values):
-        n, minus, finite = first[f"q{i}_n"], first[f"q{i}_minus"], first[f"q{i}_finite"]
-        counts[name], known[name], open_ranges[name] = n, {}, []
-        inside = set()
-        for rank in {r for p in probabilities for r in _ranks(n, p)[:2]}:
-            if rank < minus:
-                known[name][rank] = float("-inf")
-            elif rank >= minus + finite:
-                known[name][rank] = float("inf")
-            else:
-                inside.add(rank)
-        if inside:
-            span = _Range(first[f"q{i}_low"], first[f"q{i}_high"], minus, finite, inside)
-            _settle(span, known[name], open_ranges[name])
+    first = df.selectExpr(*aggregates).first()
 
-    while any(open_ranges.values()):
-        _narrow(df, values, open_ranges, known, buckets)
-
-    summary: dict[str, NumericSummary] = {}
-    for name in values:
-        quantiles = {p: _interpolate(known[name], counts[name], p) for p in probabilities}
-        summary[name] = NumericSummary(n=counts[name], quantiles=quantiles)
+    summary = {
+        name: NumericSummary(n=first[f"q{i}_n"], quantiles=dict.fromkeys(probabilities))
+        for i, name in enumerate(quantile_columns)
+    }
+    small = {n: c for n, c in quantile_columns.items() if 0 < summary[n].n <= one_task_values}
+    large = [(i, n, c) for i, (n, c) in enumerate(quantile_columns.items()) if summary[n].n > one_task_values]
+    if small:
+        summary.update(_in_one_task(df, small, summary, probabilities))
+    if large:
+        summary.update(_by_histogram(df, large, first, probabilities, buckets))
     for i, name in enumerate(moment_columns):
         earlier = summary.get(name)
         summary[name] = NumericSummary(
@@ -111,28 +99,65 @@ def summarize(
 
 def approximate_quantiles(
     df: DataFrame,
-    columns: Mapping[str, Column],
+    columns: Mapping[str, str],
     probabilities: Sequence[float] = (0.25, 0.5, 0.75),
     accuracy: int = 10_000,
 ) -> dict[str, NumericSummary]:
     """One pass with a sketch; the rank of a result is off by at most ``n / accuracy``."""
     if not columns:
         return {}
+    wanted = f"array({sql.numbers(probabilities)})"
     exprs = []
     for i, c in enumerate(columns.values()):
-        exprs += [
-            F.count(c).alias(f"n{i}"),
-            F.percentile_approx(c, list(probabilities), accuracy).alias(f"q{i}"),
-        ]
-    row = df.agg(*exprs).first()
+        exprs += [f"count({c}) AS n{i}", f"percentile_approx({c}, {wanted}, {accuracy}) AS q{i}"]
+    row = df.selectExpr(*exprs).first()
+    none = [None] * len(probabilities)
     return {
-        name: NumericSummary(row[f"n{i}"], quantiles=dict(zip(probabilities, row[f"q{i}"] or [None] * len(probabilities))))
+        name: NumericSummary(row[f"n{i}"], quantiles=dict(zip(probabilities, row[f"q{i}"] or none)))
         for i, name in enumerate(columns)
     }
 
 
-def _finite(c: Column) -> Column:
-    return F.when(F.abs(c) < float("inf"), c)
+def _in_one_task(
+    df: DataFrame, columns: Mapping[str, str], sizes: Mapping[str, NumericSummary], probabilities: Sequence[float]
+) -> dict[str, NumericSummary]:
+    wanted = f"array({sql.numbers(probabilities)})"
+    row = df.selectExpr(*[f"percentile({c}, {wanted}) AS q{i}" for i, c in enumerate(columns.values())]).first()
+    return {
+        name: NumericSummary(n=sizes[name].n, quantiles=dict(zip(probabilities, row[f"q{i}"])))
+        for i, name in enumerate(columns)
+    }
+
+
+def _by_histogram(
+    df: DataFrame, columns: Sequence[tuple[int, str, str]], first: Row, probabilities: Sequence[float], buckets: int
+) -> dict[str, NumericSummary]:
+    known: dict[str, dict[int, float]] = {}
+    open_ranges: dict[str, list[_Range]] = {}
+    for i, name, _ in columns:
+        n, minus, finite = first[f"q{i}_n"], first[f"q{i}_minus"], first[f"q{i}_finite"]
+        known[name], open_ranges[name] = {}, []
+        inside = set()
+        for rank in {r for p in probabilities for r in _ranks(n, p)[:2]}:
+            if rank < minus:
+                known[name][rank] = float("-inf")
+            elif rank >= minus + finite:
+                known[name][rank] = float("inf")
+            else:
+                inside.add(rank)
+        if inside:
+            span = _Range(first[f"q{i}_low"], first[f"q{i}_high"], minus, finite, inside)
+            _settle(span, known[name], open_ranges[name])
+    values = {name: c for _, name, c in columns}
+    while any(open_ranges.values()):
+        _narrow(df, values, open_ranges, known, buckets)
+    return {
+        name: NumericSummary(
+            n=first[f"q{i}_n"],
+            quantiles={p: _interpolate(known[name], first[f"q{i}_n"], p) for p in probabilities},
+        )
+        for i, name, _ in columns
+    }
 
 
 def _ranks(n: int, p: float) -> tuple[int, int, float]:
@@ -170,7 +195,7 @@ def _settle(span: _Range, known: dict[int, float], still_open: list[_Range]) ->
 
 def _narrow(
     df: DataFrame,
-    values: Mapping[str, Column],
+    values: Mapping[str, str],
     open_ranges: dict[str, list[_Range]],
     known: dict[str, dict[int, float]],
     buckets: int,
@@ -184,15 +209,16 @@ def _narrow(
             slot = v  # few values: one bucket per value ends the search
         else:
             # halved so that the width of a range of huge values does not overflow
-            share = (v / 2 - F.lit(span.low / 2)) / F.lit(span.high / 2 - span.low / 2)
-            slot = F.least(F.floor(share * buckets), F.lit(buckets - 1)).cast("double")
+            low, width = sql.number(span.low / 2), sql.number(span.high / 2 - span.low / 2)
+            slot = f"CAST(least(floor(({v} / 2D - {low}) / {width} * {buckets}D), {buckets - 1}L) AS DOUBLE)"
         entries.append(
-            F.when(v.between(span.low, span.high), F.struct(F.lit(i).alias("span"), slot.alias("slot"), v.alias("v")))
+            f"CASE WHEN {v} BETWEEN {sql.number(span.low)} AND {sql.number(span.high)} "
+            f"THEN named_struct('span', {i}, 'slot', {slot}, 'v', {v}) END"
         )
     histogram = (
-        df.select(F.explode(F.array_compact(F.array(*entries))).alias("e"))
+        df.selectExpr(f"explode(array_compact(array({', '.join(entries)}))) AS e")
         .groupBy("e.span", "e.slot")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("e.v").alias("low"), F.max("e.v").alias("high"))
+        .agg(F.expr("count(1) AS n"), F.expr("min(e.v) AS low"), F.expr("max(e.v) AS high"))
     )
     # at most len(spans) x buckets rows, whatever the size of the table
     found: dict[int, list[Row]] = {}

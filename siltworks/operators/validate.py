@@ -11,30 +11,29 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from siltworks.config import PrepConfig, Thresholds
-from siltworks.functions.scalars import percent
+from siltworks.functions import sql
 from siltworks.operators.features import feature_names
-from siltworks.operators.profile import column_profile, total_nulls
+from siltworks.operators.profile import column_profile
 
 ERROR, WARNING, OK, INFO = "ERROR", "WARNING", "OK", "INFO"
 
 
 def _check(
-    scope: str, name: str, column: Column | str | None, value: Column, ok: Column, severity: str, detail: Column | None = None
-) -> Column:
-    column = F.lit(column) if column is None or isinstance(column, str) else column
-    return F.struct(
-        F.lit(scope).alias("scope"),
-        F.lit(name).alias("check_name"),
-        column.cast("string").alias("column_name"),
-        value.cast("double").alias("value"),
-        (F.lit("") if detail is None else detail).alias("detail"),
-        F.lit(severity).alias("severity"),
-        F.coalesce(ok, F.lit(False)).alias("ok"),
+    scope: str, name: str, value: str, ok: str, severity: str, column: str = "CAST(NULL AS STRING)", detail: str = "''"
+) -> str:
+    """One check as a struct; ``value``, ``ok``, ``column`` and ``detail`` are SQL."""
+    return (
+        f"named_struct('scope', '{scope}', 'check_name', '{name}', 'column_name', {column}, "
+        f"'value', CAST({value} AS DOUBLE), 'detail', {detail}, 'severity', '{severity}', 'ok', coalesce({ok}, false))"
     )
 
 
+def _share(part: str, whole: str) -> str:
+    return f"try_divide(CAST({part} AS DOUBLE), CAST({whole} AS DOUBLE)) * 100"
+
+
 def _counted(df: DataFrame, scope: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("scope", F.lit(scope))
+    return df.groupBy().agg(F.count(F.lit(1)).alias("n_rows"), F.lit(scope).alias("scope"))
 
 
 def structural_checks(raw: DataFrame, clean: DataFrame, features: DataFrame, cfg: PrepConfig) -> DataFrame:
@@ -49,83 +48,81 @@ def structural_checks(raw: DataFrame, clean: DataFrame, features: DataFrame, cfg
         .unionByName(_counted(clean, "clean"))
         .unionByName(profiled, allowMissingColumns=True)
         .agg(
-            *[F.max(F.when(F.col("scope") == s, F.col("n_rows"))).alias(s) for s in ("raw", "clean", "features")],
-            F.any_value("profile", ignoreNulls=True).alias("profile"),
+            *[F.expr(f"max(CASE WHEN scope = '{s}' THEN n_rows END) AS {s}") for s in ("raw", "clean", "features")],
+            F.expr("any_value(profile, true) AS profile"),
+        )
+        .selectExpr(
+            "*",
+            "aggregate(profile, 0L, (total, c) -> total + c.n_null) AS nulls",
+            f"features * {len(names)} AS cells",
+            "raw = clean AND clean = features AS equal_rows",
         )
     )
-    profile = F.col("profile")
-    cells = F.col("features") * len(names)
-    nulls = total_nulls(profile)
-    null_pct = percent(nulls, cells, 4)
-    equal_rows = (F.col("raw") == F.col("clean")) & (F.col("clean") == F.col("features"))
-    counts = F.concat_ws(
-        " ", *[F.concat(F.lit(f"{s}="), F.col(s).cast("string")) for s in ("raw", "clean", "features")]
-    )
-    whole_table = F.array(
-        _check("structural", "row_counts", None, F.col("features"), equal_rows, ERROR, counts),
-        _check("structural", "null_cells", None, nulls, nulls == 0, ERROR),
-        _check("structural", "null_pct", None, null_pct, nulls == 0, ERROR),
-        *[
-            _check("structural", "flag_present", flag, F.lit(1.0 if flag in clean.columns else 0.0), F.lit(flag in clean.columns), INFO)
-            for flag in cfg.flags
-        ],
-    )
-    each_column = F.flatten(
-        F.transform(
-            profile,
-            lambda c: F.array(
-                _check("structural", "zero_variance", c["column_name"], F.round(c["variance"], 6), ~c["is_constant"], INFO),
-                _check("structural", "numeric_type", c["column_name"], c["n_values"], c["is_numeric"], ERROR),
-                _check("structural", "empty_column", c["column_name"], c["n_values"], c["n_values"] > 0, ERROR),
-            ),
+    whole_table = [
+        _check(
+            "structural", "row_counts", "features", "equal_rows", ERROR,
+            detail="concat('raw=', raw, ' clean=', clean, ' features=', features)",
+        ),
+        _check("structural", "null_cells", "nulls", "nulls = 0", ERROR),
+        _check("structural", "null_pct", f"round({_share('nulls', 'cells')}, 4)", "nulls = 0", ERROR),
+    ]
+    for flag in cfg.flags:
+        there = flag in clean.columns
+        whole_table.append(
+            _check("structural", "flag_present", str(int(there)), str(there).lower(), INFO, column=sql.text(flag))
         )
+    each_column = ", ".join(
+        [
+            _check("structural", "zero_variance", "round(c.variance, 6)", "NOT c.is_constant", INFO, "c.column_name"),
+            _check("structural", "numeric_type", "c.n_values", "c.is_numeric", ERROR, "c.column_name"),
+            _check("structural", "empty_column", "c.n_values", "c.n_values > 0", ERROR, "c.column_name"),
+        ]
+    )
+    return sides.selectExpr(
+        f"inline(concat(array({', '.join(whole_table)}), flatten(transform(profile, c -> array({each_column})))))"
     )
-    return sides.select(F.inline(F.concat(whole_table, each_column)))
 
 
 def flag_checks(clean: DataFrame, cfg: PrepConfig) -> DataFrame:
     """Which declared flags the cleaned table has, and how many rows each one marks."""
-    rows = [
-        F.struct(
-            F.lit(flag).alias("column_name"),
-            F.lit(flag in clean.columns).alias("ok"),
-            (F.sum(flag) if flag in clean.columns else F.lit(None).cast("bigint")).alias("n_marked"),
-        )
-        for flag in cfg.flags
-    ]
-    return clean.agg(F.array(*rows).alias("flags")).select(F.inline("flags"))
+    rows = []
+    for flag in cfg.flags:
+        there = flag in clean.columns
+        n_marked = f"sum({sql.name(flag)})" if there else "CAST(NULL AS BIGINT)"
+        rows.append(f"named_struct('column_name', {sql.text(flag)}, 'ok', {str(there).lower()}, 'n_marked', {n_marked})")
+    return clean.agg(F.expr(f"array({', '.join(rows)})").alias("flags")).select(F.inline("flags"))
 
 
 def semantic_checks(clean: DataFrame, features: DataFrame, cfg: PrepConfig, limits: Thresholds) -> DataFrame:
     """Sentinel flags, cyclic identity, double debt and the minority class."""
-    clean_facts: list[Column] = []
-    n_rows = F.count(F.lit(1))
+    clean_facts: list[str] = []
     for c, (flag, sentinel) in cfg.sentinel_flags.items():
         if c in clean.columns and flag in clean.columns:
-            n_sentinel = F.count_if(F.col(c) == F.lit(sentinel))
-            n_flag = F.coalesce(F.sum(flag), F.lit(0))
-            detail = F.concat_ws(" ", F.concat(F.lit("values="), n_sentinel.cast("string")), F.concat(F.lit("flags="), n_flag.cast("string")))
-            clean_facts.append(_check("semantic", "sentinel_flag", c, n_flag, n_sentinel == n_flag, ERROR, detail))
+            n_values = f"count_if({sql.name(c)} = {sql.number(sentinel)})"
+            n_flags = f"coalesce(sum({sql.name(flag)}), 0L)"
+            detail = f"concat('values=', {n_values}, ' flags=', {n_flags})"
+            clean_facts.append(
+                _check("semantic", "sentinel_flag", n_flags, f"{n_values} = {n_flags}", ERROR, sql.text(c), detail)
+            )
     if {"housing", "loan"} <= set(clean.columns):
-        both = F.count_if((F.col("housing") == 1) & (F.col("loan") == 1))
-        clean_facts.append(_check("semantic", "double_debt_pct", None, percent(both, n_rows, 2), F.lit(True), INFO))
+        both = _share("count_if(housing = 1 AND loan = 1)", "count(1)")
+        clean_facts.append(_check("semantic", "double_debt_pct", f"round({both}, 2)", "true", INFO))
     if cfg.target in clean.columns:
-        y = F.col(cfg.target)
-        zeros, ones = F.count_if(y == 0), F.count_if(y == 1)
+        zeros, ones = (f"count_if({sql.name(cfg.target)} = {y})" for y in (0, 1))
         # only classes that occur count as the minority
-        smallest = F.least(F.when(zeros > 0, zeros), F.when(ones > 0, ones))
-        share = F.try_divide(smallest.cast("double"), (zeros + ones).cast("double")) * 100
+        share = _share(f"least(nullif({zeros}, 0L), nullif({ones}, 0L))", f"({zeros} + {ones})")
+        ok = f"{share} >= {sql.number(limits.min_minority_pct)}"
         clean_facts.append(
-            _check("semantic", "minority_class_pct", cfg.target, F.round(share, 2), share >= limits.min_minority_pct, WARNING)
+            _check("semantic", "minority_class_pct", f"round({share}, 2)", ok, WARNING, sql.text(cfg.target))
         )
-    feature_facts: list[Column] = []
+    feature_facts: list[str] = []
     for c in cfg.cyclic:
         if {f"{c}_sin", f"{c}_cos"} <= set(features.columns):
-            sine, cosine = F.col(f"{c}_sin"), F.col(f"{c}_cos")
-            broken = F.count_if(sine * sine + cosine * cosine < limits.min_cyclic_identity)
-            feature_facts.append(_check("semantic", "cyclic_identity", c, broken, broken == 0, WARNING))
+            sine, cosine = sql.name(f"{c}_sin"), sql.name(f"{c}_cos")
+            broken = f"count_if({sine} * {sine} + {cosine} * {cosine} < {sql.number(limits.min_cyclic_identity)})"
+            feature_facts.append(_check("semantic", "cyclic_identity", broken, f"{broken} = 0", WARNING, sql.text(c)))
     tables = [
-        df.agg(F.array(*facts).alias("checks")).select(F.inline("checks"))
+        df.agg(F.expr(f"array({', '.join(facts)})").alias("checks")).select(F.inline("checks"))
         for df, facts in ((clean, clean_facts), (features, feature_facts))
         if facts
     ]

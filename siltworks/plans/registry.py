@@ -206,7 +206,7 @@ def flag_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def iqr_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fences = cl.fit_fences(typed(spark, sf_dir), CFG)
+    fences = cl.fit_fences(typed(spark, sf_dir), CFG, one_task_values=0)  # by histogram passes only
     schema = "column_name string, n bigint, q1 double, median double, q3 double, lower double, upper double"
     return rounded(spark.createDataFrame(cl.fence_rows(fences), schema))
 

@@ -21,6 +21,8 @@ def build_session(app_name: str = "siltworks", master: str | None = None, **conf
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
+        # call sites of column expressions are for notebooks; they slow the building of wide plans
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -16,7 +16,8 @@ def with_previous_order(orders: DataFrame) -> DataFrame:
     task. The window here covers one customer and month, and what precedes a month is
     carried over from a table with one row per customer and month.
     """
-    dated = orders.withColumn("month_start", F.trunc("o_orderdate", "month"))
+    no_month = F.lit("0001-01-01").cast("date")  # keeps orders without a date in the joins
+    dated = orders.withColumn("month_start", F.coalesce(F.trunc("o_orderdate", "month"), no_month))
     place = F.struct("o_orderdate", "o_orderkey", "o_orderstatus")
     months = dated.groupBy("o_custkey", "month_start").agg(
         F.max(place).alias("last_order"), F.count(F.lit(1)).alias("n_orders")
