@@ -141,6 +141,12 @@ class Thresholds:
     light_points: Mapping[str, int] = _frozen(verde=100, amarillo=60, rojo=0)
     weights: Mapping[str, float] = _frozen(availability=0.30, performance=0.20, quality=0.40, cost=0.10)
 
+    @property
+    def score_without_data(self) -> int:
+        """Quality score of tables that do not exist: red for nulls, classes and columns."""
+        lost = self.null_penalty[0] + self.balance_penalty[0] + self.columns_penalty[0]
+        return max(0, 100 - lost)
+
 
 @dataclass(frozen=True)
 class CostModel:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Row, functions as F
 
 from siltworks.config import PHASES, RED, REPORT_VERSION, CostModel, Thresholds
 from siltworks.functions.lights import light_points, score_light
@@ -48,7 +50,7 @@ def pipeline_figures(
 ) -> DataFrame:
     """One row per pipeline: its registry, its latest run and the quality of its data.
 
-    A pipeline without quality figures scores 0 there.
+    A pipeline without quality figures scores as one whose tables are empty.
     """
     available = available if isinstance(available, Column) else F.lit(available)
     readable = readable if isinstance(readable, Column) else F.lit(readable)
@@ -68,8 +70,8 @@ def pipeline_figures(
     )
     return (
         known.join(measured, "pipeline_id", "left")
-        .withColumn("quality_score", F.coalesce("quality_score", F.lit(0)))
-        .withColumn("quality_light", F.coalesce("quality_light", F.lit(RED)))
+        .withColumn("quality_score", F.coalesce("quality_score", F.lit(limits.score_without_data)))
+        .withColumn("quality_light", F.coalesce("quality_light", score_light(F.col("quality_score"), limits)))
         .withColumn(
             "availability_light",
             availability_light(
@@ -146,7 +148,21 @@ def alerts(figures: DataFrame, checks: DataFrame) -> DataFrame:
     return pipeline_alerts(figures).unionByName(check_alerts(checks))
 
 
-def summary(scored: DataFrame, n_features: int) -> DataFrame:
+def _all_alerts(found: Sequence[Row]) -> Column:
+    """The alerts of the pipeline and those that the checks of its tables have raised."""
+    raised = _raised_alerts()
+    if not found:
+        return raised
+    checked = [
+        F.struct(
+            F.lit(r["alert"]).alias("alert"), F.lit(r["level"]).alias("level"), F.lit(r["value"]).cast("double").alias("value")
+        )
+        for r in found
+    ]
+    return F.concat(raised, F.array(*checked))
+
+
+def summary(scored: DataFrame, n_features: int, found: Sequence[Row] = ()) -> DataFrame:
     """One line per pipeline: score, light, parts, alerts, outcome and size of the latest run."""
     return scored.select(
         "pipeline_id",
@@ -156,15 +172,20 @@ def summary(scored: DataFrame, n_features: int) -> DataFrame:
         "performance_score",
         "quality_score",
         "cost_score",
-        F.size(_raised_alerts()).alias("n_alerts"),
+        F.size(_all_alerts(found)).alias("n_alerts"),
         F.col("last.status").alias("status"),
         F.col("last.rows_processed").alias("rows_processed"),
         F.lit(n_features).alias("n_features"),
     )
 
 
-def report(scored: DataFrame, n_features: int, source: str, version: str = REPORT_VERSION) -> DataFrame:
-    """The consolidated report: one nested record per pipeline."""
+def report(
+    scored: DataFrame, n_features: int, source: str, found: Sequence[Row] = (), version: str = REPORT_VERSION
+) -> DataFrame:
+    """The consolidated report: one nested record per pipeline.
+
+    ``found`` are alerts of ``check_alerts``, of which there are at most a few per column.
+    """
     last = F.col("last")
 
     def part(**columns: Column | str) -> Column:
@@ -215,8 +236,8 @@ def report(scored: DataFrame, n_features: int, source: str, version: str = REPOR
         part(
             health_score="health_score",
             light="health_light",
-            alerts=_raised_alerts(),
-            n_alerts=F.size(_raised_alerts()),
+            alerts=_all_alerts(found),
+            n_alerts=F.size(_all_alerts(found)),
             rows_processed=last["rows_processed"],
             n_features=F.lit(n_features),
         ).alias("summary"),

@@ -19,6 +19,21 @@ from siltworks.operators.features import feature_names
 from siltworks.operators.profile import invalid_columns, numeric_columns, profile_entries, total_nulls
 
 
+# what the figures read; null where a table is absent
+FACTS = {
+    "raw_cells": "bigint",
+    "raw_nulls": "bigint",
+    "clean_rows": "bigint",
+    "clean_cells": "bigint",
+    "clean_nulls": "bigint",
+    "feature_rows": "bigint",
+    "profile": "array<struct<column_name: string, is_numeric: boolean, n_values: bigint, n_null: bigint, "
+    "is_constant: boolean, spread: double>>",
+    "n_class_0": "bigint",
+    "n_class_1": "bigint",
+}
+
+
 def _data_columns(df: DataFrame, cfg: PrepConfig, by: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c not in cfg.key and c not in by]
 
@@ -198,9 +213,9 @@ def valid_columns(features: DataFrame, cfg: PrepConfig, limits: Thresholds, by:
 
 
 def quality(
-    raw: DataFrame,
-    clean: DataFrame,
-    features: DataFrame,
+    raw: DataFrame | None,
+    clean: DataFrame | None,
+    features: DataFrame | None,
     cfg: PrepConfig,
     limits: Thresholds,
     by: Sequence[str] = (),
@@ -209,14 +224,24 @@ def quality(
     """All quality figures, their penalties, the score and its light; one row per group.
 
     ``features`` carries the target of each row, so both are aligned unless a separate
-    table of ``targets`` is given to compare with.
+    table of ``targets`` is given to compare with. A table that a failed run did not get
+    to write is ``None`` and scored like an empty one.
     """
-    names = [c for c in feature_names(features, cfg) if c not in by]
-    flags = {c: f for c, f in cfg.outlier_flags.items() if f in clean.columns}
-    tables = [raw_facts(raw, cfg, by), clean_facts(clean, cfg, by), feature_facts(features, cfg, by)]
-    if targets is not None:
+    names = [c for c in feature_names(features, cfg) if c not in by] if features is not None else []
+    flags = {c: f for c, f in cfg.outlier_flags.items() if clean is not None and f in clean.columns}
+    tables = [
+        facts(df, cfg, by)
+        for facts, df in ((raw_facts, raw), (clean_facts, clean), (feature_facts, features))
+        if df is not None
+    ]
+    if not tables:
+        raise ValueError("a quality score needs at least one table")
+    if targets is not None and features is not None:
         tables.append(alignment_facts(features, targets, cfg, by))
-    facts = combine(tables, by).withColumns(
+    facts = combine(tables, by)
+    absent = {c: kind for c, kind in FACTS.items() if c not in facts.columns}
+    facts = facts.withColumns({c: F.lit(None).cast(kind) for c, kind in absent.items()})
+    facts = facts.withColumns(
         {**null_figures(len(names), limits), **class_figures(limits), **column_figures(len(names), limits)}
     )
     outlier_points = sum(
@@ -226,8 +251,9 @@ def quality(
         ),
         F.lit(0),
     )
-    all_numeric = set(names) <= numeric_columns(features)
-    aligned = F.lit(True) if targets is None else F.coalesce(F.col("n_unaligned") == 0, F.lit(False))
+    all_numeric = features is None or set(names) <= numeric_columns(features)
+    compared = targets is not None and features is not None
+    aligned = F.coalesce(F.col("n_unaligned") == 0, F.lit(False)) if compared else F.lit(True)
     lost = (
         penalty(F.col("null_light"), limits.null_penalty)
         + outlier_points

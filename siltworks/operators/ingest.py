@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Sequence
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from siltworks.config import PrepConfig
 from siltworks.functions import sql
-from siltworks.functions.scalars import null_if_token, percent, to_number
+from siltworks.functions.scalars import NUMBER_PATTERN, null_if_token, percent, to_number
 
 
 def header_map(names: Sequence[str]) -> dict[str, str]:
@@ -44,9 +45,15 @@ def cast_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def ingest(df: DataFrame, cfg: PrepConfig) -> DataFrame:
-    """Header, null tokens and numeric casts in one projection over the source."""
+    """Header, null tokens and numeric casts in one projection over the source.
+
+    A token that is no number is null after the cast anyway, so numeric columns are
+    compared with the tokens only if one of these is a number.
+    """
     named = normalize_header(df)
-    text = [c for c in named.columns if c not in cfg.key]
+    tokens_are_text = not any(re.match(NUMBER_PATTERN, token) for token in cfg.null_tokens)
+    skipped = {*cfg.key, *(cfg.numeric if tokens_are_text else ())}
+    text = [name for name, kind in named.dtypes if kind == "string" and name not in skipped]
     return cast_numeric(apply_null_tokens(named, cfg.null_tokens, text), cfg.numeric)
 
 

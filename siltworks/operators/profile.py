@@ -14,10 +14,11 @@ def numeric_columns(df: DataFrame) -> set[str]:
 
 
 def profile_entries(df: DataFrame, columns: Sequence[str]) -> Column:
-    """Aggregate: array of one struct per column with its counts, variance and constancy.
+    """Aggregate: array of one struct per column with its counts, spread and constancy.
 
-    A numeric column is constant if two or more values are all the same. Comparing the
-    ends is exact, while a computed variance of a constant may be a tiny number.
+    A numeric column is constant, that is without variance, if two or more values are all
+    the same. Comparing the ends is exact and cheap, while a computed variance of a
+    constant may come out as a tiny number.
     """
     numeric = numeric_columns(df)
     entries = []
@@ -27,7 +28,7 @@ def profile_entries(df: DataFrame, columns: Sequence[str]) -> Column:
         entries.append(
             f"named_struct('column_name', {sql.text(column)}, 'is_numeric', {str(is_numeric).lower()}, "
             f"'n_values', count({c}), 'n_null', count(1) - count({c}), 'is_constant', {constant}, "
-            f"'variance', {f'var_samp({c})' if is_numeric else 'CAST(NULL AS DOUBLE)'})"
+            f"'spread', {f'CAST(max({c}) - min({c}) AS DOUBLE)' if is_numeric else 'CAST(NULL AS DOUBLE)'})"
         )
     return F.expr(f"array({', '.join(entries)})")
 

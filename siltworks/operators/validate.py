@@ -73,7 +73,7 @@ def structural_checks(raw: DataFrame, clean: DataFrame, features: DataFrame, cfg
         )
     each_column = ", ".join(
         [
-            _check("structural", "zero_variance", "round(c.variance, 6)", "NOT c.is_constant", INFO, "c.column_name"),
+            _check("structural", "zero_variance", "round(c.spread, 6)", "NOT c.is_constant", INFO, "c.column_name"),
             _check("structural", "numeric_type", "c.n_values", "c.is_numeric", ERROR, "c.column_name"),
             _check("structural", "empty_column", "c.n_values", "c.n_values > 0", ERROR, "c.column_name"),
         ]

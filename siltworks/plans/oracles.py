@@ -331,7 +331,7 @@ oracle("check_null_cells", TO_FEATURES, " UNION ALL ".join(NULL_CELLS))
 
 def variance(column: str, table: str) -> str:
     return check(
-        "structural", "zero_variance", f"ROUND(VAR_SAMP({q(column)}), 6)", "INFO",
+        "structural", "zero_variance", f"ROUND(MAX({q(column)}) - MIN({q(column)}), 6)", "INFO",
         f"NOT (COUNT({q(column)}) > 1 AND MIN({q(column)}) = MAX({q(column)}))", table, column,
     )
 

@@ -21,6 +21,9 @@ def build_session(app_name: str = "siltworks", master: str | None = None, **conf
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
+        # longer generated methods are never compiled to machine code by the JVM; wide
+        # projections run several times faster when Spark splits them up instead
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         # call sites of column expressions are for notebooks; they slow the building of wide plans
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.adaptive.enabled": "true",

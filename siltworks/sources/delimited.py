@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from siltworks.operators.ingest import header_map
@@ -67,6 +67,15 @@ def read_delimited_tolerant(
     return good, quarantine
 
 
+def can_read(spark: SparkSession, path: str, sep: str | None = None) -> bool:
+    """Can the first few rows be read without an error? Looks at no more than these."""
+    try:
+        rows, _, is_long = _parsed(spark, path, sep)
+        return not any(row["is_long"] for row in rows.limit(5).select(is_long.alias("is_long")).collect())
+    except (PySparkException, ValueError):
+        return False
+
+
 def readable_files(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
     """Per file: rows, rows with too many fields and whether it can be read.
 
