@@ -6,6 +6,7 @@ one scan.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -95,11 +96,17 @@ def fence_columns(df: DataFrame, cfg: PrepConfig) -> dict[str, str]:
 
 
 def fence(summary: NumericSummary, width: float) -> Fence:
+    """The limits; an end that infinite quartiles leave undefined is no limit."""
     q1, median, q3 = (summary.quantiles[p] for p in (0.25, 0.5, 0.75))
-    if q1 is None or q3 is None:
-        return Fence(summary.n, q1, median, q3, None, None)
-    spread = q3 - q1
-    return Fence(summary.n, q1, median, q3, q1 - width * spread, q3 + width * spread)
+    lower = upper = None
+    if q1 is not None and q3 is not None:
+        reach = width * (q3 - q1)
+        lower, upper = _defined(q1 - reach), _defined(q3 + reach)
+    return Fence(summary.n, q1, median, q3, lower, upper)
+
+
+def _defined(value: float) -> float | None:
+    return None if math.isnan(value) else value
 
 
 def fit_fences(
@@ -118,10 +125,14 @@ def fit_fences(
 
 def outlier_flag(column: str, limits: Fence, excluded: Sequence[float] = ()) -> Column:
     """1 beyond the limits; 0 for missing and excluded values, or if nothing could be fitted."""
-    if limits.lower is None or limits.upper is None:
+    c, sides = sql.name(column), []
+    if limits.lower is not None:
+        sides.append(f"{c} < {sql.number(limits.lower)}")
+    if limits.upper is not None:
+        sides.append(f"{c} > {sql.number(limits.upper)}")
+    if not sides:
         return F.lit(0)
-    c = sql.name(column)
-    beyond = f"({c} < {sql.number(limits.lower)} OR {c} > {sql.number(limits.upper)})"
+    beyond = f"({' OR '.join(sides)})"
     if excluded:
         beyond += f" AND {c} NOT IN ({sql.numbers(excluded)})"
     return F.expr(f"coalesce(CAST({beyond} AS INT), 0)")

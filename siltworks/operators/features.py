@@ -7,6 +7,7 @@ projection without a join, on a table or on a stream.
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
@@ -47,20 +48,22 @@ class Fitted:
 # ---- fit -------------------------------------------------------------------
 
 
-def _usable(scale: float | None) -> float | None:
-    """A column without spread is centred only."""
-    if scale is None:
-        return None
-    return scale if scale >= 10 * sys.float_info.epsilon else 1.0
+def _scale(center: float | None, scale: float | None) -> Scale:
+    """A column without spread is centred only; one with infinite values cannot be scaled."""
+    if center is None or scale is None:
+        return Scale(None, None)
+    if not (math.isfinite(center) and math.isfinite(scale)):
+        raise ValueError("a column with infinite values cannot be scaled")
+    return Scale(center, scale if scale >= 10 * sys.float_info.epsilon else 1.0)
 
 
 def robust_scale(summary: NumericSummary) -> Scale:
     q1, median, q3 = (summary.quantiles[p] for p in (0.25, 0.5, 0.75))
-    return Scale(median, None if q1 is None or q3 is None else _usable(q3 - q1))
+    return _scale(median, None if q1 is None or q3 is None else q3 - q1)
 
 
 def standard_scale(summary: NumericSummary) -> Scale:
-    return Scale(summary.mean, _usable(summary.stddev_pop))
+    return _scale(summary.mean, summary.stddev_pop)
 
 
 def fit_levels(

@@ -7,6 +7,7 @@ import re
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from siltworks.functions import sql
 from siltworks.operators.ingest import header_map
 
 # The delimiters that are tried, in the order that decides ties.
@@ -42,7 +43,7 @@ def _parsed(spark: SparkSession, path: str, sep: str | None) -> tuple[DataFrame,
     # Spark refuses a scan of nothing but malformed records.
     wider = ", ".join(f"c{i} string" for i in range(len(names) + 1))
     extra = F.from_csv(RECORD, wider, form)[f"c{len(names)}"]
-    first = F.coalesce(F.col(f"`{names[0]}`"), F.lit(""))
+    first = F.coalesce(F.col(sql.name(names[0])), F.lit(""))
     is_long = F.col(RECORD).isNotNull() & extra.isNotNull() & (F.length(RECORD) > F.length(first))
     return rows, names, is_long
 
@@ -51,7 +52,7 @@ def read_delimited(spark: SparkSession, path: str, sep: str | None = None) -> Da
     """Every column as text. Short rows are padded with nulls; a long row fails the job."""
     rows, names, is_long = _parsed(spark, path, sep)
     failure = F.raise_error(F.concat(F.lit("row with too many fields: "), F.col(RECORD))).cast("boolean")
-    return rows.filter(F.when(is_long, failure).otherwise(F.lit(True))).select(*[F.col(f"`{n}`") for n in names])
+    return rows.filter(F.when(is_long, failure).otherwise(F.lit(True))).select(*[F.col(sql.name(n)) for n in names])
 
 
 def read_delimited_tolerant(
@@ -59,7 +60,7 @@ def read_delimited_tolerant(
 ) -> tuple[DataFrame, DataFrame]:
     """(good rows, quarantine): long rows are set apart with their text and file."""
     rows, names, is_long = _parsed(spark, path, sep)
-    columns = [F.col(f"`{n}`") for n in names]
+    columns = [F.col(sql.name(n)) for n in names]
     good = rows.filter(~is_long).select(*columns)
     quarantine = rows.filter(is_long).select(
         *columns, F.col(RECORD).alias("record"), F.col("_metadata.file_path").alias("file_path")
