@@ -22,7 +22,14 @@ NUMBER_PATTERN = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infi
 
 
 def strip_sql(column: str) -> str:
-    return f"btrim({sql.name(column)}, {sql.text(WHITESPACE)})"
+    """Without white space at both ends.
+
+    Looking for each of many characters is slow, so it is left to texts that do not
+    start and end with a plain character once their spaces are gone.
+    """
+    bare = f"trim({sql.name(column)})"
+    plain = f"left({bare}, 1) BETWEEN '!' AND '~' AND right({bare}, 1) BETWEEN '!' AND '~'"
+    return f"CASE WHEN {plain} THEN {bare} ELSE btrim({sql.name(column)}, {sql.text(WHITESPACE)}) END"
 
 
 def null_if_token(column: str, tokens: Sequence[str]) -> Column:
@@ -32,9 +39,16 @@ def null_if_token(column: str, tokens: Sequence[str]) -> Column:
 
 
 def to_number(column: str) -> Column:
-    """The text as a double, null where it is not a number. Never NaN."""
+    """The text as a double, null where it is not a number. Never NaN.
+
+    A text that ends with a digit and is not hexadecimal is read by Java as it should
+    be; only the others are compared with the pattern.
+    """
     c = sql.name(column)
-    return F.expr(f"CASE WHEN {c} RLIKE {sql.text(NUMBER_PATTERN)} THEN try_cast({c} AS DOUBLE) END")
+    plain = f"right({c}, 1) BETWEEN '0' AND '9' AND NOT contains({c}, 'x') AND NOT contains({c}, 'X')"
+    return F.expr(
+        f"CASE WHEN {plain} OR {c} RLIKE {sql.text(NUMBER_PATTERN)} THEN try_cast({c} AS DOUBLE) END"
+    )
 
 
 def without_nan_sql(column: str) -> str:

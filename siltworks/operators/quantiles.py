@@ -204,21 +204,21 @@ def _narrow(
     spans = [(name, span) for name in values for span in open_ranges[name]]
     entries = []
     for i, (name, span) in enumerate(spans):
-        v = values[name]
-        if span.n <= buckets:
-            slot = v  # few values: one bucket per value ends the search
-        else:
+        v, width = values[name], None
+        if span.n > buckets:  # else few values: one bucket per value ends the search
             # halved so that the width of a range of huge values does not overflow
-            low, width = sql.number(span.low / 2), sql.number(span.high / 2 - span.low / 2)
-            slot = f"CAST(least(floor(({v} / 2D - {low}) / {width} * {buckets}D), {buckets - 1}L) AS DOUBLE)"
+            width = span.high / 2 - span.low / 2
         entries.append(
-            f"CASE WHEN {v} BETWEEN {sql.number(span.low)} AND {sql.number(span.high)} "
-            f"THEN named_struct('span', {i}, 'slot', {slot}, 'v', {v}) END"
+            f"named_struct('span', {i}, 'low', {sql.number(span.low / 2)}, 'width', {sql.number(width)}, "
+            f"'v', CASE WHEN {v} BETWEEN {sql.number(span.low)} AND {sql.number(span.high)} THEN {v} END)"
         )
+    bucket = f"CAST(least(floor((v / 2D - low) / width * {buckets}D), {buckets - 1}L) AS DOUBLE)"
     histogram = (
-        df.selectExpr(f"explode(array_compact(array({', '.join(entries)}))) AS e")
-        .groupBy("e.span", "e.slot")
-        .agg(F.expr("count(1) AS n"), F.expr("min(e.v) AS low"), F.expr("max(e.v) AS high"))
+        df.selectExpr(f"inline(array({', '.join(entries)}))")
+        .filter("v IS NOT NULL")
+        .selectExpr("span", f"CASE WHEN width IS NULL THEN v ELSE {bucket} END AS slot", "v")
+        .groupBy("span", "slot")
+        .agg(F.expr("count(1) AS n"), F.expr("min(v) AS low"), F.expr("max(v) AS high"))
     )
     # at most len(spans) x buckets rows, whatever the size of the table
     found: dict[int, list[Row]] = {}

@@ -8,6 +8,17 @@ def test_categories(spark, cfg):
     assert [r["job"] for r in cl.normalize_categories(df, ["job", "absent"], "nan").collect()] == ["blue-collar", "nan", "x", ""]
 
 
+@pytest.mark.parametrize("text", ["a", "a b", "é", "\u3000", "", "\x1f", "~!", "日本"])
+@pytest.mark.parametrize("space", ["", " ", "\t", "\n ", " \x1f", "\u00a0", " \u3000\u2003", "\x85"])
+def test_stripping_equals_python(spark, text, space):
+    from pyspark.sql import functions as F
+
+    from siltworks.functions.scalars import strip_sql
+
+    df = spark.createDataFrame([(space + text + space,)], "v string")
+    assert df.select(F.expr(strip_sql("v"))).first()[0] == (space + text + space).strip()
+
+
 def test_yes_no_variants(spark, cfg):
     yes = ["yes", " YES", "Y", "1", "True\n"]
     no = ["no", "N ", "0", "FALSE"]
