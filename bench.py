@@ -54,7 +54,12 @@ def main() -> None:
     spark = build_session(
         "bench",
         f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": str(cpus), "spark.driver.memory": "8g"},
+        **{
+            "spark.sql.shuffle.partitions": str(cpus),
+            "spark.driver.memory": "8g",
+            # small tables still use all cores
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
 
@@ -66,8 +71,11 @@ def main() -> None:
     def execute(name: str) -> None:
         registry.QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
 
+    spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("count(*)").collect()  # starts the engine
     # deriving the contact table and landing it, which the other queries then scan
     seconds = {"land_contacts": timed(lambda: registry.contacts(spark, sf_dir))}
+    # typed, cleaned and encoded tables, which validation and KPIs scan
+    seconds["land_prepared"] = timed(lambda: registry.tables(spark, sf_dir))
     for name in sys.argv[1:] or HEADLINE:
         seconds[name] = min(timed(lambda: execute(name)) for _ in range(2))
     total = round(sum(seconds.values()), 3)

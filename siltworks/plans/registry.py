@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,7 +14,7 @@ from siltworks.kpi import availability as avail, cost, health, performance as pe
 from siltworks.operators import clean as cl, features as fe, ingest as ing, publish as pub, validate as val
 from siltworks.operators.profile import column_profile
 from siltworks.plans.prepare import Prepared, prepare
-from siltworks.session import new_table_path, stage
+from siltworks.session import new_table_path
 from siltworks.sources import delimited, files, runs, sinks
 from siltworks.sources.contacts import contacts_raw
 
@@ -33,26 +34,44 @@ def query(run: Query) -> Query:
 
 # ---- inputs ------------------------------------------------------------------
 
-_landed: dict[tuple[str, str], str] = {}
+_landed: dict[tuple[str, str, str], str] = {}
 
 
-def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The contact table as text, landed once per session as Parquet.
-
-    The fits read it several times; a landed table makes that a scan of a few columns.
-    """
-    where = (spark.sparkContext.applicationId, sf_dir)
+def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table written once per session to the shared folder and read from there."""
+    where = (spark.sparkContext.applicationId, sf_dir, name)
     if where in _landed:
         try:
             return spark.read.parquet(_landed[where])
         except AnalysisException:  # somebody has tidied the folder up
             pass
-    path = new_table_path(spark, "contacts")
-    contacts_raw(spark, sf_dir).write.parquet(path)
+    path = new_table_path(spark, name)
+    build().write.parquet(path)
     _landed[where] = path
     return spark.read.parquet(path)
 
 
+def contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contact table as text. The fits read it several times, a few columns each."""
+    return landed(spark, sf_dir, "contacts", lambda: contacts_raw(spark, sf_dir))
+
+
+class Tables(NamedTuple):
+    """What a run leaves behind: the typed, the cleaned and the encoded table."""
+
+    raw: DataFrame
+    clean: DataFrame
+    features: DataFrame
+
+
+def tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """The tables of a preparation as validation and KPIs find them: written by the step before."""
+    raw = landed(spark, sf_dir, "raw", lambda: typed(spark, sf_dir))
+    clean = landed(spark, sf_dir, "clean", lambda: cl.clean(raw, CFG))
+    features = landed(spark, sf_dir, "features", lambda: fe.transform(clean, CFG, fe.fit(clean, CFG)))
+    return Tables(raw, clean, features)
+
+
 def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ing.ingest(contacts(spark, sf_dir), CFG)
 
@@ -324,19 +343,19 @@ def fitted_params_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _checks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = prepared(spark, sf_dir)
-    structural = val.structural_checks(p.raw, p.clean, p.features, CFG)
-    return structural.unionByName(val.semantic_checks(p.clean, p.features, CFG, LIMITS))
+    t = tables(spark, sf_dir)
+    structural = val.structural_checks(t.raw, t.clean, t.features, CFG)
+    return structural.unionByName(val.semantic_checks(t.clean, t.features, CFG, LIMITS))
 
 
 def _structural(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
-    p = prepared(spark, sf_dir)
-    return val.structural_checks(p.raw, p.clean, p.features, CFG).filter(F.col("check_name").isin(*names))
+    t = tables(spark, sf_dir)
+    return val.structural_checks(t.raw, t.clean, t.features, CFG).filter(F.col("check_name").isin(*names))
 
 
 def _semantic(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    p = prepared(spark, sf_dir)
-    return val.semantic_checks(p.clean, p.features, CFG, LIMITS).filter(F.col("check_name") == name)
+    t = tables(spark, sf_dir)
+    return val.semantic_checks(t.clean, t.features, CFG, LIMITS).filter(F.col("check_name") == name)
 
 
 @query
@@ -346,9 +365,9 @@ def check_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def check_zero_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = prepared(spark, sf_dir)
-    with_constant = p.features.withColumn("constant", F.when(F.col("campaign").isNotNull(), 1.0))
-    return val.structural_checks(p.raw, p.clean, with_constant, CFG).filter(F.col("check_name") == "zero_variance")
+    t = tables(spark, sf_dir)
+    with_constant = t.features.withColumn("constant", F.when(F.col("campaign").isNotNull(), 1.0))
+    return val.structural_checks(t.raw, t.clean, with_constant, CFG).filter(F.col("check_name") == "zero_variance")
 
 
 @query
@@ -364,7 +383,7 @@ def check_numeric_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def check_flags_present(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return val.flag_checks(cl.clean(typed(spark, sf_dir), CFG).drop("flag_outlier_campaign"), CFG)
+    return val.flag_checks(tables(spark, sf_dir).clean.drop("flag_outlier_campaign"), CFG)
 
 
 @query
@@ -423,7 +442,7 @@ def sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def publish_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pub.publish_projection(cl.clean(typed(spark, sf_dir), CFG), CFG)
+    return pub.publish_projection(tables(spark, sf_dir).clean, CFG)
 
 
 @query
@@ -440,7 +459,7 @@ def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = prepared(spark, sf_dir).features
+    features = tables(spark, sf_dir).features
     return pub.load_report(features, features.select("contact_id", "y"), CFG)
 
 
@@ -538,13 +557,13 @@ def kpi_partial_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kpi_missing_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = prepared(spark, sf_dir)
-    return qual.missing_pct(p.raw, p.clean, p.features, CFG, LIMITS)
+    t = tables(spark, sf_dir)
+    return qual.missing_pct(t.raw, t.clean, t.features, CFG, LIMITS)
 
 
 @query
 def kpi_outlier_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qual.outlier_pct(cl.clean(typed(spark, sf_dir), CFG), CFG, LIMITS)
+    return qual.outlier_pct(tables(spark, sf_dir).clean, CFG, LIMITS)
 
 
 @query
@@ -555,35 +574,35 @@ def kpi_class_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kpi_valid_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qual.valid_columns(prepared(spark, sf_dir).features, CFG, LIMITS)
+    return qual.valid_columns(tables(spark, sf_dir).features, CFG, LIMITS)
 
 
 @query
 def kpi_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = prepared(spark, sf_dir)
-    return qual.quality(p.raw, p.clean, p.features, CFG, LIMITS, targets=p.features.select("contact_id", "y"))
+    t = tables(spark, sf_dir)
+    return qual.quality(t.raw, t.clean, t.features, CFG, LIMITS, targets=t.features.select("contact_id", "y"))
 
 
 @query
 def kpi_flag_activation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return qual.flag_activation(cl.clean(typed(spark, sf_dir), CFG), CFG)
+    return qual.flag_activation(tables(spark, sf_dir).clean, CFG)
 
 
 # ---- health ------------------------------------------------------------------
 
 
-def _batch_quality(p: Prepared) -> DataFrame:
-    return qual.quality(batched(p.raw), batched(p.clean), batched(p.features), CFG, LIMITS, ["pipeline_id"])
+def _batch_quality(t: Tables) -> DataFrame:
+    return qual.quality(batched(t.raw), batched(t.clean), batched(t.features), CFG, LIMITS, ["pipeline_id"])
 
 
-def _scored(spark: SparkSession, sf_dir: str, p: Prepared) -> DataFrame:
+def _scored(spark: SparkSession, sf_dir: str, t: Tables) -> DataFrame:
     figures = health.run_figures(phases(spark, sf_dir), log(spark, sf_dir), LIMITS, MODEL, N_FEATURES)
-    return health.with_health(health.pipeline_figures(figures, _batch_quality(p), LIMITS), LIMITS)
+    return health.with_health(health.pipeline_figures(figures, _batch_quality(t), LIMITS), LIMITS)
 
 
 @query
 def health_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _scored(spark, sf_dir, prepared(spark, sf_dir))
+    scored = _scored(spark, sf_dir, tables(spark, sf_dir))
     return scored.select(
         "pipeline_id",
         "availability_score",
@@ -597,21 +616,21 @@ def health_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = prepared(spark, sf_dir)
-    checks = val.structural_checks(p.raw, p.clean, p.features, CFG).unionByName(
-        val.semantic_checks(p.clean, p.features, CFG, LIMITS)
+    t = tables(spark, sf_dir)
+    checks = val.structural_checks(t.raw, t.clean, t.features, CFG).unionByName(
+        val.semantic_checks(t.clean, t.features, CFG, LIMITS)
     )
-    return rounded(health.alerts(_scored(spark, sf_dir, p), checks))
+    return rounded(health.alerts(_scored(spark, sf_dir, t), checks))
 
 
 @query
 def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return health.summary(_scored(spark, sf_dir, prepared(spark, sf_dir)), N_FEATURES)
+    return health.summary(_scored(spark, sf_dir, tables(spark, sf_dir)), N_FEATURES)
 
 
 @query
 def kpi_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_table_path(spark, "report")
-    made = health.report(_scored(spark, sf_dir, prepared(spark, sf_dir)), N_FEATURES, sf_dir)
+    made = health.report(_scored(spark, sf_dir, tables(spark, sf_dir)), N_FEATURES, sf_dir)
     sinks.export_report(made, path)
     return spark.read.schema(made.schema).json(path)

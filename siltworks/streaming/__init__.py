@@ -1,0 +1 @@
+"""The same operators on tables that keep growing."""
