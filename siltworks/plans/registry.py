@@ -12,7 +12,6 @@ from siltworks.config import CostModel, PrepConfig, Thresholds
 from siltworks.functions.lights import light
 from siltworks.kpi import availability as avail, cost, health, performance as perf, quality as qual
 from siltworks.operators import clean as cl, features as fe, ingest as ing, publish as pub, validate as val
-from siltworks.operators.profile import column_profile
 from siltworks.plans.prepare import Prepared, prepare
 from siltworks.session import new_table_path
 from siltworks.sources import delimited, files, runs, sinks
