@@ -5,8 +5,9 @@ import pytest
 import __spark_entry__ as driver
 from conftest import SF_SMALL
 from oracle_compare import compare, connect
+from siltworks.plans.oracles import ORACLES
+from siltworks.plans.registry import QUERIES
 
-ORACLES = driver.oracle_sql()
 ROWS_ONLY = {"source_inventory", "dir_bytes", "kpi_report_json"}  # paths, sizes and times
 
 
@@ -16,18 +17,19 @@ def duck():
 
 
 def test_only_file_facts_and_the_report_have_no_sql():
-    assert set(driver.queries()) - set(ORACLES) == ROWS_ONLY
-    assert set(ORACLES) <= set(driver.queries())
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, duck, name):
-    assert compare(driver.queries()[name](spark, SF_SMALL), duck, ORACLES[name]) == []
+    assert compare(QUERIES[name](spark, SF_SMALL), duck, ORACLES[name]) == []
 
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_query_runs(spark, name):
-    assert driver.queries()[name](spark, SF_SMALL).count() > 0
+    assert QUERIES[name](spark, SF_SMALL).count() > 0
 
 
 def test_entry(spark):
