@@ -23,14 +23,14 @@ import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, functions as F
 
-from siltworks.llm.common import col, slices
+from siltworks.llm.common import col, partitions_for, slices
 from siltworks.session import new_table_path, stage
 
 #: records closer than this are read in one request, up to so many bytes
 READ_GAP = 64 << 10
 READ_BYTES = 8 << 20
 #: the records of one stretch of an archive are read by one task
-SLAB_BYTES = 32 << 20
+SLAB_BYTES = 8 << 20
 GZIP_LEVEL = 1
 
 _NO_LINE_BREAK = re.compile(r"[\x00-\x20\x7f]")
@@ -220,7 +220,9 @@ def read_records(selected: DataFrame, payloads: bool = False) -> DataFrame:
         ]
     )
     slabs = selected.select("file", "offset", "length", F.expr(f"offset div {SLAB_BYTES}").alias("slab"))
-    in_order = slabs.repartition("file", "slab").sortWithinPartitions("file", "offset").drop("slab")
+    # index rows are small; tasks are counted by the bytes that they will read
+    tasks = partitions_for(selected.agg(F.sum("length")).first()[0] or 0, SLAB_BYTES)
+    in_order = slabs.repartition(tasks, "file", "slab").sortWithinPartitions("file", "offset").drop("slab")
     return in_order.mapInArrow(read, _RECORD + ", payload binary" * payloads)
 
 
