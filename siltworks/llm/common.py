@@ -22,6 +22,14 @@ def col(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, so that few texts are Python objects at any time."""
     for batch in batches:
@@ -50,7 +58,8 @@ def map_text(df: DataFrame, text: str, added: str, work) -> DataFrame:
     like an added one is replaced.
     """
     schema = T.StructType.fromDDL(added)
-    kept = [c for c in df.columns if c not in schema.names]
+    new = {n.lower() for n in schema.names}
+    kept = [c for c in df.columns if c.lower() not in new]
     # rows travel as one struct, so that no column name has to be resolved on the way
     packed = df.select(F.struct(*[col(c) for c in kept]).alias("row"), col(text).alias("t"))
 

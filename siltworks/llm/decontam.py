@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from siltworks.llm.common import col, map_text, slices, text_hash
+from siltworks.llm.common import col, map_text, slices, text_hash, unused_name
 
 #: word edits in proportion to the item's words: a similarity of 0.8 or more
 MAX_EDITS = 0.2
@@ -404,8 +404,6 @@ def clean(
         def judge(texts: list[str | None], searcher=searcher) -> list[pa.Array]:
             return [pa.array([bool(searcher.hits(t)) for t in texts], pa.bool_())]
 
-        marker = "_contaminated"
-        while marker in docs.columns:
-            marker += "_"
+        marker = unused_name(docs, "_contaminated")
         kept = map_text(kept, text_column, f"{marker} boolean", judge).filter(~F.col(marker)).drop(marker)
     return kept

@@ -18,7 +18,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from siltworks.llm.common import col, map_text
+from siltworks.llm.common import col, map_text, unused_name
 
 UNKNOWN = "und"
 #: sample excerpts of a language and the characters of each one
@@ -165,3 +165,16 @@ def predict(
         ]
 
     return map_text(docs, text_column, "lang_pred string, score double, rejected boolean", judged)
+
+
+def keep_identified(
+    docs: DataFrame, model: LanguageModel, text_column: str = "text", min_margin: float = MIN_MARGIN
+) -> DataFrame:
+    """The rows of ``docs`` whose language is not rejected."""
+
+    def judged(texts: list[str | None]) -> list[pa.Array]:
+        found = [identify(model, t) for t in texts]
+        return [pa.array([l != UNKNOWN and s >= min_margin for l, s in found], pa.bool_())]
+
+    marker = unused_name(docs, "_identified")
+    return map_text(docs, text_column, f"{marker} boolean", judged).filter(F.col(marker)).drop(marker)

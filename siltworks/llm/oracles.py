@@ -49,25 +49,30 @@ def _jump(shards: str) -> str:
   FROM walk{shards} WHERE j < {shards}"""
 
 
+def _crc_of_bytes() -> list[int]:
+    found = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ 3988292384 if c & 1 else c >> 1
+        found.append(c)
+    return found
+
+
 def _shards() -> str:
-    # the checksum of a text, bit by bit for each byte value and then byte by byte
-    bit = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    # the checksum of a text, byte by byte
+    crc = f"CAST([{', '.join(map(str, _crc_of_bytes()))}] AS UBIGINT[])"
     return f"""
 WITH RECURSIVE ids AS (SELECT DISTINCT coalesce(doc_id, 0) AS id FROM documents),
 walk{SHARDS} AS ({_jump(str(SHARDS))}),
 walk{SHARDS + 1} AS ({_jump(str(SHARDS + 1))}),
 placed AS (SELECT id, max(b) AS shard FROM walk{SHARDS} GROUP BY id),
 grown AS (SELECT id, max(b) AS shard FROM walk{SHARDS + 1} GROUP BY id),
-bits AS (
-  SELECT i AS byte, CAST(i AS UBIGINT) AS c, 0 AS k FROM range(256) t(i)
-  UNION ALL SELECT byte, {bit}, k + 1 FROM bits WHERE k < 8),
-crc AS (SELECT list(c ORDER BY byte) AS t FROM bits WHERE k = 8),
 texts AS (SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents),
 sums AS (
   SELECT doc_id, strlen(text) AS bytes,
          xor(list_reduce(list_transform(range(0, len(h) // 2), lambda i: CAST(('0x' || h[2 * i + 1 : 2 * i + 2]) AS UBIGINT)),
-                         lambda a, x: xor(a >> 8, crc.t[CAST(xor(a & 255, x) AS BIGINT) + 1]), CAST(4294967295 AS UBIGINT)), 4294967295) AS crc
-  FROM texts, crc)
+                         lambda a, x: xor(a >> 8, ({crc})[CAST(xor(a & 255, x) AS BIGINT) + 1]), CAST(4294967295 AS UBIGINT)), 4294967295) AS crc
+  FROM texts)
 SELECT s.doc_id, CAST(s.bytes + {ROW_BYTES} AS BIGINT) AS size, CAST(s.crc AS BIGINT) AS text_crc32, 'key' AS law,
        CAST(p.shard AS INTEGER) AS shard, row_number() OVER (PARTITION BY p.shard ORDER BY s.doc_id) - 1 AS slot,
        CAST(g.shard AS INTEGER) AS grown_shard

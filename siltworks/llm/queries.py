@@ -99,8 +99,7 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language the compressors agree on; the others go."""
-    judged = langid.predict(docs, language_model(docs))
-    return judged.filter(~F.col("rejected")).select(*docs.columns)
+    return langid.keep_identified(docs, language_model(docs))
 
 
 def keep_first_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

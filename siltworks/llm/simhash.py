@@ -201,7 +201,9 @@ def near_duplicates(
     shingle_words: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """(id, text_hash, fp, component_id) per row; component_id is the smallest id that can be reached.
+    """(id, text_hash, fp, root, component_id) per row; component_id is the smallest id that can be reached.
+
+    ``root`` tells components apart even where ids repeat: it is one of their fingerprints.
 
     Copies share a fingerprint, so links are sought between distinct fingerprints only.
     Null and empty texts have fingerprint 0. A null id is larger than all others: a
@@ -218,9 +220,13 @@ def near_duplicates(
     classes = (
         distinct.join(member, "fp", "left")
         .join(smallest, "root", "left")
-        .select("fp", F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component_id")).alias("component_id"))
+        .select(
+            "fp",
+            F.coalesce("root", "fp").alias("root"),
+            F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component_id")).alias("component_id"),
+        )
     )
-    return fps.join(stage(classes, "classes"), "fp").select("id", "text_hash", "fp", "component_id")
+    return fps.join(stage(classes, "classes"), "fp").select("id", "text_hash", "fp", "root", "component_id")
 
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **how) -> DataFrame:
@@ -230,10 +236,9 @@ def keep_first(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     """
     found = near_duplicates(docs, id_column, text_column, **how)
     # the smallest text hash decides between rows of one id, and of rows without any
-    chosen = found.filter(F.col("id").eqNullSafe(F.col("component_id")))
-    classes = F.when(F.col("component_id").isNull(), F.col("fp"))
-    first = chosen.groupBy("component_id", classes.alias("own")).agg(F.min("text_hash").alias("mark"))
-    first = first.select(F.col("component_id").alias("keep_id"), "mark").distinct()
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
+    first = found.groupBy("root").agg(F.min(order).alias("first"))
+    first = first.select(F.col("first.id").alias("keep_id"), F.col("first.text_hash").alias("mark"))
     packed = docs.select(
         F.struct(*[col(c) for c in docs.columns]).alias("row"),
         col(id_column).cast("long").alias("id"),

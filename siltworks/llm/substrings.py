@@ -10,6 +10,7 @@ is long enough is a repeated passage.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -161,8 +162,8 @@ def repeated_passages(
 ) -> DataFrame:
     """(id, text_hash, start, end, words, kept_id): each repeated passage, in bytes of the UTF-8 text.
 
-    ``kept_id`` is the document that keeps the passage's first chunk: the smallest id
-    that has it (the row itself for a passage that stands further up in it). Rows that
+    ``kept_id`` is the document that keeps most of the passage's chunks: of each, the smallest
+    id that has it (the row itself for what stands further up in it). Rows that
     share an id are one document's versions: what they share stays in each of them.
     Null ids are larger than all others.
     """
@@ -189,8 +190,10 @@ def repeated_passages(
                     seen.add(digest)
                 ends, words = np.array(ends, dtype=np.int64), np.array(words, dtype=np.int64)
                 for begin, end, count in repeated_runs(repeated, ends, words, min_run_words):
-                    chunk = own[int(np.searchsorted(ends, begin, side="right"))]
-                    out.append((doc, mark, begin, end, count, elsewhere.get(chunk, doc)))
+                    run = own[int(np.searchsorted(ends, begin, "right")) : int(np.searchsorted(ends, end, "right"))]
+                    sources = Counter(elsewhere.get(digest, doc) for digest in run)
+                    kept = max(sources, key=lambda k: (sources[k], k is not None and -k))
+                    out.append((doc, mark, begin, end, count, kept))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x, f.type) for x, f in zip(zip(*out), _PASSAGE)], schema=_PASSAGE
