@@ -88,7 +88,6 @@ class PrepConfig:
     ordinal: Mapping[str, tuple[str, ...]] = _frozen(education=EDUCATION_LEVELS)
     cyclic_numbers: Mapping[str, int] = _frozen(day=31)
     cyclic_names: Mapping[str, tuple[str, ...]] = _frozen(month=MONTHS)
-    max_levels: int = 1000
 
     published_names: Mapping[str, str] = _frozen(default="default_flag", deposit="y")
 

@@ -19,6 +19,7 @@ from siltworks.functions import sql
 from siltworks.functions.scalars import canonical_text, cyclic, place_sql, strip_sql, without_nan_sql
 from siltworks.operators.clean import Fence, fence, fence_columns
 from siltworks.operators.quantiles import NumericSummary, summarize
+from siltworks.session import stage
 
 NUMBERS_SCHEMA = (
     "role string, column_name string, n bigint, q1 double, median double, q3 double, "
@@ -66,14 +67,12 @@ def standard_scale(summary: NumericSummary) -> Scale:
     return _scale(summary.mean, summary.stddev_pop)
 
 
-def fit_levels(
-    df: DataFrame, columns: Sequence[str], missing: str, max_levels: int
-) -> dict[str, tuple[str, ...]]:
-    """The sorted levels of every column, found in one pass.
+def fit_levels(df: DataFrame, columns: Sequence[str], missing: str) -> dict[str, tuple[str, ...]]:
+    """The sorted levels of every column, all of them, found in one pass.
 
-    Each level becomes an output column, so a column with more than ``max_levels`` of
-    them is refused rather than cut. At most ``len(columns) * max_levels + 1`` rows
-    reach the driver.
+    Each level becomes an output column of :func:`one_hot`, so the levels are known to the
+    driver as column names are. A column of very many levels is better encoded by
+    :func:`one_hot_places`, which knows the same levels and makes one column of them.
     """
     present = [c for c in columns if c in df.columns]
     if not present:
@@ -81,14 +80,9 @@ def fit_levels(
     pairs = F.array(
         *[F.struct(F.lit(c).alias("column_name"), canonical_text(c, missing).alias("level")) for c in present]
     )
-    bound = len(present) * max_levels
-    rows = df.select(F.inline(pairs)).distinct().limit(bound + 1).collect()
     found: dict[str, list[str]] = {c: [] for c in present}
-    for row in rows:
+    for row in df.select(F.inline(pairs)).distinct().collect():
         found[row["column_name"]].append(row["level"])
-    widest = max(found, key=lambda c: len(found[c]))
-    if len(found[widest]) > max_levels:
-        raise ValueError(f"column {widest!r} has more than {max_levels} levels; it cannot be one-hot encoded")
     return {c: tuple(sorted(levels)) for c, levels in found.items()}
 
 
@@ -119,7 +113,7 @@ def fit(df: DataFrame, cfg: PrepConfig, levels: Mapping[str, Sequence[str]] | No
         levels=(
             {c: tuple(v) for c, v in levels.items()}
             if levels is not None
-            else fit_levels(df, cfg.one_hot, cfg.missing_category, cfg.max_levels)
+            else fit_levels(df, cfg.one_hot, cfg.missing_category)
         ),
     )
 
@@ -190,6 +184,28 @@ def one_hot(column: str, levels: Sequence[str], missing: str) -> dict[str, Colum
     return {f"{column}_{level}": F.expr(f"CAST({text} = {sql.text(level)} AS DOUBLE)") for level in levels}
 
 
+def one_hot_places(df: DataFrame, column: str, missing: str, name: str | None = None) -> DataFrame:
+    """``df`` with the one-hot vector of a cleaned column as a sparse one: its size and the place of its 1.
+
+    For columns of very many levels; which form to use is the caller's choice. Places
+    follow the sorted levels, as the columns of :func:`one_hot` do. Levels stay in a
+    table and meet the rows in a join, none of them reaches the driver.
+    """
+    text = F.expr(f"coalesce({sql.name(column)}, {sql.text(missing)})")
+    levels = df.select(text.alias("_level")).distinct()
+    # levels are sorted in ranges; ranges count their own, and their few counts add up
+    ranged = levels.repartitionByRange("_level").sortWithinPartitions("_level")
+    ranged = stage(ranged.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.expr("_at >> 33")), "levels")
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("first"))
+    before = "coalesce(sum(n) OVER (ORDER BY _part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+    starts = sizes.selectExpr("_part", f"first - {before} AS _origin", "sum(n) OVER () AS _size")
+    places = ranged.join(starts, "_part").select(
+        "_level", F.struct(F.col("_size").alias("size"), (F.col("_at") - F.col("_origin")).alias("place")).alias("_hot")
+    )
+    joined = df.withColumn("_level", text).join(places, "_level", "left").drop("_level")
+    return joined.withColumnRenamed("_hot", name or f"{column}_hot")
+
+
 def ordinal(column: str, levels: Sequence[str]) -> Column:
     """Place of the level in the declared order; -1 for any other value."""
     return F.expr(f"coalesce({place_sql(sql.name(column), levels, start=0)}, -1D)")

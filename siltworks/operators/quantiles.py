@@ -1,12 +1,15 @@
 """Exact quantiles of many columns over any number of rows.
 
-The built-in ``percentile`` keeps every distinct value of a column in one task, so it is
-used only after a count has shown that this is little. Beyond that, each pass over the
-table counts, per column, how many values fall into each of a fixed number of equal-width
-buckets, and the next pass looks only into the buckets that hold a wanted rank. A pass
-shuffles at most ``ranges x buckets`` rows per task, whatever the size of the table and
-however often one value repeats. Both ways give the same linear interpolation between two
-order statistics.
+One way for every size: each pass over the table counts, per column, how many values fall
+into each of a fixed number of buckets, Spark adds the counts up, and only the buckets that
+hold a wanted rank come back, as ranges for the next pass. A pass shuffles at most
+``ranges x buckets`` rows per task, whatever the size of the table and however often one
+value repeats, and returns at most one row for each wanted rank.
+
+The first pass cuts a column's range into buckets of equal width. A range that still spans
+many magnitudes is then cut at powers of two, and what is left, with at most 2 ** 52 different
+values, into equal widths again. So no column needs more than seven passes; most need two.
+Results equal the built-in ``percentile`` to the last bit.
 """
 
 from __future__ import annotations
@@ -15,14 +18,16 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from siltworks.functions import sql
 
 BUCKETS = 4096
 
-# columns with at most this many values are given to one task
-ONE_TASK_VALUES = 1_000_000
+# columns whose counts and ranges are found in one job
+SUMMARY_COLUMNS = 64
+
+EVEN, BINADES = "even", "binades"
 
 
 @dataclass(frozen=True)
@@ -44,6 +49,7 @@ class _Range:
     below: int
     n: int
     ranks: set[int]
+    cut: str = EVEN
 
 
 def summarize(
@@ -52,40 +58,34 @@ def summarize(
     moment_columns: Mapping[str, str] | None = None,
     probabilities: Sequence[float] = (0.25, 0.5, 0.75),
     buckets: int = BUCKETS,
-    one_task_values: int = ONE_TASK_VALUES,
 ) -> dict[str, NumericSummary]:
     """Count, mean and population deviation of some columns and exact quantiles of others.
 
-    Columns are SQL expressions of type double. The first pass also finds the size and
-    range of every column; later passes read only the columns that are still open.
+    Columns are SQL expressions of type double. First the size and range of every column
+    are found, a bounded number of columns in each job; the passes after that read only
+    the columns that are still open.
     """
     moment_columns = dict(moment_columns or {})
-    aggregates: list[str] = []
+    aggregates: list[list[str]] = []
     for i, c in enumerate(quantile_columns.values()):
         finite = f"FILTER (WHERE abs({c}) < double('inf'))"
-        aggregates += [
-            f"count({c}) AS q{i}_n",
-            f"count_if({c} = double('-inf')) AS q{i}_minus",
-            f"count({c}) {finite} AS q{i}_finite",
-            f"min({c}) {finite} AS q{i}_low",
-            f"max({c}) {finite} AS q{i}_high",
-        ]
+        aggregates.append(
+            [
+                f"count({c}) AS q{i}_n",
+                f"count_if({c} = double('-inf')) AS q{i}_minus",
+                f"count({c}) {finite} AS q{i}_finite",
+                f"min({c}) {finite} AS q{i}_low",
+                f"max({c}) {finite} AS q{i}_high",
+            ]
+        )
     for i, c in enumerate(moment_columns.values()):
-        aggregates += [f"count({c}) AS m{i}_n", f"avg({c}) AS m{i}_mean", f"stddev_pop({c}) AS m{i}_std"]
-    if not aggregates:
-        return {}
-    first = df.selectExpr(*aggregates).first()
+        aggregates.append([f"count({c}) AS m{i}_n", f"avg({c}) AS m{i}_mean", f"stddev_pop({c}) AS m{i}_std"])
+    first: dict[str, float | int | None] = {}
+    for at in range(0, len(aggregates), SUMMARY_COLUMNS):
+        first.update(df.selectExpr(*sum(aggregates[at : at + SUMMARY_COLUMNS], [])).first().asDict())
 
-    summary = {
-        name: NumericSummary(n=first[f"q{i}_n"], quantiles=dict.fromkeys(probabilities))
-        for i, name in enumerate(quantile_columns)
-    }
-    small = {n: c for n, c in quantile_columns.items() if 0 < summary[n].n <= one_task_values}
-    large = [(i, n, c) for i, (n, c) in enumerate(quantile_columns.items()) if summary[n].n > one_task_values]
-    if small:
-        summary.update(_in_one_task(df, small, summary, probabilities))
-    if large:
-        summary.update(_by_histogram(df, large, first, probabilities, buckets))
+    columns = [(i, name, c) for i, (name, c) in enumerate(quantile_columns.items())]
+    summary = _by_histogram(df, columns, first, probabilities, buckets)
     for i, name in enumerate(moment_columns):
         earlier = summary.get(name)
         summary[name] = NumericSummary(
@@ -118,19 +118,12 @@ def approximate_quantiles(
     }
 
 
-def _in_one_task(
-    df: DataFrame, columns: Mapping[str, str], sizes: Mapping[str, NumericSummary], probabilities: Sequence[float]
-) -> dict[str, NumericSummary]:
-    wanted = f"array({sql.numbers(probabilities)})"
-    row = df.selectExpr(*[f"percentile({c}, {wanted}) AS q{i}" for i, c in enumerate(columns.values())]).first()
-    return {
-        name: NumericSummary(n=sizes[name].n, quantiles=dict(zip(probabilities, row[f"q{i}"])))
-        for i, name in enumerate(columns)
-    }
-
-
 def _by_histogram(
-    df: DataFrame, columns: Sequence[tuple[int, str, str]], first: Row, probabilities: Sequence[float], buckets: int
+    df: DataFrame,
+    columns: Sequence[tuple[int, str, str]],
+    first: Mapping[str, float | int | None],
+    probabilities: Sequence[float],
+    buckets: int,
 ) -> dict[str, NumericSummary]:
     known: dict[str, dict[int, float]] = {}
     open_ranges: dict[str, list[_Range]] = {}
@@ -161,21 +154,21 @@ def _by_histogram(
 
 
 def _ranks(n: int, p: float) -> tuple[int, int, float]:
-    """The two order statistics (from 0) around quantile ``p`` and the weight of the second."""
+    """The two order statistics (from 0) around quantile ``p`` and the place between them."""
     if n == 0:
         return (0, 0, 0.0)
     at = (n - 1) * p
-    low = math.floor(at)
-    return (low, min(low + 1, n - 1), at - low)
+    return (math.floor(at), math.ceil(at), at)
 
 
 def _interpolate(known: Mapping[int, float], n: int, p: float) -> float | None:
+    """As ``percentile`` does it, so that no last bit differs."""
     if n == 0:
         return None
-    low, high, weight = _ranks(n, p)
-    if weight == 0.0 or known[low] == known[high]:
+    low, high, at = _ranks(n, p)
+    if low == high or known[low] == known[high]:
         return known[low]
-    return known[low] + (known[high] - known[low]) * weight
+    return (high - at) * known[low] + (at - low) * known[high]
 
 
 def _settle(span: _Range, known: dict[int, float], still_open: list[_Range]) -> None:
@@ -193,6 +186,23 @@ def _settle(span: _Range, known: dict[int, float], still_open: list[_Range]) ->
         still_open.append(span)
 
 
+def _is_wide(low: float, high: float) -> bool:
+    """Does the range span more than two powers of two?"""
+    return not (0 < low and high <= 4 * low or high < 0 and low >= 4 * high)
+
+
+def _slot(v: str, span: _Range, buckets: int) -> str:
+    """The number of the bucket of ``v``, as SQL; larger values have no smaller numbers."""
+    if span.n <= buckets:  # few values: one bucket for each ends the search
+        return v
+    if span.cut == BINADES:
+        return f"CASE WHEN {v} = 0D THEN 0D ELSE signum({v}) * (floor(log2(abs({v}))) + 1100D) END"
+    # halved so that the width of a range of huge values does not overflow
+    width = span.high / 2 - span.low / 2
+    place = f"floor(({v} / 2D - {sql.number(span.low / 2)}) / {sql.number(width)} * {buckets}D)"
+    return f"CAST(least({place}, {buckets - 1}L) AS DOUBLE)"
+
+
 def _narrow(
     df: DataFrame,
     values: Mapping[str, str],
@@ -203,34 +213,33 @@ def _narrow(
     """One pass: count the buckets of every open range and keep those that hold a rank."""
     spans = [(name, span) for name in values for span in open_ranges[name]]
     entries = []
-    for i, (name, span) in enumerate(spans):
-        v, width = values[name], None
-        if span.n > buckets:  # else few values: one bucket per value ends the search
-            # halved so that the width of a range of huge values does not overflow
-            width = span.high / 2 - span.low / 2
-        entries.append(
-            f"named_struct('span', {i}, 'low', {sql.number(span.low / 2)}, 'width', {sql.number(width)}, "
-            f"'v', CASE WHEN {v} BETWEEN {sql.number(span.low)} AND {sql.number(span.high)} THEN {v} END)"
-        )
-    bucket = f"CAST(least(floor((v / 2D - low) / width * {buckets}D), {buckets - 1}L) AS DOUBLE)"
-    histogram = (
+    for name in values:
+        branches = [
+            f"WHEN {values[name]} BETWEEN {sql.number(span.low)} AND {sql.number(span.high)} THEN "
+            f"named_struct('span', {i}, 'slot', {_slot(values[name], span, buckets)}, 'v', {values[name]})"
+            for i, (owner, span) in enumerate(spans)
+            if owner == name  # the ranges of a column do not overlap
+        ]
+        if branches:
+            entries.append(f"CASE {' '.join(branches)} END")
+    below = f"array({', '.join(f'{span.below}L' for _, span in spans)})[span]"
+    ranks = ", ".join(f"array({', '.join(f'{r}L' for r in sorted(span.ranks))})" for _, span in spans)
+    earlier = "sum(n) OVER (PARTITION BY span ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    # at most one row for each wanted rank
+    found = (
         df.selectExpr(f"inline(array({', '.join(entries)}))")
-        .filter("v IS NOT NULL")
-        .selectExpr("span", f"CASE WHEN width IS NULL THEN v ELSE {bucket} END AS slot", "v")
+        .filter("span IS NOT NULL")
         .groupBy("span", "slot")
         .agg(F.expr("count(1) AS n"), F.expr("min(v) AS low"), F.expr("max(v) AS high"))
+        .selectExpr("span", "n", "low", "high", f"{below} + coalesce({earlier}, 0L) AS below")
+        .filter(f"exists(array({ranks})[span], r -> r >= below AND r < below + n)")
+        .collect()
     )
-    # at most len(spans) x buckets rows, whatever the size of the table
-    found: dict[int, list[Row]] = {}
-    for row in histogram.collect():
-        found.setdefault(row["span"], []).append(row)
-
     for name in values:
         open_ranges[name] = []
-    for i, (name, span) in enumerate(spans):
-        below = span.below
-        for row in sorted(found[i], key=lambda r: r["low"]):
-            ranks = {r for r in span.ranks if below <= r < below + row["n"]}
-            if ranks:
-                _settle(_Range(row["low"], row["high"], below, row["n"], ranks), known[name], open_ranges[name])
-            below += row["n"]
+    for row in found:
+        name, span = spans[row["span"]]
+        inside = {r for r in span.ranks if row["below"] <= r < row["below"] + row["n"]}
+        next_cut = BINADES if span.cut == EVEN and _is_wide(row["low"], row["high"]) else EVEN
+        rest = _Range(row["low"], row["high"], row["below"], row["n"], inside, next_cut)
+        _settle(rest, known[name], open_ranges[name])

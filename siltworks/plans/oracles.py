@@ -228,8 +228,8 @@ oracle(
 oracle(
     "source_readable",
     [],
-    "SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_too_long, TRUE AS readable "
-    "FROM orders JOIN customer ON o_custkey = c_custkey",
+    "SELECT readable, COUNT(*) AS n_rows, CAST(IF(readable, 0, COUNT(*)) AS BIGINT) AS n_too_long "
+    "FROM orders JOIN customer ON o_custkey = c_custkey, (VALUES (TRUE), (FALSE)) f(readable) GROUP BY readable",
 )
 oracle(
     "table_sample",

@@ -109,7 +109,7 @@ def batched(df: DataFrame) -> DataFrame:
 
 def _written_csv(spark: SparkSession, sf_dir: str, sep: str) -> str:
     path = new_table_path(spark, "delimited")
-    contacts(spark, sf_dir).write.options(
+    contacts(spark, sf_dir).repartition(3, "contact_id").write.options(
         sep=sep, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, escape='"'
     ).csv(path)
     return path
@@ -158,11 +158,15 @@ def source_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def source_readable(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_file = delimited.readable_files(spark, _written_csv(spark, sf_dir, "|"))
-    return per_file.agg(
-        F.sum("n_rows").alias("n_rows"),
-        F.sum("n_too_long").alias("n_too_long"),
-        F.every("readable").alias("readable"),
+    """The contacts in several files, next to one whose rows have a field too many."""
+    path = _written_csv(spark, sf_dir, "|")
+    table = contacts(spark, sf_dir)
+    head = F.concat_ws("|", *[F.lit(c) for c in table.columns])
+    line = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in table.columns], F.lit("extra"))
+    lines = table.select(line.alias("value"), F.lit(1).alias("at")).unionByName(spark.range(1).select(head.alias("value"), F.lit(0).alias("at")))
+    lines.repartition(1).sortWithinPartitions("at").select("value").write.mode("append").text(path)
+    return delimited.readable_files(spark, path).groupBy("readable").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_too_long").alias("n_too_long")
     )
 
 
@@ -224,7 +228,7 @@ def flag_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def iqr_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fences = cl.fit_fences(typed(spark, sf_dir), CFG, one_task_values=0)  # by histogram passes only
+    fences = cl.fit_fences(typed(spark, sf_dir), CFG)
     schema = "column_name string, n bigint, q1 double, median double, q3 double, lower double, upper double"
     return rounded(spark.createDataFrame(cl.fence_rows(fences), schema))
 
@@ -304,7 +308,7 @@ def scale_standard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = tidy(spark, sf_dir)
-    levels = fe.fit_levels(table, CFG.one_hot, CFG.missing_category, CFG.max_levels)
+    levels = fe.fit_levels(table, CFG.one_hot, CFG.missing_category)
     encoded = [c.alias(n) for col, found in levels.items() for n, c in fe.one_hot(col, found, CFG.missing_category).items()]
     return table.select("contact_id", *encoded)
 

@@ -1,10 +1,14 @@
-"""Delimited text: delimiter detection, strict and tolerant reads, readability per file."""
+"""Delimited text: delimiter and header of each file, strict and tolerant reads, readability per file."""
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from functools import reduce
+from typing import NamedTuple
 
-from pyspark.errors import AnalysisException, PySparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from siltworks.functions import sql
@@ -15,85 +19,212 @@ DELIMITERS = (",", ";", "\t", "|")
 
 RECORD = "_record"
 
+#: files whose headers are read in one job
+HEADS_PER_JOB = 128
+
+#: what a scan of a damaged file raises, on the driver or in a task
+READ_ERRORS = (PySparkException, Py4JJavaError, ValueError)
+
+
+class Layout(NamedTuple):
+    """Files that share a header line, and so a delimiter and an order of columns."""
+
+    sep: str
+    header: str
+    files: tuple[str, ...]
+
+
+def _delimiter_of(header: str) -> str:
+    bare = re.sub(r'"(?:[^"]|"")*"', "", header)
+    return max(DELIMITERS, key=bare.count)
+
 
 def detect_delimiter(spark: SparkSession, path: str) -> str:
-    """The delimiter that occurs most often in the header, outside quotes."""
-    first = spark.read.text(path).filter(F.length(F.trim("value")) > 0).limit(1).collect()
-    if not first:
+    """The delimiter that occurs most often in the header, outside quotes; files must agree."""
+    found = {layout.sep for layout in layouts(spark, path)}
+    if len(found) != 1:
+        raise ValueError(f"files under {path} have different delimiters: {sorted(found)}")
+    return found.pop()
+
+
+def _headers(spark: SparkSession, files: list[str]) -> dict[str, str]:
+    """The first line with text of every file; a task reads no further than that line."""
+    found: dict[str, str] = {}
+    for at in range(0, len(files), HEADS_PER_JOB):
+        heads = [
+            spark.read.text(f).filter(F.length(F.trim("value")) > 0).limit(1).withColumn("file", F.lit(f))
+            for f in files[at : at + HEADS_PER_JOB]
+        ]
+        found.update({r["file"]: r["value"] for r in reduce(DataFrame.unionAll, heads).collect()})
+    return found
+
+
+def layouts(spark: SparkSession, path: str, sep: str | None = None) -> list[Layout]:
+    """The files of a folder by header line, the layout of most files first."""
+    files = sorted(spark.read.text(path).inputFiles())
+    by_header: dict[str, list[str]] = {}
+    for f, header in _headers(spark, files).items():
+        by_header.setdefault(header.lstrip("\ufeff").rstrip("\r"), []).append(f)
+    if not by_header:
         raise ValueError(f"no header line in {path}")
-    bare = re.sub(r'"(?:[^"]|"")*"', "", first[0]["value"])
-    return max(DELIMITERS, key=bare.count)
+    found = [Layout(sep or _delimiter_of(h), h, tuple(f)) for h, f in by_header.items()]
+    return sorted(found, key=lambda x: (-len(x.files), x.files))
 
 
-def _parsed(spark: SparkSession, path: str, sep: str | None) -> tuple[DataFrame, list[str], Column]:
-    """All columns as text plus the record of a malformed row, and the test for a long row."""
-    sep = sep or detect_delimiter(spark, path)
-    form = {"sep": sep, "escape": '"'}
-    names = spark.read.options(header=True, **form).csv(path).columns
+class Parsed(NamedTuple):
+    """All columns as text plus the record of a malformed row, and what may be wrong with a row."""
+
+    rows: DataFrame
+    names: list[str]
+    is_long: Column
+    is_broken: Column
+
+
+def _parsed(spark: SparkSession, layout: Layout, multiline: bool) -> Parsed:
+    form = {"sep": layout.sep, "escape": '"', "unescapedQuoteHandling": "RAISE_ERROR", "multiLine": multiline}
+    files = list(layout.files)
+    names = spark.read.options(header=True, **form).csv(files).columns
     header_map(names)  # raises on headers that become the same column
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, RECORD)])
     # without column pruning a row is judged by all its fields, whatever a query reads
     rows = (
         spark.read.schema(schema)
         .options(header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=RECORD, columnPruning=False, **form)
-        .csv(path)
+        .csv(files)
     )
+    # a quote that is never closed: its field goes on in the next line, or the text is damaged
+    quotes = F.length(RECORD) - F.length(F.replace(RECORD, F.lit('"'), F.lit("")))
+    is_broken = F.col(RECORD).isNotNull() & (quotes % 2 == 1)
     # A short row is malformed too; only a long one fills one more column. The comparison
     # with the first field holds for every long row and makes each query read a field:
     # Spark refuses a scan of nothing but malformed records.
     wider = ", ".join(f"c{i} string" for i in range(len(names) + 1))
-    extra = F.from_csv(RECORD, wider, form)[f"c{len(names)}"]
+    extra = F.from_csv(RECORD, wider, {"sep": layout.sep, "escape": '"', "multiLine": "true"})[f"c{len(names)}"]
     first = F.coalesce(F.col(sql.name(names[0])), F.lit(""))
-    is_long = F.col(RECORD).isNotNull() & extra.isNotNull() & (F.length(RECORD) > F.length(first))
-    return rows, names, is_long
+    is_long = F.col(RECORD).isNotNull() & ~is_broken & extra.isNotNull() & (F.length(RECORD) > F.length(first))
+    return Parsed(rows, names, is_long, is_broken)
+
 
+def _by_name(spark: SparkSession, path: str, sep: str | None, multiline: bool, make: Callable[[Parsed], DataFrame]) -> DataFrame:
+    """What ``make`` makes of every layout, columns matched by name."""
+    parts = []
+    for layout in layouts(spark, path, sep):
+        part = make(_parsed(spark, layout, multiline))
+        if parts and set(part.columns) != set(parts[0].columns):
+            differing = sorted(set(part.columns) ^ set(parts[0].columns))
+            raise ValueError(f"files under {path} have different columns: {differing} in {layout.files[0]}")
+        parts.append(part)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_delimited(spark: SparkSession, path: str, sep: str | None = None, multiline: bool = False) -> DataFrame:
+    """Every column as text, from all files under ``path``.
+
+    Each file has its own header and delimiter; columns meet by name, and files with other
+    columns are refused. Short rows are padded with nulls; a long row or a quote that
+    its line does not close fails the job. With ``multiline`` quoted fields may hold
+    line breaks; a file is then read by one task.
+    """
 
-def read_delimited(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
-    """Every column as text. Short rows are padded with nulls; a long row fails the job."""
-    rows, names, is_long = _parsed(spark, path, sep)
-    failure = F.raise_error(F.concat(F.lit("row with too many fields: "), F.col(RECORD))).cast("boolean")
-    return rows.filter(F.when(is_long, failure).otherwise(F.lit(True))).select(*[F.col(sql.name(n)) for n in names])
+    def strict(p: Parsed) -> DataFrame:
+        long = F.raise_error(F.concat(F.lit("row with too many fields: "), F.col(RECORD))).cast("boolean")
+        broken = F.raise_error(F.concat(F.lit("quote not closed in its line (see multiline): "), F.col(RECORD)))
+        sound = F.when(p.is_broken, broken.cast("boolean")).when(p.is_long, long).otherwise(F.lit(True))
+        return p.rows.filter(sound).select(*[F.col(sql.name(n)) for n in p.names])
+
+    return _by_name(spark, path, sep, multiline, strict)
 
 
 def read_delimited_tolerant(
-    spark: SparkSession, path: str, sep: str | None = None
+    spark: SparkSession, path: str, sep: str | None = None, multiline: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantine): long rows are set apart with their text and file."""
-    rows, names, is_long = _parsed(spark, path, sep)
-    columns = [F.col(sql.name(n)) for n in names]
-    good = rows.filter(~is_long).select(*columns)
-    quarantine = rows.filter(is_long).select(
-        *columns, F.col(RECORD).alias("record"), F.col("_metadata.file_path").alias("file_path")
-    )
-    return good, quarantine
+    """(good rows, quarantine): long rows and rows with an open quote are set apart with their text and file."""
 
+    def good(p: Parsed) -> DataFrame:
+        return p.rows.filter(~p.is_long & ~p.is_broken).select(*[F.col(sql.name(n)) for n in p.names])
+
+    def bad(p: Parsed) -> DataFrame:
+        return p.rows.filter(p.is_long | p.is_broken).select(
+            *[F.col(sql.name(n)) for n in p.names], F.col(RECORD).alias("record"), F.col("_metadata.file_path").alias("file_path")
+        )
+
+    return _by_name(spark, path, sep, multiline, good), _by_name(spark, path, sep, multiline, bad)
+
+
+FILES_SCHEMA = "file_path string, n_rows bigint, n_too_long bigint, readable boolean, reason string"
 
-def can_read(spark: SparkSession, path: str, sep: str | None = None) -> bool:
-    """Can the first few rows be read without an error? Looks at no more than these."""
-    try:
-        rows, _, is_long = _parsed(spark, path, sep)
-        return not any(row["is_long"] for row in rows.limit(5).select(is_long.alias("is_long")).collect())
-    except (PySparkException, ValueError):
-        return False
 
+def _plain(path: str) -> str:
+    """One spelling of a file's address: readers and metadata differ in slashes after the scheme."""
+    return re.sub(r"^(\w+):/+", r"\1:/", path)
 
-def readable_files(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
-    """Per file: rows, rows with too many fields and whether it can be read.
 
-    A path that cannot be read at all gives one row that says so.
+def _judged(spark: SparkSession, layout: Layout, expected: set[str], multiline: bool) -> list[tuple]:
+    """One row for each file of a layout, from a scan that has run."""
+    p = _parsed(spark, layout, multiline)
+    columns = set(p.names)
+    counted = (
+        p.rows.select(F.col("_metadata.file_path").alias("f"), p.is_long.alias("long"), p.is_broken.alias("broken"))
+        .groupBy("f")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if("long").alias("long"), F.count_if("broken").alias("broken"))
+        .collect()
+    )
+    found = {_plain(r["f"]): r for r in counted}
+    rows = []
+    for f in layout.files:
+        r = found.get(_plain(f))
+        n, long, broken = (r["n"], r["long"], r["broken"]) if r else (0, 0, 0)
+        reason = (
+            "other columns" if columns != expected
+            else "rows with too many fields" if long
+            else "quote not closed" if broken
+            else ""
+        )
+        rows.append((f, n, long, not reason, reason))
+    return rows
+
+
+def readable_files(spark: SparkSession, path: str, sep: str | None = None, multiline: bool = False) -> DataFrame:
+    """Per file: rows, rows with too many fields and whether it can be read, by reading it.
+
+    Files whose columns differ from those of most files are not readable together with
+    them. Where a scan fails, its files are read one by one, so that a damaged file is a
+    finding and not an error. A path that cannot be read at all gives one row that says so.
     """
     try:
-        rows, _, is_long = _parsed(spark, path, sep)
-    except (AnalysisException, ValueError) as error:
-        return spark.createDataFrame(
-            [(path, 0, 0, False, type(error).__name__)],
-            "file_path string, n_rows bigint, n_too_long bigint, readable boolean, reason string",
-        )
-    too_long = F.col("n_too_long") > 0
-    return (
-        rows.select(F.col("_metadata.file_path").alias("file_path"), is_long.alias("is_long"))
-        .groupBy("file_path")
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("is_long").alias("n_too_long"))
-        .withColumn("readable", ~too_long)
-        .withColumn("reason", F.when(too_long, "rows with too many fields").otherwise(""))
-    )
+        files = sorted(spark.read.text(path).inputFiles())
+    except READ_ERRORS as error:
+        return spark.createDataFrame([(path, 0, 0, False, type(error).__name__)], FILES_SCHEMA)
+    rows: list[tuple] = []
+    heads: dict[str, str] = {}
+    try:
+        heads = _headers(spark, files)
+    except READ_ERRORS:
+        for f in files:
+            try:
+                heads.update(_headers(spark, [f]))
+            except READ_ERRORS as error:
+                rows.append((f, 0, 0, False, type(error).__name__))
+    damaged = {r[0] for r in rows}
+    rows += [(f, 0, 0, False, "no header line") for f in files if f not in heads and f not in damaged]
+    by_header: dict[str, list[str]] = {}
+    for f, h in heads.items():
+        by_header.setdefault(h, []).append(f)
+    expected: set[str] = set()
+    for h, own in sorted(by_header.items(), key=lambda x: (-len(x[1]), x[1])):
+        layout = Layout(sep or _delimiter_of(h), h, tuple(own))
+        for part in (layout, *[Layout(layout.sep, h, (f,)) for f in own]):
+            try:
+                expected = expected or set(_parsed(spark, part, multiline).names)
+                found = _judged(spark, part, expected, multiline)
+            except READ_ERRORS as error:
+                found = [(f, 0, 0, False, type(error).__name__) for f in part.files] if part is not layout else []
+            rows += found
+            if part is layout and found:
+                break
+    return spark.createDataFrame(rows or [(path, 0, 0, False, "no files")], FILES_SCHEMA)
+
+
+def can_read(spark: SparkSession, path: str, sep: str | None = None, multiline: bool = False) -> bool:
+    """Can all rows of all files be read?"""
+    return readable_files(spark, path, sep, multiline).filter(~F.col("readable")).isEmpty()

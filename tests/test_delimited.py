@@ -62,6 +62,52 @@ def test_readability_per_file(spark, tmp_path):
     assert (found["bad.csv"]["n_too_long"], found["bad.csv"]["readable"]) == (1, False)
 
 
+def test_columns_of_several_files_meet_by_name(spark, tmp_path):
+    write(tmp_path / "a.csv", "contact_id;age;balance\n1;40;100\n")
+    write(tmp_path / "b.csv", "contact_id;balance;age\n2;200;41\n")
+    write(tmp_path / "c.csv", 'contact_id,age,balance\n3,"4,2",300\n')
+    rows = delimited.read_delimited(spark, str(tmp_path)).orderBy("contact_id").collect()
+    assert [r.asDict() for r in rows] == [
+        {"contact_id": "1", "age": "40", "balance": "100"},
+        {"contact_id": "2", "age": "41", "balance": "200"},
+        {"contact_id": "3", "age": "4,2", "balance": "300"},
+    ]
+    assert delimited.can_read(spark, str(tmp_path))
+
+
+def test_files_with_other_columns_are_refused(spark, tmp_path):
+    write(tmp_path / "a.csv", "a;b\n1;2\n")
+    write(tmp_path / "b.csv", "a;b\n1;2\n")
+    write(tmp_path / "c.csv", "a;c\n1;2\n")
+    with pytest.raises(ValueError, match="different columns"):
+        delimited.read_delimited(spark, str(tmp_path))
+    found = {r["file_path"].split("/")[-1]: r["reason"] for r in delimited.readable_files(spark, str(tmp_path)).collect()}
+    assert found == {"a.csv": "", "b.csv": "", "c.csv": "other columns"}
+
+
+def test_line_breaks_in_quotes(spark, tmp_path):
+    path = write(tmp_path / "t.csv", 'k;note;n\n1;"a\nb";100\n2;"say ""x""";200\n')
+    with pytest.raises(PySparkException, match="quote not closed"):
+        delimited.read_delimited(spark, path).collect()
+    assert not delimited.can_read(spark, path)
+    rows = delimited.read_delimited(spark, path, multiline=True).collect()
+    assert [tuple(r) for r in rows] == [("1", "a\nb", "100"), ("2", 'say "x"', "200")]
+    assert delimited.can_read(spark, path, multiline=True)
+
+
+def test_damaged_files_are_findings(spark, tmp_path):
+    import gzip
+
+    write(tmp_path / "good.csv", "a;b\n1;2\n")
+    (tmp_path / "no.csv.gz").write_bytes(b"this is no gzip")
+    whole = gzip.compress(b"a;b\n" + b"".join(b"%d;%d\n" % (k * k, k) for k in range(50_000)))
+    (tmp_path / "cut.csv.gz").write_bytes(whole[: len(whole) // 2])
+    write(tmp_path / "blank.csv", "\n\n")
+    found = {r["file_path"].split("/")[-1]: r["readable"] for r in delimited.readable_files(spark, str(tmp_path)).collect()}
+    assert found == {"good.csv": True, "no.csv.gz": False, "cut.csv.gz": False, "blank.csv": False}
+    assert not delimited.can_read(spark, str(tmp_path))
+
+
 def test_unreadable_paths(spark, tmp_path):
     absent = str(tmp_path / "absent.csv")
     assert [r["readable"] for r in delimited.readable_files(spark, absent).collect()] == [False]

@@ -81,11 +81,13 @@ def test_infinite_values_cannot_be_scaled():
         fe.standard_scale(NumericSummary(3, float("inf"), float("nan")))
 
 
-def test_too_many_levels_are_refused(spark, cfg):
-    df = spark.range(50).selectExpr("CAST(id AS STRING) AS job", "'x' AS contact")
-    assert len(fe.fit_levels(df, ["job", "contact"], "nan", 50)["job"]) == 50
-    with pytest.raises(ValueError, match="job"):
-        fe.fit_levels(df, ["job", "contact"], "nan", 49)
+def test_any_number_of_levels_is_encoded(spark):
+    df = spark.range(6000).selectExpr("CAST(id % 5000 AS STRING) AS job", "'x' AS contact")
+    levels = fe.fit_levels(df, ["job", "contact"], "nan")
+    assert len(levels["job"]) == 5000 and len(fe.one_hot("job", levels["job"], "nan")) == 5000
+    rows = fe.one_hot_places(df, "job", "nan").collect()
+    assert len(rows) == 6000
+    assert all((r.job_hot.size, r.job_hot.place) == (5000, levels["job"].index(r.job)) for r in rows[::60])
 
 
 def test_declared_levels_save_a_pass(prepared, cfg):

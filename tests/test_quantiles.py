@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
+from siltworks.operators import quantiles
 from siltworks.operators.quantiles import approximate_quantiles, summarize
 
 PROBS = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
@@ -18,7 +19,7 @@ def expected(values, p):
     at = (len(kept) - 1) * p
     low, high = kept[math.floor(at)], kept[math.ceil(at)]
     with np.errstate(invalid="ignore"):
-        return low if low == high or at == math.floor(at) else low + (high - low) * (at - math.floor(at))
+        return low if low == high else (math.ceil(at) - at) * low + (at - math.floor(at)) * high
 
 
 def same(a, b):
@@ -45,37 +46,62 @@ SAMPLES = {
 @pytest.mark.parametrize("buckets", [16, 256])
 def test_histogram_passes_are_exact(spark, name, buckets):
     values = list(SAMPLES[name]) + [None] * 5
-    summary = summarize(frame(spark, values), {"v": "v"}, {"v": "v"}, PROBS, buckets, one_task_values=0)["v"]
+    summary = summarize(frame(spark, values), {"v": "v"}, {"v": "v"}, PROBS, buckets)["v"]
     assert summary.n == len(values) - 5
     for p in PROBS:
         assert same(summary.quantiles[p], expected(values, p)), p
 
 
-@pytest.mark.parametrize("name", ["cents", "third_of_all_rows", "few", "one"])
-def test_both_ways_agree(spark, name):
+@pytest.mark.parametrize("name", SAMPLES)
+def test_equal_to_percentile_to_the_last_bit(spark, name):
     df = frame(spark, SAMPLES[name])
-    by_passes = summarize(df, {"v": "v"}, one_task_values=0)["v"].quantiles
-    in_one_task = summarize(df, {"v": "v"})["v"].quantiles
-    assert by_passes == pytest.approx(in_one_task, rel=1e-12)
+    found = summarize(df, {"v": "v"}, probabilities=PROBS)["v"].quantiles
+    wanted = df.selectExpr(f"percentile(v, array({', '.join(map(str, PROBS))}))").first()[0]
+    assert all(same(found[p], w) for p, w in zip(PROBS, wanted))
+
+
+def test_fences_of_random_samples_equal_percentile(spark):
+    draw = np.random.default_rng(3)
+    for _ in range(4):
+        df = frame(spark, np.round(draw.lognormal(8, 1, 700), 2))
+        found = summarize(df, {"v": "v"})["v"].quantiles
+        assert [found[p] for p in (0.25, 0.5, 0.75)] == df.selectExpr("percentile(v, array(0.25, 0.5, 0.75))").first()[0]
+
+
+@pytest.mark.parametrize("decades", [3, 60, 300])
+def test_passes_are_bounded_for_any_magnitudes(spark, monkeypatch, decades):
+    passes = []
+    narrow = quantiles._narrow
+    monkeypatch.setattr(quantiles, "_narrow", lambda *a: passes.append(1) or narrow(*a))
+    df = spark.range(0, 60_000, 1, 4).selectExpr(f"pow(10D, {decades} * (id / 60000D) - {decades / 2}) * CASE WHEN id % 3 = 0 THEN -1 ELSE 1 END AS v")
+    found = summarize(df, {"v": "v"})["v"].quantiles
+    assert len(passes) <= 7
+    assert [found[p] for p in (0.25, 0.5, 0.75)] == df.selectExpr("percentile(v, array(0.25, 0.5, 0.75))").first()[0]
+
+
+def test_two_hundred_columns(spark):
+    columns = {f"c{k}": f"CAST(id * {k + 1} AS DOUBLE)" for k in range(200)}
+    found = summarize(spark.range(0, 3001, 1, 3), columns, {"m": "CAST(id AS DOUBLE)"})
+    assert all(found[f"c{k}"].quantiles == {0.25: 750.0 * (k + 1), 0.5: 1500.0 * (k + 1), 0.75: 2250.0 * (k + 1)} for k in range(200))
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(allow_nan=False, allow_infinity=True, width=32), min_size=1, max_size=40))
 def test_any_values(spark, values):
-    summary = summarize(frame(spark, values, 2), {"v": "v"}, probabilities=PROBS, buckets=16, one_task_values=0)["v"]
+    summary = summarize(frame(spark, values, 2), {"v": "v"}, probabilities=PROBS, buckets=16)["v"]
     for p in PROBS:
         assert same(summary.quantiles[p], expected(values, p)), p
 
 
 def test_no_values(spark):
-    summary = summarize(frame(spark, [None, None]), {"v": "v"}, {"v": "v"}, one_task_values=0)["v"]
+    summary = summarize(frame(spark, [None, None]), {"v": "v"}, {"v": "v"})["v"]
     assert (summary.n, summary.mean, summary.quantiles[0.5]) == (0, None, None)
     assert summarize(frame(spark, []), {"v": "v"})["v"].quantiles[0.5] is None
 
 
 def test_columns_of_different_sizes_share_the_passes(spark):
     df = spark.range(1000).selectExpr("CAST(id AS DOUBLE) AS a", "CAST(CASE WHEN id < 10 THEN id END AS DOUBLE) AS b")
-    both = summarize(df, {"a": "a", "b": "b"}, one_task_values=100)
+    both = summarize(df, {"a": "a", "b": "b"})
     assert both["a"].quantiles[0.5] == 499.5 and both["b"].quantiles[0.5] == 4.5
 
 
