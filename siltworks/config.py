@@ -89,6 +89,9 @@ class PrepConfig:
     cyclic_numbers: Mapping[str, int] = _frozen(day=31)
     cyclic_names: Mapping[str, tuple[str, ...]] = _frozen(month=MONTHS)
 
+    #: both are 1 for a contact with a double debt
+    debt_columns: tuple[str, ...] = ("housing", "loan")
+
     published_names: Mapping[str, str] = _frozen(default="default_flag", deposit="y")
 
     @property

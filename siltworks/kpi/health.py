@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from siltworks.config import PHASES, RED, REPORT_VERSION, CostModel, Thresholds
 from siltworks.functions.lights import light_points, score_light
 from siltworks.kpi.availability import availability_light, registry_aggregates, with_rates
 from siltworks.kpi.cost import with_cost, with_unit_economics
-from siltworks.kpi.performance import performance, secs
+from siltworks.kpi.performance import performance, run_keys, secs
 from siltworks.operators.validate import ERROR, WARNING
 
 LAST_RUN = (
@@ -18,6 +18,8 @@ LAST_RUN = (
     "ts",
     "status",
     "rows_processed",
+    "input_bytes",
+    "output_bytes",
     "total_secs",
     *[secs(p) for p in PHASES],
     *[f"{p}_light" for p in PHASES],
@@ -36,13 +38,18 @@ LAST_RUN = (
 )
 
 
+# of the quality figures, what the score and the alerts read; the report shows the others too
+COUNTED = ("n_rows", "n_class")
+QUALITY_FACTS = ("pipeline_id", "quality_score", "light", "x_null_pct", "types_ok", "aligned")
+
+
 def run_figures(
     phases: DataFrame, runs: DataFrame, limits: Thresholds, model: CostModel, n_features: int
 ) -> DataFrame:
     """Performance and cost of every run."""
     timed = performance(phases, runs, limits, n_features).drop("rows_processed").withColumnRenamed("light", "performance_light")
     costed = with_unit_economics(with_cost(runs, model, limits), model).withColumnRenamed("light", "cost_light")
-    return costed.join(timed, "run_id")
+    return costed.join(timed, run_keys(phases))
 
 
 def pipeline_figures(
@@ -64,6 +71,9 @@ def pipeline_figures(
         "x_null_pct",
         "types_ok",
         "aligned",
+        F.struct(*[c for c in quality.columns if c not in QUALITY_FACTS]).alias("quality_details")
+        if set(quality.columns) - set(QUALITY_FACTS)
+        else F.lit(None).alias("quality_details"),
     )
     known = with_rates(counted).select(
         "*", available.alias("source_available"), readable.alias("source_readable")
@@ -131,15 +141,23 @@ def pipeline_alerts(figures: DataFrame) -> DataFrame:
 
 
 def check_alerts(checks: DataFrame) -> DataFrame:
-    """Failed semantic warnings and structural errors; semantic errors only change the run status."""
+    """Failed semantic warnings and structural errors; semantic errors only change the run status.
+
+    A structural check that fails for several columns is one finding; its value is then
+    the number of columns.
+    """
     semantic = (F.col("scope") == "semantic") & (F.col("severity") == WARNING)
     structural = (F.col("scope") == "structural") & (F.col("severity") == ERROR)
-    named = F.concat_ws(":", "check_name", "column_name")
-    return checks.filter(~F.col("ok") & (semantic | structural)).select(
-        F.lit(None).cast("bigint").alias("pipeline_id"),
-        F.concat_ws(":", F.when(semantic, "semantic").otherwise("structural"), named).alias("alert"),
-        F.when(semantic, "warning").otherwise("critical").alias("level"),
-        "value",
+    column = F.when(semantic, F.col("column_name"))
+    own_value = F.when(semantic | F.col("column_name").isNull(), F.col("value"))
+    return (
+        checks.filter(~F.col("ok") & (semantic | structural))
+        .groupBy(
+            F.concat_ws(":", F.when(semantic, "semantic").otherwise("structural"), "check_name", column).alias("alert"),
+            F.when(semantic, "warning").otherwise("critical").alias("level"),
+        )
+        .agg(F.coalesce(F.max(own_value), F.count("column_name").cast("double")).alias("value"))
+        .select(F.lit(None).cast("bigint").alias("pipeline_id"), "alert", "level", "value")
     )
 
 
@@ -180,17 +198,30 @@ def summary(scored: DataFrame, n_features: int, found: Sequence[Row] = ()) -> Da
 
 
 def report(
-    scored: DataFrame, n_features: int, source: str, found: Sequence[Row] = (), version: str = REPORT_VERSION
+    scored: DataFrame,
+    n_features: int,
+    source: str,
+    found: Sequence[Row] = (),
+    version: str = REPORT_VERSION,
+    verdicts: Mapping[str, str] | None = None,
+    load: Row | None = None,
+    source_bytes: int | None = None,
+    model: CostModel = CostModel(),
 ) -> DataFrame:
     """The consolidated report: one nested record per pipeline.
 
-    ``found`` are alerts of ``check_alerts``, of which there are at most a few per column.
+    ``found`` are alerts of ``check_alerts``, of which there are at most a few per column;
+    ``verdicts`` the status of both validations and ``load`` the row of a load report,
+    where the run got that far.
     """
-    last = F.col("last")
+    last, verdicts = F.col("last"), verdicts or {}
 
     def part(**columns: Column | str) -> Column:
         return F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()])
 
+    details = scored.schema["quality_details"].dataType
+    names = details.names if isinstance(details, T.StructType) else []
+    loaded = load.asDict() if load is not None else {"status": "N/A"}
     return scored.select(
         "pipeline_id",
         part(
@@ -202,6 +233,8 @@ def report(
         part(
             available="source_available",
             readable="source_readable",
+            source=F.lit(source),
+            source_bytes=F.lit(source_bytes).cast("bigint"),
             status=last["status"],
             n_runs="n_runs",
             n_success="n_success",
@@ -221,7 +254,14 @@ def report(
             light=last["performance_light"],
         ).alias("performance"),
         part(
-            score="quality_score", x_null_pct="x_null_pct", types_ok="types_ok", aligned="aligned", light="quality_light"
+            score="quality_score",
+            x_null_pct="x_null_pct",
+            types_ok="types_ok",
+            aligned="aligned",
+            light="quality_light",
+            structural_status=F.lit(verdicts.get("structural", "N/A")),
+            semantic_status=F.lit(verdicts.get("semantic", "N/A")),
+            **{n: F.col("quality_details")[n] for n in names},
         ).alias("quality"),
         part(
             compute_usd=last["compute_usd"],
@@ -231,13 +271,23 @@ def report(
             usd_per_1k_rows=last["usd_per_1k_rows"],
             rows_per_cent=last["rows_per_cent"],
             efficiency_score=last["efficiency_score"],
+            rows_processed=last["rows_processed"],
+            n_features=F.lit(n_features),
+            input_bytes=last["input_bytes"],
+            output_bytes=last["output_bytes"],
+            compute_usd_per_hour=F.lit(model.compute_usd_per_hour),
+            io_usd_per_gb=F.lit(model.io_usd_per_gb),
+            storage_usd_per_gb_month=F.lit(model.storage_usd_per_gb_month),
+            overhead_factor=F.lit(model.overhead_factor),
             light=last["cost_light"],
         ).alias("cost"),
+        part(**{n: F.lit(v).cast("bigint") if n.startswith(COUNTED) else F.lit(v) for n, v in loaded.items()}).alias("load"),
         part(
             health_score="health_score",
             light="health_light",
             alerts=_all_alerts(found),
             n_alerts=F.size(_all_alerts(found)),
+            status=last["status"],
             rows_processed=last["rows_processed"],
             n_features=F.lit(n_features),
         ).alias("summary"),

@@ -21,18 +21,29 @@ def secs(phase: str) -> str:
     return f"{phase}_secs"
 
 
+def run_keys(phases: DataFrame) -> list[str]:
+    """What tells runs apart: numbers of runs may repeat among pipelines."""
+    return [c for c in ("pipeline_id", "run_id") if c in phases.columns]
+
+
+def _spent() -> list[Column]:
+    name = F.col("phase")
+    return [
+        F.round(F.coalesce(F.sum(F.when(name.isin(*parts), F.col("secs"))), F.lit(0.0)), 4).alias(secs(phase))
+        for phase, parts in PHASE_PARTS.items()
+    ]
+
+
+def _total() -> Column:
+    return F.round(sum((F.col(secs(p)) for p in PHASES[1:]), F.col(secs(PHASES[0]))), 4)
+
+
 def phase_rollup(phases: DataFrame) -> DataFrame:
     """One row per run with the seconds of each reported phase; an absent phase took 0.0.
 
     Conditional sums need one shuffle with partial sums, where a pivot would need two.
     """
-    name = F.col("phase")
-    spent = {
-        phase: F.round(F.coalesce(F.sum(F.when(name.isin(*parts), F.col("secs"))), F.lit(0.0)), 4)
-        for phase, parts in PHASE_PARTS.items()
-    }
-    per_run = phases.groupBy("run_id").agg(*[c.alias(secs(phase)) for phase, c in spent.items()])
-    return per_run.withColumn("total_secs", F.round(sum((F.col(secs(p)) for p in PHASES[1:]), F.col(secs(PHASES[0]))), 4))
+    return phases.groupBy(*run_keys(phases)).agg(*_spent()).withColumn("total_secs", _total())
 
 
 def per_second(amount: Column, seconds: Column) -> Column:
@@ -70,7 +81,8 @@ def total_light(limits: Thresholds) -> Column:
 
 def performance(phases: DataFrame, runs: DataFrame, limits: Thresholds, n_features: int) -> DataFrame:
     """All performance figures per run. Both sides come hashed by run, so the join adds no shuffle."""
-    joined = phase_rollup(phases).join(runs.select("run_id", "rows_processed"), "run_id")
+    keys = run_keys(phases)
+    joined = phase_rollup(phases).join(runs.select(*keys, "rows_processed"), keys)
     lights = {f"{p}_light": phase_light(p, limits) for p in PHASES}
     return (
         with_throughput(joined, F.col("rows_processed"), n_features)
@@ -83,12 +95,12 @@ def complete_phases(phases: DataFrame) -> DataFrame:
 
     A run that stopped before its last phase is kept and counts as an error.
     """
-    recorded = phases.groupBy("run_id").agg(
+    recorded = [
         F.count_if(F.col("phase").isin(*RAW_PHASES)).alias("n_recorded"),
         F.count_if(F.col("status") == "error").alias("n_failed"),
-    )
+    ]
     missing = F.lit(len(RAW_PHASES)) - F.col("n_recorded")
-    return phase_rollup(phases).join(recorded, "run_id").withColumns(
+    return phases.groupBy(*run_keys(phases)).agg(*_spent(), *recorded).withColumn("total_secs", _total()).withColumns(
         {
             "n_absent": missing,
             "partial": missing > 0,
@@ -100,21 +112,8 @@ def complete_phases(phases: DataFrame) -> DataFrame:
     )
 
 
-def run_outcomes(phases: DataFrame) -> DataFrame:
-    """Per run what ``run_status`` needs: did a phase raise, and how did the validations end.
-
-    A failed or absent phase other than the validations means an exception.
-    """
-    name, failed = F.col("phase"), F.col("status") == "error"
-    validations = PHASE_PARTS["validacion"]
-
-    def verdict(phase: str) -> Column:
-        return F.when(F.count_if((name == phase) & failed) > 0, "ERROR").otherwise("OK")
-
-    return phases.groupBy("run_id").agg(
-        (
-            (F.count_if(~name.isin(*validations) & failed) > 0) | (F.count(F.lit(1)) < len(RAW_PHASES))
-        ).alias("raised"),
-        verdict(validations[0]).alias("structural"),
-        verdict(validations[1]).alias("semantic"),
-    )
+def raised(phases: DataFrame) -> DataFrame:
+    """Per run: did a phase raise? A phase with an error, or one that was never reached, says so."""
+    failed = F.count_if(F.col("status") == "error") > 0
+    absent = F.count_if(F.col("phase").isin(*RAW_PHASES)) < len(RAW_PHASES)
+    return phases.groupBy(*run_keys(phases)).agg((failed | absent).alias("raised"))

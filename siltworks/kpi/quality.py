@@ -220,9 +220,13 @@ def quality(
     limits: Thresholds,
     by: Sequence[str] = (),
     targets: DataFrame | None = None,
+    details: bool = False,
 ) -> DataFrame:
     """All quality figures, their penalties, the score and its light; one row per group.
 
+    ``details`` adds what a report shows besides: class shares, the invalid columns, and
+    outliers and marked rows by flag.
+
     ``features`` carries the target of each row, so both are aligned unless a separate
     table of ``targets`` is given to compare with. A table that a failed run did not get
     to write is ``None`` and scored like an empty one.
@@ -279,4 +283,19 @@ def quality(
         "lost_points",
         "quality_score",
         score_light(F.col("quality_score"), limits).alias("light"),
+        *(_details(clean, cfg) if details else ()),
     )
+
+
+def _details(clean: DataFrame | None, cfg: PrepConfig) -> list[Column]:
+    present = [f for f in cfg.flags if clean is not None and f in clean.columns]
+    shares = {f: percent(F.col(f"n_{f}"), F.col("clean_rows"), 2) for f in present}
+    return [
+        "class_0_pct",
+        "class_1_pct",
+        "imbalance_ratio",
+        F.array_join(F.array_sort(invalid_columns(F.col("profile"))), ",").alias("invalid_columns"),
+        *[shares[f].alias(f"outlier_pct_{c}") for c, f in cfg.outlier_flags.items() if f in shares],
+        *[F.coalesce(f"n_{f}", F.lit(0)).alias(f"n_{f}") for f in present],
+        *[shares[f].alias(f"pct_{f}") for f in present],
+    ]

@@ -323,7 +323,7 @@ ROW_COUNTS = check(
 NULL_PCT = f"ROUND(CAST({NULLS} AS DOUBLE) / ({COUNTS['features']} * {len(FEATURES)}) * 100, 4)"
 NULL_CELLS = [
     check("structural", "null_cells", NULLS, "ERROR", f"{NULLS} = 0"),
-    check("structural", "null_pct", NULL_PCT, "ERROR", f"{NULLS} = 0"),
+    check("structural", "null_pct", NULL_PCT, "INFO", f"{NULLS} = 0"),
 ]
 oracle("check_row_counts", TO_FEATURES, ROW_COUNTS)
 oracle("check_null_cells", TO_FEATURES, " UNION ALL ".join(NULL_CELLS))
@@ -428,7 +428,7 @@ oracle("publish_projection", TO_CLEAN, published("cleaned", BINARY + FLAGS))
 oracle(
     "keyed_upsert",
     [*TO_TIDY, f"published AS ({published('tidy', BINARY)})"],
-    "SELECT * REPLACE (CASE WHEN loan = 1 THEN campaign + 1 ELSE campaign END AS campaign) FROM published WHERE housing = 1 OR loan = 1",
+    "SELECT * REPLACE (CASE WHEN loan = 1 THEN campaign + 1 ELSE campaign END AS campaign) FROM published",
 )
 oracle(
     "load_report",
@@ -458,7 +458,7 @@ PHASE_METRICS = """phase_metrics AS MATERIALIZED (
 def run_log(pipelines: int = 20) -> str:
     return f"""run_log AS MATERIALIZED (
   SELECT run_id, run_id % {pipelines} AS pipeline_id, MIN(ts) AS ts,
-    CASE WHEN COUNT(*) FILTER (status = 'error') >= 3 THEN 'error' WHEN COUNT(*) FILTER (status = 'error') = 2 THEN 'warning'
+    CASE WHEN COUNT(*) < 6 OR COUNT(*) FILTER (status = 'error') >= 3 THEN 'error' WHEN COUNT(*) FILTER (status = 'error') = 2 THEN 'warning'
       ELSE 'success' END AS status,
     ROUND(SUM(secs), 6) AS secs, 1000 + run_id % 5000 AS rows_processed,
     (1000 + run_id % 5000) * 80 AS input_bytes, (1000 + run_id % 5000) * 280 AS output_bytes
@@ -506,7 +506,7 @@ oracle("run_registry", TO_RUNS, "SELECT * FROM registry")
 oracle(
     "run_history_last_n",
     [PHASE_METRICS, run_log(5)],
-    "SELECT pipeline_id, run_id, status, secs, CAST(age AS INTEGER) AS age FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY pipeline_id "
+    "SELECT pipeline_id, run_id, STRFTIME(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, status, secs, CAST(age AS INTEGER) AS age FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY pipeline_id "
     "ORDER BY ts DESC, run_id DESC) AS age FROM run_log) WHERE age <= 100",
 )
 oracle("availability_rates", TO_RUNS, f"SELECT *, {RATES} FROM registry")
@@ -514,26 +514,32 @@ oracle("kpi_availability", [*TO_RUNS, AVAILABILITY], "SELECT * FROM availability
 oracle("phase_rollup", [PHASE_METRICS, ROLLUP], "SELECT * FROM rollup_")
 PER_SECOND = (
     "CASE WHEN total_secs > 0 THEN ROUND(CAST(rows_processed AS DOUBLE) / total_secs, 1) ELSE 0e0 END AS rows_per_sec, "
-    "CASE WHEN total_secs > 0 THEN ROUND(35e0 / total_secs, 1) ELSE 0e0 END AS features_per_sec"
+    "CASE WHEN total_secs > 0 THEN ROUND(CAST(n_features AS DOUBLE) / total_secs, 1) ELSE 0e0 END AS features_per_sec"
+)
+# features that any table has, and one for each level that occurs
+SINGLE = len([f for f in FEATURES if not f.startswith(("job_", "marital_", "contact_", "poutcome_"))])
+WIDTH = (
+    f"width AS MATERIALIZED (SELECT {SINGLE} + COUNT(DISTINCT job) + COUNT(DISTINCT marital) + COUNT(DISTINCT contact) "
+    "+ COUNT(DISTINCT poutcome) AS n_features FROM tidy)"
 )
 oracle(
     "throughput",
-    [PHASE_METRICS, run_log(), ROLLUP],
-    f"SELECT run_id, total_secs, rows_processed, {PER_SECOND} FROM rollup_ JOIN run_log USING (run_id)",
+    [*TO_TIDY, WIDTH, PHASE_METRICS, run_log(), ROLLUP],
+    f"SELECT run_id, total_secs, rows_processed, {PER_SECOND} FROM rollup_ JOIN run_log USING (run_id), width",
 )
 oracle("slowest_phase", [PHASE_METRICS, ROLLUP], f"SELECT run_id, {SLOWEST} AS slowest_phase FROM rollup_")
 PERFORMANCE = (
     f"performance AS MATERIALIZED (SELECT r.*, rows_processed, {PER_SECOND}, "
     + cols([f"{traffic(f'{p}_secs', LIMIT[p] * 0.6, LIMIT[p], True)} AS {p}_light" for p in PHASES])
-    + f", {SLOWEST} AS slowest_phase, {traffic('total_secs', 60, 120, True)} AS light FROM rollup_ r JOIN run_log USING (run_id))"
+    + f", {SLOWEST} AS slowest_phase, {traffic('total_secs', 60, 120, True)} AS light FROM rollup_ r JOIN run_log USING (run_id), width)"
 )
-oracle("kpi_performance", [PHASE_METRICS, run_log(), ROLLUP, PERFORMANCE], "SELECT * FROM performance")
+oracle("kpi_performance", [*TO_TIDY, WIDTH, PHASE_METRICS, run_log(), ROLLUP, PERFORMANCE], "SELECT * FROM performance")
 COST = f"""costs AS MATERIALIZED (SELECT *, {traffic('total_usd', 0.05, 0.1, True)} AS light FROM (
   SELECT *, ROUND(compute_usd + io_usd + storage_usd, 8) AS total_usd FROM (
     SELECT *, ROUND(secs / 3600 * 0.095e0 * 1.15e0, 8) AS compute_usd,
       ROUND(input_bytes / 1073741824e0 * 0.01e0, 8) AS io_usd, ROUND(output_bytes / 1073741824e0 * 0.02e0, 8) AS storage_usd
     FROM run_log)))"""
-oracle("cost_attribution", [PHASE_METRICS, run_log(), COST], "SELECT * EXCLUDE (ts) FROM costs")
+oracle("cost_attribution", [PHASE_METRICS, run_log(), COST], "SELECT * REPLACE (STRFTIME(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts) FROM costs")
 oracle(
     "cost_unit_economics",
     [PHASE_METRICS, run_log(), COST],
@@ -541,16 +547,15 @@ oracle(
     "CASE WHEN rows_processed > 0 THEN ROUND(total_usd / (CAST(rows_processed AS DOUBLE) / 1000), 8) ELSE 0e0 END AS usd_per_1k_rows, "
     "CASE WHEN total_usd > 0 THEN ROUND(rows_processed / (total_usd * 100), 1) ELSE 0e0 END AS rows_per_cent FROM costs)",
 )
+STATUSES = """statuses AS MATERIALIZED (SELECT scope, CASE WHEN COUNT(*) FILTER (NOT ok AND severity = 'ERROR') > 0 THEN 'ERROR'
+  WHEN COUNT(*) FILTER (NOT ok AND severity = 'WARNING') > 0 THEN 'WARNING' ELSE 'OK' END AS status FROM checks GROUP BY scope)"""
 oracle(
-    "run_status",
-    [PHASE_METRICS],
+    "pipeline_status",
+    [*TO_FEATURES, CHECKS, STATUSES, PHASE_METRICS],
     "SELECT *, CASE WHEN raised THEN 'error' WHEN structural = 'ERROR' OR semantic = 'ERROR' THEN 'warning' ELSE 'success' END AS status "
-    "FROM (SELECT run_id, (COUNT(*) FILTER (phase NOT LIKE 'validacion%' AND status = 'error') > 0 OR COUNT(*) < 6) AS raised, "
-    + ", ".join(
-        f"CASE WHEN COUNT(*) FILTER (phase = 'validacion_{p}' AND status = 'error') > 0 THEN 'ERROR' ELSE 'OK' END AS {n}"
-        for p, n in (("estructural", "structural"), ("semantica", "semantic"))
-    )
-    + " FROM phase_metrics GROUP BY run_id)",
+    "FROM (SELECT run_id, COUNT(*) FILTER (status = 'error') > 0 OR COUNT(*) < 6 AS raised, "
+    "(SELECT status FROM statuses WHERE scope = 'structural') AS structural, "
+    "(SELECT status FROM statuses WHERE scope = 'semantic') AS semantic FROM phase_metrics GROUP BY run_id)",
 )
 oracle(
     "kpi_partial_run",
@@ -581,6 +586,11 @@ VALID_COUNT = " + ".join(
 )
 
 
+INVALID_LIST = "ARRAY_TO_STRING(LIST_SORT(LIST_FILTER([" + ", ".join(
+    f"CASE WHEN COUNT({q(c)}) < COUNT(*) OR (COUNT({q(c)}) > 1 AND MIN({q(c)}) = MAX({q(c)})) THEN '{c}' END" for c in FEATURES
+) + "], lambda x: x IS NOT NULL)), ',')"
+
+
 def quality_sql(grouped: bool) -> str:
     """CTEs ending in ``scored`` with one row per batch, or one for the whole table."""
     key = "pipeline_id" if grouped else "0"
@@ -588,10 +598,11 @@ def quality_sql(grouped: bool) -> str:
     outliers = cols(
         [f"ROUND(CAST(SUM({f}) AS DOUBLE) / COUNT(*) * 100, 2) AS pct_{c}" for c, f in OUTLIERS.items()]
     )
+    marked = cols([f"CAST(SUM({f}) AS BIGINT) AS n_{f}, ROUND(CAST(SUM({f}) AS DOUBLE) / COUNT(*) * 100, 2) AS pct_{f}" for f in FLAGS])
     outlier_points = " + ".join(points(traffic(f"pct_{c}", 5, 15, True), 10, 5) for c in OUTLIERS)
     return f"""raw_side AS (SELECT {key} AS g, {null_share('typed', ALL)} AS raw_null FROM {raw} GROUP BY 1),
-clean_side AS (SELECT {key} AS g, {null_share('cleaned', ALL + FLAGS)} AS clean_null, {outliers} FROM {clean} GROUP BY 1),
-x_side AS (SELECT {key} AS g, COUNT(*) AS n_rows, {null_share('features', FEATURES)} AS x_null, {VALID_COUNT} AS n_invalid,
+clean_side AS (SELECT {key} AS g, {null_share('cleaned', ALL + FLAGS)} AS clean_null, {outliers}, {marked} FROM {clean} GROUP BY 1),
+x_side AS (SELECT {key} AS g, COUNT(*) AS n_rows, {null_share('features', FEATURES)} AS x_null, {VALID_COUNT} AS n_invalid, {INVALID_LIST} AS invalid_columns, COUNT(*) FILTER (y = 0) AS n0, COUNT(*) FILTER (y = 1) AS n1,
   LEAST(CASE WHEN COUNT(*) FILTER (y = 0) > 0 THEN COUNT(*) FILTER (y = 0) END, CASE WHEN COUNT(*) FILTER (y = 1) > 0 THEN
   COUNT(*) FILTER (y = 1) END) / CAST(COUNT(y) AS DOUBLE) * 100 AS minority FROM {x} GROUP BY 1),
 lit AS (SELECT *, {traffic('x_null', 0, 1, True)} AS null_light, {traffic('minority', 20, 10, False)} AS class_light,
@@ -660,7 +671,7 @@ oracle(
 
 # ---- health -------------------------------------------------------------------
 
-TO_HEALTH = [*TO_FEATURES, quality_sql(True), *TO_RUNS, AVAILABILITY, ROLLUP, PERFORMANCE, COST]
+TO_HEALTH = [*TO_FEATURES, WIDTH, quality_sql(True), *TO_RUNS, AVAILABILITY, ROLLUP, PERFORMANCE, COST]
 POINTS = "(CASE {0} WHEN 'verde' THEN 100 WHEN 'amarillo' THEN 60 ELSE 0 END)"
 HEALTH = f"""parts AS MATERIALIZED (SELECT a.pipeline_id, a.light AS a_light, p.light AS p_light, c.light AS c_light, s.light AS q_light,
   a.success_pct, p.total_secs, c.total_usd, ROUND(s.x_null, 4) AS x_null_pct, {POINTS.format('a.light')} AS availability_score,
@@ -681,24 +692,64 @@ RULES = [
     ("x_null_pct > 0", "nulls_in_features", "x_null_pct"),
     ("c_light = 'rojo'", "cost_red", "total_usd"),
 ]
+CHECK_ALERTS = """check_alerts AS MATERIALIZED (SELECT CONCAT_WS(':', scope, check_name, CASE scope WHEN 'semantic' THEN column_name END) AS alert,
+  CASE scope WHEN 'semantic' THEN 'warning' ELSE 'critical' END AS level,
+  COALESCE(MAX(value) FILTER (scope = 'semantic' OR column_name IS NULL), CAST(COUNT(column_name) AS DOUBLE)) AS value
+  FROM checks WHERE NOT ok AND ((scope = 'semantic' AND severity = 'WARNING') OR (scope = 'structural' AND severity = 'ERROR')) GROUP BY 1, 2)"""
 oracle(
     "alerts",
-    [*TO_HEALTH, HEALTH, CHECKS],
+    [*TO_HEALTH, HEALTH, CHECKS, CHECK_ALERTS],
     " UNION ALL ".join(
         [
             f"SELECT pipeline_id, '{name}' AS alert, 'red' AS level, ROUND(CAST({value} AS DOUBLE), 6) AS value FROM healthy WHERE {test}"
             for test, name, value in RULES
         ]
-        + [
-            "SELECT NULL, CONCAT_WS(':', scope, check_name, column_name), CASE scope WHEN 'semantic' THEN 'warning' ELSE 'critical' END, "
-            "ROUND(value, 6) FROM checks WHERE NOT ok AND ((scope = 'semantic' AND severity = 'WARNING') OR (scope = 'structural' AND severity = 'ERROR'))"
-        ]
+        + ["SELECT NULL, alert, level, ROUND(value, 6) FROM check_alerts"]
     ),
 )
 oracle(
     "kpi_summary",
-    [*TO_HEALTH, HEALTH],
+    [*TO_HEALTH, HEALTH, CHECKS, CHECK_ALERTS],
     "SELECT pipeline_id, health_score, health_light, availability_score, performance_score, quality_score, cost_score, "
     + " + ".join(f"(CASE WHEN {test} THEN 1 ELSE 0 END)" for test, _, _ in RULES)
-    + " AS n_alerts, status, rows_processed, 35 AS n_features FROM healthy",
+    + " + (SELECT CAST(COUNT(*) AS INTEGER) FROM check_alerts) AS n_alerts, status, rows_processed, "
+    "(SELECT CAST(n_features AS INTEGER) FROM width) AS n_features FROM healthy",
+)
+oracle(
+    "kpi_report_json",
+    [*TO_HEALTH, HEALTH, CHECKS, CHECK_ALERTS, STATUSES],
+    "SELECT h.pipeline_id, TRUE AS availability_available, TRUE AS availability_readable, a.last_status AS availability_status, "
+    + cols([f"a.{c} AS availability_{c}" for c in ("n_runs", "n_success", "n_warning", "n_error", "success_pct", "availability_pct", "light")])
+    + ", "
+    + cols([f"ROUND(p.{c}, 6) AS performance_{c}" for c in ("total_secs", *[f"{x}_secs" for x in PHASES], "rows_per_sec", "features_per_sec")])
+    + ", "
+    + cols([f"p.{c} AS performance_{c}" for c in (*[f"{x}_light" for x in PHASES], "slowest_phase", "light")])
+    + ", s.quality_score AS quality_score, s.light AS quality_light, TRUE AS quality_types_ok, TRUE AS quality_aligned, "
+    "ROUND(s.x_null, 4) AS quality_x_null_pct, ROUND(s.raw_null, 4) AS quality_raw_null_pct, ROUND(s.clean_null, 4) AS quality_clean_null_pct, "
+    "s.n_rows AS quality_n_rows, s.lost_points AS quality_lost_points, s.outlier_penalty AS quality_outlier_penalty, "
+    "ROUND(CAST(s.n0 AS DOUBLE) / (s.n0 + s.n1) * 100, 2) AS quality_class_0_pct, ROUND(CAST(s.n1 AS DOUBLE) / (s.n0 + s.n1) * 100, 2) AS quality_class_1_pct, "
+    "ROUND(CAST(GREATEST(s.n0, s.n1) AS DOUBLE) / LEAST(s.n0, s.n1), 2) AS quality_imbalance_ratio, "
+    + cols([f"s.{c} AS quality_{c}" for c in ("null_light", "class_light", "valid_columns_pct", "columns_light", "invalid_columns")])
+    + ", "
+    + cols([f"s.pct_{c} AS quality_outlier_pct_{c}" for c in OUTLIERS])
+    + ", "
+    + cols([f"s.n_{f} AS quality_n_{f}, s.pct_{f} AS quality_pct_{f}" for f in FLAGS])
+    + ", (SELECT status FROM statuses WHERE scope = 'structural') AS quality_structural_status, "
+    "(SELECT status FROM statuses WHERE scope = 'semantic') AS quality_semantic_status, "
+    + cols([f"ROUND(c.{x}, 6) AS cost_{x}" for x in ("compute_usd", "io_usd", "storage_usd", "total_usd")])
+    + ", ROUND(ROUND(c.total_usd / (CAST(c.rows_processed AS DOUBLE) / 1000), 8), 6) AS cost_usd_per_1k_rows, "
+    "ROUND(c.rows_processed / (c.total_usd * 100), 1) AS cost_rows_per_cent, "
+    "LEAST(100e0, ROUND(ROUND(c.rows_processed / (c.total_usd * 100), 1) / 10000 * 100, 1)) AS cost_efficiency_score, "
+    "c.light AS cost_light, c.rows_processed AS cost_rows_processed, c.input_bytes AS cost_input_bytes, c.output_bytes AS cost_output_bytes, "
+    "CAST(w.n_features AS INTEGER) AS cost_n_features, 0.095e0 AS cost_compute_usd_per_hour, 0.01e0 AS cost_io_usd_per_gb, "
+    "0.02e0 AS cost_storage_usd_per_gb_month, 1.15e0 AS cost_overhead_factor, "
+    "'OK' AS load_status, (SELECT COUNT(*) FROM features) AS load_n_rows_features, CAST(w.n_features AS INTEGER) AS load_n_features, "
+    "(SELECT COUNT(*) FROM cleaned) AS load_n_rows_target, (SELECT COUNT(*) FROM cleaned WHERE deposit = 0) AS load_n_class_0, "
+    "(SELECT COUNT(*) FROM cleaned WHERE deposit = 1) AS load_n_class_1, TRUE AS load_aligned, "
+    "h.health_score AS summary_health_score, h.health_light AS summary_light, "
+    + " + ".join(f"(CASE WHEN h.{test} THEN 1 ELSE 0 END)" for test, _, _ in RULES)
+    + " + (SELECT CAST(COUNT(*) AS INTEGER) FROM check_alerts) AS summary_n_alerts, a.last_status AS summary_status, "
+    "h.rows_processed AS summary_rows_processed, CAST(w.n_features AS INTEGER) AS summary_n_features "
+    "FROM healthy h JOIN availability a USING (pipeline_id) JOIN latest l USING (pipeline_id) JOIN performance p ON p.run_id = l.run_id "
+    "JOIN costs c ON c.run_id = l.run_id JOIN scored s ON s.g = h.pipeline_id, width w",
 )

@@ -13,14 +13,13 @@ from siltworks.functions.lights import light
 from siltworks.kpi import availability as avail, cost, health, performance as perf, quality as qual
 from siltworks.operators import clean as cl, features as fe, ingest as ing, publish as pub, validate as val
 from siltworks.plans.prepare import Prepared, prepare
-from siltworks.session import new_table_path
+from siltworks.session import new_table_path, stage
 from siltworks.sources import delimited, files, runs, sinks
 from siltworks.sources.contacts import contacts_raw
 
 CFG = PrepConfig()
 LIMITS = Thresholds()
 MODEL = CostModel()
-N_FEATURES = 35
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,6 +80,16 @@ def tidy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.map_binary(named, CFG.binary, CFG.yes_tokens, CFG.no_tokens)
 
 
+def n_features(spark: SparkSession, sf_dir: str) -> int:
+    """How many columns the features have: a matter of the table's schema."""
+    return len(fe.feature_names(tables(spark, sf_dir).features, CFG))
+
+
+def targets(t: Tables) -> DataFrame:
+    """The targets by key, taken from the cleaned table and not from the features."""
+    return t.clean.select(*CFG.key, fe.target(t.clean, CFG).alias("y"))
+
+
 def prepared(spark: SparkSession, sf_dir: str) -> Prepared:
     return prepare(contacts(spark, sf_dir), CFG)
 
@@ -99,6 +108,11 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in doubles})
 
 
+def with_text_time(df: DataFrame) -> DataFrame:
+    """The time of a run as text, which is the same in every engine."""
+    return df.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
 def batched(df: DataFrame) -> DataFrame:
     """The contacts split among the pipelines that deliver them."""
     return df.withColumn("pipeline_id", F.col("contact_id") % runs.PIPELINES)
@@ -450,11 +464,9 @@ def publish_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The housing contacts are published; then all loan contacts arrive with one more call."""
+    """All contacts are published; then all loan contacts arrive with one more call."""
     published = pub.publish_projection(tidy(spark, sf_dir), CFG)
-    first = sinks.upsert_version(
-        spark, None, published.filter("housing = 1"), CFG.key, new_table_path(spark, "published")
-    )
+    first = sinks.upsert_version(spark, None, published, CFG.key, new_table_path(spark, "published"))
     arriving = published.filter("loan = 1").withColumn("campaign", F.col("campaign") + 1)
     second = sinks.upsert_version(spark, first, arriving, CFG.key, new_table_path(spark, "published"))
     return spark.read.parquet(second)
@@ -462,8 +474,8 @@ def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    features = tables(spark, sf_dir).features
-    return pub.load_report(features, features.select("contact_id", "y"), CFG)
+    t = tables(spark, sf_dir)
+    return pub.load_report(t.features, targets(t), CFG)
 
 
 @query
@@ -494,7 +506,7 @@ def run_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def run_history_last_n(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return avail.run_history(log(spark, sf_dir, pipelines=5)).drop("ts")
+    return with_text_time(avail.run_history(log(spark, sf_dir, pipelines=5)))
 
 
 @query
@@ -516,7 +528,7 @@ def phase_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def throughput(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollup = perf.phase_rollup(phases(spark, sf_dir)).select("run_id", "total_secs")
     with_rows = rollup.join(log(spark, sf_dir).select("run_id", "rows_processed"), "run_id")
-    return perf.with_throughput(with_rows, F.col("rows_processed"), N_FEATURES)
+    return perf.with_throughput(with_rows, F.col("rows_processed"), n_features(spark, sf_dir))
 
 
 @query
@@ -527,12 +539,12 @@ def slowest_phase(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def kpi_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return perf.performance(phases(spark, sf_dir), log(spark, sf_dir), LIMITS, N_FEATURES)
+    return perf.performance(phases(spark, sf_dir), log(spark, sf_dir), LIMITS, n_features(spark, sf_dir))
 
 
 @query
 def cost_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cost.with_cost(log(spark, sf_dir), MODEL, LIMITS).drop("ts")
+    return with_text_time(cost.with_cost(log(spark, sf_dir), MODEL, LIMITS))
 
 
 @query
@@ -544,9 +556,14 @@ def cost_unit_economics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def run_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    outcomes = perf.run_outcomes(phases(spark, sf_dir))
-    status = val.run_status(F.col("raised"), F.col("structural"), F.col("semantic"))
+def pipeline_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every run with the verdict of the checks on the tables that the runs have left."""
+    verdicts = val.status_by_scope(_checks(spark, sf_dir)).groupBy().agg(
+        *[F.max(F.when(F.col("scope") == s, F.col("status"))).alias(s) for s in ("structural", "semantic")]
+    )
+    verdict = verdicts.first()  # one row
+    outcomes = perf.raised(phases(spark, sf_dir)).withColumns({s: F.lit(verdict[s]) for s in ("structural", "semantic")})
+    status = val.pipeline_status(F.col("raised"), F.col("structural"), F.col("semantic"))
     return outcomes.withColumn("status", status)
 
 
@@ -583,7 +600,7 @@ def kpi_valid_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def kpi_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables(spark, sf_dir)
-    return qual.quality(t.raw, t.clean, t.features, CFG, LIMITS, targets=t.features.select("contact_id", "y"))
+    return qual.quality(t.raw, t.clean, t.features, CFG, LIMITS, targets=targets(t))
 
 
 @query
@@ -595,11 +612,13 @@ def kpi_flag_activation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _batch_quality(t: Tables) -> DataFrame:
-    return qual.quality(batched(t.raw), batched(t.clean), batched(t.features), CFG, LIMITS, ["pipeline_id"])
+    return qual.quality(
+        batched(t.raw), batched(t.clean), batched(t.features), CFG, LIMITS, ["pipeline_id"], batched(targets(t)), details=True
+    )
 
 
 def _scored(spark: SparkSession, sf_dir: str, t: Tables) -> DataFrame:
-    figures = health.run_figures(phases(spark, sf_dir), log(spark, sf_dir), LIMITS, MODEL, N_FEATURES)
+    figures = health.run_figures(phases(spark, sf_dir), log(spark, sf_dir), LIMITS, MODEL, n_features(spark, sf_dir))
     return health.with_health(health.pipeline_figures(figures, _batch_quality(t), LIMITS), LIMITS)
 
 
@@ -619,21 +638,37 @@ def health_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = tables(spark, sf_dir)
-    checks = val.structural_checks(t.raw, t.clean, t.features, CFG).unionByName(
-        val.semantic_checks(t.clean, t.features, CFG, LIMITS)
-    )
-    return rounded(health.alerts(_scored(spark, sf_dir, t), checks))
+    return rounded(health.alerts(_scored(spark, sf_dir, tables(spark, sf_dir)), _checks(spark, sf_dir)))
 
 
 @query
 def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return health.summary(_scored(spark, sf_dir, tables(spark, sf_dir)), N_FEATURES)
+    found = health.check_alerts(_checks(spark, sf_dir)).collect()  # a row for each failed check
+    return health.summary(_scored(spark, sf_dir, tables(spark, sf_dir)), n_features(spark, sf_dir), found)
 
 
 @query
 def kpi_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_table_path(spark, "report")
-    made = health.report(_scored(spark, sf_dir, tables(spark, sf_dir)), N_FEATURES, sf_dir)
+    t, checks = tables(spark, sf_dir), stage(_checks(spark, sf_dir), "checks")
+    made = health.report(
+        _scored(spark, sf_dir, t),
+        n_features(spark, sf_dir),
+        sf_dir,
+        health.check_alerts(checks).collect(),
+        verdicts={r["scope"]: r["status"] for r in val.status_by_scope(checks).collect()},
+        load=pub.load_report(t.features, targets(t), CFG).first(),
+        model=MODEL,
+    )
     sinks.export_report(made, path)
-    return spark.read.schema(made.schema).json(path)
+    read = spark.read.schema(made.schema).json(path)
+    # all sections flat, but the time and place of the report and the list of alerts, which have queries of their own
+    left_out = {"metadata", "pipeline_id"}
+    flat = [
+        F.col(section)[field].alias(f"{section}_{field}")
+        for section in read.columns
+        if section not in left_out
+        for field in read.schema[section].dataType.names
+        if field not in ("source", "source_bytes", "alerts")
+    ]
+    return rounded(read.select("pipeline_id", *flat))

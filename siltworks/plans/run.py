@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
+import secrets
 import time
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from siltworks.config import RAW_PHASES, CostModel, PrepConfig, Thresholds
 from siltworks.kpi import health, quality
 from siltworks.operators import features as fe, validate as val
 from siltworks.operators.clean import clean, fit_fences
 from siltworks.operators.ingest import ingest
-from siltworks.operators.publish import publish_projection
+from siltworks.operators.publish import load_report, publish_projection
 from siltworks.sources import delimited, files, sinks
 
-PHASES_SCHEMA = "run_id bigint, phase string, secs double, status string, ts timestamp"
+PHASES_SCHEMA = "pipeline_id bigint, run_id bigint, phase string, secs double, status string, ts timestamp"
 RUNS_SCHEMA = (
     "run_id bigint, pipeline_id bigint, ts timestamp, status string, secs double, "
     "rows_processed bigint, input_bytes bigint, output_bytes bigint"
@@ -36,6 +37,8 @@ class Run:
     done: set[str] = field(default_factory=set)
     published: str | None = None
     status: str = "success"
+    loaded: Row | None = None
+    verdicts: dict[str, str] = field(default_factory=dict)
 
     def path(self, table: str) -> str:
         return f"{self.out}/{table}"
@@ -68,15 +71,19 @@ def run(
     pipeline_id: int = 0,
     run_id: int | None = None,
     published: str | None = None,
+    export: Sequence[str] = (),
 ) -> Run:
     """Read, clean, encode, validate and publish a delimited source.
 
     ``out`` receives the tables and the report of this run, ``log`` collects the phase
     times and outcomes of all runs, ``published`` is the version of the served table to
-    update. The source needs the key columns of ``cfg``. An exception is raised again
-    after the run has been recorded and scored.
+    update, ``export`` the formats ("parquet", "csv") in which features and targets are
+    exported besides. The source needs the key columns of ``cfg``. An exception is raised
+    again after the run has been recorded and scored.
     """
-    this = Run(out, run_id if run_id is not None else time.time_ns() // 1_000_000, published=published)
+    # runs that start in the same millisecond differ in the random part
+    own_id = time.time_ns() // 1_000_000 << 20 | secrets.randbits(20)
+    this = Run(out, run_id if run_id is not None else own_id, published=published)
     checks: DataFrame | None = None
     try:
         with this.phase("ingesta"):
@@ -96,7 +103,13 @@ def run(
         with this.phase("carga"):
             served = publish_projection(tidy, cfg)
             this.published = sinks.upsert_version(spark, published, served, cfg.key, this.path("published"))
-        if val.status_by_scope(checks).filter(F.col("status") == val.ERROR).count():
+            if "parquet" in export:
+                sinks.export_parquet(encoded, tidy, this.path("export/parquet"))
+            if "csv" in export:
+                sinks.export_csv(encoded, cfg, this.path("export/csv"))
+            this.loaded = load_report(encoded, _targets(tidy, cfg), cfg).first()
+        this.verdicts = {r["scope"]: r["status"] for r in val.status_by_scope(checks).collect()}
+        if val.ERROR in this.verdicts.values():
             this.status = "warning"
     except BaseException:
         this.status = "error"
@@ -107,15 +120,21 @@ def run(
     return this
 
 
+def _targets(tidy: DataFrame, cfg: PrepConfig) -> DataFrame:
+    """The targets by key, from the cleaned table."""
+    return tidy.select(*cfg.key, fe.target(tidy, cfg).alias("y"))
+
+
 def _record(spark: SparkSession, this: Run, source: str, log: str, pipeline_id: int) -> None:
     """Append the phases, those never reached with 0.0 seconds, and the run."""
     now = datetime.now(timezone.utc)
-    phases = [(this.run_id, p, *this.timings.get(p, (0.0, "error")), now) for p in RAW_PHASES]
+    phases = [(pipeline_id, this.run_id, p, *this.timings.get(p, (0.0, "error")), now) for p in RAW_PHASES]
     rows = spark.read.parquet(this.path("raw")).count() if "raw" in this.done else 0
     n_bytes = [files.dir_bytes(spark, path).first()["size_bytes"] for path in (source, this.out)]
-    ended = (this.run_id, pipeline_id, now, this.status, sum(p[2] for p in phases), rows, *n_bytes)
+    ended = (this.run_id, pipeline_id, now, this.status, sum(p[3] for p in phases), rows, *n_bytes)
     for name, records, schema in (("phase_metrics", phases, PHASES_SCHEMA), ("run_log", [ended], RUNS_SCHEMA)):
-        spark.createDataFrame(records, schema).coalesce(1).write.mode("append").parquet(f"{log}/{name}")
+        rows = spark.createDataFrame(records, schema).coalesce(1)
+        rows.write.mode("append").partitionBy("pipeline_id").parquet(f"{log}/{name}")
 
 
 def _score(
@@ -133,11 +152,17 @@ def _score(
     tables = {t: spark.read.parquet(this.path(t)) if t in this.done else None for t in TABLES}
     encoded = tables["features"]
     n_features = len(fe.feature_names(encoded, cfg)) if encoded is not None else 0
-    own_runs = spark.read.parquet(f"{log}/run_log").filter(F.col("pipeline_id") == pipeline_id)
-    own_phases = spark.read.parquet(f"{log}/phase_metrics").join(own_runs.select("run_id"), "run_id", "left_semi")
+    # only the folders of this pipeline are read
+    own_runs, own_phases = (
+        spark.read.schema(schema).parquet(f"{log}/{name}").filter(F.col("pipeline_id") == pipeline_id)
+        for name, schema in (("run_log", RUNS_SCHEMA), ("phase_metrics", PHASES_SCHEMA))
+    )
     figures = health.run_figures(own_phases, own_runs, limits, model, n_features)
     if any(t is not None for t in tables.values()):
-        measured = quality.quality(*tables.values(), cfg, limits).withColumn("pipeline_id", F.lit(pipeline_id).cast("bigint"))
+        targets = _targets(tables["clean"], cfg) if encoded is not None else None
+        measured = quality.quality(*tables.values(), cfg, limits, targets=targets, details=True).withColumn(
+            "pipeline_id", F.lit(pipeline_id).cast("bigint")
+        )
     else:
         measured = spark.createDataFrame(
             [], "pipeline_id bigint, quality_score int, light string, x_null_pct double, types_ok boolean, aligned boolean"
@@ -146,4 +171,8 @@ def _score(
     readable = available and delimited.can_read(spark, source)
     scored = health.with_health(health.pipeline_figures(figures, measured, limits, available, readable), limits)
     found = health.check_alerts(checks).collect() if checks is not None else []
-    sinks.export_report(health.report(scored, n_features, source, found), this.path("report"))
+    size = files.dir_bytes(spark, source).first()["size_bytes"]
+    made = health.report(
+        scored, n_features, source, found, verdicts=this.verdicts, load=this.loaded, source_bytes=size, model=model
+    )
+    sinks.export_report(made, this.path("report"))

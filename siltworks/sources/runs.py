@@ -25,12 +25,14 @@ def phase_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def run_log(phases: DataFrame, pipelines: int = PIPELINES) -> DataFrame:
     """One row per run with its outcome, seconds, rows and bytes."""
     failed = F.count_if(F.col("status") == "error")
+    # a run that stopped before its last phase is an error, as in the KPIs of partial runs
+    absent = F.count_if(F.col("phase").isin(*RAW_PHASES)) < len(RAW_PHASES)
     rows = F.lit(1000) + F.col("run_id") % 5000
     return (
         phases.groupBy("run_id")
         .agg(
             F.min("ts").alias("ts"),
-            F.when(failed >= 3, "error").when(failed == 2, "warning").otherwise("success").alias("status"),
+            F.when(absent | (failed >= 3), "error").when(failed == 2, "warning").otherwise("success").alias("status"),
             F.round(F.sum("secs"), 6).alias("secs"),
         )
         .select(

@@ -150,7 +150,27 @@ def test_aborted_run_is_scored(spark):
 
 def test_golden_run_outcomes(spark):
     log = rn.run_log(rn.phase_metrics(spark, SF_GOLDEN))
-    assert {r["status"]: r["count"] for r in log.groupBy("status").count().collect()} == {"success": 1092, "warning": 413, "error": 162}
+    assert {r["status"]: r["count"] for r in log.groupBy("status").count().collect()} == {"success": 1091, "warning": 413, "error": 163}
+    assert [r["status"] for r in log.filter("run_id = 1666").collect()] == ["error"]
+
+
+def test_lost_rows_cost_points_and_raise_a_load_error(spark, golden, cfg):
+    batch = [df.withColumn("pipeline_id", F.lit(0).cast("bigint")) for df in (golden.raw, golden.clean, golden.features.filter("contact_id > 50"))]
+    targets = golden.clean.selectExpr("contact_id", "CAST(deposit AS INT) AS y", "0L AS pipeline_id")
+    whole = qual.quality(*batch, cfg, LIMITS, ["pipeline_id"], targets)
+    metrics = rn.phase_metrics(spark, SF_SMALL)
+    figures = health.run_figures(metrics, rn.run_log(metrics), LIMITS, MODEL, 35)
+    scored = health.pipeline_figures(figures, whole, LIMITS)
+    assert not whole.first()["aligned"] and whole.first()["quality_score"] == 65
+    assert "load_error" in {r["alert"] for r in health.pipeline_alerts(scored).filter("pipeline_id = 0").collect()}
+
+
+def test_a_structural_finding_in_many_columns_is_one_alert(spark):
+    checks = spark.createDataFrame(
+        [("structural", "empty_column", c, 0.0, "", "ERROR", False) for c in "abc"],
+        "scope string, check_name string, column_name string, value double, detail string, severity string, ok boolean",
+    )
+    assert [(r["alert"], r["value"]) for r in health.check_alerts(checks).collect()] == [("structural:empty_column", 3.0)]
 
 
 def test_health_of_missing_quality(spark):

@@ -61,6 +61,30 @@ def test_failure_halfway_keeps_what_is_there(spark, cfg, source, tmp_path):
     assert report["quality"]["score"] == 45
 
 
+def test_pipelines_with_the_same_run_number_score_apart(spark, cfg, source, tmp_path):
+    log = str(tmp_path / "log")
+    run(spark, source, str(tmp_path / "1"), log, cfg, run_id=1, pipeline_id=1)
+    run(spark, source, str(tmp_path / "2"), log, cfg, run_id=1, pipeline_id=2, export=("parquet", "csv"))
+    for p in (1, 2):
+        report = report_of(tmp_path / str(p))
+        spent = sum(r["secs"] for r in spark.read.parquet(f"{log}/phase_metrics").filter(f"pipeline_id = {p}").collect())
+        assert report["availability"]["n_runs"] == 1 and abs(report["performance"]["total_secs"] - spent) < 0.01
+        assert report["load"]["status"] == "OK" and report["load"]["n_rows_target"] == 1500
+        assert report["quality"]["structural_status"] == "ERROR" and report["quality"]["invalid_columns"]
+        assert report["availability"]["source_bytes"] > 0
+    assert spark.read.parquet(str(tmp_path / "2" / "export" / "parquet" / "features")).count() == 1500
+
+
+def test_damaged_source_is_reported(spark, cfg, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv.gz").write_bytes(b"no gzip at all")
+    with pytest.raises(Exception):
+        run(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "log"), cfg, run_id=1)
+    report = report_of(tmp_path / "out")
+    assert report["availability"]["available"] and not report["availability"]["readable"]
+    assert report["load"]["status"] == "N/A" and report["summary"]["status"] == "error"
+
+
 def test_long_row_fails_the_run(spark, cfg, tmp_path):
     bad = tmp_path / "bad.csv"
     bad.write_text("contact_id,age,deposit\n1,2,yes\n2,3,no,4\n")
