@@ -60,7 +60,8 @@ def _crc_of_bytes() -> list[int]:
 
 def _shards() -> str:
     # the checksum of a text, byte by byte
-    crc = f"CAST([{', '.join(map(str, _crc_of_bytes()))}] AS UBIGINT[])"
+    crc = "".join(f"{c:08x}" for c in _crc_of_bytes())
+    step = f"xor(a >> 8, CAST(('0x' || substr('{crc}', 8 * CAST(xor(a & 255, x) AS INTEGER) + 1, 8)) AS UBIGINT))"
     return f"""
 WITH RECURSIVE ids AS (SELECT DISTINCT coalesce(doc_id, 0) AS id FROM documents),
 walk{SHARDS} AS ({_jump(str(SHARDS))}),
@@ -70,8 +71,8 @@ grown AS (SELECT id, max(b) AS shard FROM walk{SHARDS + 1} GROUP BY id),
 texts AS (SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents),
 sums AS (
   SELECT doc_id, strlen(text) AS bytes,
-         xor(list_reduce(list_transform(range(0, len(h) // 2), lambda i: CAST(('0x' || h[2 * i + 1 : 2 * i + 2]) AS UBIGINT)),
-                         lambda a, x: xor(a >> 8, ({crc})[CAST(xor(a & 255, x) AS BIGINT) + 1]), CAST(4294967295 AS UBIGINT)), 4294967295) AS crc
+         xor(list_reduce(list_transform(regexp_extract_all(h, '..'), lambda x: CAST(('0x' || x) AS UBIGINT)),
+                         lambda a, x: {step}, CAST(4294967295 AS UBIGINT)), 4294967295) AS crc
   FROM texts)
 SELECT s.doc_id, CAST(s.bytes + {ROW_BYTES} AS BIGINT) AS size, CAST(s.crc AS BIGINT) AS text_crc32, 'key' AS law,
        CAST(p.shard AS INTEGER) AS shard, row_number() OVER (PARTITION BY p.shard ORDER BY s.doc_id) - 1 AS slot,
