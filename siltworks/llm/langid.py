@@ -32,8 +32,11 @@ BLOCK_BYTES = 512
 LEVEL = 9
 #: syllables are shorter than what the compressor looks for by itself
 MIN_MATCH = 3
+#: stands before every block: the compressor gives up on short blocks that do not get smaller,
+#: and their few matches would not count
+PRIMER = b" " * 32
 #: rejected below this share of the second best size
-MIN_MARGIN = 0.01
+MIN_MARGIN = 0.002
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -110,7 +113,7 @@ def fit(
 def _compressors(model: LanguageModel) -> list[zstandard.ZstdCompressor]:
     params = zstandard.ZstdCompressionParameters.from_level(
         LEVEL,
-        source_size=BLOCK_BYTES,
+        source_size=len(PRIMER) + BLOCK_BYTES,
         dict_size=max(map(len, model.dictionaries)),
         min_match=MIN_MATCH,
         write_checksum=False,
@@ -127,7 +130,7 @@ def _compressors(model: LanguageModel) -> list[zstandard.ZstdCompressor]:
 
 def sizes(model: LanguageModel, data: bytes) -> list[int]:
     """The compressed bytes of all blocks with each dictionary."""
-    blocks = [data[at : at + BLOCK_BYTES] for at in range(0, len(data), BLOCK_BYTES)]
+    blocks = [PRIMER + data[at : at + BLOCK_BYTES] for at in range(0, len(data), BLOCK_BYTES)]
     return [sum(len(c.compress(b)) for b in blocks) for c in _compressors(model)]
 
 
