@@ -216,7 +216,8 @@ def near_duplicates(
     member = joined.select(F.col("node").alias("fp"), "root").unionByName(
         joined.select(F.col("root").alias("fp"), "root").distinct()
     )
-    smallest = member.join(distinct, "fp").groupBy("root").agg(F.min("first").alias("component_id"))
+    # written, so that the join below reads both sides by exchanges and a component of very many can be split
+    smallest = stage(member.join(distinct, "fp").groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
     classes = (
         distinct.join(member, "fp", "left")
         .join(smallest, "root", "left")
