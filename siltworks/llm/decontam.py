@@ -7,7 +7,9 @@ random bit of (j, word) says. Strings a few edits apart fall into step again aft
 edit, so their embeddings differ in few places (Hamming distance). Bit sampling finds
 such pairs: a hash of a few sampled places of the embedding is equal with a probability
 that can be measured, and it is repeated with other walks until the wanted recall is
-reached. Every candidate is verified by its exact edit distance.
+reached. Longer items need more walks, so these are counted for each number of allowed edits.
+Items that the most walks do not serve are sought exactly, by the word pairs that a match
+must keep. Every candidate is verified by its exact edit distance.
 
 Windows begin at every word of a document and are as long as the item needs. Before any
 walk, a window is passed over if too few of its word pairs occur in items of its size: an
@@ -16,6 +18,7 @@ edit undoes two pairs at most, so a match must keep the others, and nothing is l
 
 from __future__ import annotations
 
+import copy
 import math
 import re
 from collections import defaultdict
@@ -35,8 +38,10 @@ MAX_EDITS = 0.2
 TARGET_RECALL = 0.98
 #: places of an embedding that one hash samples
 SAMPLED_PLACES = 3
-#: repetitions are added until the target is met, simulated on edited items
+#: repetitions are added until the target is met, simulated on edited items; items that so many do not serve are sought exactly
 MOST_REPETITIONS = 256
+#: longer items are sought exactly: their walks cost more than counting word pairs does
+WALKED_WORDS = 256
 #: items with fewer words say nothing when they are met in a text
 LEAST_WORDS = 5
 #: items are held by each task in blocks of at most so many words; with more items there are more blocks
@@ -44,6 +49,8 @@ BLOCK_WORDS = 500_000
 
 #: windows that walk at once
 _WINDOWS = 256
+#: walks that a simulation tries at once
+_TRIED = 32
 
 #: what is neither a word's nor plain text's counts as a gap between words
 _ODD = re.compile(r"[^\w\x00-\x7f]+")
@@ -104,6 +111,13 @@ class Walks:
         odd = draw.integers(1, 1 << 63, size=(2 * longest, MOST_REPETITIONS), dtype=np.uint64) * np.uint64(2)
         self.random = odd[:, :repetitions, None] + np.uint64(1)
 
+    def part(self, first: int, end: int) -> Walks:
+        """Some of these walks."""
+        some = copy.copy(self)
+        some.places, some.seeds, some.random = self.places[first:end], self.seeds[first:end], self.random[:, first:end]
+        some.repetitions = len(some.places)
+        return some
+
     def keys(self, codes: np.ndarray, starts: np.ndarray, n_words: int) -> np.ndarray:
         """By walk and window a hash of the sampled places, for windows of ``n_words`` at ``starts``.
 
@@ -175,8 +189,9 @@ class ItemBlock:
 class Index:
     """What a task needs to search texts for one block of items."""
 
-    def __init__(self, block: ItemBlock, max_edits: float, walks: Walks):
-        self.block, self.walks, self.max_edits = block, walks, max_edits
+    def __init__(self, block: ItemBlock, max_edits: float, repetitions: dict[int, int]):
+        """``repetitions`` by allowed edits; items without an entry are sought exactly."""
+        self.block, self.max_edits = block, max_edits
         self.by_size: dict[int, list[int]] = defaultdict(list)
         for k, codes in enumerate(block.codes):
             self.by_size[len(codes)].append(k)
@@ -189,13 +204,23 @@ class Index:
         self.pairs = np.zeros(int(self.mask) + 1, dtype=np.uint64)
         for found in pairs:
             self.pairs[found & self.mask] |= self._bit(len(found) + 1)
-        #: for each item size the sorted keys of all walks and their items
+        served = {size: repetitions.get(allowed_edits(size, max_edits), 0) for size in self.by_size}
+        walked = [size for size, n in served.items() if n]
+        walks = Walks(max(served.values()), max(walked)) if walked else None
+        #: by item size the walks; without them items are sought exactly
+        self.walks = {size: walks.part(0, served[size]) for size in walked}
+        #: for each item size the sorted keys of all walks, or else word pairs, and their items
         self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for size, items in self.by_size.items():
-            flat = np.concatenate([block.codes[k] for k in items])
-            keys = walks.keys(flat, np.arange(len(items)) * size, size).ravel()
+            if size in self.walks:
+                flat = np.concatenate([block.codes[k] for k in items])
+                keys = self.walks[size].keys(flat, np.arange(len(items)) * size, size).ravel()
+                owners = np.tile(np.array(items), served[size])
+            else:
+                own = [np.unique(pairs[k]) for k in items]
+                keys, owners = np.concatenate(own), np.repeat(np.array(items), [len(p) for p in own])
             order = np.argsort(keys, kind="stable")
-            self.tables[size] = (keys[order], np.tile(np.array(items), walks.repetitions)[order])
+            self.tables[size] = (keys[order], owners[order])
 
     @staticmethod
     def _bit(size: int) -> np.uint64:
@@ -214,7 +239,9 @@ class Index:
 
     def search(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(item id, edits, first word, end word): the nearest stretch of each item that the text contains."""
-        own = word_codes(text)
+        return self.search_codes(word_codes(text))
+
+    def search_codes(self, own: np.ndarray) -> list[tuple[int, int, int, int]]:
         if not len(own) or not len(self._sizes):
             return []
         marks = self.pairs[pair_codes(own) & self.mask]
@@ -228,14 +255,7 @@ class Index:
             starts = self.windows(marks & self._bit(size) != 0, size)
             if not len(starts):
                 continue
-            keys, items = self.tables[size]
-            found = self.walks.keys(own, starts, size)
-            low, high = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
-            met = {
-                (int(k), int(starts[w]))
-                for r, w in np.argwhere(high > low).tolist()
-                for k in items[low[r, w] : high[r, w]].tolist()
-            }
+            met = self._by_walks(own, starts, size) if size in self.walks else self._by_pairs(own, starts, size)
             for k, stretch in _stretches(met, size, most, len(own)):
                 found = edit_distance_within(self.block.codes[k], own[stretch], most)
                 if found:
@@ -244,6 +264,39 @@ class Index:
                         best[k] = hit
         return [(self.block.ids[k], *hit) for k, hit in sorted(best.items())]
 
+    def _by_walks(self, own: np.ndarray, starts: np.ndarray, size: int) -> set[tuple[int, int]]:
+        """(item, start) of the windows that a walk brings together with an item."""
+        keys, items = self.tables[size]
+        found = self.walks[size].keys(own, starts, size)
+        low, high = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
+        return {
+            (int(k), int(starts[w]))
+            for r, w in np.argwhere(high > low).tolist()
+            for k in items[low[r, w] : high[r, w]].tolist()
+        }
+
+    def _by_pairs(self, own: np.ndarray, starts: np.ndarray, size: int) -> set[tuple[int, int]]:
+        """(item, start) around all stretches that have as many of the item's pairs as every match has."""
+        needed, widest = self._needed(size), size + allowed_edits(size, self.max_edits) - 1
+        if needed <= 0:  # pairs rule nothing out
+            return {(k, s) for k in self.by_size[size] for s in starts.tolist()}
+        keys, items = self.tables[size]
+        pairs = pair_codes(own)
+        low, high = np.searchsorted(keys, pairs, "left"), np.searchsorted(keys, pairs, "right")
+        places: dict[int, list[int]] = defaultdict(list)
+        for at in np.flatnonzero(high > low).tolist():
+            for k in items[low[at] : high[at]].tolist():
+                places[k].append(at)
+        met = set()
+        for k, found in places.items():
+            at = np.array(found)
+            first, last = at[: len(at) - needed + 1], at[needed - 1 :]
+            near = last - first < widest
+            # a match begins between these two
+            met.update((k, s) for s in first[near].tolist())
+            met.update((k, max(0, s - widest + 1)) for s in last[near].tolist())
+        return met
+
 
 def _stretches(met: set[tuple[int, int]], size: int, most: int, n: int) -> Iterator[tuple[int, slice]]:
     """(item, stretch of the text around its candidate windows), windows that overlap taken together."""
@@ -262,26 +315,53 @@ def _stretches(met: set[tuple[int, int]], size: int, most: int, n: int) -> Itera
         yield k, slice(begin, end)
 
 
-def repetitions_needed(block: ItemBlock, max_edits: float, target: float, trials: int = 200, seed: int = 5) -> int:
-    """Repetitions that meet ``target`` on items edited as much as is allowed, at random places."""
-    items = [c for c in block.codes if allowed_edits(len(c), max_edits)]
-    if not items:
-        return 1
-    draw = np.random.default_rng(seed)
-    pairs = []
-    for t in range(trials):
-        item = items[int(draw.integers(len(items)))]
-        pairs.append((item, edit(item, allowed_edits(len(item), max_edits), draw)))
-    walks = Walks(MOST_REPETITIONS, max(map(len, items)))
-    first = []  # by pair, the first walk that brings both together
-    for item, other in pairs:
-        text = np.append(other, np.full(len(item), 1, dtype=np.uint64))
-        own = walks.keys(item, np.zeros(1, dtype=np.int64), len(item))
-        near = walks.keys(text, np.arange(allowed_edits(len(item), max_edits) + 1), len(item))
-        meets = (own == near).any(axis=1)
-        first.append(int(np.argmax(meets)) if meets.any() else MOST_REPETITIONS)
-    needed = sorted(first)[math.ceil(target * trials) - 1]
-    return min(needed + 1, MOST_REPETITIONS)
+def repetitions_needed(block: ItemBlock, max_edits: float, target: float, trials: int = 200, seed: int = 5) -> dict[int, int]:
+    """By allowed edits the repetitions that meet ``target`` on items edited as much as is allowed, at random places.
+
+    Of the items with the same allowed edits the shortest are the hardest to meet, so all are cut to
+    their size. What ``MOST_REPETITIONS`` do not serve has no entry.
+    """
+    bands: dict[int, list[np.ndarray]] = defaultdict(list)
+    for codes in block.codes:
+        bands[allowed_edits(len(codes), max_edits)].append(codes)
+    walked = {edits: items for edits, items in bands.items() if max(map(len, items)) <= WALKED_WORDS}
+    if not walked:
+        return {}
+    walks = Walks(MOST_REPETITIONS, max(len(c) for items in walked.values() for c in items))
+    needed = {}
+    for edits, items in walked.items():
+        if not edits:  # equal words have equal keys
+            needed[edits] = 1
+            continue
+        size, draw = min(map(len, items)), np.random.default_rng(seed)
+        first = meetings(items, size, edits, walks, trials, math.ceil(target * trials), draw)
+        if first is not None:
+            needed[edits] = first
+    return needed
+
+
+def meetings(
+    items: list[np.ndarray], size: int, edits: int, walks: Walks, trials: int, wanted: int, draw: np.random.Generator
+) -> int | None:
+    """After how many walks ``wanted`` of the trials have met; None if all walks are too few."""
+    left = []
+    for _ in range(trials):
+        item = items[int(draw.integers(len(items)))][:size]
+        left.append((item, np.append(edit(item, edits, draw), np.full(size, 1, dtype=np.uint64))))
+    met: list[int] = []
+    for begin in range(0, walks.repetitions, _TRIED):
+        some, still = walks.part(begin, begin + _TRIED), []
+        for item, text in left:
+            own = some.keys(item, np.zeros(1, dtype=np.int64), size)
+            meets = (own == some.keys(text, np.arange(edits + 1), size)).any(axis=1)
+            if meets.any():
+                met.append(begin + int(np.argmax(meets)) + 1)
+            else:
+                still.append((item, text))
+        left = still
+        if len(met) >= wanted:
+            return sorted(met)[wanted - 1]
+    return None
 
 
 def edit(codes: np.ndarray, edits: int, draw: np.random.Generator) -> np.ndarray:
@@ -326,12 +406,12 @@ class Searcher:
     def __init__(self, block: ItemBlock, max_edits: float, target_recall: float):
         self.block, self.max_edits = block, max_edits
         self.repetitions = repetitions_needed(block, max_edits, target_recall)
-        self.key = hash((block.ids, max_edits, self.repetitions, sum(int(c.sum()) for c in block.codes)))
+        self.key = hash((block.ids, max_edits, tuple(sorted(self.repetitions.items())), sum(int(c.sum()) for c in block.codes)))
 
     def index(self) -> Index:
         if self.key not in _indexes:
             _indexes.clear()
-            _indexes[self.key] = Index(self.block, self.max_edits, Walks(self.repetitions, max(map(len, self.block.codes))))
+            _indexes[self.key] = Index(self.block, self.max_edits, self.repetitions)
         return _indexes[self.key]
 
     def hits(self, text: str | None) -> list[tuple[int, int, int, int]]:

@@ -264,6 +264,22 @@ def test_distance_and_stretch_equal_the_plain_table():
         assert found[0] == best == distance(item, text[found[1] : found[2]])
 
 
+@pytest.mark.parametrize("words", [12, 40, 59, 120, 300])
+def test_edited_items_of_every_size_are_found(words):
+    """Few long items among many short ones, edited as much as is allowed."""
+    draw = np.random.default_rng(words)
+    code = lambda n: draw.integers(1, 1 << 63, n, dtype=np.uint64) | np.uint64(1)
+    items = [code(12) for _ in range(300)] + [code(words) for _ in range(4)]
+    repetitions = decontam.repetitions_needed(decontam.ItemBlock(tuple(range(304)), tuple(items)), decontam.MAX_EDITS, decontam.TARGET_RECALL)
+    index = decontam.Index(decontam.ItemBlock(tuple(range(304)), tuple(items)), decontam.MAX_EDITS, repetitions)
+    found = 0
+    for t in range(100):
+        passage = decontam.edit(items[300 + t % 4], decontam.allowed_edits(words), draw)
+        own = np.concatenate([code(50), passage, code(50)])
+        found += 300 + t % 4 in {k for k, *_ in index.search_codes(own)}
+    assert found >= (100 if words > decontam.WALKED_WORDS else 95)
+
+
 def test_passages_in_awkward_rows(spark):
     items = spark.createDataFrame([(1, sentence(1, 60)), (None, sentence(3, 45)), (3, "another text of the same id")], "item_id long, text string")
     found = {(r.id, r.item_id) for r in decontam.matches(awkward(spark), items).collect()}
