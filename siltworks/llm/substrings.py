@@ -3,9 +3,10 @@
 A gear hash rolls over the bytes of a text, and a chunk ends at white space where the
 hash falls on a fixed pattern. The hash sees only the last few bytes, so that equal
 passages are cut alike wherever they stand; an insertion changes the chunks it touches
-and no others. Chunks are known by digest. A chunk is repeated if a document with a
-smaller id has it, or the same document has it further up; a run of repeated chunks that
-is long enough is a repeated passage.
+and no others. Chunks are known by digest, and a stretch of neighbouring chunks by the digest
+of theirs. A stretch that is just long enough is repeated if a document with a smaller id
+holds the whole of it, or the same document does further up; repeated stretches that
+overlap or touch are one repeated passage.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from siltworks.llm.common import col, slices, text_hash
 from siltworks.session import stage
 
-#: words that a run of repeated chunks has at least; a passage of 50 words loses no more than
+#: words that a stretch held by one other document has at least; a passage of 50 words loses no more than
 #: its two outer chunks, which are a few words each
 MIN_RUN_WORDS = 20
 #: of the hash, these bits are zero at the end of a chunk: one in four words
@@ -128,8 +129,31 @@ def repeated_runs(repeated: np.ndarray, ends: np.ndarray, words: np.ndarray, min
     return [(int(b), int(ends[k]), int(c)) for b, k, c in zip(begin, last, count) if c >= min_words]
 
 
-def chunks(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, text_hash, chunk digests, chunk ends in bytes, words before each end) of every row."""
+def stretches(words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last chunk of the shortest stretches with enough words, from each chunk on and up to each one.
+
+    Any longer stretch is covered by those within it. ``words`` are counted up to the end of each chunk.
+    """
+    n = len(words)
+    before = np.concatenate([[0], words])[:n]
+    at = np.arange(n)
+    last = np.searchsorted(words, before + min_words, "left")
+    first = np.searchsorted(before, words - min_words, "right") - 1
+    on, up = last < n, first >= 0
+    both = np.unique(np.concatenate([at[on] * n + last[on], first[up] * n + at[up]]))
+    return both // max(n, 1), both % max(n, 1)
+
+
+def stretch_digests(own: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    digest, view = xxhash.xxh3_64_intdigest, memoryview(own.tobytes())
+    found = [digest(view[8 * a : 8 * b + 8]) for a, b in zip(first.tolist(), last.tolist())]
+    return np.array(found, dtype=np.uint64).view(np.int64)
+
+
+def chunks(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_run_words: int = MIN_RUN_WORDS
+) -> DataFrame:
+    """(id, text_hash, stretch digests, chunk ends in bytes, words before each end) of every row."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -138,11 +162,12 @@ def chunks(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
                 data = _utf8(text or "")
                 ends = cuts(data)
                 places.append(ends)
-                found.append(digests(data, ends))
                 words.append(words_before(data, ends) if len(ends) else ends)
-            offsets = pa.array(np.cumsum([0, *map(len, places)]), pa.int32())
+                found.append(stretch_digests(digests(data, ends), *stretches(words[-1], min_run_words)))
             lists = [
-                pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x).astype(t)))
+                pa.ListArray.from_arrays(
+                    pa.array(np.cumsum([0, *map(len, x)]), pa.int32()), pa.array(np.concatenate(x).astype(t))
+                )
                 for x, t in ((found, np.int64), (places, np.int32), (words, np.int32))
             ]
             yield pa.RecordBatch.from_arrays(
@@ -162,20 +187,21 @@ def repeated_passages(
 ) -> DataFrame:
     """(id, text_hash, start, end, words, kept_id): each repeated passage, in bytes of the UTF-8 text.
 
-    ``kept_id`` is the document that keeps most of the passage's chunks: of each, the smallest
-    id that has it (the row itself for what stands further up in it). Rows that
+    Every part of a passage lies in a stretch of ``min_run_words`` that one document holds
+    without a gap. ``kept_id`` is the document that keeps most of these stretches: of each, the
+    smallest id that has it (the row itself for what stands further up in it). Rows that
     share an id are one document's versions: what they share stays in each of them.
     Null ids are larger than all others.
     """
-    landed = stage(chunks(docs, id_column, text_column), "chunks")
+    landed = stage(chunks(docs, id_column, text_column, min_run_words), "chunks")
     # a null id gets the largest number, so that comparisons hold
     order = F.coalesce(F.col("id"), F.lit((1 << 63) - 1))
     single = landed.select(order.alias("k"), F.explode(F.array_distinct("digests")).alias("digest"))
     first = single.groupBy("digest").agg(F.min("k").alias("first"), F.max("k").alias("last"))
-    # written, so that the join reads both sides by exchanges and a hot chunk can be split
+    # written, so that the join reads both sides by exchanges and a hot stretch can be split
     shared = stage(first.filter("first < last").drop("last"), "shared")
     hits = single.join(shared, "digest").filter("k > first").select("k", "digest", "first")
-    # a document has at most its own chunks here
+    # a document has at most its own stretches here
     per_doc = hits.groupBy("k").agg(F.collect_set(F.struct("digest", "first")).alias("hits"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,15 +209,21 @@ def repeated_passages(
             out: list[tuple] = []
             for doc, mark, own, ends, words, found in zip(*[c.to_pylist() for c in batch.columns]):
                 elsewhere = {h["digest"]: h["first"] for h in found or ()}
+                ends, words = np.array(ends, dtype=np.int64), np.array(words, dtype=np.int64)
+                first, last = stretches(words, min_run_words)
                 seen: set[int] = set()
-                repeated = np.zeros(len(own), dtype=bool)
+                again = np.zeros(len(own), dtype=bool)
                 for k, digest in enumerate(own):
-                    repeated[k] = digest in elsewhere or digest in seen
+                    again[k] = digest in elsewhere or digest in seen
                     seen.add(digest)
-                ends, words = np.array(ends, dtype=np.int64), np.array(words, dtype=np.int64)
-                for begin, end, count in repeated_runs(repeated, ends, words, min_run_words):
-                    run = own[int(np.searchsorted(ends, begin, "right")) : int(np.searchsorted(ends, end, "right"))]
-                    sources = Counter(elsewhere.get(digest, doc) for digest in run)
+                if not again.any():
+                    continue
+                own, first, last = np.array(own, dtype=np.int64)[again], first[again], last[again]
+                # how many repeated stretches a chunk is in
+                change = np.bincount(first, minlength=len(ends) + 1) - np.bincount(last + 1, minlength=len(ends) + 1)
+                for begin, end, count in repeated_runs(np.cumsum(change)[:-1] > 0, ends, words, min_run_words):
+                    inside = (ends[last] > begin) & (ends[last] <= end)
+                    sources = Counter(elsewhere.get(digest, doc) for digest in own[inside].tolist())
                     kept = max(sources, key=lambda k: (sources[k], k is not None and -k))
                     out.append((doc, mark, begin, end, count, kept))
             if out:

@@ -192,6 +192,19 @@ def test_planted_passages_are_found_and_clean_texts_are_not(spark):
         assert texts[k][:200] in cut[k]
 
 
+def test_phrases_of_many_documents_are_no_passage(spark):
+    """Chunks that all occur before, each in another document or in another order."""
+    whole = sentence(31, 120)
+    data = whole.encode()
+    ends = substrings.cuts(data).tolist()
+    parts = [data[a:b].decode() for a, b in zip([0, *ends], ends)]
+    rows = [(k, part) for k, part in enumerate(parts)]
+    rows += [(500, "".join(reversed(parts))), (900, whole), (901, "".join(parts[:10]) + sentence(32, 50))]
+    found = substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    # only what 901 shares with 900 stands in one document
+    assert [(r.id, r.start, r.kept_id) for r in found] == [(901, 0, 900)]
+
+
 def test_passages_of_awkward_rows(spark):
     docs = awkward(spark)
     found = substrings.repeated_passages(docs)
