@@ -70,32 +70,37 @@ def fit(
 ) -> LanguageModel:
     """Dictionaries from a bounded random sample of the rows that have a text and a language.
 
-    At most ``excerpts`` texts of a language are used, from each a stretch of
-    ``excerpt_chars`` that begins at a random place. With many languages dictionaries
+    At most ``excerpts`` different texts of a language are used, copies once, from each a
+    stretch of ``excerpt_chars`` that begins at a random place. With many languages dictionaries
     get smaller, so that all of them stay within ``all_bytes``. Without rows the model
     knows no language.
     """
     rows = docs.select(col(text_column).alias("t"), col(lang_column).cast("string").alias("l")).filter(
         "l IS NOT NULL AND t IS NOT NULL AND length(t) > 0"
     )
-    counts = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
+    # copies have one draw, so only different texts count; hashes are shuffled, no texts
+    distinct = rows.select("l", F.xxhash64("t").alias("h")).distinct()
+    counts = {r["l"]: r["n"] for r in distinct.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return LanguageModel((), ())
     if len(counts) > all_bytes // 1024:
         raise ValueError(f"{len(counts)} languages leave less than 1 KiB for each dictionary")
     # twice the wanted share passes this filter, so that ranking the rest is a small task for each language
     share = F.create_map(*[F.lit(x) for l, n in counts.items() for x in (l, min(1.0, 2.0 * (excerpts + 8) / n))])
-    draw = F.pmod(F.xxhash64("t"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    draw = F.pmod(F.col("h"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = (
-        rows.withColumn("draw", draw)
+        rows.withColumn("h", F.xxhash64("t"))
+        .withColumn("draw", draw)
         .filter(F.col("draw") < share[F.col("l")])
         .selectExpr(
             "l",
+            "h",
             "draw",
             f"substring(t, 1 + CAST(pmod(xxhash64(t, 1), greatest(length(t) - {excerpt_chars}, 0) + 1) AS INT),"
             f" {excerpt_chars}) AS t",
         )
-        .selectExpr("*", "row_number() OVER (PARTITION BY l ORDER BY draw, t) AS k")
+        .distinct()  # each task leaves one excerpt of a text before the shuffle
+        .selectExpr("l", "draw", "t", "row_number() OVER (PARTITION BY l ORDER BY draw, h, t) AS k")
         .filter(F.col("k") <= excerpts)
         .orderBy("l", "k")
         .collect()  # at most languages x excerpts short rows

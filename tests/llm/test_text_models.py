@@ -40,6 +40,14 @@ def test_language_does_not_depend_on_other_columns(spark):
     assert {r.doc_id: (r.lang_pred, r.score) for r in found} == plain
 
 
+def test_copies_of_a_text_take_one_excerpt(spark):
+    texts = [sentence(k, 40) for k in range(150)]
+    alone = langid.fit(spark.createDataFrame([(t, "x") for t in texts], "text string, lang string"))
+    for copied in (texts[3], texts[60]):
+        rows = [(t, "x") for t in texts] + [(copied, "x")] * 3000
+        assert langid.fit(spark.createDataFrame(rows, "text string, lang string").repartition(5)) == alone
+
+
 def test_language_of_awkward_rows(spark):
     model = language_model(documents(spark))
     found = langid.predict(awkward(spark), model)
