@@ -3,10 +3,9 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parent), str(Path(__file__).resolve().parents[1])]
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_GOLDEN = "/root/testdata/sf0.01"
+from table_dirs import SF_SMALL
 
 
 @pytest.fixture(scope="session")

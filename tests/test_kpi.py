@@ -3,7 +3,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_GOLDEN, SF_SMALL
+from table_dirs import SF_GOLDEN, SF_SMALL
 from siltworks.config import CostModel, Thresholds
 from siltworks.functions.lights import light
 from siltworks.kpi import availability as avail, cost, health, performance as perf, quality as qual

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as driver
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 from oracle_compare import compare, connect
 from siltworks.plans.oracles import ORACLES
 from siltworks.plans.registry import QUERIES

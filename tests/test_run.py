@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.errors import PySparkException
 
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 from siltworks.plans.run import run
 from siltworks.sources.contacts import contacts_raw
 

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from table_dirs import SF_SMALL
 from siltworks.kpi.availability import availability_rates
 from siltworks.plans.prepare import prepare
 from siltworks.sources import runs as rn

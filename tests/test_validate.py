@@ -3,7 +3,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_GOLDEN
+from table_dirs import SF_GOLDEN
 from siltworks.config import Thresholds
 from siltworks.operators import validate as val
 from siltworks.operators.profile import column_profile
