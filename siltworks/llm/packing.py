@@ -10,9 +10,6 @@ random over as many tasks as their number asks for, a fixed number of pieces to
 
 from __future__ import annotations
 
-import os
-import re
-import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -21,80 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from siltworks.llm.common import col, partitions_for, slices, text_hash
+from siltworks.llm.tokens import encoder
 from siltworks.session import stage
 
 SEQUENCE_TOKENS = 2048
 OPEN_BINS = 4096
 #: pieces that one task packs, on average
 PIECES_PER_GROUP = 1 << 13
-#: words whose ids a worker remembers before it starts anew
-CACHED_WORDS = 1_000_000
-
-# Characters for which str.split() and the tokenizer agree on white space; other texts
-# are encoded by the tokenizer as a whole.
-_PLAIN = re.compile("[\t\n\r -~\xa1-ɏ‐-‧€]*")
-
-PIECES = "id_at long, piece int, start long, length long, ids_crc32 long"
-
-
-class Encoder:
-    """Token ids as little-endian bytes, by white-space separated word with a memory.
-
-    The tokenizer never joins over white space, so a text has the ids of its words.
-    """
-
-    def __init__(self, path: str, cached_words: int = CACHED_WORDS):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to Spark's tasks
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.cached_words, self.known = cached_words, {}
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, dtype="<u4").tobytes() for x in found]
-
-    def _learn(self, words: list[str]) -> None:
-        """Encodes new words in one call; an end mark between them shows where each one stops."""
-        mark = self._raw(["\n!\n"])[0]
-        raw = np.frombuffer(self._raw(["\n!\n".join(words)])[0], dtype="<u4")
-        stops = np.flatnonzero(raw == np.frombuffer(mark, dtype="<u4")[0]) if len(mark) == 4 else ()
-        if len(stops) == len(words) - 1:
-            data, at = raw.tobytes(), 0
-            for word, stop in zip(words, [*(stops * 4).tolist(), len(data)]):
-                self.known[word] = data[at:stop]
-                at = stop + 4
-        else:  # a word has the mark itself
-            self.known.update(zip(words, self._raw(words)))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.cached_words:
-            self.known.clear()
-        known = self.known
-        words = [
-            unicodedata.normalize("NFC", t).lower().split() if _PLAIN.fullmatch(t) else None for t in texts
-        ]
-        new = set().union(*[w for w in words if w]).difference(known)
-        marked = [w for w in new if "!" in w]
-        new.difference_update(marked)
-        if new:
-            self._learn(list(new))
-        if marked:
-            known.update(zip(marked, self._raw(marked)))
-        return [
-            b"".join(map(known.__getitem__, w)) if w is not None else self._raw([t])[0] for w, t in zip(words, texts)
-        ]
-
-
-_encoders: dict[str, Encoder] = {}
-
-
-def encoder(path: str) -> Encoder:
-    """One per worker process; it is kept between tasks."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+#: tasks that the groups are dealt to at most; a task packs its groups one after the other
+MOST_TASKS = 1 << 14
 
 
 def pieces(
@@ -105,7 +37,11 @@ def pieces(
     sequence_tokens: int = SEQUENCE_TOKENS,
     end_id: int = 0,
 ) -> DataFrame:
-    """(id, text hash, piece, start, length, ids_crc32): every document cut to sequence length."""
+    """(id, text hash, piece, start, length, ids_crc32): every document cut to sequence length.
+
+    Null and empty texts are the end id alone. Repeated rows and rows without an id are
+    documents of their own; columns other than id and text are not read.
+    """
 
     end = np.array([end_id], dtype="<u4").tobytes()
 
@@ -187,7 +123,7 @@ def pack(
     groups = partitions_for(landed.count(), pieces_per_group, most=1 << 30)
     dealt = (
         landed.withColumn("_group", F.pmod(F.xxhash64("_at"), F.lit(groups)))
-        .repartition(groups, "_group")
+        .repartition(min(groups, MOST_TASKS), "_group")
         .sortWithinPartitions("_group", F.desc("length"), "_at")
         .drop("_at")
     )

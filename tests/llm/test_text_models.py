@@ -3,13 +3,14 @@
 import hashlib
 import random
 import zlib
+from functools import cache
 
 import numpy as np
 import pytest
 from llm_fixtures import SF_SMALL, awkward, awkward_rows, empty, sentence
 from pyspark.sql import functions as F
 
-from siltworks.llm import decontam, langid, merkle, packing, quality
+from siltworks.llm import decontam, langid, merkle, packing, quality, tokens
 from siltworks.llm.queries import GRADES, QUERIES, language_model, tokenizer_path
 
 SF = "/root/testdata/sf0.01"
@@ -303,12 +304,15 @@ def test_passages_in_awkward_rows(spark):
 # ---- packing ------------------------------------------------------------------------
 
 
-def plain_ids(text):
+@cache
+def tokenizer():
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
-    return tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+    return Tokenizer.from_file(tokenizer_path())
+
+
+def plain_ids(text):
+    return tokenizer().encode(text or "", add_special_tokens=False).ids + [0]
 
 
 def assert_packed(rows, texts, capacity):
@@ -341,6 +345,7 @@ def test_packing_query(spark):
 
 def test_packing_of_awkward_rows(spark):
     texts = {k: r[1] for k, r in enumerate(awkward_rows())}
+    texts |= {110: "a b <|endoftext|> c", 111: "<|startoftext|>", 112: "x<|endoftext|>! <|ENDOFTEXT|> y", 113: "!<|endoftext|>!<| endoftext |>"}
     texts |= {100: "a ! b !! <|endoftext|> it's\n!\n", 101: "K ſ İ ǅ ﬁ é  x", 102: "\x1c\x1d!", 103: "日本 !"}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     rows = packing.pack(packing.pieces(docs, tokenizer_path())).withColumnRenamed("id", "doc_id").collect()
@@ -349,8 +354,14 @@ def test_packing_of_awkward_rows(spark):
     assert packing.pack(packing.pieces(empty(spark), tokenizer_path())).count() == 0
 
 
+def test_added_tokens_are_single_ids():
+    assert plain_ids("a b <|endoftext|> c") == [320, 321, 49407, 322, 0]
+    raw = tokens.Encoder(tokenizer_path()).encode(["a b <|endoftext|> c"])[0]
+    assert list(np.frombuffer(raw, dtype="<u4")) == [320, 321, 49407, 322]
+
+
 def test_words_are_remembered_as_the_tokenizer_has_them(spark):
-    encode = packing.Encoder(tokenizer_path(), cached_words=50)
+    encode = tokens.Encoder(tokenizer_path(), cached_words=50)
     for r in documents(spark).limit(60).collect():
         assert list(np.frombuffer(encode.encode([r.text])[0], dtype="<u4")) + [0] == plain_ids(r.text)
 
