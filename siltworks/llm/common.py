@@ -30,13 +30,13 @@ def unused_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The same rows in smaller batches, so that few texts are Python objects at any time."""
     for batch in batches:
         if not batch.num_rows:
             continue
         per_row = max(1, batch.nbytes // batch.num_rows)
-        step = max(1, min(SLICE_ROWS, SLICE_BYTES // per_row))
+        step = max(1, min(rows, SLICE_BYTES // per_row))
         for start in range(0, batch.num_rows, step):
             yield batch.slice(start, step)
 

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltworks.llm import decontam, langid, licenses, merkle, packing, quality, sharding, simhash, substrings, warc
+from siltworks.llm import (
+    balanced, decontam, langid, licenses, merkle, packing, quality, sharding, simhash, spelling, substrings, vector_codes, warc,
+)
 from siltworks.llm.common import table
 from siltworks.session import stage
 
@@ -94,6 +96,23 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return found.drop("text_hash").withColumnRenamed("id", "doc_id")
 
 
+@query
+def op11_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = balanced.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packed.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, _ = vector_codes.encode(table(spark, sf_dir, "embeddings"))
+    return coded.withColumnRenamed("id", "vec_id")
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 # ---- stages of the corpus pipeline ---------------------------------------------
 
 
