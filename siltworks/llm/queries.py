@@ -79,7 +79,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.repeated_passages(table(spark, sf_dir, "documents"))
-    return found.drop("text_hash").withColumnsRenamed({"id": "doc_id", "kept_id": "kept_doc_id"})
+    return found.drop("text_hash", "again").withColumnsRenamed({"id": "doc_id", "kept_id": "kept_doc_id"})
 
 
 @query

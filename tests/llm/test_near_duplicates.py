@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 from llm_fixtures import SF_SMALL, awkward, awkward_rows, empty, sentence
+from pyspark.sql import functions as F
 
 from siltworks.llm import simhash, substrings
 from siltworks.llm.components import connected_components
@@ -100,20 +101,36 @@ def test_components_of_chains_stars_and_random_edges(spark, block):
     assert sorted((r.node, r.root) for r in found) == sorted(plain.items())
 
 
+def plain_hash(data: bytes, i: int) -> int:
+    """The hash of the window that ends with byte ``i``, started anew."""
+    h = 0
+    for b in data[max(0, i - 15) : i + 1]:
+        h = (2 * h + _GEAR[b]) & 0xFFFFFFFF
+    return h
+
+
+_GEAR = substrings.GEAR.tolist()
+
+
 def plain_cuts(data: bytes):
-    """Byte by byte, with the hash started anew for each place."""
-    ends = []
-    for i in range(len(data)):
-        h = 0
-        for b in data[max(0, i - 15) : i + 1]:
-            h = (2 * h + int(substrings.GEAR[b])) & 0xFFFFFFFF
-        if h & int(substrings.CUT_BITS) == 0 and chr(data[i]) in " \t\n\r\x0b\x0c":
-            ends.append(i + 1)
-    ends = [e for k, e in enumerate(ends) if k == 0 or e - ends[k - 1] >= substrings.LEAST_BYTES]
-    if data and (not ends or ends[-1] != len(data)):
-        ends.append(len(data))
+    """Byte by byte."""
+    n, hashes = len(data), [plain_hash(data, i) for i in range(len(data))]
+
+    def apart(places):
+        return [e for k, e in enumerate(places) if k == 0 or e - places[k - 1] >= substrings.LEAST_BYTES]
+
+    ends = apart([i + 1 for i in range(n) if hashes[i] & int(substrings.CUT_BITS) == 0 and data[i] in b" \t\n\r\x0b\x0c"])
+    if data and (not ends or ends[-1] != n):
+        ends.append(n)
+    borders = [i + 1 for i in range(n) if hashes[i] & int(substrings.INNER_BITS) == 0 and (i + 1 == n or data[i + 1] & 0xC0 != 0x80)]
+    borders = apart(borders)
+    cut = []
+    for a, b in zip([0, *ends], ends):
+        if b - a > substrings.MOST_BYTES:
+            cut += [x for x in borders if a + substrings.LEAST_BYTES <= x <= b - substrings.LEAST_BYTES]
+        cut.append(b)
     out, before = [], 0
-    for e in ends:
+    for e in cut:
         at = before + substrings.MOST_BYTES
         while at < e:
             back = at
@@ -126,33 +143,66 @@ def plain_cuts(data: bytes):
     return out
 
 
+def plain_words(data: bytes, a: int, b: int) -> int:
+    begin = sum(data[k] not in b" \t\n\r\x0b\x0c" and (k == 0 or data[k - 1] in b" \t\n\r\x0b\x0c") for k in range(a, b))
+    return max(begin, (b - a) // substrings.BYTES_PER_WORD)
+
+
 def plain_passages(rows):
-    """Repeated passages by comparing chunk texts."""
-    chunked = []
+    """Repeated passages by comparing the chunk texts of all shortest stretches that are long enough."""
+    held, texts, seen_without_id = {}, [], set()
     for i, t in rows:
         data = (t or "").encode()
         ends = plain_cuts(data)
-        chunked.append((i, data, [(a, b) for a, b in zip([0, *ends], ends)]))
-    first = {}
-    big = 1 << 63
-    for i, data, parts in chunked:
-        for a, b in parts:
-            first[data[a:b]] = min(first.get(data[a:b], big), big - 1 if i is None else i)
-    found = []
-    for i, data, parts in chunked:
-        seen, run = set(), []
-        for a, b in [*parts, (None, None)]:
-            if a is not None and (first[data[a:b]] < (big - 1 if i is None else i) or data[a:b] in seen):
-                run.append((a, b))
-            elif run:
-                start, end = run[0][0], run[-1][1]
-                words = sum(1 for k in range(start, end) if not chr(data[k]).isspace() and (k == 0 or data[k - 1] in b" \t\n\r\x0b\x0c"))
-                if words >= substrings.MIN_RUN_WORDS:
-                    found.append((i, start, end))
-                run = []
-            if a is not None:
-                seen.add(data[a:b])
-    return sorted(found, key=repr)
+        parts = list(zip([0, *ends], ends))
+        words = [plain_words(data, a, b) for a, b in parts]
+        found = {}
+        for k in range(len(parts)):
+            for step in (1, -1):
+                z, total = k, 0
+                while 0 <= z < len(parts):
+                    total += words[z]
+                    if total >= substrings.MIN_RUN_WORDS:
+                        y, x = sorted((k, z))
+                        found[y, x] = tuple(data[a:b] for a, b in parts[y : x + 1])
+                        break
+                    z += step
+        rank = (i is None, i if i is not None else 0, substrings_hash(t) if i is None else 0)
+        again = i is None and t in seen_without_id
+        if i is None:
+            seen_without_id.add(t)
+        if not again:
+            for stretch in found.values():
+                held.setdefault(stretch, set()).add(rank)
+        texts.append((i, parts, words, found, rank, again))
+    out = []
+    for i, parts, words, found, rank, again in texts:
+        bad, seen = [again] * len(parts), set()
+        for span in sorted(found):
+            stretch = found[span]
+            if stretch in seen or any(r < rank for r in held.get(stretch, ())):
+                for k in range(span[0], span[1] + 1):
+                    bad[k] = True
+            seen.add(stretch)
+        k = 0
+        while k < len(parts):
+            z = k
+            while z < len(parts) and bad[z]:
+                z += 1
+            if z > k and sum(words[k:z]) >= substrings.MIN_RUN_WORDS:
+                out.append((i, parts[k][0], parts[z - 1][1]))
+            k = max(z, k + 1)
+    return sorted(out, key=repr)
+
+
+def substrings_hash(text):
+    """The hash that orders texts without an id, by the same function of Spark."""
+    from pyspark.sql import SparkSession
+
+    from siltworks.llm.common import text_hash
+
+    one = SparkSession.getActiveSession().createDataFrame([(text,)], "text string")
+    return one.select(text_hash("text").alias("h")).first()["h"]
 
 
 def test_cuts_equal_the_plain_ones():
@@ -176,6 +226,52 @@ def test_passages_query_equals_the_plain_one(spark):
     assert sorted(((r.doc_id, r.start, r.end) for r in found), key=repr) == plain_passages(rows)
 
 
+def test_old_and_new_rule_differ_on_mixed_phrases(spark):
+    """Long runs of known chunks that no single document holds are no passages; the plain version agrees."""
+    draw, phrases = random.Random(4), [sentence(600 + k, 9) for k in range(12)]
+    rows = [(k, " ".join(draw.choices(phrases, k=12))) for k in range(40)]
+    rows += [(None, rows[3][1]), (None, rows[3][1]), (None, sentence(9000, 60)), (None, sentence(9000, 60))]
+    found = substrings.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(((r.id, r.start, r.end) for r in found), key=repr) == plain_passages(rows)
+    assert len({(r.id, r.start) for r in found}) > 10
+
+
+def han(seed, n):
+    draw = random.Random(seed)
+    return "".join(chr(draw.randrange(0x4E00, 0x9F00)) for _ in range(n))
+
+
+@pytest.mark.parametrize("make", [han, lambda s, n: sentence(s, n // 5).replace(" ", "")], ids=["han", "packed"])
+def test_one_insertion_leaves_most_chunks_of_text_without_spaces(make):
+    text = make(5, 3000)
+    edited = text[:40] + ("中" if make is han else "z") + text[40:]
+    parts = [{data[a:b] for a, b in zip([0, *ends], ends)} for data in (text.encode(), edited.encode()) for ends in [substrings.cuts(data).tolist()]]
+    assert len(parts[0] & parts[1]) > 0.9 * len(parts[0]) > 20
+
+
+def test_passages_without_spaces_are_found(spark):
+    shared = han(1, 150)
+    rows = [(k, han(10 + k, 300) + shared + han(50 + k, 300)) for k in range(8)] + [(100, han(99, 900))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substrings.repeated_passages(docs)
+    assert {r.id for r in found.collect()} == set(range(1, 8)) and {r.kept_id for r in found.collect()} == {0}
+    left = {r.doc_id: r.text for r in substrings.remove_passages(docs, found).collect()}
+    assert left[0] == rows[0][1] and left[100] == rows[8][1]
+    assert all(200 < len(left[k]) - 400 < 290 for k in range(1, 8))
+
+
+def test_rows_without_an_id_are_documents(spark, tmp_path):
+    texts = [sentence(400 + k, 70) for k in range(7)]
+    rows = [(None, texts[k % 7], k) for k in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, k int").repartition(4).write.parquet(f"{tmp_path}/d")
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    found = substrings.repeated_passages(docs)
+    assert found.count() == 53
+    assert sorted(r.text for r in substrings.remove_passages(docs, found).collect()) == sorted(texts)
+    with_ids = docs.withColumn("doc_id", F.col("k").cast("long"))
+    assert substrings.repeated_passages(with_ids).count() == 53
+
+
 def test_planted_passages_are_found_and_clean_texts_are_not(spark):
     shared = sentence(77, 55)
     rows = [(k, f"{sentence(1000 + k, 80)} {shared} {sentence(2000 + k, 80)}") for k in range(30)]
