@@ -17,8 +17,7 @@ def plain_pipeline(docs, items, model):
     """(id, text) that is left before packing, stage by stage."""
     kept = []
     for i, text in docs:
-        lang, margin = langid.identify(model, text)
-        if lang != langid.UNKNOWN and margin >= langid.MIN_MARGIN:
+        if not langid.is_rejected(langid.identify(model, text)):
             kept.append((i, text))
     first = {i for i, _, component in plain_near_duplicates(kept) if i == component}
     kept = [(i, t) for i, t in kept if i in first]

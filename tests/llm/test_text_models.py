@@ -35,7 +35,7 @@ def test_held_out_languages(spark):
 def test_language_does_not_depend_on_other_columns(spark):
     docs = documents(spark)
     model = language_model(docs)
-    plain = {r.doc_id: langid.identify(model, r.text) for r in docs.collect()}
+    plain = {r.doc_id: langid.identify(model, r.text)[:2] for r in docs.collect()}
     other = docs.withColumns({"lang": F.lit("xx"), "source": F.lit(None).cast("string"), "score": F.lit(1)})
     found = langid.predict(other, model).collect()
     assert {r.doc_id: (r.lang_pred, r.score) for r in found} == plain
@@ -383,3 +383,36 @@ def test_best_fit_takes_the_tightest_bin_and_closes_the_fullest():
             free += [rest] if rest else []
             if len(free) > most:
                 free.remove(min(free))
+
+
+def test_identification_is_plain_compression(spark):
+    """Every block with every dictionary, by fresh compressors."""
+    import zstandard
+
+    model = language_model(documents(spark))
+    params = langid._compressors(model) and zstandard.ZstdCompressionParameters.from_level(
+        langid.LEVEL, source_size=len(langid.PRIMER) + langid.BLOCK_BYTES, dict_size=max(map(len, model.dictionaries)),
+        min_match=langid.MIN_MATCH, write_checksum=False, write_content_size=False, write_dict_id=False,
+    )
+    for r in documents(spark).limit(12).collect():
+        words, sizes = langid.letters(r.text or ""), []
+        for data in model.dictionaries:
+            total = 0
+            for at in range(0, len(words), langid.BLOCK_BYTES):
+                dictionary = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                one = zstandard.ZstdCompressor(dict_data=dictionary, compression_params=params)
+                total += len(one.compress(langid.PRIMER + words[at : at + langid.BLOCK_BYTES]))
+            sizes.append(total)
+        best, second = sorted(sizes)[:2]
+        assert langid.identify(model, r.text) == (model.languages[sizes.index(best)], (second - best) / second, second - best)
+
+
+def test_number_signs_are_no_letters(spark):
+    assert langid.letters("½ ² Ⅷ ③ 12 a²b 日本") == "a b 日本".encode()
+    model = language_model(documents(spark))
+    assert [langid.identify(model, t)[0] for t in ("½ ²", "", None, "12 _")] == [langid.UNKNOWN] * 4
+
+
+def test_close_answers_are_rejected():
+    assert langid.is_rejected(("de", 0.05, 1)) and langid.is_rejected(("de", 0.001, 9)) and langid.is_rejected((langid.UNKNOWN, 0.0, 0))
+    assert not langid.is_rejected(("de", 0.05, 2))
