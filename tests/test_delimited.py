@@ -131,3 +131,64 @@ def test_file_facts(spark, tmp_path):
 def test_sample_is_the_first_rows_by_key(spark):
     df = spark.range(100).selectExpr("99 - id AS k").repartition(7)
     assert [r["k"] for r in files.table_sample(df, ["k"], 3).collect()] == [0, 1, 2]
+
+
+ODD_NAMES = ["a b.csv", "a[1].csv", "100%.csv", "a%20b.csv", "x,y;z.csv", "{k}.csv", "q?.csv", "s*.csv", "ü#é.csv", "back\\slash.csv"]
+
+
+def test_file_names_of_any_signs(spark, tmp_path):
+    folder = tmp_path / "in [2024], {all} 50%"
+    folder.mkdir()
+    for k, name in enumerate(ODD_NAMES):
+        # a second order of columns, so that files are read by name
+        write(folder / name, f"k;v\n{k};a{k}\n" if k % 3 else f"v,k\na{k},{k}\n")
+    rows = delimited.read_delimited(spark, str(folder)).collect()
+    assert {(r["k"], r["v"]) for r in rows} == {(str(k), f"a{k}") for k in range(len(ODD_NAMES))}
+    found = {r["file_path"].split("/")[-1]: (r["n_rows"], r["readable"]) for r in delimited.readable_files(spark, str(folder)).collect()}
+    assert found == {name: (1, True) for name in ODD_NAMES}
+    for name in ODD_NAMES[:3]:
+        assert delimited.read_delimited(spark, str(folder / name)).count() == 1
+        assert delimited.can_read(spark, str(folder / name))
+
+
+def test_files_of_one_header_are_read_as_a_folder(spark, tmp_path):
+    for k in range(60):
+        write(tmp_path / f"{k}.csv", f"a;b\n{k};x\n{k};y\n")
+    write(tmp_path / "blank.csv", "\n")
+    [layout] = delimited.layouts(spark, str(tmp_path))
+    assert layout.paths == (str(tmp_path),) and layout.header == "a;b"
+    assert delimited.read_delimited(spark, str(tmp_path)).count() == 120
+
+
+def test_headers_of_many_files_take_few_jobs(spark, tmp_path):
+    from pyspark import SparkContext
+
+    for k in range(150):
+        write(tmp_path / f"{k}.csv", "a;b\n1;2\n" if k % 2 else "b;a\n1;2\n")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        assert len(delimited.layouts(spark, str(tmp_path))) == 2
+        assert len(tracker.getJobIdsForGroup("headers")) <= 12
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert isinstance(SparkContext._active_spark_context, SparkContext)
+
+
+def test_headers_of_large_files_are_read_from_their_beginning(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(delimited, "SMALL_FILE", 1000)
+    write(tmp_path / "small.csv", "a;b\n1;2\n")
+    write(tmp_path / "large.csv", "\n﻿b;a\r\n" + "1;2\r\n" * 40_000)
+    found = {layout.header: layout.paths for layout in delimited.layouts(spark, str(tmp_path))}
+    assert found.keys() == {"a;b", "b;a"}
+    assert [len(h.collect()) for h in delimited._header_lines(spark, str(tmp_path))] == [1, 1]
+
+
+def test_a_damaged_file_among_many_is_found_alone(spark, tmp_path):
+    for k in range(20):
+        write(tmp_path / f"{k}.csv", f"a;b\n{k};x\n")
+    (tmp_path / "no.csv.gz").write_bytes(b"no gzip")
+    found = {r["file_path"].split("/")[-1]: r["readable"] for r in delimited.readable_files(spark, str(tmp_path)).collect()}
+    assert len(found) == 21 and [n for n, ok in found.items() if not ok] == ["no.csv.gz"]
+    with pytest.raises(Exception):
+        delimited.read_delimited(spark, str(tmp_path)).collect()
