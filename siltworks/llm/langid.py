@@ -43,13 +43,20 @@ MIN_MARGIN = 0.002
 MIN_LEAD_BYTES = 2
 
 # signs for numbers, such as fractions, are word characters without being letters or digits
-_NUMBERS = "".join(c for c in map(chr, range(0x80, sys.maxunicode)) if unicodedata.category(c) in ("No", "Nl"))
-_WORD = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+_NUMBERS = [c for c in map(chr, range(0x80, sys.maxunicode)) if unicodedata.category(c) in ("No", "Nl")]
+# the set of those up to U+FFFF is a table, which is fast; few texts hold any others
+_NUMBER, _RARE_NUMBER = (re.compile("[" + "".join(c for c in _NUMBERS if (c > "\uffff") is rare) + "]") for rare in (False, True))
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 def letters(text: str) -> bytes:
     """The words of a text in lower case, one space between them."""
-    return " ".join(_WORD.findall(text.lower())).encode("utf-8", "surrogatepass")
+    text = text.lower()
+    if not text.isascii():
+        text = _NUMBER.sub(" ", text)
+        if len(text.encode("utf-16-le", "surrogatepass")) > 2 * len(text):
+            text = _RARE_NUMBER.sub(" ", text)
+    return " ".join(_WORD.findall(text)).encode("utf-8", "surrogatepass")
 
 
 @dataclass(frozen=True)
