@@ -35,7 +35,13 @@ SENTENCES: dict[str, str] = {
     "LicensedBSD3": "licensed under the bsd 3 clause license",
     "LicensedMPL2": "licensed under the mozilla public license version 2 0",
     "SourceMPL2": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    # the notice as it is wrapped, and on one line; "v. " ends a sentence
+    "SourceMPL2Wrapped": "this source code form is subject to the terms of the mozilla public",
+    "SourceMPL2Line": "this source code form is subject to the terms of the mozilla public license v",
+    "LicenseV": "license v",
     "CopyMPL2": "if a copy of the mpl was not distributed with this file you can obtain one at",
+    "CopyMPL2Http": "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0",
+    "CopyMPL2Https": "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
     "SpdxMIT": "spdx license identifier mit",
     "SpdxApache2": "spdx license identifier apache 2 0",
     "SpdxGPL3": "spdx license identifier gpl 3 0 or later",
@@ -91,34 +97,72 @@ SENTENCES: dict[str, str] = {
         "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
         "products derived from this software without specific prior written permission"
     ),
-    # GPL notice
+    # GPL notice; a semicolon ends a sentence
     "GPL2Grant": (
         "you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
-        "free software foundation either version 2 of the license or at your option any later version"
+        "free software foundation"
+    ),
+    "GPL2Either": "either version 2 of the license or at your option any later version",
+    "LGPL2Grant": (
+        "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+        "the free software foundation"
+    ),
+    "LGPL21Either": "either version 2 1 of the license or at your option any later version",
+    "LGPL3Grant": (
+        "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by "
+        "the free software foundation either version 3 of the license or at your option any later version"
+    ),
+    "AGPL3Grant": (
+        "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by "
+        "the free software foundation either version 3 of the license or at your option any later version"
     ),
     "GPL3Grant": (
         "you can redistribute it and or modify it under the terms of the gnu general public license as published by the "
         "free software foundation either version 3 of the license or at your option any later version"
     ),
     "GPLFree": "this program is free software",
-    "GPLHope": (
-        "this program is distributed in the hope that it will be useful but without any warranty without even the implied "
-        "warranty of merchantability or fitness for a particular purpose"
-    ),
+    "GPLHope": "this program is distributed in the hope that it will be useful but without any warranty",
+    "GPLEven": "without even the implied warranty of merchantability or fitness for a particular purpose",
     "GPLMore": "see the gnu general public license for more details",
+    "LGPLMore": "see the gnu lesser general public license for more details",
+    "AGPLMore": "see the gnu affero general public license for more details",
+    # Unlicense
+    "UnlicenseFree": "this is free and unencumbered software released into the public domain",
+    "UnlicenseAnyone": (
+        "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or "
+        "as a compiled binary for any purpose commercial or non commercial and by any means"
+    ),
 }
 
+#: in a rule, stands for text that is not known, such as the address of a licence
+ANYTHING = ""
+
 # Licences as sequences of identifiers, in the order in which they are tried.
 RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("MIT", ("MITGrant", "MITNotice", "MITAsIs", "MITLiability")),
+    ("Apache-2.0", ("LicensedApache2The", "ApacheNotUse", "ApacheCopy", ANYTHING, "ApacheAsIs", "ApacheSee")),
     ("Apache-2.0", ("LicensedApache2The", "ApacheNotUse", "ApacheCopy", "ApacheAsIs", "ApacheSee")),
     ("Apache-2.0", ("LicensedApache2The", "ApacheNotUse", "ApacheCopy")),
     ("BSD-3-Clause", ("BSDGrant", "BSDSource", "BSDBinary", "BSDEndorse")),
     ("BSD-2-Clause", ("BSDGrant", "BSDSource", "BSDBinary")),
-    ("GPL-3.0-or-later", ("GPLFree", "GPL3Grant", "GPLHope", "GPLMore")),
-    ("GPL-2.0-or-later", ("GPLFree", "GPL2Grant", "GPLHope", "GPLMore")),
+    ("GPL-3.0-or-later", ("GPLFree", "GPL3Grant", "GPLHope", "GPLEven", "GPLMore")),
+    ("GPL-2.0-or-later", ("GPLFree", "GPL2Grant", "GPL2Either", "GPLHope", "GPLEven", "GPLMore")),
+    ("AGPL-3.0-or-later", ("GPLFree", "AGPL3Grant", "GPLHope", "GPLEven", "AGPLMore")),
+    ("LGPL-3.0-or-later", ("GPLFree", "LGPL3Grant", "GPLHope", "GPLEven", "LGPLMore")),
+    ("LGPL-2.1-or-later", ("GPLFree", "LGPL2Grant", "LGPL21Either", "GPLHope", "GPLEven", "LGPLMore")),
     ("GPL-3.0-or-later", ("GPLFree", "GPL3Grant")),
-    ("GPL-2.0-or-later", ("GPLFree", "GPL2Grant")),
+    ("GPL-2.0-or-later", ("GPLFree", "GPL2Grant", "GPL2Either")),
+    ("AGPL-3.0-or-later", ("GPLFree", "AGPL3Grant")),
+    ("LGPL-3.0-or-later", ("GPLFree", "LGPL3Grant")),
+    ("LGPL-2.1-or-later", ("GPLFree", "LGPL2Grant", "LGPL21Either")),
+    ("Unlicense", ("UnlicenseFree", "UnlicenseAnyone")),
+    ("Unlicense", ("UnlicenseFree",)),
+    ("MPL-2.0", ("SourceMPL2Wrapped", "LicenseV", "CopyMPL2Https")),
+    ("MPL-2.0", ("SourceMPL2Wrapped", "LicenseV", "CopyMPL2Http")),
+    ("MPL-2.0", ("SourceMPL2Line", "CopyMPL2Https")),
+    ("MPL-2.0", ("SourceMPL2Line", "CopyMPL2Http")),
+    ("MPL-2.0", ("SourceMPL2Wrapped", "LicenseV")),
+    ("MPL-2.0", ("SourceMPL2Line",)),
     ("MPL-2.0", ("SourceMPL2", "CopyMPL2")),
     ("MPL-2.0", ("SourceMPL2",)),
     ("MPL-2.0", ("LicensedMPL2",)),
@@ -147,8 +191,15 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
 
 #: a sentence ends after one of these marks and white space, or at a line break; a mark inside a number ends nothing
 SENTENCE_END = r"[.!?:;]+[ \t\r\n]+|[\r\n]+"
-#: a line break, with a comment mark of source code, before a small letter only wraps a sentence
-WRAPPED = r"[ \t]*\r?\n[ \t]*[#*/;-]*[ \t]*([a-z(\"'])"
+# Line breaks, with a comment mark of source code, that only wrap a sentence: those between two
+# words in capitals, behind a word that no sentence ends with, and before a small letter. Each
+# pattern has what stands before the break and what stands behind it.
+_BREAK = r"[ \t]*\r?\n[ \t]*[#*/;-]*[ \t]*"
+WRAPPED = (
+    r"([A-Z]{2}[,\"']*)" + _BREAK + r"([A-Z]{2})",
+    r"(\b(?:a|an|and|as|by|for|in|of|or|the|to|under|with))" + _BREAK + r"([A-Za-z(\"'])",
+    r"()" + _BREAK + r"([a-z(\"'])",
+)
 #: what is kept of a sentence: ASCII letters and digits; anything else is one space
 NOT_KEPT = r"[^a-z0-9]+"
 #: list numbers and the like are no sentences
@@ -165,7 +216,10 @@ def sentence_ids(text: Column, sentences: Mapping[str, str] = SENTENCES) -> Colu
     Sentences that are not known become ``<>`` between known ones, once for a run of them.
     """
     known = F.create_map(*[F.lit(x) for name, said in sentences.items() for x in (said, f"<{name}>")])
-    parts = F.split(F.regexp_replace(F.coalesce(text, F.lit("")), WRAPPED, " $1"), SENTENCE_END)
+    joined = F.coalesce(text, F.lit(""))
+    for pattern in WRAPPED:
+        joined = F.regexp_replace(joined, pattern, "$1 $2")
+    parts = F.split(joined, SENTENCE_END)
     said = F.filter(F.transform(parts, normalised), lambda s: s.rlike(LEAST))
     return F.regexp_replace(F.array_join(F.transform(said, lambda s: F.coalesce(known[s], F.lit("<>"))), ""), "(<>)+", "<>")
 
@@ -182,6 +236,8 @@ def scan(
     ``sequence`` are the identifiers in order, ``licenses`` the licence names found by
     the rules, in the order of the text and as often as they occur, joined by a space;
     ``unmatched`` the identifiers that no rule used. Null and empty texts have none of them.
+    Every row is scanned for itself, whole texts of any length; repeated rows and ids give
+    repeated results, an empty table none; other columns are not read.
     """
     found = docs.select(col(id_column).cast("long").alias("id"), sentence_ids(col(text_column), sentences).alias("sequence"))
     matched = F.col("sequence")

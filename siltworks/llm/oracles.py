@@ -16,13 +16,16 @@ def _text(value: str) -> str:
 
 def _licenses() -> str:
     known = "MAP {" + ", ".join(f"{_text(said)}: '<{name}>'" for name, said in SENTENCES.items()) + "}"
+    joined = "coalesce(text, '')"
+    for pattern in WRAPPED:
+        joined = f"regexp_replace({joined}, {_text(pattern)}, '\\1 \\2', 'g')"
     matched = "sequence"
     for name, wanted in RULES:
         matched = f"replace({matched}, '{''.join(f'<{w}>' for w in wanted)}', '[{name}]')"
     return f"""
 WITH known AS (SELECT {known} AS ids),
 parts AS (
-  SELECT doc_id, string_split_regex(regexp_replace(coalesce(text, ''), {_text(WRAPPED)}, ' \\1', 'g'), {_text(SENTENCE_END)}) AS p
+  SELECT doc_id, string_split_regex({joined}, {_text(SENTENCE_END)}) AS p
   FROM documents),
 said AS (
   SELECT doc_id, list_filter(list_transform(p, lambda x: trim(regexp_replace(lower(x), {_text(NOT_KEPT)}, ' ', 'g'))),

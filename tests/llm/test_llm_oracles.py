@@ -35,9 +35,13 @@ furnished to do so, subject to the following conditions:
 The above copyright notice and this permission notice shall be included in all
 copies or substantial portions of the Software.
 
-THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
-WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE
-LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
 """
 
 APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
@@ -45,6 +49,39 @@ APACHE = """# Licensed under the Apache License, Version 2.0 (the "License");
 # You may obtain a copy of the License at
 #
 #     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+
+GPL2 = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+
+GPL3 = GPL2.replace("software; you", "software: you").replace("Foundation; either version 2", "Foundation, either version 3")
+
+LGPL3 = GPL3.replace("GNU General", "GNU Lesser General")
+
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+"""
+
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
 """
 
 BSD = """Redistribution and use in source and binary forms, with or without
@@ -61,10 +98,17 @@ this software without specific prior written permission."""
 
 def test_licence_texts_are_recognised_as_wholes(spark):
     mixed = "Some prose.\nReleased under the MIT License. More prose.\nLicensed under CC BY-NC 4.0."
-    assert scanned(spark, MIT.replace("\nWARRANTIES", " WARRANTIES").replace("\nLIABLE", " LIABLE"), APACHE, BSD, mixed, "the mit license", None, "") == [
+    one_line = " ".join(MPL.replace("*", " ").split())
+    assert scanned(spark, MIT, APACHE, BSD, GPL2, GPL3, LGPL3, MPL, one_line, ISC, mixed, "the mit license", None, "") == [
         "MIT",
         "Apache-2.0",
         "BSD-3-Clause",
+        "GPL-2.0-or-later",
+        "GPL-3.0-or-later",
+        "LGPL-3.0-or-later",
+        "MPL-2.0",
+        "MPL-2.0",
+        "ISC",
         "MIT CC-BY-NC-4.0",
         "",
         "",
@@ -72,6 +116,13 @@ def test_licence_texts_are_recognised_as_wholes(spark):
     ]
 
 
+def test_whole_notices_leave_no_sentence_over(spark):
+    """The rule for the full text fires, not one for a part of it."""
+    texts = [MIT, APACHE, BSD, GPL2, GPL3, LGPL3, MPL, ISC]
+    rows = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.id: (r.n_known, r.unmatched) for r in rows} == {k: (n, "") for k, n in enumerate((4, 5, 4, 6, 5, 5, 3, 1))}
+
+
 def test_licences_of_awkward_rows(spark):
     assert licenses.scan(awkward(spark)).count() == len(awkward_rows())
     assert licenses.scan(empty(spark)).count() == 0
