@@ -25,9 +25,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from siltworks.llm.common import col, map_text, slices
 
 FEATURE_BITS = 18
-#: rated documents that the fit uses at most, a random choice of all rated ones
+#: rated texts that the fit uses at most, a random choice of all different ones
 SAMPLE_ROWS = 12_000
-#: features of all sampled documents together, which bounds the driver's memory
+#: features of all sampled texts together, which bounds the driver's memory; texts beyond it, the last ones of the
+#: random order, are not used
 SAMPLE_FEATURES = 10_000_000
 
 #: letters of the word beginnings that are features too
@@ -151,15 +152,30 @@ def grade_of(quality: Column, toxic: Column) -> Column:
 
 
 def fit(
-    rated: DataFrame, n_grades: int, text_column: str = "text", grade_column: str = "grade", sample_rows: int = SAMPLE_ROWS
+    rated: DataFrame,
+    n_grades: int,
+    text_column: str = "text",
+    grade_column: str = "grade",
+    sample_rows: int = SAMPLE_ROWS,
+    sample_features: int = SAMPLE_FEATURES,
 ) -> OrdinalModel:
-    """The model of a bounded random sample of ``rated``; rows without a text or a grade are left out."""
+    """The model of a bounded random sample of ``rated``.
+
+    Rows without a text, or with a grade that is null or unknown, are left out. A text with several
+    grades is used once with each, copies with one grade are used once. Very long texts count
+    whole. Without rows the highest grade is expected of every text.
+    """
     rows = rated.select(col(text_column).alias("t"), col(grade_column).cast("int").alias("g")).filter(
         (F.col("t").isNotNull()) & F.col("g").between(0, n_grades - 1)
     )
-    total = rows.select("g").count()
-    # a hash decides, the same for every order of rows; the limit only cuts what chance adds
-    draw = F.pmod(F.xxhash64("t", F.lit(17)), F.lit(1 << 30)) < F.lit(int(min(1.0, sample_rows / max(total, 1)) * (1 << 30)))
+    # a hash of text and grade decides, the same for every order of rows
+    rows = rows.withColumn("h", F.xxhash64("t", "g", F.lit(17)))
+    total = rows.select("h").distinct().count()
+    # more than enough pass, so that the limit decides and not chance
+    draw = F.pmod("h", F.lit(1 << 30)).alias("draw")
+    passing = rows.filter(draw < F.lit(int(min(1.0, 1.1 * (sample_rows + 100) / max(total, 1)) * (1 << 30))))
+    # copies become one in their tasks, before anything is shuffled
+    different = passing.groupBy("h", "g").agg(F.min("t").alias("t")).select("t", "g", draw)
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -169,13 +185,14 @@ def fit(
                     pa.array([list(f) for f in found], pa.list_(pa.int32())),
                     pa.array([list(f.values()) for f in found], pa.list_(pa.float32())),
                     batch.column(1),
+                    batch.column(2),
                 ],
-                names=["k", "v", "g"],
+                names=["k", "v", "g", "draw"],
             )
 
-    sample = rows.filter(draw).mapInArrow(extract, "k array<int>, v array<float>, g int")
-    taken, grades, left = [], [], SAMPLE_FEATURES
-    for batch in sample.limit(sample_rows + sample_rows // 8).toArrow().to_batches():
+    sample = different.mapInArrow(extract, "k array<int>, v array<float>, g int, draw long")
+    taken, grades, left = [], [], sample_features
+    for batch in sample.orderBy("draw").limit(sample_rows).select("k", "v", "g").toArrow().to_batches():
         for k, v, g in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist()):
             k = k.values.to_numpy()
             left -= len(k)
