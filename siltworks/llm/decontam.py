@@ -42,8 +42,8 @@ SAMPLED_PLACES = 3
 MOST_REPETITIONS = 256
 #: longer items are sought exactly: their walks cost more than counting word pairs does
 WALKED_WORDS = 256
-#: items with fewer words say nothing when they are met in a text
-LEAST_WORDS = 5
+#: items with fewer words are not sought; those under five allow no edit, so they are met word by word
+LEAST_WORDS = 1
 #: items are held by each task in blocks of at most so many words; with more items there are more blocks
 BLOCK_WORDS = 500_000
 
@@ -54,6 +54,10 @@ _TRIED = 32
 
 #: what is neither a word's nor plain text's counts as a gap between words
 _ODD = re.compile(r"[^\w\x00-\x7f]+")
+#: letters of scripts without spaces are words of their own: Thai to Lao, Burmese, Khmer, kana and Han
+_ALONE = re.compile("([\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff])")
+#: bytes of a text whose words are coded at once
+_TEXT_BLOCK = (1 << 20) - 1
 
 _MULTIPLIER = 0x9E3779B97F4A7C15  # odd, so powers can be undone
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
@@ -71,21 +75,39 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def word_codes(text: str | None) -> np.ndarray:
     """A 64-bit code for each word; words are runs of letters, digits and underscores, in lower case.
 
-    The code is a polynomial in the word's bytes, taken for all words at once from running sums.
+    A letter of a script without spaces is a word. The code is a polynomial in the word's bytes, taken for
+    all words of a block at once from running sums; a word that goes over a block's end goes on in the next.
     """
     text = (text or "").lower()
     if not text.isascii():
-        text = _ODD.sub(" ", text)
+        text = _ODD.sub(" ", _ALONE.sub(r" \1 ", text))
     raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
-    inside = _IN_WORD[raw]
-    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    begin, end = edge[::2], edge[1::2]
-    if not len(begin):
-        return np.zeros(0, dtype=np.uint64)
-    up, down = _powers(1 << max(16, len(raw).bit_length()))
-    total = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[raw] * up[: len(raw)], out=total[1:])
-    code = (total[end] - total[begin]) * down[begin]
+    found, carried, length = [np.zeros(0, dtype=np.uint64)], np.uint64(0), 0
+    for at in range(0, len(raw), _TEXT_BLOCK):
+        part = raw[at : at + _TEXT_BLOCK]
+        edge = np.flatnonzero(np.diff(_IN_WORD[part], prepend=False, append=False))
+        begin, end = edge[::2], edge[1::2]
+        goes_on = bool(length and len(begin) and begin[0] == 0)
+        if length and not goes_on:
+            found.append(np.array([carried]))
+            length = 0
+        if not len(begin):
+            continue
+        up, down = _powers(1 << max(16, len(part).bit_length()))
+        total = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[part] * up[: len(part)], out=total[1:])
+        code = (total[end] - total[begin]) * down[begin]
+        if goes_on:
+            code[0] = np.uint64((int(carried) + int(code[0]) * pow(_MULTIPLIER, length, 1 << 64)) % (1 << 64))
+        if end[-1] == len(part):  # it may go on
+            length = int(end[-1] - begin[-1]) + (length if goes_on and len(begin) == 1 else 0)
+            carried, code = code[-1], code[:-1]
+        else:
+            length = 0
+        found.append(code)
+    if length:
+        found.append(np.array([carried]))
+    code = np.concatenate(found)
     code ^= code >> np.uint64(32)
     return code * np.uint64(_MULTIPLIER) | np.uint64(1)
 
@@ -428,9 +450,11 @@ def matches(
 ) -> DataFrame:
     """(id, text_hash, item_id, edits, item_words, first_word, end_word): each item found in each document.
 
-    Words are lower-cased runs of letters, digits and underscores. One row for a document
-    and an item, for the stretch with the fewest edits. Items with fewer than five words are not sought. Rows
-    repeat as often as documents do.
+    Words are lower-cased runs of letters, digits and underscores, and single letters of scripts without
+    spaces. One row for a document and an item, for the stretch with the fewest edits; items under five
+    words allow none. Null and empty texts hold no item, and items without a word are not sought; rows repeat
+    as often as documents do, with and without an id; equal items have rows of their own; empty tables
+    give none; other columns are not read. Texts of any length are searched whole.
     """
     found = None
     for block in item_blocks(items):
@@ -476,7 +500,10 @@ def clean(
     max_edits: float = MAX_EDITS,
     target_recall: float = TARGET_RECALL,
 ) -> DataFrame:
-    """The rows of ``docs`` in whose texts no item is found."""
+    """The rows of ``docs`` in whose texts no item is found, with all their columns.
+
+    Null and empty texts stay, copies stay or go together, and without items all rows stay.
+    """
     kept = docs
     for block in item_blocks(items):
         searcher = Searcher(block, max_edits, target_recall)
