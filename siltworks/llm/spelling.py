@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from siltworks.llm.common import col, slices
+from siltworks.llm.common import col, partitions_for, slices
 from siltworks.session import stage
 
 #: letters A to Z are lower-cased before, so that these are all the letters of words
@@ -44,6 +44,8 @@ _PARTS = 8
 _BLOCK_BYTES = 8 * _PARTS
 #: words that a task counts before it hands its counts on
 COUNTED_WORDS = 200_000
+#: words whose edits one task probes, on average
+WORDS_PER_TASK = 1 << 15
 #: letters of words, or of a stretch of one very long word, that are edited at once
 EDITED_LETTERS = 1 << 20
 
@@ -260,7 +262,7 @@ def _edited(letters: np.ndarray, filters: dict[int, tuple[Span, np.ndarray]], al
                 yield word[hit], at[hit] + begin, np.full(len(hit), letter, dtype=np.int64)
 
 
-def _candidates(words: DataFrame, filters: dict[int, tuple[Span, np.ndarray]], alphabet: list[int]) -> DataFrame:
+def _candidates(words: DataFrame, filters: dict[int, tuple[Span, np.ndarray]], alphabet: list[int], tasks: int) -> DataFrame:
     """(candidate, word, n): edits of words that the filters of a round may hold."""
     spark = words.sparkSession
     sent = spark.sparkContext.broadcast(filters)
@@ -288,7 +290,8 @@ def _candidates(words: DataFrame, filters: dict[int, tuple[Span, np.ndarray]], a
                             )
 
     wanted = words.filter(F.length("word").isin(lengths)).select("word", "n")
-    return wanted.mapInArrow(probed, "candidate string, word string, n long")
+    # a small table, but much work for each word
+    return wanted.repartition(tasks, "word").mapInArrow(probed, "candidate string, word string, n long")
 
 
 def near_pairs(words: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
@@ -301,11 +304,13 @@ def near_pairs(words: DataFrame, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     # as many rows as there are letters
     used = words.select(F.explode(F.array_distinct(F.split("word", ""))).alias("c")).distinct().collect()
     alphabet = sorted(ord(r["c"]) for r in used if r["c"])
-    found = None
-    for spans in rounds_of({r["length"]: r["words"] for r in per_length}, filter_bytes):
+    found, n = None, {r["length"]: r["words"] for r in per_length}
+    for spans in rounds_of(n, filter_bytes):
         if not spans:
             continue
-        hits = stage(_candidates(words, _filters(words, spans), alphabet), "spelling_candidates")
+        edited = sum(n.get(x, 0) for x in {x for s in spans for x in (s.length, s.length + 1)})
+        tasks = partitions_for(edited, WORDS_PER_TASK)
+        hits = stage(_candidates(words, _filters(words, spans), alphabet, tasks), "spelling_candidates")
         found = hits if found is None else found.unionByName(hits)
     if found is None:
         none = words.limit(0)

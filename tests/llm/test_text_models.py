@@ -416,3 +416,66 @@ def test_number_signs_are_no_letters(spark):
 def test_close_answers_are_rejected():
     assert langid.is_rejected(("de", 0.05, 1)) and langid.is_rejected(("de", 0.001, 9)) and langid.is_rejected((langid.UNKNOWN, 0.0, 0))
     assert not langid.is_rejected(("de", 0.05, 2))
+
+
+def plain_features(text):
+    """Words, marks and beginnings of words with 1 + log of their counts, hashed."""
+    import math
+    import re
+    from collections import Counter
+
+    import xxhash
+
+    words = Counter(re.findall(r"[^\W\d_]+|[^\w\s]+", (text or "").lower()))
+    beginnings = Counter(w[:n] + "~" for w in words for n in (4, 5) if len(w) >= n)
+    out = Counter()
+    for counts in (words, beginnings):
+        for token, n in counts.items():
+            out[xxhash.xxh3_64_intdigest(token.encode()) % (1 << 18)] += 1.0 + math.log(n)
+    out[xxhash.xxh3_64_intdigest(f"length {sum(words.values()).bit_length()}".encode()) % (1 << 18)] = 1.0
+    return out
+
+
+def test_quality_query_scores_whole_table_by_the_model(spark, monkeypatch):
+    fitted, fit = [], quality.fit
+    monkeypatch.setattr(quality, "fit", lambda *a, **k: fitted.append(fit(*a, **k)) or fitted[-1])
+    rows = {r.doc_id: r for r in QUERIES["op9_ordinal_quality"](spark, SF).collect()}
+    [model], docs = fitted, documents(spark, SF).select("doc_id", "text").collect()
+    assert rows.keys() == {r.doc_id for r in docs} and model.weights
+    for r in docs[:150]:
+        score = sum(model.weights.get(k, 0.0) * v for k, v in plain_features(r.text).items())
+        tails = [1 / (1 + np.exp(t - score)) for t in model.thresholds]
+        got = rows[r.doc_id]
+        assert got.expected_grade == pytest.approx(sum(tails)) and got.tail_probability == pytest.approx(tails[-1])
+        assert got.selected == (got.tail_probability >= 0.5) and got.grade == sum(t >= 0.5 for t in tails)
+
+
+def test_copies_enter_the_quality_sample_once(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(quality, "train", lambda rows, grades, n: taken.append(sorted((len(k), int(g)) for (k, _), g in zip(rows, grades))))
+    rows = [(sentence(1, 30), 0)] * 500 + [(sentence(1, 30), 2)] * 300 + [(sentence(10 + k, 20), k % 3) for k in range(40)]
+    rated = spark.createDataFrame(rows + [(None, 1), ("x", None), ("x", 7)], "text string, grade int").repartition(4)
+    quality.fit(rated, 3)
+    assert len(taken[-1]) == 42
+    quality.fit(rated, 3, sample_rows=10)
+    assert len(taken[-1]) == 10
+    quality.fit(rated, 3, sample_features=200)
+    assert 0 < sum(n for n, _ in taken[-1]) <= 200
+
+
+def test_words_of_any_text_in_blocks(monkeypatch):
+    texts = ["", "one two", "a" * 100 + " b", "x" * 37, " ".join(sentence(k, 9) for k in range(4)), "日本語 text สวัสดี", "é" * 30 + "-" * 9 + "z"]
+    whole = [decontam.word_codes(t).tolist() for t in texts]
+    assert len(whole[5]) == 3 + 1 + 4 and [len(w) for w in whole[:4]] == [0, 2, 2, 1]
+    for block in (1, 2, 7, 16):
+        monkeypatch.setattr(decontam, "_TEXT_BLOCK", block)
+        assert [decontam.word_codes(t).tolist() for t in texts] == whole
+
+
+def test_short_items_and_items_without_spaces_are_sought(spark):
+    items = spark.createDataFrame([(1, "north wind"), (2, "日本の首都はどこですか、正しい答えを選びなさい"), (3, "?!"), (4, None)], "item_id long, text string")
+    docs = [(1, "The North-Wind blew"), (2, "wind north"), (3, "前文。日本の首都はどこですか、正しい答えを選びなさい。後文"), (4, "日本の首都はどこてすか正しい答えを選びなさい"), (5, "日本の山はどこにありますか"), (6, None)]
+    found = decontam.matches(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert {(r.id, r.item_id, r.edits) for r in found} == {(1, 1, 0), (3, 2, 0), (4, 2, 1)}
+    kept = decontam.clean(spark.createDataFrame(docs, "doc_id long, text string"), items)
+    assert sorted(r.doc_id for r in kept.collect()) == [2, 5, 6]
