@@ -47,7 +47,6 @@ RAW_PHASES = (
 )
 
 REPORT_VERSION = "5.0.0"
-# --- End of fixed values ---------------------------------------------------
 
 
 def _frozen(**items):
@@ -85,6 +84,8 @@ class PrepConfig:
     robust: tuple[str, ...] = ("balance",)
     standard: tuple[str, ...] = ("age", "pdays", "previous", "campaign")
     one_hot: tuple[str, ...] = ("job", "marital", "contact", "poutcome")
+    #: categories of very many levels: their vectors are sparse, their levels stay in a table
+    one_hot_sparse: tuple[str, ...] = ()
     ordinal: Mapping[str, tuple[str, ...]] = _frozen(education=EDUCATION_LEVELS)
     cyclic_numbers: Mapping[str, int] = _frozen(day=31)
     cyclic_names: Mapping[str, tuple[str, ...]] = _frozen(month=MONTHS)
@@ -159,3 +160,6 @@ class CostModel:
     io_usd_per_gb: float = 0.010
     overhead_factor: float = 1.15
     rows_per_cent_at_full_score: float = 10_000.0
+
+
+# --- End of fixed values ---------------------------------------------------

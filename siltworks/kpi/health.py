@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
 from pyspark.sql import Column, DataFrame, Row, functions as F, types as T
 
 from siltworks.config import PHASES, RED, REPORT_VERSION, CostModel, Thresholds
@@ -11,7 +9,7 @@ from siltworks.functions.lights import light_points, score_light
 from siltworks.kpi.availability import availability_light, registry_aggregates, with_rates
 from siltworks.kpi.cost import with_cost, with_unit_economics
 from siltworks.kpi.performance import performance, run_keys, secs
-from siltworks.operators.validate import ERROR, WARNING
+from siltworks.operators.validate import ERROR, WARNING, verdicts
 
 LAST_RUN = (
     "run_id",
@@ -144,8 +142,9 @@ def check_alerts(checks: DataFrame) -> DataFrame:
     """Failed semantic warnings and structural errors; semantic errors only change the run status.
 
     A structural check that fails for several columns is one finding; its value is then
-    the number of columns.
+    the number of columns. Checks of whole tables belong to no pipeline.
     """
+    pipeline = (F.col("pipeline_id") if "pipeline_id" in checks.columns else F.lit(None).cast("bigint")).alias("pipeline_id")
     semantic = (F.col("scope") == "semantic") & (F.col("severity") == WARNING)
     structural = (F.col("scope") == "structural") & (F.col("severity") == ERROR)
     column = F.when(semantic, F.col("column_name"))
@@ -153,35 +152,46 @@ def check_alerts(checks: DataFrame) -> DataFrame:
     return (
         checks.filter(~F.col("ok") & (semantic | structural))
         .groupBy(
+            pipeline,
             F.concat_ws(":", F.when(semantic, "semantic").otherwise("structural"), "check_name", column).alias("alert"),
             F.when(semantic, "warning").otherwise("critical").alias("level"),
         )
         .agg(F.coalesce(F.max(own_value), F.count("column_name").cast("double")).alias("value"))
-        .select(F.lit(None).cast("bigint").alias("pipeline_id"), "alert", "level", "value")
+        .select("pipeline_id", "alert", "level", "value")
     )
 
 
 def alerts(figures: DataFrame, checks: DataFrame) -> DataFrame:
-    """Alerts of all pipelines, then those of the checked tables (without a pipeline)."""
+    """Alerts of all pipelines and those that the checks of their tables raise."""
     return pipeline_alerts(figures).unionByName(check_alerts(checks))
 
 
-def _all_alerts(found: Sequence[Row]) -> Column:
+_ALERTS = "array<struct<alert: string, level: string, value: double>>"
+
+
+def with_checks(scored: DataFrame, checks: DataFrame | None) -> DataFrame:
+    """Adds what the checks of each pipeline's tables say: their alerts, a few at most for a column, and both verdicts.
+
+    Without checks, as when a run has failed before, there are no alerts and no verdicts.
+    """
+    if checks is None:
+        none = {"checked_alerts": F.expr(f"CAST(array() AS {_ALERTS})"), "structural": F.lit(None), "semantic": F.lit(None)}
+        with_none = scored.withColumns(none)
+        return with_none.withColumns({c: F.col(c).cast("string") for c in ("structural", "semantic")})
+    raised = check_alerts(checks).groupBy("pipeline_id").agg(
+        F.array_sort(F.collect_list(F.struct("alert", "level", "value"))).alias("checked_alerts")
+    )
+    joined = scored.join(raised, "pipeline_id", "left").join(verdicts(checks, ["pipeline_id"]), "pipeline_id", "left")
+    return joined.withColumn("checked_alerts", F.coalesce("checked_alerts", F.expr(f"CAST(array() AS {_ALERTS})")))
+
+
+def _all_alerts() -> Column:
     """The alerts of the pipeline and those that the checks of its tables have raised."""
-    raised = _raised_alerts()
-    if not found:
-        return raised
-    checked = [
-        F.struct(
-            F.lit(r["alert"]).alias("alert"), F.lit(r["level"]).alias("level"), F.lit(r["value"]).cast("double").alias("value")
-        )
-        for r in found
-    ]
-    return F.concat(raised, F.array(*checked))
+    return F.concat(_raised_alerts(), F.col("checked_alerts"))
 
 
-def summary(scored: DataFrame, n_features: int, found: Sequence[Row] = ()) -> DataFrame:
-    """One line per pipeline: score, light, parts, alerts, outcome and size of the latest run."""
+def summary(scored: DataFrame, n_features: int) -> DataFrame:
+    """One line per pipeline (see :func:`with_checks`): score, light, parts, alerts, outcome and size of the latest run."""
     return scored.select(
         "pipeline_id",
         "health_score",
@@ -190,7 +200,7 @@ def summary(scored: DataFrame, n_features: int, found: Sequence[Row] = ()) -> Da
         "performance_score",
         "quality_score",
         "cost_score",
-        F.size(_all_alerts(found)).alias("n_alerts"),
+        F.size(_all_alerts()).alias("n_alerts"),
         F.col("last.status").alias("status"),
         F.col("last.rows_processed").alias("rows_processed"),
         F.lit(n_features).alias("n_features"),
@@ -201,20 +211,17 @@ def report(
     scored: DataFrame,
     n_features: int,
     source: str,
-    found: Sequence[Row] = (),
     version: str = REPORT_VERSION,
-    verdicts: Mapping[str, str] | None = None,
     load: Row | None = None,
     source_bytes: int | None = None,
     model: CostModel = CostModel(),
 ) -> DataFrame:
     """The consolidated report: one nested record per pipeline.
 
-    ``found`` are alerts of ``check_alerts``, of which there are at most a few per column;
-    ``verdicts`` the status of both validations and ``load`` the row of a load report,
-    where the run got that far.
+    ``scored`` comes from :func:`with_checks`; ``load`` is the row of a load report, where the run
+    got that far.
     """
-    last, verdicts = F.col("last"), verdicts or {}
+    last = F.col("last")
 
     def part(**columns: Column | str) -> Column:
         return F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()])
@@ -259,8 +266,8 @@ def report(
             types_ok="types_ok",
             aligned="aligned",
             light="quality_light",
-            structural_status=F.lit(verdicts.get("structural", "N/A")),
-            semantic_status=F.lit(verdicts.get("semantic", "N/A")),
+            structural_status=F.coalesce("structural", F.lit("N/A")),
+            semantic_status=F.coalesce("semantic", F.lit("N/A")),
             **{n: F.col("quality_details")[n] for n in names},
         ).alias("quality"),
         part(
@@ -285,8 +292,8 @@ def report(
         part(
             health_score="health_score",
             light="health_light",
-            alerts=_all_alerts(found),
-            n_alerts=F.size(_all_alerts(found)),
+            alerts=_all_alerts(),
+            n_alerts=F.size(_all_alerts()),
             status=last["status"],
             rows_processed=last["rows_processed"],
             n_features=F.lit(n_features),

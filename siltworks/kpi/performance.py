@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from siltworks.config import PHASES, RAW_PHASES, Thresholds
 from siltworks.functions.lights import light
+from siltworks.operators.validate import ERROR, pipeline_status
 
 # Which recorded phases make up a reported phase.
 PHASE_PARTS = {
@@ -90,6 +91,26 @@ def performance(phases: DataFrame, runs: DataFrame, limits: Thresholds, n_featur
     )
 
 
+# What a phase is recorded with: it ended, it raised, or it is a validation that ended and found errors.
+OK_PHASE, RAISED_PHASE, FINDINGS = "ok", "error", "findings"
+
+
+def raised() -> Column:
+    """Of the phases of a run: did one raise, or was one never reached?"""
+    failed = F.count_if(F.col("status") == RAISED_PHASE) > 0
+    return failed | (F.count_if(F.col("phase").isin(*RAW_PHASES)) < len(RAW_PHASES))
+
+
+def found_errors(phase: str) -> Column:
+    """Of the phases of a run: the verdict of a validation, as far as the phases tell."""
+    return F.when(F.count_if((F.col("phase") == phase) & (F.col("status") == FINDINGS)) > 0, ERROR)
+
+
+def outcome() -> Column:
+    """Of the phases of a run: error, warning or success, by the rule of :func:`pipeline_status`."""
+    return pipeline_status(raised(), found_errors("validacion_estructural"), found_errors("validacion_semantica"))
+
+
 def complete_phases(phases: DataFrame) -> DataFrame:
     """Per run: recorded phases, failed phases, outcome, and seconds with absent phases as 0.0.
 
@@ -97,23 +118,24 @@ def complete_phases(phases: DataFrame) -> DataFrame:
     """
     recorded = [
         F.count_if(F.col("phase").isin(*RAW_PHASES)).alias("n_recorded"),
-        F.count_if(F.col("status") == "error").alias("n_failed"),
+        F.count_if(F.col("status") == RAISED_PHASE).alias("n_failed"),
+        outcome().alias("outcome"),
     ]
     missing = F.lit(len(RAW_PHASES)) - F.col("n_recorded")
     return phases.groupBy(*run_keys(phases)).agg(*_spent(), *recorded).withColumn("total_secs", _total()).withColumns(
-        {
-            "n_absent": missing,
-            "partial": missing > 0,
-            "outcome": F.when(missing > 0, "error")
-            .when(F.col("n_failed") >= 3, "error")
-            .when(F.col("n_failed") == 2, "warning")
-            .otherwise("success"),
-        }
+        {"n_absent": missing, "partial": missing > 0}
     )
 
 
-def raised(phases: DataFrame) -> DataFrame:
-    """Per run: did a phase raise? A phase with an error, or one that was never reached, says so."""
-    failed = F.count_if(F.col("status") == "error") > 0
-    absent = F.count_if(F.col("phase").isin(*RAW_PHASES)) < len(RAW_PHASES)
-    return phases.groupBy(*run_keys(phases)).agg((failed | absent).alias("raised"))
+def run_outcomes(phases: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Per run: did it raise, what validation says of it, and its status.
+
+    ``phases`` and ``verdicts`` (structural, semantic) have a ``pipeline_id``. What a run's own
+    validation found counts, and else the verdict on the tables of its pipeline.
+    """
+    own = {"structural": "validacion_estructural", "semantic": "validacion_semantica"}
+    told = phases.groupBy(*run_keys(phases)).agg(raised().alias("raised"), *[found_errors(p).alias(f"own_{s}") for s, p in own.items()])
+    joined = told.join(verdicts, "pipeline_id", "left")
+    return joined.select(
+        "pipeline_id", "run_id", "raised", *[F.coalesce(f"own_{s}", s).alias(s) for s in own]
+    ).withColumn("status", pipeline_status(F.col("raised"), F.col("structural"), F.col("semantic")))

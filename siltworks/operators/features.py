@@ -2,7 +2,8 @@
 
 ``fit`` reads the table and returns a few numbers and the category levels.
 ``transform`` puts them into expressions as literals, so applying them is one narrow
-projection without a join, on a table or on a stream.
+projection without a join, on a table or on a stream. Only columns of ``one_hot_sparse``,
+whose levels stay in a table, are joined with them.
 """
 
 from __future__ import annotations
@@ -19,13 +20,18 @@ from siltworks.functions import sql
 from siltworks.functions.scalars import canonical_text, cyclic, place_sql, strip_sql, without_nan_sql
 from siltworks.operators.clean import Fence, fence, fence_columns
 from siltworks.operators.quantiles import NumericSummary, summarize
-from siltworks.session import stage
+from siltworks.session import new_table_path, stage
 
 NUMBERS_SCHEMA = (
     "role string, column_name string, n bigint, q1 double, median double, q3 double, "
     "lower double, upper double, center double, scale double"
 )
 LEVELS_SCHEMA = "column_name string, position int, level string"
+VOCABULARY_SCHEMA = "level string, place bigint, hot boolean"
+VOCABULARIES_SCHEMA = "column_name string, path string, size bigint"
+
+#: a level is hot if more than one row in so many has it; there are fewer hot levels than that
+HOT_SHARE = 1000
 
 
 @dataclass(frozen=True)
@@ -36,6 +42,14 @@ class Scale:
     scale: float | None
 
 
+@dataclass(frozen=True)
+class Vocabulary:
+    """The levels of a sparse one-hot column as a table (level, place, hot), and how many there are."""
+
+    path: str
+    size: int
+
+
 @dataclass(frozen=True)
 class Fitted:
     """Everything learned from a table."""
@@ -44,6 +58,7 @@ class Fitted:
     robust: Mapping[str, Scale] = field(default_factory=dict)
     standard: Mapping[str, Scale] = field(default_factory=dict)
     levels: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    vocabularies: Mapping[str, Vocabulary] = field(default_factory=dict)
 
 
 # ---- fit -------------------------------------------------------------------
@@ -67,12 +82,33 @@ def standard_scale(summary: NumericSummary) -> Scale:
     return _scale(summary.mean, summary.stddev_pop)
 
 
+def fit_vocabulary(df: DataFrame, column: str, missing: str) -> Vocabulary:
+    """The sorted levels of a column as a written table; none of them reaches the driver.
+
+    Levels are sorted in ranges; ranges count their own, and their few counts add up. A level is hot
+    if more than one row in ``HOT_SHARE`` has it.
+    """
+    counted = df.select(canonical_text(column, missing).alias("level")).groupBy("level").agg(F.count(F.lit(1)).alias("n"))
+    ranged = counted.repartitionByRange("level").sortWithinPartitions("level")
+    ranged = stage(ranged.withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.expr("at >> 33")), "levels")
+    parts = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("size"), F.min("at").alias("first"), F.sum("n").alias("rows"))
+    before = "coalesce(sum(size) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
+    origins = parts.selectExpr("part", f"first - {before} AS origin")
+    size, rows = parts.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    placed = ranged.join(origins, "part").select(
+        "level", (F.col("at") - F.col("origin")).alias("place"), (F.col("n") * HOT_SHARE > F.lit(rows)).alias("hot")
+    )
+    path = new_table_path(df.sparkSession, "vocabulary")
+    placed.write.parquet(path)
+    return Vocabulary(path, size)
+
+
 def fit_levels(df: DataFrame, columns: Sequence[str], missing: str) -> dict[str, tuple[str, ...]]:
     """The sorted levels of every column, all of them, found in one pass.
 
     Each level becomes an output column of :func:`one_hot`, so the levels are known to the
-    driver as column names are. A column of very many levels is better encoded by
-    :func:`one_hot_places`, which knows the same levels and makes one column of them.
+    driver as column names are. A column of very many levels belongs to ``one_hot_sparse`` of the
+    configuration, which keeps its levels in a table.
     """
     present = [c for c in columns if c in df.columns]
     if not present:
@@ -115,6 +151,7 @@ def fit(df: DataFrame, cfg: PrepConfig, levels: Mapping[str, Sequence[str]] | No
             if levels is not None
             else fit_levels(df, cfg.one_hot, cfg.missing_category)
         ),
+        vocabularies={c: fit_vocabulary(df, c, cfg.missing_category) for c in cfg.one_hot_sparse if c in df.columns},
     )
 
 
@@ -136,10 +173,15 @@ def save_fitted(spark: SparkSession, fitted: Fitted, path: str) -> None:
     numbers, levels = fitted_tables(spark, fitted)
     numbers.coalesce(1).write.mode("overwrite").parquet(f"{path}/numbers")
     levels.coalesce(1).write.mode("overwrite").parquet(f"{path}/levels")
+    sparse = []
+    for i, (c, v) in enumerate(fitted.vocabularies.items()):
+        spark.read.schema(VOCABULARY_SCHEMA).parquet(v.path).write.mode("overwrite").parquet(f"{path}/vocabulary_{i}")
+        sparse.append((c, f"{path}/vocabulary_{i}", v.size))
+    spark.createDataFrame(sparse, VOCABULARIES_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{path}/vocabularies")
 
 
 def load_fitted(spark: SparkSession, path: str) -> Fitted:
-    """Read a saved fit; its size is the number of columns and levels, not of rows."""
+    """Read a saved fit; its size is the number of columns and dense levels, not of rows."""
     fences, scales = {}, {"robust": {}, "standard": {}}
     for r in spark.read.schema(NUMBERS_SCHEMA).parquet(f"{path}/numbers").collect():
         if r["role"] == "fence":
@@ -149,7 +191,9 @@ def load_fitted(spark: SparkSession, path: str) -> Fitted:
     levels: dict[str, list[str]] = {}
     for r in sorted(spark.read.schema(LEVELS_SCHEMA).parquet(f"{path}/levels").collect(), key=lambda r: r["position"]):
         levels.setdefault(r["column_name"], []).append(r["level"])
-    return Fitted(fences, scales["robust"], scales["standard"], {c: tuple(v) for c, v in levels.items()})
+    sparse = spark.read.schema(VOCABULARIES_SCHEMA).parquet(f"{path}/vocabularies").collect()
+    vocabularies = {r["column_name"]: Vocabulary(r["path"], r["size"]) for r in sparse}
+    return Fitted(fences, scales["robust"], scales["standard"], {c: tuple(v) for c, v in levels.items()}, vocabularies)
 
 
 # ---- apply -------------------------------------------------------------------
@@ -184,26 +228,24 @@ def one_hot(column: str, levels: Sequence[str], missing: str) -> dict[str, Colum
     return {f"{column}_{level}": F.expr(f"CAST({text} = {sql.text(level)} AS DOUBLE)") for level in levels}
 
 
-def one_hot_places(df: DataFrame, column: str, missing: str, name: str | None = None) -> DataFrame:
+def one_hot_places(df: DataFrame, column: str, vocabulary: Vocabulary, missing: str, name: str | None = None) -> DataFrame:
     """``df`` with the one-hot vector of a cleaned column as a sparse one: its size and the place of its 1.
 
-    For columns of very many levels; which form to use is the caller's choice. Places
-    follow the sorted levels, as the columns of :func:`one_hot` do. Levels stay in a
-    table and meet the rows in a join, none of them reaches the driver.
+    An unknown level has no place, which is an empty vector. Levels meet the rows in joins: the hot
+    ones, of which there are few, go to the rows; rows of all others are shuffled by level.
     """
+    spark = df.sparkSession
     text = F.expr(f"coalesce({sql.name(column)}, {sql.text(missing)})")
-    levels = df.select(text.alias("_level")).distinct()
-    # levels are sorted in ranges; ranges count their own, and their few counts add up
-    ranged = levels.repartitionByRange("_level").sortWithinPartitions("_level")
-    ranged = stage(ranged.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.expr("_at >> 33")), "levels")
-    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("first"))
-    before = "coalesce(sum(n) OVER (ORDER BY _part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
-    starts = sizes.selectExpr("_part", f"first - {before} AS _origin", "sum(n) OVER () AS _size")
-    places = ranged.join(starts, "_part").select(
-        "_level", F.struct(F.col("_size").alias("size"), (F.col("_at") - F.col("_origin")).alias("place")).alias("_hot")
-    )
-    joined = df.withColumn("_level", text).join(places, "_level", "left").drop("_level")
-    return joined.withColumnRenamed("_hot", name or f"{column}_hot")
+    levels = spark.read.schema(VOCABULARY_SCHEMA).parquet(vocabulary.path)
+    hot = levels.filter("hot").select(F.col("level").alias("_level"), F.col("place").alias("_hot"))
+    cold = levels.filter("NOT hot").select(F.lit(False).alias("_met"), F.col("level").alias("_level"), F.col("place").alias("_cold"))
+    # fewer than HOT_SHARE rows are broadcast
+    met = df.withColumn("_level", text).join(F.broadcast(hot), "_level", "left").withColumn("_met", F.col("_hot").isNotNull())
+    # rows that have met their level go anywhere
+    spread = F.when(F.col("_met"), F.monotonically_increasing_id().cast("string")).otherwise(F.col("_level"))
+    joined = met.withColumn("_level", spread).join(cold, ["_met", "_level"], "left")
+    vector = F.struct(F.lit(vocabulary.size).cast("bigint").alias("size"), F.coalesce("_hot", "_cold").alias("place"))
+    return joined.withColumn(name or f"{column}_hot", vector).drop("_level", "_met", "_hot", "_cold")
 
 
 def ordinal(column: str, levels: Sequence[str]) -> Column:
@@ -259,7 +301,10 @@ def transform(df: DataFrame, cfg: PrepConfig, fitted: Fitted) -> DataFrame:
     y = target(df, cfg)
     columns = feature_columns(drop_leakage(df, cfg), cfg, fitted)
     keys = [F.col(k) for k in cfg.key if k in df.columns]
-    return df.select(*keys, *[c.alias(name) for name, c in columns.items()], y.alias("y"))
+    sparse = [c for c in cfg.one_hot_sparse if c in df.columns]
+    for c in sparse:
+        df = one_hot_places(df, c, fitted.vocabularies[c], cfg.missing_category)
+    return df.select(*keys, *[c.alias(name) for name, c in columns.items()], *[F.col(sql.name(f"{c}_hot")) for c in sparse], y.alias("y"))
 
 
 def feature_names(features: DataFrame, cfg: PrepConfig) -> list[str]:

@@ -1,15 +1,20 @@
 """Exact quantiles of many columns over any number of rows.
 
-One way for every size: each pass over the table counts, per column, how many values fall
-into each of a fixed number of buckets, Spark adds the counts up, and only the buckets that
-hold a wanted rank come back, as ranges for the next pass. A pass shuffles at most
-``ranges x buckets`` rows per task, whatever the size of the table and however often one
-value repeats, and returns at most one row for each wanted rank.
-
-The first pass cuts a column's range into buckets of equal width. A range that still spans
-many magnitudes is then cut at powers of two, and what is left, with at most 2 ** 52 different
-values, into equal widths again. So no column needs more than seven passes; most need two.
-Results equal the built-in ``percentile`` to the last bit.
+One way for every size, with two scans of the table. The first one finds size and range of every
+column and a mergeable sketch, which brackets each wanted rank between two values that few rows lie
+between. The second one counts the values below, between and above the brackets and writes those
+within them, each different value once with its count: a small table, in which the ranks are found.
+
+There each pass counts, per column, how many values fall into each of a fixed number of buckets, Spark
+adds the counts up, and only the buckets that hold a wanted rank come back, as ranges for the next
+pass. A pass shuffles at most ``ranges x buckets`` rows per task, however often one value repeats, and
+returns at most one row for each wanted rank. It cuts a range into buckets of equal width, then at
+powers of two if it still spans many magnitudes, and what is left, with at most 2 ** 52 different
+values, into equal widths again, so that seven passes are the most for any values.
+
+The counts of the second scan are exact. A rank that they show outside of its bracket, as it may lie
+in a column with infinite values, is found by such passes over the table itself. Results equal the
+built-in ``percentile`` to the last bit.
 """
 
 from __future__ import annotations
@@ -21,8 +26,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from siltworks.functions import sql
+from siltworks.session import stage
 
 BUCKETS = 4096
+#: ranks that the sketch gives are off by this part of all values at most
+SKETCH = 4096
 
 # columns whose counts and ranges are found in one job
 SUMMARY_COLUMNS = 64
@@ -61,9 +69,8 @@ def summarize(
 ) -> dict[str, NumericSummary]:
     """Count, mean and population deviation of some columns and exact quantiles of others.
 
-    Columns are SQL expressions of type double. First the size and range of every column
-    are found, a bounded number of columns in each job; the passes after that read only
-    the columns that are still open.
+    Columns are SQL expressions of type double; a bounded number of them is looked at in each job
+    of the first scan.
     """
     moment_columns = dict(moment_columns or {})
     aggregates: list[list[str]] = []
@@ -76,6 +83,7 @@ def summarize(
                 f"count({c}) {finite} AS q{i}_finite",
                 f"min({c}) {finite} AS q{i}_low",
                 f"max({c}) {finite} AS q{i}_high",
+                f"percentile_approx({c}, array({sql.numbers(_around(probabilities))}), {SKETCH}) {finite} AS q{i}_sketch",
             ]
         )
     for i, c in enumerate(moment_columns.values()):
@@ -118,6 +126,64 @@ def approximate_quantiles(
     }
 
 
+def _around(probabilities: Sequence[float]) -> list[float]:
+    """For each quantile a smaller and a larger one that enclose it, whatever the sketch is off by."""
+    return [min(1.0, max(0.0, p + off / SKETCH)) for p in probabilities for off in (-2, 2)]
+
+
+def _brackets(spans: list[_Range], sketch: Sequence[float]) -> list[tuple[float, float]]:
+    """The ranges between each two values of the sketch; those that touch are one."""
+    merged: list[tuple[float, float]] = []
+    for low, high in sorted(zip(sketch[::2], sketch[1::2])) if spans else ():
+        if merged and low <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(high, merged[-1][1]))
+        else:
+            merged.append((low, high))
+    return merged
+
+
+def _bracketed(
+    df: DataFrame, values: Mapping[str, str], open_ranges: dict[str, list[_Range]], sketches: Mapping[str, Sequence[float]]
+) -> tuple[DataFrame, dict[str, list[_Range]]]:
+    """The second scan: values within the brackets with their counts, and the ranges of ``open_ranges`` in them.
+
+    What is found in a bracket leaves ``open_ranges``. The table has c, the number of the column, v and n.
+    """
+    names = list(values)
+    brackets = {name: _brackets(open_ranges[name], sketches[name]) for name in names}
+    entries = []
+    for i, name in enumerate(names):
+        c, cases = values[name], []
+        for k, (low, high) in enumerate(brackets[name]):
+            cases.append(f"WHEN {c} < {sql.number(low)} THEN named_struct('c', {i}, 's', {2 * k}, 'v', CAST(NULL AS DOUBLE), 'x', {c})")
+            cases.append(f"WHEN {c} <= {sql.number(high)} THEN named_struct('c', {i}, 's', {2 * k + 1}, 'v', {c}, 'x', {c})")
+        if cases:
+            above = f"named_struct('c', {i}, 's', {2 * len(brackets[name])}, 'v', CAST(NULL AS DOUBLE), 'x', {c})"
+            entries.append(f"CASE WHEN {c} IS NULL OR abs({c}) = double('inf') THEN NULL {' '.join(cases)} ELSE {above} END")
+    counted = (
+        df.selectExpr(f"inline(array({', '.join(entries)}))").filter("c IS NOT NULL").groupBy("c", "s", "v")
+        .agg(F.expr("count(1) AS n"), F.expr("min(x) AS low"), F.expr("max(x) AS high"))
+    )
+    inner = stage(counted, "brackets")
+    # a few rows for each column
+    parts = inner.groupBy("c", "s").agg(F.expr("sum(n) AS n"), F.expr("min(low) AS low"), F.expr("max(high) AS high")).collect()
+    found: dict[str, list[_Range]] = {name: [] for name in names}
+    for i, name in enumerate(names):
+        left: list[_Range] = []
+        for span in open_ranges[name]:
+            below, missing = span.below, set(span.ranks)
+            for part in sorted((p for p in parts if p["c"] == i), key=lambda p: p["s"]):
+                inside = {r for r in span.ranks if below <= r < below + part["n"]}
+                if inside:
+                    own = _Range(part["low"], part["high"], below, part["n"], inside)
+                    (found[name] if part["s"] % 2 else left).append(own)
+                    missing -= inside
+                below += part["n"]
+            assert not missing, "the counts of both scans differ: the table has changed"
+        open_ranges[name] = left
+    return inner.filter("s % 2 = 1").select("c", F.col("low").alias("v"), "n"), found
+
+
 def _by_histogram(
     df: DataFrame,
     columns: Sequence[tuple[int, str, str]],
@@ -141,9 +207,18 @@ def _by_histogram(
         if inside:
             span = _Range(first[f"q{i}_low"], first[f"q{i}_high"], minus, finite, inside)
             _settle(span, known[name], open_ranges[name])
-    values = {name: c for _, name, c in columns}
-    while any(open_ranges.values()):
-        _narrow(df, values, open_ranges, known, buckets)
+    values = {name: c for _, name, c in columns if open_ranges[name]}
+    if values:
+        sketches = {name: first[f"q{i}_sketch"] for i, name, _ in columns}
+        inner, inside = _bracketed(df, values, open_ranges, sketches)
+        of_inner = {name: f"CASE WHEN c = {i} THEN v END" for i, name in enumerate(values)}
+        for table, exprs, ranges, counted in ((inner, of_inner, inside, "sum(n)"), (df, values, open_ranges, "count(1)")):
+            for name in exprs:
+                spans, ranges[name] = ranges[name], []
+                for span in spans:
+                    _settle(span, known[name], ranges[name])
+            while any(ranges[name] for name in exprs):
+                _narrow(table, exprs, ranges, known, buckets, counted)
     return {
         name: NumericSummary(
             n=first[f"q{i}_n"],
@@ -209,14 +284,16 @@ def _narrow(
     open_ranges: dict[str, list[_Range]],
     known: dict[str, dict[int, float]],
     buckets: int,
+    counted: str = "count(1)",
 ) -> None:
     """One pass: count the buckets of every open range and keep those that hold a rank."""
     spans = [(name, span) for name in values for span in open_ranges[name]]
     entries = []
+    weight = "n" if counted == "sum(n)" else "1L"
     for name in values:
         branches = [
             f"WHEN {values[name]} BETWEEN {sql.number(span.low)} AND {sql.number(span.high)} THEN "
-            f"named_struct('span', {i}, 'slot', {_slot(values[name], span, buckets)}, 'v', {values[name]})"
+            f"named_struct('span', {i}, 'slot', {_slot(values[name], span, buckets)}, 'v', {values[name]}, 'n', {weight})"
             for i, (owner, span) in enumerate(spans)
             if owner == name  # the ranges of a column do not overlap
         ]
@@ -230,7 +307,7 @@ def _narrow(
         df.selectExpr(f"inline(array({', '.join(entries)}))")
         .filter("span IS NOT NULL")
         .groupBy("span", "slot")
-        .agg(F.expr("count(1) AS n"), F.expr("min(v) AS low"), F.expr("max(v) AS high"))
+        .agg(F.expr(f"{counted} AS n"), F.expr("min(v) AS low"), F.expr("max(v) AS high"))
         .selectExpr("span", "n", "low", "high", f"{below} + coalesce({earlier}, 0L) AS below")
         .filter(f"exists(array({ranks})[span], r -> r >= below AND r < below + n)")
         .collect()

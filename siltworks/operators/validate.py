@@ -32,23 +32,28 @@ def _share(part: str, whole: str) -> str:
     return f"try_divide(CAST({part} AS DOUBLE), CAST({whole} AS DOUBLE)) * 100"
 
 
-def _counted(df: DataFrame, scope: str) -> DataFrame:
-    return df.groupBy().agg(F.count(F.lit(1)).alias("n_rows"), F.lit(scope).alias("scope"))
+def _counted(df: DataFrame, scope: str, by: Sequence[str]) -> DataFrame:
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), F.lit(scope).alias("scope"))
 
 
-def structural_checks(raw: DataFrame, clean: DataFrame, features: DataFrame, cfg: PrepConfig) -> DataFrame:
+def structural_checks(
+    raw: DataFrame, clean: DataFrame, features: DataFrame, cfg: PrepConfig, by: Sequence[str] = ()
+) -> DataFrame:
     """Row counts, nulls, types, flags, constant and empty columns of a prepared table.
 
-    ``features`` may hold any columns next to the key and ``y``; they are all checked.
+    ``features`` may hold any columns next to the key and ``y``; they are all checked. With
+    ``by``, columns that all three tables have, every group has checks of its own.
     """
-    names = feature_names(features, cfg)
-    profiled = column_profile(features, names).withColumn("scope", F.lit("features"))
+    names = [n for n in feature_names(features, cfg) if n not in by]
+    profiled = column_profile(features, names, by).withColumn("scope", F.lit("features"))
     sides = (
-        _counted(raw, "raw")
-        .unionByName(_counted(clean, "clean"))
+        _counted(raw, "raw", by)
+        .unionByName(_counted(clean, "clean", by))
         .unionByName(profiled, allowMissingColumns=True)
+        .groupBy(*by)
         .agg(
-            *[F.expr(f"max(CASE WHEN scope = '{s}' THEN n_rows END) AS {s}") for s in ("raw", "clean", "features")],
+            # a group that a table lacks has no rows there
+            *[F.expr(f"coalesce(max(CASE WHEN scope = '{s}' THEN n_rows END), 0L) AS {s}") for s in ("raw", "clean", "features")],
             F.expr("any_value(profile, true) AS profile"),
         )
         .selectExpr(
@@ -79,9 +84,10 @@ def structural_checks(raw: DataFrame, clean: DataFrame, features: DataFrame, cfg
             _check("structural", "empty_column", "c.n_values", "c.n_values > 0", ERROR, "c.column_name"),
         ]
     )
-    return sides.selectExpr(
-        f"inline(concat(array({', '.join(whole_table)}), flatten(transform(profile, c -> array({each_column})))))"
-    )
+    # a group without features has no columns to check
+    whole = f"array({', '.join(whole_table)})"
+    columns = f"coalesce(flatten(transform(profile, c -> array({each_column}))), slice({whole}, 1, 0))"
+    return sides.selectExpr(*map(sql.name, by), f"inline(concat({whole}, {columns}))")
 
 
 def flag_checks(clean: DataFrame, cfg: PrepConfig) -> DataFrame:
@@ -94,8 +100,10 @@ def flag_checks(clean: DataFrame, cfg: PrepConfig) -> DataFrame:
     return clean.agg(F.expr(f"array({', '.join(rows)})").alias("flags")).select(F.inline("flags"))
 
 
-def semantic_checks(clean: DataFrame, features: DataFrame, cfg: PrepConfig, limits: Thresholds) -> DataFrame:
-    """Sentinel flags, cyclic identity, double debt and the minority class."""
+def semantic_checks(
+    clean: DataFrame, features: DataFrame, cfg: PrepConfig, limits: Thresholds, by: Sequence[str] = ()
+) -> DataFrame:
+    """Sentinel flags, cyclic identity, double debt and the minority class, of each group of ``by``."""
     clean_facts: list[str] = []
     for c, (flag, sentinel) in cfg.sentinel_flags.items():
         if c in clean.columns and flag in clean.columns:
@@ -124,7 +132,7 @@ def semantic_checks(clean: DataFrame, features: DataFrame, cfg: PrepConfig, limi
             broken = f"count_if({sine} * {sine} + {cosine} * {cosine} < {sql.number(limits.min_cyclic_identity)})"
             feature_facts.append(_check("semantic", "cyclic_identity", broken, f"{broken} = 0", WARNING, sql.text(c)))
     tables = [
-        df.agg(F.expr(f"array({', '.join(facts)})").alias("checks")).select(F.inline("checks"))
+        df.groupBy(*by).agg(F.expr(f"array({', '.join(facts)})").alias("checks")).select(*by, F.inline("checks"))
         for df, facts in ((clean, clean_facts), (features, feature_facts))
         if facts
     ]
@@ -136,12 +144,12 @@ def semantic_checks(clean: DataFrame, features: DataFrame, cfg: PrepConfig, limi
     return checks
 
 
-def status_by_scope(checks: DataFrame, scopes: Sequence[str] = ("structural", "semantic")) -> DataFrame:
-    """ERROR if any error check failed, else WARNING if any warning check failed, else OK."""
+def status_by_scope(checks: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """ERROR if any error check failed, else WARNING if any warning check failed, else OK; for each group of ``by``."""
     failed = ~F.col("ok")
     errors = F.count_if(failed & (F.col("severity") == ERROR))
     warnings = F.count_if(failed & (F.col("severity") == WARNING))
-    return checks.groupBy("scope").agg(
+    return checks.groupBy(*by, "scope").agg(
         F.when(errors > 0, ERROR).when(warnings > 0, WARNING).otherwise(OK).alias("status"),
         errors.alias("n_errors"),
         warnings.alias("n_warnings"),
@@ -155,3 +163,9 @@ def pipeline_status(raised: Column, structural: Column, semantic: Column) -> Col
         .when((structural == ERROR) | (semantic == ERROR), "warning")
         .otherwise("success")
     )
+
+
+def verdicts(checks: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row per group with the columns ``structural`` and ``semantic``."""
+    statuses = [F.max(F.when(F.col("scope") == s, F.col("status"))).alias(s) for s in ("structural", "semantic")]
+    return status_by_scope(checks, by).groupBy(*by).agg(*statuses)

@@ -451,14 +451,14 @@ PHASE_METRICS = """phase_metrics AS MATERIALIZED (
   SELECT CAST(FLOOR(event_id / 6) AS BIGINT) AS run_id,
     CASE event_id % 6 WHEN 0 THEN 'ingesta' WHEN 1 THEN 'limpieza' WHEN 2 THEN 'transformacion'
       WHEN 3 THEN 'validacion_estructural' WHEN 4 THEN 'validacion_semantica' ELSE 'carga' END AS phase,
-    value / 10 AS secs, CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS status, ts
+    value / 10 AS secs, CASE WHEN event_type <> 'error' THEN 'ok' WHEN event_id % 6 IN (3, 4) THEN 'findings' ELSE 'error' END AS status, ts
   FROM events)"""
 
 
 def run_log(pipelines: int = 20) -> str:
     return f"""run_log AS MATERIALIZED (
   SELECT run_id, run_id % {pipelines} AS pipeline_id, MIN(ts) AS ts,
-    CASE WHEN COUNT(*) < 6 OR COUNT(*) FILTER (status = 'error') >= 3 THEN 'error' WHEN COUNT(*) FILTER (status = 'error') = 2 THEN 'warning'
+    CASE WHEN COUNT(*) < 6 OR BOOL_OR(status = 'error') THEN 'error' WHEN BOOL_OR(status = 'findings') THEN 'warning'
       ELSE 'success' END AS status,
     ROUND(SUM(secs), 6) AS secs, 1000 + run_id % 5000 AS rows_processed,
     (1000 + run_id % 5000) * 80 AS input_bytes, (1000 + run_id % 5000) * 280 AS output_bytes
@@ -547,22 +547,56 @@ oracle(
     "CASE WHEN rows_processed > 0 THEN ROUND(total_usd / (CAST(rows_processed AS DOUBLE) / 1000), 8) ELSE 0e0 END AS usd_per_1k_rows, "
     "CASE WHEN total_usd > 0 THEN ROUND(rows_processed / (total_usd * 100), 1) ELSE 0e0 END AS rows_per_cent FROM costs)",
 )
-STATUSES = """statuses AS MATERIALIZED (SELECT scope, CASE WHEN COUNT(*) FILTER (NOT ok AND severity = 'ERROR') > 0 THEN 'ERROR'
-  WHEN COUNT(*) FILTER (NOT ok AND severity = 'WARNING') > 0 THEN 'WARNING' ELSE 'OK' END AS status FROM checks GROUP BY scope)"""
+
+
+def by_batch(table: str) -> str:
+    return f"(SELECT *, contact_id % 20 AS pipeline_id FROM {table})"
+
+
+def batch_check(scope: str, name: str, value: str, severity: str, ok: str, table: str, column: str | None = None) -> str:
+    """A check of every pipeline's part of a table."""
+    one = check(scope, name, value, severity, ok, by_batch(table) + " b GROUP BY pipeline_id", column)
+    return one.replace("SELECT ", "SELECT pipeline_id, ", 1)
+
+
+SAME_COUNT = " AND ".join(f"COUNT(*) = (SELECT COUNT(*) FROM {t} t WHERE t.contact_id % 20 = b.pipeline_id)" for t in ("typed", "cleaned"))
+CLASS_COUNTS = "(SELECT contact_id % 20 AS pipeline_id, deposit, COUNT(*) AS n FROM cleaned WHERE deposit IS NOT NULL GROUP BY 1, 2)"
+BATCH_CHECKS = "checks AS MATERIALIZED (" + " UNION ALL ".join(
+    [
+        batch_check("structural", "row_counts", "COUNT(*)", "ERROR", f"({SAME_COUNT})", "features"),
+        batch_check("structural", "null_cells", f"({NULL_COUNT})", "ERROR", f"({NULL_COUNT}) = 0", "features"),
+        *[batch_check("structural", "empty_column", f"COUNT({q(c)})", "ERROR", f"COUNT({q(c)}) > 0", "features", c) for c in FEATURES],
+        batch_check("semantic", "sentinel_flag", "SUM(pdays_flag_nuevo_cliente)", "ERROR", "COUNT(*) FILTER (pdays = -1) = SUM(pdays_flag_nuevo_cliente)", "cleaned", "pdays"),
+        *[
+            batch_check(
+                "semantic", "cyclic_identity", f"COUNT(*) FILTER ({c}_sin * {c}_sin + {c}_cos * {c}_cos < 0.9999e0)", "WARNING",
+                f"COUNT(*) FILTER ({c}_sin * {c}_sin + {c}_cos * {c}_cos < 0.9999e0) = 0", "features", c,
+            )
+            for c in ("day", "month")
+        ],
+        check("semantic", "minority_class_pct", f"ROUND({SHARE}, 2)", "WARNING", f"{SHARE} >= 20", f"{CLASS_COUNTS} GROUP BY pipeline_id", "deposit").replace(
+            "SELECT ", "SELECT pipeline_id, ", 1
+        ),
+    ]
+) + ")"
+VERDICT = "CASE WHEN BOOL_OR(NOT ok AND severity = 'ERROR') FILTER (scope = '{0}') THEN 'ERROR' WHEN BOOL_OR(NOT ok AND severity = 'WARNING') FILTER (scope = '{0}') THEN 'WARNING' ELSE 'OK' END AS {0}"
+VERDICTS = f"verdicts AS MATERIALIZED (SELECT pipeline_id, {VERDICT.format('structural')}, {VERDICT.format('semantic')} FROM checks GROUP BY pipeline_id)"
 oracle(
     "pipeline_status",
-    [*TO_FEATURES, CHECKS, STATUSES, PHASE_METRICS],
+    [*TO_FEATURES, BATCH_CHECKS, VERDICTS, PHASE_METRICS],
     "SELECT *, CASE WHEN raised THEN 'error' WHEN structural = 'ERROR' OR semantic = 'ERROR' THEN 'warning' ELSE 'success' END AS status "
-    "FROM (SELECT run_id, COUNT(*) FILTER (status = 'error') > 0 OR COUNT(*) < 6 AS raised, "
-    "(SELECT status FROM statuses WHERE scope = 'structural') AS structural, "
-    "(SELECT status FROM statuses WHERE scope = 'semantic') AS semantic FROM phase_metrics GROUP BY run_id)",
+    "FROM (SELECT pipeline_id, run_id, raised, CASE WHEN bad_structure THEN 'ERROR' ELSE structural END AS structural, "
+    "CASE WHEN bad_meaning THEN 'ERROR' ELSE semantic END AS semantic FROM (SELECT run_id, run_id % 20 AS pipeline_id, "
+    "BOOL_OR(status = 'error') OR COUNT(*) < 6 AS raised, BOOL_OR(phase = 'validacion_estructural' AND status = 'findings') AS bad_structure, "
+    "BOOL_OR(phase = 'validacion_semantica' AND status = 'findings') AS bad_meaning FROM phase_metrics GROUP BY run_id) "
+    "LEFT JOIN verdicts USING (pipeline_id))",
 )
 oracle(
     "kpi_partial_run",
     [PHASE_METRICS, ROLLUP],
-    "SELECT *, 6 - n_recorded AS n_absent, n_recorded < 6 AS partial, CASE WHEN n_recorded < 6 OR n_failed >= 3 THEN 'error' "
-    "WHEN n_failed = 2 THEN 'warning' ELSE 'success' END AS outcome FROM rollup_ JOIN (SELECT run_id, COUNT(*) AS n_recorded, "
-    "COUNT(*) FILTER (status = 'error') AS n_failed FROM phase_metrics GROUP BY run_id) USING (run_id)",
+    "SELECT *, 6 - n_recorded AS n_absent, n_recorded < 6 AS partial FROM rollup_ JOIN (SELECT run_id, COUNT(*) AS n_recorded, "
+    "COUNT(*) FILTER (status = 'error') AS n_failed, CASE WHEN COUNT(*) < 6 OR BOOL_OR(status = 'error') THEN 'error' "
+    "WHEN BOOL_OR(status = 'findings') THEN 'warning' ELSE 'success' END AS outcome FROM phase_metrics GROUP BY run_id) USING (run_id)",
 )
 
 # ---- quality KPIs -------------------------------------------------------------
@@ -577,10 +611,6 @@ def null_share(table: str, names: list[str]) -> str:
     return f"CAST({nulls} AS DOUBLE) / (COUNT(*) * {len(names)}) * 100"
 
 
-def by_batch(table: str) -> str:
-    return f"(SELECT *, contact_id % 20 AS pipeline_id FROM {table})"
-
-
 VALID_COUNT = " + ".join(
     f"(CASE WHEN COUNT({q(c)}) < COUNT(*) OR (COUNT({q(c)}) > 1 AND MIN({q(c)}) = MAX({q(c)})) THEN 1 ELSE 0 END)" for c in FEATURES
 )
@@ -606,7 +636,7 @@ x_side AS (SELECT {key} AS g, COUNT(*) AS n_rows, {null_share('features', FEATUR
   LEAST(CASE WHEN COUNT(*) FILTER (y = 0) > 0 THEN COUNT(*) FILTER (y = 0) END, CASE WHEN COUNT(*) FILTER (y = 1) > 0 THEN
   COUNT(*) FILTER (y = 1) END) / CAST(COUNT(y) AS DOUBLE) * 100 AS minority FROM {x} GROUP BY 1),
 lit AS (SELECT *, {traffic('x_null', 0, 1, True)} AS null_light, {traffic('minority', 20, 10, False)} AS class_light,
-  ROUND((35 - n_invalid) / 35e0 * 100, 2) AS valid_columns_pct, {outlier_points} AS outlier_penalty
+  ROUND(({len(FEATURES)} - n_invalid) / {len(FEATURES)}e0 * 100, 2) AS valid_columns_pct, {outlier_points} AS outlier_penalty
   FROM raw_side JOIN clean_side USING (g) JOIN x_side USING (g)),
 marked AS (SELECT *, {traffic('valid_columns_pct', 90, 80, False)} AS columns_light FROM lit),
 pointed AS (SELECT *, {points('null_light', 30, 10)} + outlier_penalty + {points('class_light', 10, 5)} + {points('columns_light', 15, 7)} AS lost_points FROM marked),
@@ -650,7 +680,7 @@ INVALID_NAMES = "(SELECT STRING_AGG(c, ',' ORDER BY c) FROM (" + " UNION ALL ".j
 oracle(
     "kpi_valid_columns",
     [*TO_FEATURES, quality_sql(False)],
-    f"SELECT 35 AS n_columns, n_invalid, {INVALID_NAMES} AS invalid_columns, valid_columns_pct AS valid_pct, columns_light AS light, "
+    f"SELECT {len(FEATURES)} AS n_columns, n_invalid, {INVALID_NAMES} AS invalid_columns, valid_columns_pct AS valid_pct, columns_light AS light, "
     f"{points('columns_light', 15, 7)} AS penalty FROM scored",
 )
 oracle(
@@ -692,32 +722,34 @@ RULES = [
     ("x_null_pct > 0", "nulls_in_features", "x_null_pct"),
     ("c_light = 'rojo'", "cost_red", "total_usd"),
 ]
-CHECK_ALERTS = """check_alerts AS MATERIALIZED (SELECT CONCAT_WS(':', scope, check_name, CASE scope WHEN 'semantic' THEN column_name END) AS alert,
+CHECK_ALERTS = """check_alerts AS MATERIALIZED (SELECT pipeline_id, CONCAT_WS(':', scope, check_name, CASE scope WHEN 'semantic' THEN column_name END) AS alert,
   CASE scope WHEN 'semantic' THEN 'warning' ELSE 'critical' END AS level,
   COALESCE(MAX(value) FILTER (scope = 'semantic' OR column_name IS NULL), CAST(COUNT(column_name) AS DOUBLE)) AS value
-  FROM checks WHERE NOT ok AND ((scope = 'semantic' AND severity = 'WARNING') OR (scope = 'structural' AND severity = 'ERROR')) GROUP BY 1, 2)"""
+  FROM checks WHERE NOT ok AND ((scope = 'semantic' AND severity = 'WARNING') OR (scope = 'structural' AND severity = 'ERROR')) GROUP BY 1, 2, 3),
+alert_counts AS MATERIALIZED (SELECT pipeline_id, CAST(COUNT(*) AS INTEGER) AS n FROM check_alerts GROUP BY 1)"""
+TO_ALERTS = [*TO_HEALTH, HEALTH, BATCH_CHECKS, CHECK_ALERTS]
 oracle(
     "alerts",
-    [*TO_HEALTH, HEALTH, CHECKS, CHECK_ALERTS],
+    TO_ALERTS,
     " UNION ALL ".join(
         [
             f"SELECT pipeline_id, '{name}' AS alert, 'red' AS level, ROUND(CAST({value} AS DOUBLE), 6) AS value FROM healthy WHERE {test}"
             for test, name, value in RULES
         ]
-        + ["SELECT NULL, alert, level, ROUND(value, 6) FROM check_alerts"]
+        + ["SELECT pipeline_id, alert, level, ROUND(value, 6) FROM check_alerts"]
     ),
 )
 oracle(
     "kpi_summary",
-    [*TO_HEALTH, HEALTH, CHECKS, CHECK_ALERTS],
+    TO_ALERTS,
     "SELECT pipeline_id, health_score, health_light, availability_score, performance_score, quality_score, cost_score, "
     + " + ".join(f"(CASE WHEN {test} THEN 1 ELSE 0 END)" for test, _, _ in RULES)
-    + " + (SELECT CAST(COUNT(*) AS INTEGER) FROM check_alerts) AS n_alerts, status, rows_processed, "
-    "(SELECT CAST(n_features AS INTEGER) FROM width) AS n_features FROM healthy",
+    + " + COALESCE(a.n, 0) AS n_alerts, status, rows_processed, "
+    "(SELECT CAST(n_features AS INTEGER) FROM width) AS n_features FROM healthy LEFT JOIN alert_counts a USING (pipeline_id)",
 )
 oracle(
     "kpi_report_json",
-    [*TO_HEALTH, HEALTH, CHECKS, CHECK_ALERTS, STATUSES],
+    [*TO_ALERTS, VERDICTS],
     "SELECT h.pipeline_id, TRUE AS availability_available, TRUE AS availability_readable, a.last_status AS availability_status, "
     + cols([f"a.{c} AS availability_{c}" for c in ("n_runs", "n_success", "n_warning", "n_error", "success_pct", "availability_pct", "light")])
     + ", "
@@ -734,8 +766,7 @@ oracle(
     + cols([f"s.pct_{c} AS quality_outlier_pct_{c}" for c in OUTLIERS])
     + ", "
     + cols([f"s.n_{f} AS quality_n_{f}, s.pct_{f} AS quality_pct_{f}" for f in FLAGS])
-    + ", (SELECT status FROM statuses WHERE scope = 'structural') AS quality_structural_status, "
-    "(SELECT status FROM statuses WHERE scope = 'semantic') AS quality_semantic_status, "
+    + ", v.structural AS quality_structural_status, v.semantic AS quality_semantic_status, "
     + cols([f"ROUND(c.{x}, 6) AS cost_{x}" for x in ("compute_usd", "io_usd", "storage_usd", "total_usd")])
     + ", ROUND(ROUND(c.total_usd / (CAST(c.rows_processed AS DOUBLE) / 1000), 8), 6) AS cost_usd_per_1k_rows, "
     "ROUND(c.rows_processed / (c.total_usd * 100), 1) AS cost_rows_per_cent, "
@@ -748,8 +779,9 @@ oracle(
     "(SELECT COUNT(*) FROM cleaned WHERE deposit = 1) AS load_n_class_1, TRUE AS load_aligned, "
     "h.health_score AS summary_health_score, h.health_light AS summary_light, "
     + " + ".join(f"(CASE WHEN h.{test} THEN 1 ELSE 0 END)" for test, _, _ in RULES)
-    + " + (SELECT CAST(COUNT(*) AS INTEGER) FROM check_alerts) AS summary_n_alerts, a.last_status AS summary_status, "
+    + " + COALESCE(n.n, 0) AS summary_n_alerts, a.last_status AS summary_status, "
     "h.rows_processed AS summary_rows_processed, CAST(w.n_features AS INTEGER) AS summary_n_features "
     "FROM healthy h JOIN availability a USING (pipeline_id) JOIN latest l USING (pipeline_id) JOIN performance p ON p.run_id = l.run_id "
-    "JOIN costs c ON c.run_id = l.run_id JOIN scored s ON s.g = h.pipeline_id, width w",
+    "JOIN costs c ON c.run_id = l.run_id JOIN scored s ON s.g = h.pipeline_id JOIN verdicts v USING (pipeline_id) "
+    "LEFT JOIN alert_counts n USING (pipeline_id), width w",
 )

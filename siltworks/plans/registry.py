@@ -14,7 +14,7 @@ from siltworks.kpi import availability as avail, cost, health, performance as pe
 from siltworks.operators import clean as cl, features as fe, ingest as ing, publish as pub, validate as val
 from siltworks.plans.prepare import Prepared, prepare
 from siltworks.session import new_table_path, stage
-from siltworks.sources import delimited, files, runs, sinks
+from siltworks.sources import delimited, files, runs, sinks, versions
 from siltworks.sources.contacts import contacts_raw
 
 CFG = PrepConfig()
@@ -122,7 +122,8 @@ def batched(df: DataFrame) -> DataFrame:
 
 
 def _written_csv(spark: SparkSession, sf_dir: str, sep: str) -> str:
-    path = new_table_path(spark, "delimited")
+    # a folder as people name them
+    path = f"{new_table_path(spark, 'delimited')}/north [1], 50% of it"
     contacts(spark, sf_dir).repartition(3, "contact_id").write.options(
         sep=sep, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, escape='"'
     ).csv(path)
@@ -365,6 +366,14 @@ def _checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structural.unionByName(val.semantic_checks(t.clean, t.features, CFG, LIMITS))
 
 
+def _batch_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of every pipeline's part of the tables."""
+    t, by = tables(spark, sf_dir), ["pipeline_id"]
+    raw, clean, features = (batched(df) for df in t)
+    structural = val.structural_checks(raw, clean, features, CFG, by)
+    return structural.unionByName(val.semantic_checks(clean, features, CFG, LIMITS, by))
+
+
 def _structural(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
     t = tables(spark, sf_dir)
     return val.structural_checks(t.raw, t.clean, t.features, CFG).filter(F.col("check_name").isin(*names))
@@ -466,10 +475,10 @@ def publish_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All contacts are published; then all loan contacts arrive with one more call."""
     published = pub.publish_projection(tidy(spark, sf_dir), CFG)
-    first = sinks.upsert_version(spark, None, published, CFG.key, new_table_path(spark, "published"))
+    first = versions.upsert(spark, None, published, CFG.key, new_table_path(spark, "published"))
     arriving = published.filter("loan = 1").withColumn("campaign", F.col("campaign") + 1)
-    second = sinks.upsert_version(spark, first, arriving, CFG.key, new_table_path(spark, "published"))
-    return spark.read.parquet(second)
+    second = versions.upsert(spark, first, arriving, CFG.key, new_table_path(spark, "published"))
+    return versions.read_version(spark, second)
 
 
 @query
@@ -557,14 +566,9 @@ def cost_unit_economics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pipeline_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every run with the verdict of the checks on the tables that the runs have left."""
-    verdicts = val.status_by_scope(_checks(spark, sf_dir)).groupBy().agg(
-        *[F.max(F.when(F.col("scope") == s, F.col("status"))).alias(s) for s in ("structural", "semantic")]
-    )
-    verdict = verdicts.first()  # one row
-    outcomes = perf.raised(phases(spark, sf_dir)).withColumns({s: F.lit(verdict[s]) for s in ("structural", "semantic")})
-    status = val.pipeline_status(F.col("raised"), F.col("structural"), F.col("semantic"))
-    return outcomes.withColumn("status", status)
+    """Every run with what its validation found, or else the verdict on the tables of its pipeline."""
+    own = phases(spark, sf_dir).withColumn("pipeline_id", F.col("run_id") % runs.PIPELINES)
+    return perf.run_outcomes(own, val.verdicts(_batch_checks(spark, sf_dir), ["pipeline_id"]))
 
 
 @query
@@ -638,25 +642,23 @@ def health_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(health.alerts(_scored(spark, sf_dir, tables(spark, sf_dir)), _checks(spark, sf_dir)))
+    return rounded(health.alerts(_scored(spark, sf_dir, tables(spark, sf_dir)), _batch_checks(spark, sf_dir)))
 
 
 @query
 def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = health.check_alerts(_checks(spark, sf_dir)).collect()  # a row for each failed check
-    return health.summary(_scored(spark, sf_dir, tables(spark, sf_dir)), n_features(spark, sf_dir), found)
+    scored = health.with_checks(_scored(spark, sf_dir, tables(spark, sf_dir)), stage(_batch_checks(spark, sf_dir), "checks"))
+    return health.summary(scored, n_features(spark, sf_dir))
 
 
 @query
 def kpi_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_table_path(spark, "report")
-    t, checks = tables(spark, sf_dir), stage(_checks(spark, sf_dir), "checks")
+    t, checks = tables(spark, sf_dir), stage(_batch_checks(spark, sf_dir), "checks")
     made = health.report(
-        _scored(spark, sf_dir, t),
+        health.with_checks(_scored(spark, sf_dir, t), checks),
         n_features(spark, sf_dir),
         sf_dir,
-        health.check_alerts(checks).collect(),
-        verdicts={r["scope"]: r["status"] for r in val.status_by_scope(checks).collect()},
         load=pub.load_report(t.features, targets(t), CFG).first(),
         model=MODEL,
     )

@@ -13,11 +13,12 @@ from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from siltworks.config import RAW_PHASES, CostModel, PrepConfig, Thresholds
 from siltworks.kpi import health, quality
+from siltworks.kpi.performance import FINDINGS
 from siltworks.operators import features as fe, validate as val
 from siltworks.operators.clean import clean, fit_fences
 from siltworks.operators.ingest import ingest
 from siltworks.operators.publish import load_report, publish_projection
-from siltworks.sources import delimited, files, sinks
+from siltworks.sources import delimited, files, sinks, versions
 
 PHASES_SCHEMA = "pipeline_id bigint, run_id bigint, phase string, secs double, status string, ts timestamp"
 RUNS_SCHEMA = (
@@ -25,6 +26,7 @@ RUNS_SCHEMA = (
     "rows_processed bigint, input_bytes bigint, output_bytes bigint"
 )
 TABLES = ("raw", "clean", "features")
+VALIDATIONS = {"structural": "validacion_estructural", "semantic": "validacion_semantica"}
 
 
 @dataclass
@@ -102,24 +104,33 @@ def run(
             checks = structural.unionByName(semantic)
         with this.phase("carga"):
             served = publish_projection(tidy, cfg)
-            this.published = sinks.upsert_version(spark, published, served, cfg.key, this.path("published"))
+            this.published = versions.upsert(spark, published, served, cfg.key, this.path("published"))
             if "parquet" in export:
                 sinks.export_parquet(encoded, tidy, this.path("export/parquet"))
             if "csv" in export:
                 sinks.export_csv(encoded, cfg, this.path("export/csv"))
             this.loaded = load_report(encoded, _targets(tidy, cfg), cfg).first()
         this.verdicts = {r["scope"]: r["status"] for r in val.status_by_scope(checks).collect()}
-        if val.ERROR in this.verdicts.values():
-            this.status = "warning"
-    except BaseException:
+        for scope, phase in VALIDATIONS.items():
+            if this.verdicts.get(scope) == val.ERROR:
+                this.timings[phase] = (this.timings[phase][0], FINDINGS)
+                this.status = "warning"
+    except BaseException as error:
         this.status = "error"
+        try:
+            _finish(spark, this, source, log, cfg, limits, model, pipeline_id, checks)
+        except Exception as second:  # the first failure is the one to tell
+            error.add_note(f"and the run could not be recorded or scored: {second!r}")
         raise
-    finally:
-        _record(spark, this, source, log, pipeline_id)
-        _score(spark, this, source, log, cfg, limits, model, pipeline_id, checks)
+    _finish(spark, this, source, log, cfg, limits, model, pipeline_id, checks)
     return this
 
 
+def _finish(spark, this: Run, source: str, log: str, cfg, limits, model, pipeline_id: int, checks: DataFrame | None) -> None:
+    _record(spark, this, source, log, pipeline_id)
+    _score(spark, this, source, log, cfg, limits, model, pipeline_id, checks)
+
+
 def _targets(tidy: DataFrame, cfg: PrepConfig) -> DataFrame:
     """The targets by key, from the cleaned table."""
     return tidy.select(*cfg.key, fe.target(tidy, cfg).alias("y"))
@@ -168,11 +179,12 @@ def _score(
             [], "pipeline_id bigint, quality_score int, light string, x_null_pct double, types_ok boolean, aligned boolean"
         )
     available = not files.list_files(spark, source).isEmpty()
-    readable = available and delimited.can_read(spark, source)
+    # a strict read that has ended has read every row
+    readable = available and ("raw" in this.done or delimited.can_read(spark, source))
     scored = health.with_health(health.pipeline_figures(figures, measured, limits, available, readable), limits)
-    found = health.check_alerts(checks).collect() if checks is not None else []
+    own_checks = checks.withColumn("pipeline_id", F.lit(pipeline_id).cast("bigint")) if checks is not None else None
     size = files.dir_bytes(spark, source).first()["size_bytes"]
     made = health.report(
-        scored, n_features, source, found, verdicts=this.verdicts, load=this.loaded, source_bytes=size, model=model
+        health.with_checks(scored, own_checks), n_features, source, load=this.loaded, source_bytes=size, model=model
     )
     sinks.export_report(made, this.path("report"))

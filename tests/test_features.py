@@ -85,7 +85,7 @@ def test_any_number_of_levels_is_encoded(spark):
     df = spark.range(6000).selectExpr("CAST(id % 5000 AS STRING) AS job", "'x' AS contact")
     levels = fe.fit_levels(df, ["job", "contact"], "nan")
     assert len(levels["job"]) == 5000 and len(fe.one_hot("job", levels["job"], "nan")) == 5000
-    rows = fe.one_hot_places(df, "job", "nan").collect()
+    rows = fe.one_hot_places(df, "job", fe.fit_vocabulary(df, "job", "nan"), "nan").collect()
     assert len(rows) == 6000
     assert all((r.job_hot.size, r.job_hot.place) == (5000, levels["job"].index(r.job)) for r in rows[::60])
 
@@ -117,3 +117,27 @@ def test_partial_schema(small, cfg):
 def test_vector_output(prepared, cfg):
     row = fe.as_vector(prepared.features, cfg).first()
     assert row["features"].size == 35
+
+
+def test_a_million_levels_stay_in_a_table(spark, cfg, monkeypatch):
+    """Fitted, saved, loaded and applied; a third of the rows has one level; unseen levels have no place."""
+    only = replace(cfg, key=("k",), robust=(), standard=(), one_hot=(), one_hot_sparse=("job",), ordinal={}, flags=(), outlier_flags={},
+                   cyclic_numbers={}, cyclic_names={}, binary=("deposit",))
+    job = "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id = 7 THEN NULL ELSE concat('j', id) END"
+    df = spark.range(0, 1_500_000, 1, 4).selectExpr("id AS k", f"{job} AS job", "1D AS deposit")
+    fitted = fe.fit(df, only)
+    assert fitted.levels == {} and fitted.vocabularies["job"].size == 1_000_001
+    path = new_table_path(spark, "fitted")
+    fe.save_fitted(spark, fitted, path)
+    loaded = fe.load_fitted(spark, path)
+    vocabulary = spark.read.parquet(loaded.vocabularies["job"].path)
+    assert [r["level"] for r in vocabulary.filter("hot").collect()] == ["hot"]
+    seen = df.filter("k < 3000").unionByName(spark.createDataFrame([(-1, "unseen", 1.0)], df.schema))
+    rows = {r["k"]: r["job_hot"] for r in fe.transform(seen, only, loaded).collect()}
+    assert len(rows) == 3001 and {r["size"] for r in rows.values()} == {1_000_001}
+    assert rows[-1]["place"] is None and rows[0]["place"] == rows[3]["place"] == 0
+    places = {r["level"]: r["place"] for r in vocabulary.filter("place < 5 OR level IN ('j1', 'j2999', 'nan')").collect()}
+    assert (rows[1]["place"], rows[2999]["place"], rows[7]["place"]) == (places["j1"], places["j2999"], places["nan"])
+    assert sorted(places, key=places.get)[:3] == ["hot", "j1", "j10"]
+    plan = fe.transform(df, only, loaded)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan

@@ -150,7 +150,7 @@ def test_aborted_run_is_scored(spark):
 
 def test_golden_run_outcomes(spark):
     log = rn.run_log(rn.phase_metrics(spark, SF_GOLDEN))
-    assert {r["status"]: r["count"] for r in log.groupBy("status").count().collect()} == {"success": 1091, "warning": 413, "error": 163}
+    assert {r["status"]: r["count"] for r in log.groupBy("status").count().collect()} == {"success": 417, "warning": 253, "error": 997}
     assert [r["status"] for r in log.filter("run_id = 1666").collect()] == ["error"]
 
 

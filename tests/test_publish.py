@@ -55,6 +55,17 @@ def test_alignment_counts_repeats(spark):
     assert tuple(pub.alignment(left.limit(0), right.limit(0), ["k"]).first()) == (0, 0, 0, True)
 
 
+def test_alignment_counts_keys_of_differing_buckets_alone(spark, monkeypatch):
+    monkeypatch.setattr(pub, "DIGESTS", 16)
+    left = spark.range(2000).selectExpr("id AS k", "'a' AS v")
+    right = left.filter("k != 77").unionByName(table(spark, [(5, "a"), (5, "b"), (-3, "c")]))
+    assert tuple(pub.alignment(left, right, ["k"]).first()) == (2000, 2002, 3, False)
+    swapped = left.filter("k != 77").unionByName(table(spark, [(-77, "a")]))
+    assert tuple(pub.alignment(left, swapped, ["k"]).first()) == (2000, 2000, 2, False)
+    # ints on one side, longs on the other
+    assert pub.alignment(left, left.selectExpr("CAST(k AS INT) AS k", "v"), ["k"]).first()["aligned"]
+
+
 def test_published_columns(spark, cfg):
     df = spark.createDataFrame([(1, None, 1.0, 0.0, 1.0, 7)], "contact_id bigint, default double, housing double, loan double, deposit double, other int")
     filled = pub.publish_projection(df, cfg)

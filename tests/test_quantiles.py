@@ -69,16 +69,26 @@ def test_fences_of_random_samples_equal_percentile(spark):
 
 
 @pytest.mark.parametrize("decades", [3, 60, 300])
-def test_passes_are_bounded_for_any_magnitudes(spark, monkeypatch, decades):
-    passes = []
-    narrow = quantiles._narrow
-    monkeypatch.setattr(quantiles, "_narrow", lambda *a: passes.append(1) or narrow(*a))
+def test_the_table_is_scanned_twice_for_any_magnitudes(spark, monkeypatch, decades):
     df = spark.range(0, 60_000, 1, 4).selectExpr(f"pow(10D, {decades} * (id / 60000D) - {decades / 2}) * CASE WHEN id % 3 = 0 THEN -1 ELSE 1 END AS v")
+    passes, kept = [], []
+    narrow, stage = quantiles._narrow, quantiles.stage
+    monkeypatch.setattr(quantiles, "_narrow", lambda table, *a: passes.append(table is df) or narrow(table, *a))
+    monkeypatch.setattr(quantiles, "stage", lambda *a: kept.append(stage(*a)) or kept[-1])
     found = summarize(df, {"v": "v"})["v"].quantiles
-    assert len(passes) <= 7
+    # the summary, the brackets, and no pass over the table itself
+    assert len(passes) <= 7 and not any(passes) and len(kept) == 1
+    assert kept[0].filter("s % 2 = 1").count() < 60_000 * 3 * 7 / quantiles.SKETCH
     assert [found[p] for p in (0.25, 0.5, 0.75)] == df.selectExpr("percentile(v, array(0.25, 0.5, 0.75))").first()[0]
 
 
+def test_ranks_outside_their_brackets_are_found(spark):
+    """Infinite values move the ranks of the others away from where the sketch has them."""
+    values = [float("-inf")] * 700 + list(np.random.default_rng(1).normal(size=2000)) + [float("inf")] * 100
+    found = summarize(frame(spark, values), {"v": "v"}, probabilities=PROBS, buckets=64)["v"].quantiles
+    assert all(same(found[p], expected(values, p)) for p in PROBS)
+
+
 def test_two_hundred_columns(spark):
     columns = {f"c{k}": f"CAST(id * {k + 1} AS DOUBLE)" for k in range(200)}
     found = summarize(spark.range(0, 3001, 1, 3), columns, {"m": "CAST(id AS DOUBLE)"})

@@ -5,6 +5,7 @@ from pyspark.errors import PySparkException
 
 from table_dirs import SF_SMALL
 from siltworks.plans.run import run
+from siltworks.sources import versions
 from siltworks.sources.contacts import contacts_raw
 
 
@@ -26,7 +27,7 @@ def test_whole_runs(spark, cfg, source, tmp_path):
     first = run(spark, source, str(tmp_path / "1"), log, cfg, run_id=1)
     assert first.status == "warning"  # some features are missing
     second = run(spark, source, str(tmp_path / "2"), log, cfg, run_id=2, published=first.published)
-    assert spark.read.parquet(second.published).count() == 1500
+    assert versions.read_version(spark, second.published).count() == 1500
     assert spark.read.parquet(f"{log}/phase_metrics").count() == 12
     report = report_of(tmp_path / "2")
     assert report["availability"]["n_runs"] == 2 and report["availability"]["n_warning"] == 2
@@ -92,3 +93,23 @@ def test_long_row_fails_the_run(spark, cfg, tmp_path):
         run(spark, str(bad), str(tmp_path / "out"), str(tmp_path / "log"), cfg, run_id=1)
     report = report_of(tmp_path / "out")
     assert report["availability"]["available"] and not report["availability"]["readable"]
+
+
+def test_a_failure_to_record_does_not_hide_the_first_one(spark, cfg, tmp_path, monkeypatch):
+    from siltworks.plans import run as module
+
+    def broken(*args):
+        raise RuntimeError("no log")
+
+    monkeypatch.setattr(module, "_record", broken)
+    with pytest.raises(FileNotFoundError) as caught:
+        run(spark, str(tmp_path / "absent"), str(tmp_path / "out"), str(tmp_path / "log"), cfg, run_id=1)
+    assert any("no log" in n for n in caught.value.__notes__)
+
+
+def test_findings_of_validations_are_recorded(spark, cfg, source, tmp_path):
+    log = str(tmp_path / "log")
+    made = run(spark, source, str(tmp_path / "1"), log, cfg, run_id=1)
+    phases = {r["phase"]: r["status"] for r in spark.read.parquet(f"{log}/phase_metrics").collect()}
+    assert made.status == "warning" and phases["validacion_estructural"] == "findings"
+    assert {s for p, s in phases.items() if not p.startswith("validacion_e")} == {"ok"}

@@ -113,3 +113,37 @@ def test_flags_present(prepared, cfg):
 def test_pipeline_status(spark, raised, structural, semantic, status):
     df = spark.createDataFrame([(raised, structural, semantic)], "r boolean, st string, se string")
     assert df.select(val.pipeline_status(F.col("r"), F.col("st"), F.col("se"))).first()[0] == status
+
+
+def test_wide_tables_are_profiled_in_chunks(spark, cfg):
+    wide = spark.range(30).selectExpr("id AS contact_id", *[f"CAST(CASE WHEN id % 7 != {k % 7} THEN id * {k} END AS DOUBLE) AS c{k}" for k in range(2000)])
+    names = [f"c{k}" for k in range(2000)]
+    row = column_profile(wide, names).first()
+    assert row["n_rows"] == 30 and [p["column_name"] for p in row["profile"]] == names
+    assert [p["column_name"] for p in row["profile"] if p["is_constant"]] == ["c0"]
+    assert sum(p["n_null"] for p in row["profile"]) == sum(30 - sum(i % 7 != k % 7 for i in range(30)) for k in range(2000))
+    by = column_profile(wide.withColumn("g", F.col("contact_id") % 2), names[:450], ["g"], each=100).collect()
+    assert sorted((r["g"], r["n_rows"], len(r["profile"])) for r in by) == [(0, 15, 450), (1, 15, 450)]
+
+
+def test_checks_of_each_pipeline(prepared, cfg):
+    """Groups differ: one has lost rows, one has a constant class, the others are as they were."""
+    raw, clean, features = (df.withColumn("p", F.col("contact_id") % 3) for df in (prepared.raw, prepared.clean, prepared.features))
+    features = features.filter("NOT (p = 1 AND contact_id < 200)")
+    clean = clean.withColumn("deposit", F.when(F.col("p") == 2, F.lit(1.0)).otherwise(F.col("deposit")))
+    checks = val.structural_checks(raw, clean, features, cfg, ["p"]).unionByName(val.semantic_checks(clean, features, cfg, Thresholds(), ["p"]))
+    rows = {(r["p"], r["check_name"]): r for r in checks.filter("column_name IS NULL OR check_name = 'minority_class_pct'").collect()}
+    assert [rows[p, "row_counts"]["ok"] for p in range(3)] == [True, False, True]
+    assert sum(rows[p, "row_counts"]["value"] for p in range(3)) == features.count()
+    assert [rows[p, "minority_class_pct"]["ok"] for p in range(3)] == [True, True, True]
+    assert rows[2, "minority_class_pct"]["value"] == 100
+    whole = val.structural_checks(raw.drop("p"), clean.drop("p"), features.drop("p"), cfg)
+    cells = {r["check_name"]: r["value"] for r in whole.filter("check_name = 'null_cells'").collect()}
+    assert sum(rows[p, "null_cells"]["value"] for p in range(3)) == cells["null_cells"]
+    assert {r["p"] for r in val.verdicts(checks, ["p"]).collect()} == {0, 1, 2}
+
+
+def test_a_group_without_rows_in_one_table_is_an_error(prepared, cfg):
+    raw, clean, features = (df.withColumn("p", F.col("contact_id") % 2) for df in (prepared.raw, prepared.clean, prepared.features))
+    found = val.structural_checks(raw, clean, features.filter("p = 0"), cfg, ["p"]).filter("check_name = 'row_counts'").collect()
+    assert {r["p"]: r["ok"] for r in found} == {0: True, 1: False}

@@ -1,0 +1,87 @@
+"""Versions of a keyed table: only touched partitions are written."""
+
+from pathlib import Path
+
+import pytest
+from pyspark.errors import PySparkException
+
+from siltworks.sources import versions
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, "k bigint, v string")
+
+
+def contents(spark, version):
+    return {r["k"]: r["v"] for r in versions.read_version(spark, version).collect()}
+
+
+def files(version):
+    return {str(f): f.read_bytes() for f in Path(version).rglob("*.parquet")}
+
+
+def test_versions_hold_what_an_upsert_gives(spark, tmp_path):
+    one, two, three = (str(tmp_path / n) for n in "123")
+    assert versions.upsert(spark, None, table(spark, []), ["k"], one) is None
+    first = {k: f"a{k}" for k in range(500)}
+    assert versions.upsert(spark, None, table(spark, list(first.items())), ["k"], one, rows_per_partition=20) == one
+    m = versions.manifest(spark, one)
+    assert m.partitions == 25 and contents(spark, one) == first
+    before = files(one)
+    assert versions.upsert(spark, one, table(spark, []), ["k"], two) == one
+    change = {7: "b7", 900: "b900"}
+    assert versions.upsert(spark, one, table(spark, list(change.items())), ["k"], two) == two
+    assert contents(spark, two) == first | change and contents(spark, one) == first
+    # nothing of the first version has changed, and the second one has the touched partitions alone
+    assert files(one) == before
+    assert len({Path(f).parent for f in files(two)}) <= 2
+    again = versions.manifest(spark, two)
+    assert sum(f.startswith(one) for f in again.folders.values()) >= 23
+    assert versions.upsert(spark, two, table(spark, list(change.items())), ["k"], three) == three
+    assert contents(spark, three) == first | change
+
+
+@pytest.mark.parametrize("rows", [[(1, "a"), (1, "b")], [(None, "a")]])
+def test_bad_keys_leave_no_version(spark, tmp_path, rows):
+    one, two = str(tmp_path / "1"), str(tmp_path / "2")
+    with pytest.raises(PySparkException, match="keys"):
+        versions.upsert(spark, None, table(spark, rows), ["k"], one)
+    assert not (tmp_path / "1" / "manifest").exists()
+    versions.upsert(spark, None, table(spark, [(1, "x"), (2, "y")]), ["k"], str(tmp_path / "ok"))
+    with pytest.raises(PySparkException, match="keys"):
+        versions.upsert(spark, str(tmp_path / "ok"), table(spark, rows), ["k"], two)
+    assert not (tmp_path / "2" / "manifest").exists() and contents(spark, str(tmp_path / "ok")) == {1: "x", 2: "y"}
+
+
+def test_keys_of_several_columns_and_other_types(spark, tmp_path):
+    one, two = str(tmp_path / "1"), str(tmp_path / "2")
+    rows = spark.createDataFrame([(k, f"p{k % 3}", float(k)) for k in range(60)], "`a.b` bigint, p string, x double")
+    versions.upsert(spark, None, rows, ["a.b", "p"], one, rows_per_partition=9)
+    # ints find the rows of the same longs
+    change = spark.createDataFrame([(3, "p0", -1.0), (3, "p1", -2.0)], "`a.b` int, p string, x double")
+    versions.upsert(spark, one, change, ["a.b", "p"], two)
+    found = {(r["a.b"], r["p"]): r["x"] for r in versions.read_version(spark, two).collect()}
+    assert len(found) == 61 and (found[3, "p0"], found[3, "p1"], found[4, "p1"]) == (-1.0, -2.0, 4.0)
+
+
+def test_key_and_columns_must_be_those_of_the_table(spark, tmp_path):
+    one = str(tmp_path / "1")
+    versions.upsert(spark, None, table(spark, [(1, "a")]), ["k"], one)
+    with pytest.raises(ValueError, match="kept by"):
+        versions.upsert(spark, one, table(spark, [(1, "a")]), ["v"], str(tmp_path / "2"))
+    with pytest.raises(ValueError, match="columns"):
+        versions.upsert(spark, one, table(spark, [(1, "a")]).withColumnRenamed("v", "w"), ["k"], str(tmp_path / "2"))
+    with pytest.raises(ValueError, match="key columns"):
+        versions.upsert(spark, None, table(spark, []), [], one)
+
+
+def test_key_check_and_merge_are_one_shuffle(spark, tmp_path, monkeypatch):
+    """Besides the small one of the partitions that are met."""
+    from pyspark.sql import DataFrameWriter
+
+    one, plans = str(tmp_path / "1"), []
+    versions.upsert(spark, None, table(spark, [(k, "a") for k in range(50)]), ["k"], one, rows_per_partition=10)
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: plans.append(self._df._jdf.queryExecution().executedPlan().toString()) or write(self, path, *a, **k))
+    versions.upsert(spark, one, table(spark, [(k, "b") for k in range(9)]), ["k"], str(tmp_path / "2"))
+    assert len(plans) == 1 and plans[0].count("Exchange") == 1
