@@ -117,27 +117,42 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language the compressors agree on; the others go."""
+    """Documents whose language the compressors agree on; the others go.
+
+    Null and empty texts and those without letters go; copies have one fate; an empty table gives one.
+    """
     return langid.keep_identified(docs, language_model(docs))
 
 
 def keep_first_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates, once."""
+    """The document with the smallest id of each group of near duplicates, once.
+
+    Null texts and those without words are one group; an empty table gives one.
+    """
     return simhash.keep_first(docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that another document, or they themselves, had before."""
+    """Documents without the passages that another document, or they themselves, had before.
+
+    Null and blank texts stay; of equal texts without an id one stays; an empty table gives one.
+    """
     passages = stage(substrings.repeated_passages(docs), "passages")
     return substrings.remove_passages(docs, passages)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark item is found."""
+    """Documents in which no benchmark item is found.
+
+    Null and empty texts stay, and so do all documents if there is no item.
+    """
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all remaining documents and their places in sequences."""
+    """The pieces of all remaining documents and their places in sequences.
+
+    Null and empty texts are their end mark; repeated rows are documents of their own.
+    """
     packed = packing.pack(packing.pieces(docs, tokenizer_path()))
     return packed.drop("text_hash").withColumnRenamed("id", "doc_id")
