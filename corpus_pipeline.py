@@ -26,7 +26,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other; the packed pieces of the last one."""
+    """All stages, one after the other; the packed pieces of the last one.
+
+    Rows and columns of any kind go through; an empty table gives no pieces (see each stage).
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), name)
