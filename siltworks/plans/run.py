@@ -18,7 +18,7 @@ from siltworks.operators import features as fe, validate as val
 from siltworks.operators.clean import clean, fit_fences
 from siltworks.operators.ingest import ingest
 from siltworks.operators.publish import load_report, publish_projection
-from siltworks.sources import delimited, files, sinks, versions
+from siltworks.sources import delimited, files, runlog, sinks, versions
 
 PHASES_SCHEMA = "pipeline_id bigint, run_id bigint, phase string, secs double, status string, ts timestamp"
 RUNS_SCHEMA = (
@@ -144,8 +144,7 @@ def _record(spark: SparkSession, this: Run, source: str, log: str, pipeline_id:
     n_bytes = [files.dir_bytes(spark, path).first()["size_bytes"] for path in (source, this.out)]
     ended = (this.run_id, pipeline_id, now, this.status, sum(p[3] for p in phases), rows, *n_bytes)
     for name, records, schema in (("phase_metrics", phases, PHASES_SCHEMA), ("run_log", [ended], RUNS_SCHEMA)):
-        rows = spark.createDataFrame(records, schema).coalesce(1)
-        rows.write.mode("append").partitionBy("pipeline_id").parquet(f"{log}/{name}")
+        runlog.append(spark.createDataFrame(records, schema), log, name)
 
 
 def _score(
