@@ -3,7 +3,6 @@
 import random
 import re
 
-import numpy as np
 import pytest
 import xxhash
 from llm_fixtures import SF_SMALL, awkward, awkward_rows, empty, sentence
