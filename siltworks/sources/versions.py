@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 #: rows of a partition when a table begins; a partition is one task's work
 ROWS_PER_PARTITION = 1_000_000
+#: fewer rows are not worth a partition
+LEAST_ROWS = 10_000
 
 PART, SIDE, SENT = "_part", "_side", "_sent"
 
@@ -72,7 +74,7 @@ def upsert(
     arrives. A key that is null or arrives twice fails the job. ``source`` should be a
     written table; it is read twice, once for the partitions it meets and once for its rows. Key check
     and merge are one shuffle, by partition. A table begins with a partition for each
-    ``rows_per_partition`` rows and keeps their number.
+    ``rows_per_partition`` rows, or for each core if it is smaller, and keeps their number.
     """
     if not keys:
         raise ValueError("an upsert needs its key columns")
@@ -80,7 +82,9 @@ def upsert(
         rows = source.count()
         if not rows:
             return None
-        m = Manifest(list(keys), max(1, -(-rows // rows_per_partition)), source.schema, {})
+        # small tables still use all cores
+        least = min(spark.sparkContext.defaultParallelism, rows // LEAST_ROWS)
+        m = Manifest(list(keys), max(1, least, -(-rows // rows_per_partition)), source.schema, {})
         arriving = source
         met = range(m.partitions)
     else:
