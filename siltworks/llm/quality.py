@@ -158,21 +158,23 @@ def fit(
     grade_column: str = "grade",
     sample_rows: int = SAMPLE_ROWS,
     sample_features: int = SAMPLE_FEATURES,
+    hash_column: str | None = None,
 ) -> OrdinalModel:
     """The model of a bounded random sample of ``rated``.
 
     Rows without a text, or with a grade that is null or unknown, are left out. A text with several
     grades is used once with each, copies with one grade are used once. Very long texts count
-    whole. Without rows the highest grade is expected of every text.
+    whole. Without rows the highest grade is expected of every text. ``hash_column`` may hold a hash of
+    the text; made before ratings are joined to texts, it spares the shuffle of texts that are not drawn.
     """
-    rows = rated.select(col(text_column).alias("t"), col(grade_column).cast("int").alias("g")).filter(
+    own_hash = F.xxhash64(col(text_column)) if hash_column is None else col(hash_column)
+    rows = rated.select(col(text_column).alias("t"), col(grade_column).cast("int").alias("g"), own_hash.alias("h")).filter(
         (F.col("t").isNotNull()) & F.col("g").between(0, n_grades - 1)
     )
-    # a hash of text and grade decides, the same for every order of rows
-    rows = rows.withColumn("h", F.xxhash64("t", "g", F.lit(17)))
+    # a hash of the text decides, the same for every order of rows
     total = rows.select("h").distinct().count()
     # more than enough pass, so that the limit decides and not chance
-    draw = F.pmod("h", F.lit(1 << 30)).alias("draw")
+    draw = F.pmod(F.xxhash64("h"), F.lit(1 << 30)).alias("draw")
     passing = rows.filter(draw < F.lit(int(min(1.0, 1.1 * (sample_rows + 100) / max(total, 1)) * (1 << 30))))
     # copies become one in their tasks, before anything is shuffled
     different = passing.groupBy("h", "g").agg(F.min("t").alias("t")).select("t", "g", draw)
@@ -192,7 +194,7 @@ def fit(
 
     sample = different.mapInArrow(extract, "k array<int>, v array<float>, g int, draw long")
     taken, grades, left = [], [], sample_features
-    for batch in sample.orderBy("draw").limit(sample_rows).select("k", "v", "g").toArrow().to_batches():
+    for batch in sample.orderBy("draw", "g").limit(sample_rows).select("k", "v", "g").toArrow().to_batches():
         for k, v, g in zip(batch.column(0), batch.column(1), batch.column(2).to_pylist()):
             k = k.values.to_numpy()
             left -= len(k)

@@ -86,7 +86,8 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", quality.grade_of(F.col("quality"), F.col("toxic")).alias("grade"))
-    model = quality.fit(docs.join(labels, "doc_id"), GRADES)
+    hashed = docs.withColumn("text_hash", F.xxhash64("text"))
+    model = quality.fit(hashed.join(labels, "doc_id"), GRADES, hash_column="text_hash")
     return quality.score(docs, model, selected_grade=GRADES - 1).drop("text")
 
 
