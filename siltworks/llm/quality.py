@@ -101,22 +101,25 @@ class _Adam:
 def train(rows: Sequence[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades: int) -> OrdinalModel:
     """Weights and thresholds that make ``grades`` most likely, with ridge and lasso penalties.
 
-    ``rows`` are features and their weights. A feature enters in proportion to how far the
+    ``rows`` are the different features of a text and their weights. A feature enters in proportion to how far the
     mean grade of its documents lies from the overall one, in standard errors.
     """
     size, n = 1 << FEATURE_BITS, len(rows)
     if n == 0 or grades.std() == 0:  # nothing to tell grades apart by
         usual = int(grades[0]) if n else n_grades - 1
         return OrdinalModel({}, tuple(-4.0 if k <= usual else 4.0 for k in range(1, n_grades)))
-    owner = np.repeat(np.arange(n), [len(k) for k, _ in rows])
-    at = np.concatenate([k for k, _ in rows])
-    value = np.concatenate([v for _, v in rows])
-    seen = np.bincount(at, minlength=size)
-    above = np.bincount(at, (grades - grades.mean())[owner], minlength=size)
+    seen, above = np.zeros(size, dtype=np.int64), np.zeros(size)
+    apart = grades - grades.mean()
+    for (k, _), d in zip(rows, apart.tolist()):  # a text has each feature once
+        seen[k] += 1
+        above[k] += d
     signal = np.abs(above) / np.sqrt(np.maximum(seen, 1)) / grades.std()
     scale = np.where((seen >= LEAST_DOCUMENTS) & (signal >= LEAST_SIGNAL), np.minimum(signal / FULL_SIGNAL, 1.0), 0.0)
-    used = scale[at] > 0
-    owner, at, value = owner[used], at[used], (value * scale[at])[used]
+    # features without a signal are left out text by text, so that the whole sample is never copied
+    used = [scale[k] > 0 for k, _ in rows]
+    owner = np.repeat(np.arange(n), [int(u.sum()) for u in used])
+    at = np.concatenate([k[u] for (k, _), u in zip(rows, used)]).astype(np.int64)
+    value = np.concatenate([v[u] for (_, v), u in zip(rows, used)]) * scale[at]
 
     # thresholds are a first one and positive gaps, so that they stay in order
     share = np.array([(grades >= k).mean() for k in range(1, n_grades)]).clip(1e-3, 1 - 1e-3)
@@ -200,7 +203,7 @@ def fit(
             left -= len(k)
             if left < 0:
                 break
-            taken.append((k.astype(np.int64), v.values.to_numpy().astype(np.float64)))
+            taken.append((k, v.values.to_numpy()))
             grades.append(g)
     return train(taken, np.array(grades, dtype=np.int64), n_grades)
 
