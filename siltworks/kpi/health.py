@@ -8,7 +8,7 @@ from siltworks.config import PHASES, RED, REPORT_VERSION, CostModel, Thresholds
 from siltworks.functions.lights import light_points, score_light
 from siltworks.kpi.availability import availability_light, registry_aggregates, with_rates
 from siltworks.kpi.cost import with_cost, with_unit_economics
-from siltworks.kpi.performance import performance, run_keys, secs
+from siltworks.kpi.performance import phase_rollup, run_keys, secs, with_performance
 from siltworks.operators.validate import ERROR, WARNING, verdicts
 
 LAST_RUN = (
@@ -42,12 +42,15 @@ QUALITY_FACTS = ("pipeline_id", "quality_score", "light", "x_null_pct", "types_o
 
 
 def run_figures(
-    phases: DataFrame, runs: DataFrame, limits: Thresholds, model: CostModel, n_features: int
+    phases: DataFrame | None, runs: DataFrame, limits: Thresholds, model: CostModel, n_features: int
 ) -> DataFrame:
-    """Performance and cost of every run."""
-    timed = performance(phases, runs, limits, n_features).drop("rows_processed").withColumnRenamed("light", "performance_light")
-    costed = with_unit_economics(with_cost(runs, model, limits), model).withColumnRenamed("light", "cost_light")
-    return costed.join(timed, run_keys(phases))
+    """Performance and cost of every run that has phases.
+
+    Without ``phases`` the runs bring the seconds of their phases along (``performance.spent``).
+    """
+    timed = runs if phases is None else runs.join(phase_rollup(phases), run_keys(phases))
+    judged = with_performance(timed, limits, n_features).withColumnRenamed("light", "performance_light")
+    return with_unit_economics(with_cost(judged, model, limits), model).withColumnRenamed("light", "cost_light")
 
 
 def pipeline_figures(

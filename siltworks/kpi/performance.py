@@ -27,7 +27,8 @@ def run_keys(phases: DataFrame) -> list[str]:
     return [c for c in ("pipeline_id", "run_id") if c in phases.columns]
 
 
-def _spent() -> list[Column]:
+def spent() -> list[Column]:
+    """Of the phases of a run: the seconds of each reported phase; an absent phase took 0.0."""
     name = F.col("phase")
     return [
         F.round(F.coalesce(F.sum(F.when(name.isin(*parts), F.col("secs"))), F.lit(0.0)), 4).alias(secs(phase))
@@ -35,7 +36,8 @@ def _spent() -> list[Column]:
     ]
 
 
-def _total() -> Column:
+def total() -> Column:
+    """The seconds of all reported phases of a run."""
     return F.round(sum((F.col(secs(p)) for p in PHASES[1:]), F.col(secs(PHASES[0]))), 4)
 
 
@@ -44,7 +46,7 @@ def phase_rollup(phases: DataFrame) -> DataFrame:
 
     Conditional sums need one shuffle with partial sums, where a pivot would need two.
     """
-    return phases.groupBy(*run_keys(phases)).agg(*_spent()).withColumn("total_secs", _total())
+    return phases.groupBy(*run_keys(phases)).agg(*spent()).withColumn("total_secs", total())
 
 
 def per_second(amount: Column, seconds: Column) -> Column:
@@ -52,11 +54,11 @@ def per_second(amount: Column, seconds: Column) -> Column:
 
 
 def with_throughput(rollup: DataFrame, rows: Column, n_features: int) -> DataFrame:
-    total = F.col("total_secs")
+    whole = F.col("total_secs")
     return rollup.withColumns(
         {
-            "rows_per_sec": per_second(rows.cast("double"), total),
-            "features_per_sec": per_second(F.lit(float(n_features)), total),
+            "rows_per_sec": per_second(rows.cast("double"), whole),
+            "features_per_sec": per_second(F.lit(float(n_features)), whole),
         }
     )
 
@@ -84,9 +86,14 @@ def performance(phases: DataFrame, runs: DataFrame, limits: Thresholds, n_featur
     """All performance figures per run. Both sides come hashed by run, so the join adds no shuffle."""
     keys = run_keys(phases)
     joined = phase_rollup(phases).join(runs.select(*keys, "rows_processed"), keys)
+    return with_performance(joined, limits, n_features)
+
+
+def with_performance(timed: DataFrame, limits: Thresholds, n_features: int) -> DataFrame:
+    """Adds the performance figures to runs that have the seconds of their phases."""
     lights = {f"{p}_light": phase_light(p, limits) for p in PHASES}
     return (
-        with_throughput(joined, F.col("rows_processed"), n_features)
+        with_throughput(timed, F.col("rows_processed"), n_features)
         .withColumns({**lights, "slowest_phase": slowest_phase(), "light": total_light(limits)})
     )
 
@@ -122,7 +129,7 @@ def complete_phases(phases: DataFrame) -> DataFrame:
         outcome().alias("outcome"),
     ]
     missing = F.lit(len(RAW_PHASES)) - F.col("n_recorded")
-    return phases.groupBy(*run_keys(phases)).agg(*_spent(), *recorded).withColumn("total_secs", _total()).withColumns(
+    return phases.groupBy(*run_keys(phases)).agg(*spent(), *recorded).withColumn("total_secs", total()).withColumns(
         {"n_absent": missing, "partial": missing > 0}
     )
 

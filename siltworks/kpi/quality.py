@@ -7,7 +7,8 @@ are put together.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -16,11 +17,13 @@ from siltworks.functions import sql
 from siltworks.functions.lights import light, penalty, score_light
 from siltworks.functions.scalars import percent
 from siltworks.operators.features import feature_names
-from siltworks.operators.profile import invalid_columns, numeric_columns, profile_entries, total_nulls
+from siltworks.operators.profile import column_profile, invalid_columns, numeric_columns, total_nulls
+from siltworks.operators.validate import semantic_aggregates, structural_of
 
 
 # what the figures read; null where a table is absent
 FACTS = {
+    "raw_rows": "bigint",
     "raw_cells": "bigint",
     "raw_nulls": "bigint",
     "clean_rows": "bigint",
@@ -33,6 +36,20 @@ FACTS = {
     "n_class_1": "bigint",
 }
 
+#: keys are told by their number and the sums of the four parts of their hashes, which do not depend on the order of rows
+HASH_PARTS = 4
+NO_MORE: Mapping[str, Column] = MappingProxyType({})
+
+
+def key_digest(keys: Sequence[str]) -> Column:
+    """Aggregate: equal for tables with the same keys, each equally often. Others agree by chance once in 2 ** 64 cases.
+
+    The sums stay within 64 bits for 2 ** 47 rows of a group.
+    """
+    h = F.xxhash64(*keys, *[F.col(k).isNull() for k in keys])
+    parts = [F.coalesce(F.sum(F.shiftrightunsigned(h, 16 * p).bitwiseAND(F.lit(0xFFFF))), F.lit(0)) for p in range(HASH_PARTS)]
+    return F.array(F.count(F.lit(1)), *parts)
+
 
 def _data_columns(df: DataFrame, cfg: PrepConfig, by: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c not in cfg.key and c not in by]
@@ -46,12 +63,14 @@ def _null_cells(columns: Sequence[str]) -> Column:
 def raw_facts(raw: DataFrame, cfg: PrepConfig, by: Sequence[str] = ()) -> DataFrame:
     columns = _data_columns(raw, cfg, by)
     return raw.groupBy(*by).agg(
-        (F.count(F.lit(1)) * len(columns)).alias("raw_cells"), _null_cells(columns).alias("raw_nulls")
+        F.count(F.lit(1)).alias("raw_rows"),
+        (F.count(F.lit(1)) * len(columns)).alias("raw_cells"),
+        _null_cells(columns).alias("raw_nulls"),
     )
 
 
-def clean_facts(clean: DataFrame, cfg: PrepConfig, by: Sequence[str] = ()) -> DataFrame:
-    """Rows, null cells and marked rows per flag of the cleaned table."""
+def clean_facts(clean: DataFrame, cfg: PrepConfig, by: Sequence[str] = (), more: Mapping[str, Column] = NO_MORE) -> DataFrame:
+    """Rows, null cells and marked rows per flag of the cleaned table, and ``more`` aggregates of it by name."""
     columns = _data_columns(clean, cfg, by)
     marked = [F.sum(f).alias(f"n_{f}") for f in cfg.flags if f in clean.columns]
     return clean.groupBy(*by).agg(
@@ -59,26 +78,15 @@ def clean_facts(clean: DataFrame, cfg: PrepConfig, by: Sequence[str] = ()) -> Da
         (F.count(F.lit(1)) * len(columns)).alias("clean_cells"),
         _null_cells(columns).alias("clean_nulls"),
         *marked,
+        *[c.alias(name) for name, c in more.items()],
     )
 
 
-def feature_facts(features: DataFrame, cfg: PrepConfig, by: Sequence[str] = ()) -> DataFrame:
-    """Rows, column profile and class counts of the features."""
+def feature_facts(features: DataFrame, cfg: PrepConfig, by: Sequence[str] = (), more: Mapping[str, Column] = NO_MORE) -> DataFrame:
+    """Rows, column profile and class counts of the features, and ``more`` aggregates of them by name."""
     names = [c for c in feature_names(features, cfg) if c not in by]
-    return features.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("feature_rows"),
-        profile_entries(features, names).alias("profile"),
-        F.count_if(F.col("y") == 0).alias("n_class_0"),
-        F.count_if(F.col("y") == 1).alias("n_class_1"),
-    )
-
-
-def alignment_facts(features: DataFrame, targets: DataFrame, cfg: PrepConfig, by: Sequence[str] = ()) -> DataFrame:
-    one, none = F.lit(1), F.lit(0)
-    keys = list(dict.fromkeys([*cfg.key, *by]))
-    sides = features.select(*keys, one.alias("side")).unionByName(targets.select(*keys, F.lit(-1).alias("side")))
-    per_key = sides.groupBy(*keys).agg(F.sum("side").alias("surplus"))
-    return per_key.groupBy(*by).agg(F.coalesce(F.sum(F.when(F.col("surplus") != 0, one).otherwise(none)), none).alias("n_unaligned"))
+    classes = {f"n_class_{k}": F.count_if(F.col("y") == k) for k in (0, 1)}
+    return column_profile(features, names, by, more={**classes, **more}).withColumnRenamed("n_rows", "feature_rows")
 
 
 def combine(facts: Sequence[DataFrame], by: Sequence[str] = ()) -> DataFrame:
@@ -199,7 +207,7 @@ def class_balance(features: DataFrame, limits: Thresholds, by: Sequence[str] = (
 
 def valid_columns(features: DataFrame, cfg: PrepConfig, limits: Thresholds, by: Sequence[str] = ()) -> DataFrame:
     names = [c for c in feature_names(features, cfg) if c not in by]
-    profiled = features.groupBy(*by).agg(profile_entries(features, names).alias("profile"))
+    profiled = column_profile(features, names, by)
     figures = column_figures(len(names), limits)
     return profiled.select(
         *by,
@@ -221,6 +229,7 @@ def quality(
     by: Sequence[str] = (),
     targets: DataFrame | None = None,
     details: bool = False,
+    targets_in_clean: bool = False,
 ) -> DataFrame:
     """All quality figures, their penalties, the score and its light; one row per group.
 
@@ -228,23 +237,77 @@ def quality(
     outliers and marked rows by flag.
 
     ``features`` carries the target of each row, so both are aligned unless a separate
-    table of ``targets`` is given to compare with. A table that a failed run did not get
+    table of ``targets`` is given to compare with, or the cleaned table holds the targets
+    (``targets_in_clean``). Keys are compared by their digests, which the tables' own
+    aggregations bring along; no key is shuffled. A table that a failed run did not get
     to write is ``None`` and scored like an empty one.
     """
-    names = [c for c in feature_names(features, cfg) if c not in by] if features is not None else []
-    flags = {c: f for c, f in cfg.outlier_flags.items() if clean is not None and f in clean.columns}
-    tables = [
-        facts(df, cfg, by)
-        for facts, df in ((raw_facts, raw), (clean_facts, clean), (feature_facts, features))
-        if df is not None
-    ]
+    facts = table_facts(raw, clean, features, cfg, by, targets, targets_in_clean)
+    return quality_of(facts, clean, features, cfg, limits, by, details)
+
+
+def table_facts(
+    raw: DataFrame | None,
+    clean: DataFrame | None,
+    features: DataFrame | None,
+    cfg: PrepConfig,
+    by: Sequence[str] = (),
+    targets: DataFrame | None = None,
+    targets_in_clean: bool = False,
+    checked: Thresholds | None = None,
+) -> DataFrame:
+    """One row per group with all that the figures, and with limits (``checked``) the checks, read: one aggregation per table."""
+    keys = list(dict.fromkeys([*cfg.key, *by]))
+    of_clean: dict[str, Column] = {}
+    of_features: dict[str, Column] = {}
+    tables = [raw_facts(raw, cfg, by)] if raw is not None else []
+    if features is not None and (targets is not None or targets_in_clean):
+        of_features["feature_keys"] = key_digest(keys)
+        if targets is not None:
+            tables.append(targets.groupBy(*by).agg(key_digest(keys).alias("target_keys")))
+        elif clean is not None:
+            of_clean["target_keys"] = key_digest(keys)
+    if checked is not None:
+        found = semantic_aggregates(clean.columns, features.columns, cfg, checked)
+        for name, into, checks in zip(("clean_checks", "feature_checks"), (of_clean, of_features), found):
+            if checks is not None:
+                into[name] = checks
+    if clean is not None:
+        tables.append(clean_facts(clean, cfg, by, of_clean))
+    if features is not None:
+        tables.append(feature_facts(features, cfg, by, of_features))
     if not tables:
         raise ValueError("a quality score needs at least one table")
-    if targets is not None and features is not None:
-        tables.append(alignment_facts(features, targets, cfg, by))
     facts = combine(tables, by)
     absent = {c: kind for c, kind in FACTS.items() if c not in facts.columns}
-    facts = facts.withColumns({c: F.lit(None).cast(kind) for c, kind in absent.items()})
+    return facts.withColumns({c: F.lit(None).cast(kind) for c, kind in absent.items()})
+
+
+def checks_of(facts: DataFrame, clean: DataFrame, features: DataFrame, cfg: PrepConfig, by: Sequence[str] = ()) -> DataFrame:
+    """The structural and semantic checks of each group from its facts, which were taken with limits; the tables give their columns only."""
+    names = [c for c in feature_names(features, cfg) if c not in by]
+    # a group that a table lacks has no rows there
+    rows = {"raw": "raw_rows", "clean": "clean_rows", "features": "feature_rows"}
+    sides = facts.select(*by, *[F.coalesce(n, F.lit(0).cast("bigint")).alias(name) for name, n in rows.items()], "profile")
+    checks = structural_of(sides, names, clean.columns, cfg, by)
+    for name in ("clean_checks", "feature_checks"):
+        if name in facts.columns:
+            checks = checks.unionByName(facts.select(*by, F.inline(name)))
+    return checks
+
+
+def quality_of(
+    facts: DataFrame,
+    clean: DataFrame | None,
+    features: DataFrame | None,
+    cfg: PrepConfig,
+    limits: Thresholds,
+    by: Sequence[str] = (),
+    details: bool = False,
+) -> DataFrame:
+    """The figures of :func:`quality` from the facts of the tables, which give their columns only."""
+    names = [c for c in feature_names(features, cfg) if c not in by] if features is not None else []
+    flags = {c: f for c, f in cfg.outlier_flags.items() if clean is not None and f in clean.columns}
     facts = facts.withColumns(
         {**null_figures(len(names), limits), **class_figures(limits), **column_figures(len(names), limits)}
     )
@@ -256,8 +319,10 @@ def quality(
         F.lit(0),
     )
     all_numeric = features is None or set(names) <= numeric_columns(features)
-    compared = targets is not None and features is not None
-    aligned = F.coalesce(F.col("n_unaligned") == 0, F.lit(False)) if compared else F.lit(True)
+    compared = "feature_keys" in facts.columns
+    same_keys = F.col("feature_keys") == F.col("target_keys") if "target_keys" in facts.columns else F.lit(False)
+    # a group that one of them lacks is not aligned
+    aligned = F.coalesce(same_keys, F.lit(False)) if compared else F.lit(True)
     lost = (
         penalty(F.col("null_light"), limits.null_penalty)
         + outlier_points

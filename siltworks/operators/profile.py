@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
+from types import MappingProxyType
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -42,22 +43,31 @@ def profile_entries(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.expr(f"array({', '.join(entries)})")
 
 
-def column_profile(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), each: int = PROFILE_COLUMNS) -> DataFrame:
-    """One row per group: ``n_rows`` and the array ``profile``.
+def column_profile(
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), each: int = PROFILE_COLUMNS, more: Mapping[str, Column] = MappingProxyType({})
+) -> DataFrame:
+    """One row per group: ``n_rows`` and the array ``profile``, and ``more`` aggregates by name.
 
     Wide tables are profiled ``each`` columns at a time: every aggregate reads its own columns
     alone and stays small enough to be compiled; their arrays are put together by position.
     """
     chunks = [columns[at : at + each] for at in range(0, len(columns), each)] or [columns]
     parts = [
-        df.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), profile_entries(df, chunk).alias("profile"), F.lit(at).alias("at"))
+        df.groupBy(*by).agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            profile_entries(df, chunk).alias("profile"),
+            F.lit(at).alias("at"),
+            *[c.alias(name) for name, c in more.items() if at == 0],
+        )
         for at, chunk in enumerate(chunks)
     ]
     if len(parts) == 1:
         return parts[0].drop("at")
     in_order = F.array_sort(F.collect_list(F.struct("at", "profile")))
     whole = F.flatten(F.transform(in_order, lambda x: x["profile"]))
-    return reduce(DataFrame.unionByName, parts).groupBy(*by).agg(F.max("n_rows").alias("n_rows"), whole.alias("profile"))
+    carried = [F.any_value(name, ignoreNulls=True).alias(name) for name in more]
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return together.groupBy(*by).agg(F.max("n_rows").alias("n_rows"), whole.alias("profile"), *carried)
 
 
 def total_nulls(profile: Column) -> Column:

@@ -56,12 +56,19 @@ def structural_checks(
             *[F.expr(f"coalesce(max(CASE WHEN scope = '{s}' THEN n_rows END), 0L) AS {s}") for s in ("raw", "clean", "features")],
             F.expr("any_value(profile, true) AS profile"),
         )
-        .selectExpr(
-            "*",
-            "aggregate(profile, 0L, (total, c) -> total + c.n_null) AS nulls",
-            f"features * {len(names)} AS cells",
-            "raw = clean AND clean = features AS equal_rows",
-        )
+    )
+    return structural_of(sides, names, clean.columns, cfg, by)
+
+
+def structural_of(
+    sides: DataFrame, names: Sequence[str], clean_columns: Sequence[str], cfg: PrepConfig, by: Sequence[str] = ()
+) -> DataFrame:
+    """The structural checks of groups whose rows are counted (``raw``, ``clean``, ``features``) and whose columns are profiled."""
+    sides = sides.selectExpr(
+        "*",
+        "aggregate(profile, 0L, (total, c) -> total + c.n_null) AS nulls",
+        f"features * {len(names)} AS cells",
+        "raw = clean AND clean = features AS equal_rows",
     )
     whole_table = [
         _check(
@@ -73,7 +80,7 @@ def structural_checks(
         _check("structural", "null_pct", f"round({_share('nulls', 'cells')}, 4)", "nulls = 0", INFO),
     ]
     for flag in cfg.flags:
-        there = flag in clean.columns
+        there = flag in clean_columns
         whole_table.append(
             _check("structural", "flag_present", str(int(there)), str(there).lower(), INFO, column=sql.text(flag))
         )
@@ -104,20 +111,38 @@ def semantic_checks(
     clean: DataFrame, features: DataFrame, cfg: PrepConfig, limits: Thresholds, by: Sequence[str] = ()
 ) -> DataFrame:
     """Sentinel flags, cyclic identity, double debt and the minority class, of each group of ``by``."""
+    found = semantic_aggregates(clean.columns, features.columns, cfg, limits)
+    tables = [
+        df.groupBy(*by).agg(checks.alias("checks")).select(*by, F.inline("checks"))
+        for df, checks in zip((clean, features), found)
+        if checks is not None
+    ]
+    if not tables:
+        raise ValueError("the tables hold none of the columns that the semantic checks look at")
+    checks = tables[0]
+    for more in tables[1:]:
+        checks = checks.unionByName(more)
+    return checks
+
+
+def semantic_aggregates(
+    clean_columns: Sequence[str], feature_columns: Sequence[str], cfg: PrepConfig, limits: Thresholds
+) -> tuple[Column | None, Column | None]:
+    """Aggregates of the cleaned table and of the features: the semantic checks of each as an array, none without their columns."""
     clean_facts: list[str] = []
     for c, (flag, sentinel) in cfg.sentinel_flags.items():
-        if c in clean.columns and flag in clean.columns:
+        if c in clean_columns and flag in clean_columns:
             n_values = f"count_if({sql.name(c)} = {sql.number(sentinel)})"
             n_flags = f"coalesce(sum({sql.name(flag)}), 0L)"
             detail = f"concat('values=', {n_values}, ' flags=', {n_flags})"
             clean_facts.append(
                 _check("semantic", "sentinel_flag", n_flags, f"{n_values} = {n_flags}", ERROR, sql.text(c), detail)
             )
-    if set(cfg.debt_columns) <= set(clean.columns):
+    if set(cfg.debt_columns) <= set(clean_columns):
         owed = " AND ".join(f"{sql.name(c)} = 1" for c in cfg.debt_columns)
         both = _share(f"count_if({owed})", "count(1)")
         clean_facts.append(_check("semantic", "double_debt_pct", f"round({both}, 2)", "true", INFO))
-    if cfg.target in clean.columns:
+    if cfg.target in clean_columns:
         zeros, ones = (f"count_if({sql.name(cfg.target)} = {y})" for y in (0, 1))
         # only classes that occur count as the minority
         share = _share(f"least(nullif({zeros}, 0L), nullif({ones}, 0L))", f"({zeros} + {ones})")
@@ -127,21 +152,12 @@ def semantic_checks(
         )
     feature_facts: list[str] = []
     for c in cfg.cyclic:
-        if {f"{c}_sin", f"{c}_cos"} <= set(features.columns):
+        if {f"{c}_sin", f"{c}_cos"} <= set(feature_columns):
             sine, cosine = sql.name(f"{c}_sin"), sql.name(f"{c}_cos")
             broken = f"count_if({sine} * {sine} + {cosine} * {cosine} < {sql.number(limits.min_cyclic_identity)})"
             feature_facts.append(_check("semantic", "cyclic_identity", broken, f"{broken} = 0", WARNING, sql.text(c)))
-    tables = [
-        df.groupBy(*by).agg(F.expr(f"array({', '.join(facts)})").alias("checks")).select(*by, F.inline("checks"))
-        for df, facts in ((clean, clean_facts), (features, feature_facts))
-        if facts
-    ]
-    if not tables:
-        raise ValueError("the tables hold none of the columns that the semantic checks look at")
-    checks = tables[0]
-    for more in tables[1:]:
-        checks = checks.unionByName(more)
-    return checks
+    clean_checks, feature_checks = (F.expr(f"array({', '.join(facts)})") if facts else None for facts in (clean_facts, feature_facts))
+    return clean_checks, feature_checks
 
 
 def status_by_scope(checks: DataFrame, by: Sequence[str] = ()) -> DataFrame:

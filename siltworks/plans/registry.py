@@ -368,10 +368,9 @@ def _checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _batch_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The checks of every pipeline's part of the tables."""
-    t, by = tables(spark, sf_dir), ["pipeline_id"]
-    raw, clean, features = (batched(df) for df in t)
-    structural = val.structural_checks(raw, clean, features, CFG, by)
-    return structural.unionByName(val.semantic_checks(clean, features, CFG, LIMITS, by))
+    t = tables(spark, sf_dir)
+    facts = stage(_batch_facts(t, checked=True), "facts")
+    return qual.checks_of(facts, batched(t.clean), batched(t.features), CFG, ["pipeline_id"])
 
 
 def _structural(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
@@ -604,7 +603,7 @@ def kpi_valid_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def kpi_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tables(spark, sf_dir)
-    return qual.quality(t.raw, t.clean, t.features, CFG, LIMITS, targets=targets(t))
+    return qual.quality(t.raw, t.clean, t.features, CFG, LIMITS, targets_in_clean=True)
 
 
 @query
@@ -615,20 +614,29 @@ def kpi_flag_activation(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- health ------------------------------------------------------------------
 
 
-def _batch_quality(t: Tables) -> DataFrame:
-    return qual.quality(
-        batched(t.raw), batched(t.clean), batched(t.features), CFG, LIMITS, ["pipeline_id"], batched(targets(t)), details=True
-    )
+def _batch_facts(t: Tables, checked: bool = False) -> DataFrame:
+    """All that scores, and checks, read of each pipeline's part of the tables: one row per pipeline."""
+    return qual.table_facts(*map(batched, t), CFG, ["pipeline_id"], targets_in_clean=True, checked=LIMITS if checked else None)
 
 
-def _scored(spark: SparkSession, sf_dir: str, t: Tables) -> DataFrame:
-    figures = health.run_figures(phases(spark, sf_dir), log(spark, sf_dir), LIMITS, MODEL, n_features(spark, sf_dir))
-    return health.with_health(health.pipeline_figures(figures, _batch_quality(t), LIMITS), LIMITS)
+def _scored(spark: SparkSession, sf_dir: str, t: Tables, facts: DataFrame) -> DataFrame:
+    timed = runs.run_log(phases(spark, sf_dir), timed=True)
+    figures = health.run_figures(None, timed, LIMITS, MODEL, n_features(spark, sf_dir))
+    measured = qual.quality_of(facts, batched(t.clean), batched(t.features), CFG, LIMITS, ["pipeline_id"], details=True)
+    return health.with_health(health.pipeline_figures(figures, measured, LIMITS), LIMITS)
+
+
+def _scored_and_checked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Scores and checks of each pipeline. Every table is aggregated once, to one row per pipeline, which both read."""
+    t = tables(spark, sf_dir)
+    facts = stage(_batch_facts(t, checked=True), "facts")
+    return _scored(spark, sf_dir, t, facts), qual.checks_of(facts, batched(t.clean), batched(t.features), CFG, ["pipeline_id"])
 
 
 @query
 def health_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = _scored(spark, sf_dir, tables(spark, sf_dir))
+    t = tables(spark, sf_dir)
+    scored = _scored(spark, sf_dir, t, _batch_facts(t))
     return scored.select(
         "pipeline_id",
         "availability_score",
@@ -642,21 +650,20 @@ def health_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(health.alerts(_scored(spark, sf_dir, tables(spark, sf_dir)), _batch_checks(spark, sf_dir)))
+    return rounded(health.alerts(*_scored_and_checked(spark, sf_dir)))
 
 
 @query
 def kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = health.with_checks(_scored(spark, sf_dir, tables(spark, sf_dir)), stage(_batch_checks(spark, sf_dir), "checks"))
-    return health.summary(scored, n_features(spark, sf_dir))
+    return health.summary(health.with_checks(*_scored_and_checked(spark, sf_dir)), n_features(spark, sf_dir))
 
 
 @query
 def kpi_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_table_path(spark, "report")
-    t, checks = tables(spark, sf_dir), stage(_batch_checks(spark, sf_dir), "checks")
+    t = tables(spark, sf_dir)
     made = health.report(
-        health.with_checks(_scored(spark, sf_dir, t), checks),
+        health.with_checks(*_scored_and_checked(spark, sf_dir)),
         n_features(spark, sf_dir),
         sf_dir,
         load=pub.load_report(t.features, targets(t), CFG).first(),

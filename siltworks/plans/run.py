@@ -169,8 +169,7 @@ def _score(
     )
     figures = health.run_figures(own_phases, own_runs, limits, model, n_features)
     if any(t is not None for t in tables.values()):
-        targets = _targets(tables["clean"], cfg) if encoded is not None else None
-        measured = quality.quality(*tables.values(), cfg, limits, targets=targets, details=True).withColumn(
+        measured = quality.quality(*tables.values(), cfg, limits, details=True, targets_in_clean=encoded is not None).withColumn(
             "pipeline_id", F.lit(pipeline_id).cast("bigint")
         )
     else:

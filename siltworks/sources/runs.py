@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from siltworks.config import RAW_PHASES
-from siltworks.kpi.performance import FINDINGS, OK_PHASE, RAISED_PHASE, outcome
+from siltworks.config import PHASES, RAW_PHASES
+from siltworks.kpi.performance import FINDINGS, OK_PHASE, RAISED_PHASE, outcome, secs, spent, total
 
 PIPELINES = 20
 
@@ -31,15 +31,16 @@ def phase_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def run_log(phases: DataFrame, pipelines: int = PIPELINES) -> DataFrame:
-    """One row per run with its outcome, seconds, rows and bytes."""
+def run_log(phases: DataFrame, pipelines: int = PIPELINES, timed: bool = False) -> DataFrame:
+    """One row per run with its outcome, seconds, rows and bytes; ``timed`` adds the seconds of each phase."""
     rows = F.lit(1000) + F.col("run_id") % 5000
-    return (
+    log = (
         phases.groupBy("run_id")
         .agg(
             F.min("ts").alias("ts"),
             outcome().alias("status"),
             F.round(F.sum("secs"), 6).alias("secs"),
+            *(spent() if timed else ()),
         )
         .select(
             "run_id",
@@ -50,5 +51,7 @@ def run_log(phases: DataFrame, pipelines: int = PIPELINES) -> DataFrame:
             rows.alias("rows_processed"),
             (rows * 80).alias("input_bytes"),
             (rows * 280).alias("output_bytes"),
+            *([secs(p) for p in PHASES] if timed else ()),
         )
     )
+    return log.withColumn("total_secs", total()) if timed else log

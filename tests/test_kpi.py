@@ -7,6 +7,7 @@ from table_dirs import SF_GOLDEN, SF_SMALL
 from siltworks.config import CostModel, Thresholds
 from siltworks.functions.lights import light
 from siltworks.kpi import availability as avail, cost, health, performance as perf, quality as qual
+from siltworks.operators import validate as val
 from siltworks.plans.prepare import prepare
 from siltworks.plans.registry import contacts
 from siltworks.sources import runs as rn
@@ -121,6 +122,56 @@ def test_unaligned_targets_cost_points(golden, cfg):
     assert not row["aligned"] and row["quality_score"] == 65
 
 
+def test_keys_of_the_cleaned_table_are_compared_by_digests(golden, cfg):
+    """Lost, repeated, exchanged and null keys differ; another order does not."""
+    key = F.col("contact_id")
+    with_null = golden.features.withColumn("contact_id", F.when(key != 7, key))
+    changed = {
+        "same": (golden.features.orderBy(key.desc()), True),
+        "lost": (golden.features.filter("contact_id != 7"), False),
+        "repeated": (golden.features.unionAll(golden.features.filter("contact_id = 7")), False),
+        "exchanged": (golden.features.withColumn("contact_id", F.when(key == 7, 8).otherwise(key)), False),
+        "null": (with_null, False),
+    }
+    for name, (features, aligned) in changed.items():
+        row = qual.quality(None, golden.clean, features, cfg, LIMITS, targets_in_clean=True).first()
+        assert row["aligned"] == aligned, name
+    assert qual.quality(None, golden.clean.withColumn("contact_id", F.when(key != 7, key)), with_null, cfg, LIMITS, targets_in_clean=True).first()["aligned"]
+
+
+def test_a_group_that_one_table_lacks_is_not_aligned(golden, cfg):
+    raw, clean, features = (df.withColumn("part", F.col("contact_id") % 3) for df in (golden.raw, golden.clean, golden.features))
+    rows = qual.quality(raw, clean, features.filter("part != 1"), cfg, LIMITS, ["part"], targets_in_clean=True).collect()
+    assert {r["part"]: r["aligned"] for r in rows} == {0: True, 1: False, 2: True}
+    empty = [df.filter("1 = 0") for df in (golden.raw, golden.clean, golden.features)]
+    assert qual.quality(*empty, cfg, LIMITS, targets_in_clean=True).first()["aligned"]
+
+
+@pytest.mark.parametrize("by", [[], ["part"]])
+def test_checks_from_facts_equal_checks_of_tables(golden, cfg, by):
+    raw, clean, features = (df.withColumn("part", F.col("contact_id") % 3) for df in (golden.raw, golden.clean, golden.features))
+    features = features.filter("part != 1 OR contact_id > 40").filter("part != 2")  # a group without features
+    facts = qual.table_facts(raw, clean, features, cfg, by, checked=LIMITS)
+    named = [*by, "scope", "check_name", "column_name", "value", "detail", "severity", "ok"]
+    ours = qual.checks_of(facts, clean, features, cfg, by).select(*named)
+    theirs = val.structural_checks(raw, clean, features, cfg, by).unionByName(val.semantic_checks(clean, features, cfg, LIMITS, by)).select(*named)
+    assert sorted(map(str, ours.collect())) == sorted(map(str, theirs.collect()))
+
+
+def test_wide_features_are_scored_in_chunks(spark, cfg):
+    wide = spark.range(12).selectExpr("id AS contact_id", "CAST(id % 2 AS INT) AS y", *[f"CAST(id * {k} AS DOUBLE) AS c{k}" for k in range(450)])
+    row = qual.quality(None, None, wide, cfg, LIMITS, targets=wide.select("contact_id", "y")).first()
+    assert (row["n_rows"], row["aligned"], row["valid_columns_pct"]) == (12, True, round(449 / 450 * 100, 2))
+
+
+def test_figures_of_runs_that_carry_their_phases(spark):
+    """One aggregation of the phases gives what a join of runs and phases gives."""
+    metrics = rn.phase_metrics(spark, SF_SMALL)
+    joined = health.run_figures(metrics, rn.run_log(metrics), LIMITS, MODEL, 35)
+    carried = health.run_figures(None, rn.run_log(metrics, timed=True), LIMITS, MODEL, 35).select(*joined.columns)
+    assert joined.count() and joined.exceptAll(carried).isEmpty() and carried.exceptAll(joined).isEmpty()
+
+
 def test_text_features_cost_points(golden, cfg):
     with_text = golden.features.withColumn("note", F.lit("x"))
     row = qual.quality(golden.raw, golden.clean, with_text, cfg, LIMITS).first()
