@@ -2,46 +2,86 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
+from siltworks.session import stage
+
+#: a customer with more orders is busy: its windows hold a month each
+MANY_ORDERS = 1_000_000
+
+PLACE = ("o_orderdate", "o_orderkey", "o_orderstatus")
+
 
 def read_tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     return [spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names]
 
 
-def with_previous_order(orders: DataFrame) -> DataFrame:
-    """Adds date and status of the customer's previous order and how many came before.
+class Busy(NamedTuple):
+    """Customers of very many orders, and by customer and month what comes before the month; both written."""
 
-    A window per customer would put a customer with a third of all orders into one
-    task. The window here covers one customer and month, and what precedes a month is
-    carried over from a table with one row per customer and month.
-    """
-    no_month = F.lit("0001-01-01").cast("date")  # keeps orders without a date in the joins
-    dated = orders.withColumn("month_start", F.coalesce(F.trunc("o_orderdate", "month"), no_month))
-    place = F.struct("o_orderdate", "o_orderkey", "o_orderstatus")
-    months = dated.groupBy("o_custkey", "month_start").agg(
-        F.max(place).alias("last_order"), F.count(F.lit(1)).alias("n_orders")
+    customers: DataFrame
+    carried: DataFrame
+
+
+def _no_month() -> Column:
+    """Keeps orders without a date in the joins."""
+    return F.lit("0001-01-01").cast("date")
+
+
+def _slice(busy: Column) -> Column:
+    """What one window holds of a customer: all orders, or those of a month if the customer is busy."""
+    return F.when(busy, F.coalesce(F.trunc("o_orderdate", "month"), _no_month())).otherwise(_no_month())
+
+
+def busy_customers(orders: DataFrame, many: int = MANY_ORDERS) -> Busy:
+    """The customers with more than ``many`` orders; there are fewer of them than orders by ``many``."""
+    counted = orders.filter(F.col("o_custkey").isNotNull()).groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    customers = stage(counted.filter(F.col("n") > many).select("o_custkey", F.lit(True).alias("busy")), "busy")
+    months = (
+        orders.join(F.broadcast(customers), "o_custkey")
+        .groupBy("o_custkey", _slice(F.lit(True)).alias("slice"))
+        .agg(F.max(F.struct(*PLACE)).alias("last_order"), F.count(F.lit(1)).alias("n_orders"))
     )
-    earlier = W.partitionBy("o_custkey").orderBy("month_start").rowsBetween(W.unboundedPreceding, -1)
+    earlier = W.partitionBy("o_custkey").orderBy("slice").rowsBetween(W.unboundedPreceding, -1)
     carried = months.select(
         "o_custkey",
-        "month_start",
+        "slice",
         F.last("last_order").over(earlier).alias("carried"),
-        F.coalesce(F.sum("n_orders").over(earlier), F.lit(0)).alias("n_carried"),
+        F.sum("n_orders").over(earlier).alias("n_carried"),
+    )
+    return Busy(customers, stage(carried, "carried"))
+
+
+def with_previous_order(orders: DataFrame, customer: DataFrame, busy: Busy) -> DataFrame:
+    """Orders with the columns of their customer, date and status of the customer's previous order and how many came before.
+
+    A window per customer would put a customer with a third of all orders into one
+    task. The window of a busy customer covers one month, and what precedes a month is
+    carried over from a table with one row per busy customer and month. It comes with the rows of the
+    customers, so that the orders are shuffled once.
+    """
+    dated = (
+        orders.filter(F.col("o_custkey").isNotNull())
+        .join(F.broadcast(busy.customers), "o_custkey", "left")
+        .withColumn("slice", _slice(F.col("busy")))
     )
-    in_month = W.partitionBy("o_custkey", "month_start").orderBy("o_orderdate", "o_orderkey")
+    known = customer.join(busy.carried, "o_custkey", "left").withColumn("slice", F.coalesce("slice", _no_month()))
+    in_slice = W.partitionBy("o_custkey", "slice").orderBy(*PLACE)
     seen = dated.withColumns(
         {
-            "before": F.lag(place).over(in_month),
-            "n_before": F.row_number().over(in_month) - 1,
+            "before": F.lag(F.struct(*PLACE)).over(in_slice),
+            "n_before": F.row_number().over(in_slice) - 1,
         }
-    ).join(carried, ["o_custkey", "month_start"])
+    ).join(known, ["o_custkey", "slice"])
     previous = F.coalesce("before", "carried")
     return seen.select(
-        *[c for c in orders.columns],
+        *orders.columns,
+        *[c for c in customer.columns if c != "o_custkey"],
         previous["o_orderdate"].alias("prev_date"),
         previous["o_orderstatus"].alias("prev_status"),
-        (F.col("n_before") + F.col("n_carried")).alias("n_prev"),
+        (F.col("n_before") + F.coalesce("n_carried", F.lit(0))).alias("n_prev"),
     )
 
 
@@ -51,7 +91,7 @@ def contacts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority", "o_totalprice")
     items = lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n_items"))
     customer = customer.select(F.col("c_custkey").alias("o_custkey"), "c_acctbal", "c_mktsegment")
-    base = with_previous_order(orders).join(customer, "o_custkey").join(items, "o_orderkey", "left")
+    base = with_previous_order(orders.join(items, "o_orderkey", "left"), customer, busy_customers(orders))
 
     key, cust, previous = F.col("o_orderkey"), F.col("o_custkey"), F.col("prev_status")
 
