@@ -19,7 +19,9 @@ ROWS_PER_PARTITION = 1_000_000
 #: fewer rows are not worth a partition
 LEAST_ROWS = 10_000
 
-PART, SIDE, SENT = "_part", "_side", "_sent"
+PART, PLACE, SIDE, SENT = "_part", "_place", "_side", "_sent"
+#: tasks of a merge at most
+MOST_TASKS = 1 << 15
 
 
 class Manifest(NamedTuple):
@@ -102,9 +104,15 @@ def upsert(
     sides = arriving.withColumn(SIDE, F.lit(1))
     if current is not None:
         sides = _read(spark, m, met).withColumn(SIDE, F.lit(0)).unionByName(sides)
-    dealt = sides.withColumn(PART, _part(keys, m.partitions)).repartition(min(len(met), 1 << 15), PART)
-    # hashed by partition already, so the window adds no shuffle
-    same_key = Window.partitionBy(PART, *[F.col(f"`{k}`") for k in keys])
+    # each partition that is met has its own task: a hash of their few numbers would deal one task several
+    place = PART
+    if len(met) < m.partitions:
+        places = dict(zip(met, range(len(met))))
+        place = f"element_at(array({', '.join(str(places.get(p, 0)) for p in range(m.partitions))}), {PART} + 1)"
+    placed = sides.withColumn(PART, _part(keys, m.partitions)).withColumn(PLACE, F.expr(place))
+    dealt = placed.repartitionById(min(len(met), MOST_TASKS), F.col(PLACE))
+    # dealt by partition already, so the window adds no shuffle
+    same_key = Window.partitionBy(PART, PLACE, *[F.col(f"`{k}`") for k in keys])
     told = F.concat_ws(", ", *[F.coalesce(F.col(f"`{k}`").cast("string"), F.lit("null")) for k in keys])
     bad = (F.col(SENT) > 1) | F.expr(" OR ".join(f"`{k}` IS NULL" for k in keys))
     refused = F.raise_error(F.concat(F.lit(f"missing or duplicate keys {tuple(keys)}: "), told)).cast("boolean")

@@ -4,6 +4,7 @@ from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from siltworks.sources import versions
 
@@ -85,3 +86,16 @@ def test_key_check_and_merge_are_one_shuffle(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: plans.append(self._df._jdf.queryExecution().executedPlan().toString()) or write(self, path, *a, **k))
     versions.upsert(spark, one, table(spark, [(k, "b") for k in range(9)]), ["k"], str(tmp_path / "2"))
     assert len(plans) == 1 and plans[0].count("Exchange") == 1
+
+
+def test_every_partition_is_a_task_of_its_own(spark, tmp_path):
+    """Dealt by a hash of their numbers, several partitions met in one task while others had none."""
+    rows = spark.createDataFrame([(k, "x") for k in range(400)], "k bigint, v string")
+    first = versions.upsert(spark, None, rows, ["k"], str(tmp_path / "1"), rows_per_partition=25)
+    again = versions.upsert(spark, first, rows.filter("k < 5").withColumn("v", F.lit("y")), ["k"], str(tmp_path / "2"))
+    for version, most in ((first, 16), (again, 5)):
+        folders = [f for f in versions.manifest(spark, version).folders.values() if f.startswith(f"{version}/")]
+        tasks = {p.name.split("-")[1] for f in folders for p in Path(f).glob("part-*")}
+        assert len(tasks) == len(folders) <= most
+    assert versions.read_version(spark, again).filter("v = 'y'").count() == 5
+    assert versions.read_version(spark, again).count() == 400
