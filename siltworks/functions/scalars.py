@@ -24,18 +24,19 @@ NUMBER_PATTERN = r"^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infi
 def strip_sql(column: str) -> str:
     """Without white space at both ends.
 
-    Looking for each of many characters is slow, so it is left to texts that do not
-    start and end with a plain character once their spaces are gone.
+    Looking for each of many characters is slow, so it is left to texts that start or end
+    with one of them once their spaces are gone. Each end is looked at once: a table has
+    many such columns, and their code must stay short enough to be compiled.
     """
-    bare = f"trim({sql.name(column)})"
-    plain = f"left({bare}, 1) BETWEEN '!' AND '~' AND right({bare}, 1) BETWEEN '!' AND '~'"
-    return f"CASE WHEN {plain} THEN {bare} ELSE btrim({sql.name(column)}, {sql.text(WHITESPACE)}) END"
+    bare, white = f"trim({sql.name(column)})", sql.text(WHITESPACE)
+    plain = f"(instr({white}, left({bare}, 1)) | instr({white}, right({bare}, 1))) = 0"
+    return f"CASE WHEN {plain} THEN {bare} ELSE btrim({sql.name(column)}, {white}) END"
 
 
 def null_if_token(column: str, tokens: Sequence[str]) -> Column:
     """Null where the whole text equals one of ``tokens``; anything else is kept as it is."""
     c = sql.name(column)
-    return F.expr(f"CASE WHEN {c} NOT IN ({sql.texts(tokens)}) THEN {c} END")
+    return F.expr(f"CASE WHEN NOT array_contains(array({sql.texts(tokens)}), {c}) THEN {c} END")
 
 
 def to_number(column: str) -> Column:
@@ -45,7 +46,7 @@ def to_number(column: str) -> Column:
     be; only the others are compared with the pattern.
     """
     c = sql.name(column)
-    plain = f"right({c}, 1) BETWEEN '0' AND '9' AND NOT contains({c}, 'x') AND NOT contains({c}, 'X')"
+    plain = f"instr('0123456789', right({c}, 1)) > 0 AND (instr({c}, 'x') | instr({c}, 'X')) = 0"
     return F.expr(
         f"CASE WHEN {plain} OR {c} RLIKE {sql.text(NUMBER_PATTERN)} THEN try_cast({c} AS DOUBLE) END"
     )

@@ -12,6 +12,7 @@ import math
 import sys
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -113,11 +114,11 @@ def fit_levels(df: DataFrame, columns: Sequence[str], missing: str) -> dict[str,
     present = [c for c in columns if c in df.columns]
     if not present:
         return {}
-    pairs = F.array(
-        *[F.struct(F.lit(c).alias("column_name"), canonical_text(c, missing).alias("level")) for c in present]
-    )
+    # different values are found first, by column, so that few texts are stripped and lowered
+    values = [df.select(F.lit(c).alias("column_name"), F.col(sql.name(c)).alias("v")).distinct() for c in present]
+    level = canonical_text("v", missing).alias("level")
     found: dict[str, list[str]] = {c: [] for c in present}
-    for row in df.select(F.inline(pairs)).distinct().collect():
+    for row in reduce(DataFrame.unionAll, values).select("column_name", level).distinct().collect():
         found[row["column_name"]].append(row["level"])
     return {c: tuple(sorted(levels)) for c, levels in found.items()}
 

@@ -1,9 +1,10 @@
 """Exact quantiles of many columns over any number of rows.
 
-One way for every size, with two scans of the table. The first one finds size and range of every
-column and a mergeable sketch, which brackets each wanted rank between two values that few rows lie
-between. The second one counts the values below, between and above the brackets and writes those
-within them, each different value once with its count: a small table, in which the ranks are found.
+One way for every size, which reads each column three times. First come size and range of every
+column, then, apart from these so that they are compiled, mergeable sketches, which bracket each
+wanted rank between two values that few rows lie between. The last job counts, column by column, the
+values below, between and above the brackets and writes those within them, each different value once
+with its count: a small table, in which the ranks are found.
 
 There each pass counts, per column, how many values fall into each of a fixed number of buckets, Spark
 adds the counts up, and only the buckets that hold a wanted rank come back, as ranges for the next
@@ -12,7 +13,7 @@ returns at most one row for each wanted rank. It cuts a range into buckets of eq
 powers of two if it still spans many magnitudes, and what is left, with at most 2 ** 52 different
 values, into equal widths again, so that seven passes are the most for any values.
 
-The counts of the second scan are exact. A rank that they show outside of its bracket, as it may lie
+The counts of the last job are exact. A rank that they show outside of its bracket, as it may lie
 in a column with infinite values, is found by such passes over the table itself. Results equal the
 built-in ``percentile`` to the last bit.
 """
@@ -22,6 +23,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -32,7 +34,7 @@ BUCKETS = 4096
 #: ranks that the sketch gives are off by this part of all values at most
 SKETCH = 4096
 
-# columns whose counts and ranges are found in one job
+# columns whose counts and ranges, or sketches, are found in one job
 SUMMARY_COLUMNS = 64
 
 EVEN, BINADES = "even", "binades"
@@ -70,27 +72,29 @@ def summarize(
     """Count, mean and population deviation of some columns and exact quantiles of others.
 
     Columns are SQL expressions of type double; a bounded number of them is looked at in each job
-    of the first scan.
+    that finds ranges or sketches.
     """
     moment_columns = dict(moment_columns or {})
-    aggregates: list[list[str]] = []
+    plain: list[list[str]] = []
+    sketched: list[list[str]] = []
     for i, c in enumerate(quantile_columns.values()):
-        finite = f"FILTER (WHERE abs({c}) < double('inf'))"
-        aggregates.append(
+        finite = f"CASE WHEN abs({c}) < double('inf') THEN {c} END"
+        plain.append(
             [
                 f"count({c}) AS q{i}_n",
                 f"count_if({c} = double('-inf')) AS q{i}_minus",
-                f"count({c}) {finite} AS q{i}_finite",
-                f"min({c}) {finite} AS q{i}_low",
-                f"max({c}) {finite} AS q{i}_high",
-                f"percentile_approx({c}, array({sql.numbers(_around(probabilities))}), {SKETCH}) {finite} AS q{i}_sketch",
+                f"count({finite}) AS q{i}_finite",
+                f"min({finite}) AS q{i}_low",
+                f"max({finite}) AS q{i}_high",
             ]
         )
+        sketched.append([f"percentile_approx({finite}, array({sql.numbers(_around(probabilities))}), {SKETCH}) AS q{i}_sketch"])
     for i, c in enumerate(moment_columns.values()):
-        aggregates.append([f"count({c}) AS m{i}_n", f"avg({c}) AS m{i}_mean", f"stddev_pop({c}) AS m{i}_std"])
+        plain.append([f"count({c}) AS m{i}_n", f"avg({c}) AS m{i}_mean", f"stddev_pop({c}) AS m{i}_std"])
     first: dict[str, float | int | None] = {}
-    for at in range(0, len(aggregates), SUMMARY_COLUMNS):
-        first.update(df.selectExpr(*sum(aggregates[at : at + SUMMARY_COLUMNS], [])).first().asDict())
+    for aggregates in (plain, sketched):  # beside a sketch, which is an object, nothing would be compiled
+        for at in range(0, len(aggregates), SUMMARY_COLUMNS):
+            first.update(df.selectExpr(*sum(aggregates[at : at + SUMMARY_COLUMNS], [])).first().asDict())
 
     columns = [(i, name, c) for i, (name, c) in enumerate(quantile_columns.items())]
     summary = _by_histogram(df, columns, first, probabilities, buckets)
@@ -145,23 +149,22 @@ def _brackets(spans: list[_Range], sketch: Sequence[float]) -> list[tuple[float,
 def _bracketed(
     df: DataFrame, values: Mapping[str, str], open_ranges: dict[str, list[_Range]], sketches: Mapping[str, Sequence[float]]
 ) -> tuple[DataFrame, dict[str, list[_Range]]]:
-    """The second scan: values within the brackets with their counts, and the ranges of ``open_ranges`` in them.
+    """The last job over the table: values within the brackets with their counts, and the ranges of ``open_ranges`` in them.
 
     What is found in a bracket leaves ``open_ranges``. The table has c, the number of the column, v and n.
     """
     names = list(values)
-    brackets = {name: _brackets(open_ranges[name], sketches[name]) for name in names}
-    entries = []
+    parts_of = []
     for i, name in enumerate(names):
-        c, cases = values[name], []
-        for k, (low, high) in enumerate(brackets[name]):
-            cases.append(f"WHEN {c} < {sql.number(low)} THEN named_struct('c', {i}, 's', {2 * k}, 'v', CAST(NULL AS DOUBLE), 'x', {c})")
-            cases.append(f"WHEN {c} <= {sql.number(high)} THEN named_struct('c', {i}, 's', {2 * k + 1}, 'v', {c}, 'x', {c})")
-        if cases:
-            above = f"named_struct('c', {i}, 's', {2 * len(brackets[name])}, 'v', CAST(NULL AS DOUBLE), 'x', {c})"
-            entries.append(f"CASE WHEN {c} IS NULL OR abs({c}) = double('inf') THEN NULL {' '.join(cases)} ELSE {above} END")
+        cases = []
+        for k, (low, high) in enumerate(brackets := _brackets(open_ranges[name], sketches[name])):
+            cases.append(f"WHEN x < {sql.number(low)} THEN {2 * k} WHEN x <= {sql.number(high)} THEN {2 * k + 1}")
+        if cases:  # a scan of this column alone: one of all columns would be too long to be compiled
+            finite = df.selectExpr(f"{values[name]} AS x").filter("abs(x) < double('inf')")
+            placed = finite.selectExpr("x", f"CASE {' '.join(cases)} ELSE {2 * len(brackets)} END AS s")
+            parts_of.append(placed.selectExpr(f"{i} AS c", "s", "CASE WHEN s % 2 = 1 THEN x END AS v", "x"))
     counted = (
-        df.selectExpr(f"inline(array({', '.join(entries)}))").filter("c IS NOT NULL").groupBy("c", "s", "v")
+        reduce(DataFrame.unionAll, parts_of).groupBy("c", "s", "v")
         .agg(F.expr("count(1) AS n"), F.expr("min(x) AS low"), F.expr("max(x) AS high"))
     )
     inner = stage(counted, "brackets")
@@ -179,7 +182,7 @@ def _bracketed(
                     (found[name] if part["s"] % 2 else left).append(own)
                     missing -= inside
                 below += part["n"]
-            assert not missing, "the counts of both scans differ: the table has changed"
+            assert not missing, "the counts of the scans differ: the table has changed"
         open_ranges[name] = left
     return inner.filter("s % 2 = 1").select("c", F.col("low").alias("v"), "n"), found
 

@@ -120,3 +120,15 @@ def test_sketch_is_close(spark):
     found = approximate_quantiles(df, {"v": "v"}, accuracy=1000)["v"].quantiles
     for p, value in found.items():
         assert abs(value - p * 10_000) <= 20
+
+
+def test_brackets_are_counted_column_by_column(spark, monkeypatch):
+    """Rows are not made for all columns at once, whose code is too long to be compiled."""
+    plans, stage = [], quantiles.stage
+    monkeypatch.setattr(quantiles, "stage", lambda df, name: plans.append(df._jdf.queryExecution().toString()) or stage(df, name))
+    df = spark.range(0, 20_000, 1, 2).selectExpr(*[f"CAST(id * {k + 1} % 977 AS DOUBLE) AS c{k}" for k in range(4)])
+    names = {c: c for c in df.columns}
+    found = summarize(df, names, names)
+    assert len(plans) == 1 and "Generate" not in plans[0] and "Union" in plans[0]
+    for c in names:
+        assert [found[c].quantiles[p] for p in (0.25, 0.5, 0.75)] == df.selectExpr(f"percentile({c}, array(0.25, 0.5, 0.75))").first()[0]
