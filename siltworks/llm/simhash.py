@@ -191,7 +191,8 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     left = distinct.select("fp").mapInArrow(homes, "anchor long, a long")
     right = distinct.select("fp").mapInArrow(replicas, "anchor long, b long")
     near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
-    return left.join(right, (left["anchor"] == right["anchor"]) & near).select("a", "b")
+    # merged by exchanges: Spark takes the replicas to be as few as the fingerprints and would broadcast them
+    return left.join(right.hint("merge"), (left["anchor"] == right["anchor"]) & near).select("a", "b")
 
 
 def near_duplicates(

@@ -262,9 +262,10 @@ def repeated_passages(
     first = single.groupBy("digest").agg(
         F.min("k").alias("first"), F.max("k").alias("last"), F.min("rest").alias("first_rest"), F.max("rest").alias("last_rest")
     )
-    # written, so that the join reads both sides by exchanges and a hot stretch can be split
+    # written and merged, so that the join reads both sides by exchanges and a hot stretch can be split; the files
+    # are a tenth of what a broadcast would take
     shared = stage(first.filter("first < last OR first_rest < last_rest").drop("last", "last_rest"), "shared")
-    hits = single.join(shared, "digest").filter("k > first OR rest > first_rest").select("k", "text_hash", "digest", "first")
+    hits = single.join(shared.hint("merge"), "digest").filter("k > first OR rest > first_rest").select("k", "text_hash", "digest", "first")
     # a text has at most its own stretches here
     per_text = (
         hits.groupBy("k", "text_hash").agg(F.collect_set(F.struct("digest", "first")).alias("hits"))

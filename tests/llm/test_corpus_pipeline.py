@@ -8,7 +8,7 @@ from test_text_models import assert_packed, plain_matches
 
 import __spark_entry__ as driver
 import corpus_pipeline
-from siltworks.llm import langid, packing
+from siltworks.llm import components, langid, packing, queries
 from siltworks.llm.queries import language_model
 from siltworks.llm.substrings import cut_out
 
@@ -70,3 +70,27 @@ def test_counts_follow_the_texts(spark):
     joined = cut.join(docs.select("doc_id", F.col("text").alias("old"), F.col("n_chars").alias("n")), "doc_id")
     assert joined.filter("n_chars != length(text)").isEmpty() and not joined.filter("text != old").isEmpty()
     assert joined.filter("text = old AND n_chars != n").isEmpty()
+
+
+def test_tables_that_grow_in_memory_are_not_broadcast(spark, tmp_path, monkeypatch):
+    """Replicas of fingerprints and shared stretches take many times what Spark sizes them at; they are merged, and all copies go."""
+    texts = [sentence(700 + k, 60) for k in range(6)]
+    rows = [(k, texts[k % 6], "en", "s", 1) for k in range(12)] + [(100 + k, f"{texts[k]} {sentence(800 + k, 60)}", "en", "s", 1) for k in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    plans, steps = {}, dict(corpus_pipeline.STAGES)
+
+    def watched(stage):
+        def written(df, name):
+            plans[name] = df._jdf.queryExecution().executedPlan().toString()
+            return stage(df, name)
+
+        return written
+
+    for module in (components, queries):
+        monkeypatch.setattr(module, "stage", watched(module.stage))
+    kept = steps["simhash_near_duplicates"](spark, docs, str(tmp_path))
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 100, 101, 102]
+    cut = {r.doc_id: r.text for r in steps["substring_dedup"](spark, kept, str(tmp_path)).collect()}
+    assert all(cut[k] == texts[k] for k in range(6)) and all(len(cut[100 + k]) < len(rows[12 + k][1]) - len(texts[k]) // 2 for k in range(3))
+    for name, key in (("edges", "anchor"), ("passages", "digest")):
+        assert f"SortMergeJoin [{key}#" in plans[name] and f"BroadcastHashJoin [{key}#" not in plans[name]
