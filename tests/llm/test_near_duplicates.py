@@ -89,6 +89,15 @@ def test_every_linked_pair_meets_at_an_anchor_once(spark, bits):
     assert len(found) == len(wanted) and {frozenset(p) for p in found} == wanted
 
 
+def test_replicas_are_never_broadcast(spark, tmp_path):
+    """Spark sizes a file of fingerprints under its threshold, but not the 150 replicas of each."""
+    far, draw = 0xF << 40, random.Random(6)
+    spark.createDataFrame([(f,) for f in [5, 7, far, far + 3] + [draw.getrandbits(63) for _ in range(300)]], "fp long").write.parquet(f"{tmp_path}/fps")
+    found = simhash.links(spark.read.parquet(f"{tmp_path}/fps"))
+    assert {(r.a, r.b) for r in found.collect()} == {(5, 7), (far, far + 3)}
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("block", [1_000_000, 7])
 def test_components_of_chains_stars_and_random_edges(spark, block):
     draw = random.Random(4)
